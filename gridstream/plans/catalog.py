@@ -59,3 +59,54 @@ def q_features(spark, sf_dir):
 @register("f14_features_sparse")
 def q_features_b(spark, sf_dir):
     return rounded(features_of(spark, sf_dir, PROFILE_B))
+
+
+# ---------------------------------------------------------------------------
+# Pricing
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from gridstream.functions import rules as RU  # noqa: E402
+from gridstream.operators import pricing as PR  # noqa: E402
+
+
+def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False) -> DataFrame:
+    t = tel(spark, sf_dir, p)
+    f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
+    return PR.price_features(f, t, keep_start=keep_start)
+
+
+@register("p01_window_prices")
+def q_window_prices(spark, sf_dir):
+    f = features_of(spark, sf_dir, PROFILE_A)
+    m = RU.price_multiplier("capacity_utilization_ratio")
+    return rounded(f.select("station_id", "time_bin", "capacity_utilization_ratio",
+                            F.round(m, 4).alias("price_multiplier"),
+                            RU.alert_level("capacity_utilization_ratio").alias("alert_level"),
+                            RU.dynamic_price(m).alias("dynamic_price_cad")))
+
+
+@register("p04_rated_power")
+def q_rated(spark, sf_dir):
+    return rounded(PR.rated_power(tel(spark, sf_dir, PROFILE_B)))
+
+
+@register("p05_history_lookup")
+def q_history(spark, sf_dir):
+    return rounded(PR.history_lookup(tel(spark, sf_dir, PROFILE_B)))
+
+
+@register("p07_session_lock")
+def q_session(spark, sf_dir):
+    return rounded(priced_of(spark, sf_dir).select("station_id", "time_bin", "guaranteed_price_cad",
+                                                   "session_status"))
+
+
+@register("p08_day_ahead")
+def q_day_ahead(spark, sf_dir):
+    return rounded(priced_of(spark, sf_dir).select("station_id", "time_bin", "day_ahead_price_cad"))
+
+
+@register("p09_priced_features")
+def q_priced(spark, sf_dir):
+    return rounded(priced_of(spark, sf_dir))

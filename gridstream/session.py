@@ -25,6 +25,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     conf = dict(CORE_CONF)
     conf.update({
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
