@@ -51,7 +51,8 @@ def window_features(cleaned: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                   .agg(F.avg("corrected_kwh").alias("mean_kwh"),
                        F.var_pop("corrected_kwh").alias("variance_kwh"),
                        F.max("anomaly_flag").cast("int").alias("anomaly_flag"),
-                       (positive.cast("double") / F.count(F.lit(1))).alias("data_completeness")))
+                       (positive.cast("double") / F.count(F.lit(1))).alias("data_completeness"),
+                       F.max("event_time").alias("last_event_time")))
     return (agg.withColumn("capacity_utilization_ratio", utilisation("mean_kwh", capacity))
                .withColumn("hour_of_day", hour_of("window_start"))
                .withColumn("day_of_week", weekday_of("window_start")))
@@ -82,7 +83,7 @@ def stream_features(tel: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                     k: float = C.SIGMA_K, keep_start: bool = False, **kw) -> DataFrame:
     wf = window_features(clean_readings(tel, rows, k, **kw), window_minutes, capacity)
     out = with_previous_window(wf, window_minutes).withColumn("time_bin", format_ts("window_start"))
-    return out.select(*FEATURE_OUT, *(["window_start"] if keep_start else []))
+    return out.select(*FEATURE_OUT, *(["window_start", "last_event_time"] if keep_start else []))
 
 
 # data-quality side output: flagged readings with a fixed reason.

@@ -96,5 +96,6 @@ def price_features(features: DataFrame, history: DataFrame, predicted: Column |
                  .withColumn("alert_level", alert_level(cur)))
     d = with_session(d, base=base, premium=premium)
     d = with_day_ahead(d, history_lookup(history), rated, base)
-    extra = ["window_start", "capacity_utilization_ratio"] if keep_start else []
+    extra = ([c for c in ("window_start", "last_event_time", "capacity_utilization_ratio")
+              if c in d.columns] if keep_start else [])
     return d.select(*PRICE_OUT, *extra)

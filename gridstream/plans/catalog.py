@@ -110,3 +110,174 @@ def q_day_ahead(spark, sf_dir):
 @register("p09_priced_features")
 def q_priced(spark, sf_dir):
     return rounded(priced_of(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Alerts and dashboard (profile B)
+# ---------------------------------------------------------------------------
+from gridstream.operators import alerts as AL  # noqa: E402
+from gridstream.operators import serving as SV  # noqa: E402
+from gridstream.functions.rules import alert_text, format_ts  # noqa: E402
+
+ARRIVAL_PAD_MS = PROFILE_B.window_minutes * 60000 + 30000
+
+
+def messages_of(spark, sf_dir) -> DataFrame:
+    return SV.price_messages(priced_of(spark, sf_dir, PROFILE_B, keep_start=True),
+                             PROFILE_B.window_minutes)
+
+
+def grid_of(priced) -> DataFrame:
+    return AL.grid_stress_by_bin(priced, PROFILE_B.capacity)
+
+
+def alerts_of(spark, sf_dir) -> DataFrame:
+    msgs = messages_of(spark, sf_dir)
+    st = AL.station_alerts(msgs).join(
+        msgs.select("station_id", "time_bin", "arrival_ms"), ["station_id", "time_bin"], "left")
+    g = grid_of(msgs)
+    rg = (AL.regional_alerts(g)
+          .join(g.select("time_bin", (F.unix_millis("time_bin_ts") + F.lit(ARRIVAL_PAD_MS)).alias("arrival_ms")),
+                "time_bin", "left"))
+    return AL.alert_stream(st, rg)
+
+
+ALERT_COLS = ["type", "station_id", "time_bin", "alert_level", "predicted_kwh", "price_multiplier",
+              "dynamic_price_cad", "guaranteed_price_cad", "stress_score", "station_count", "key"]
+
+
+def dashboard_frames(spark, sf_dir):
+    msgs = messages_of(spark, sf_dir)
+    live = SV.last_by_arrival(msgs).select(*PR.PRICE_OUT)
+    stored = msgs.withColumn("time_bin", F.col("window_start"))
+    hist = SV.recent_history(stored).withColumn("time_bin", format_ts("time_bin"))
+    comb = SV.combined(live, hist)
+    return msgs, live, hist, comb
+
+
+def combined_out(df: DataFrame) -> DataFrame:
+    return rounded(df.select("station_id", format_ts("time_bin").alias("time_bin"), "predicted_kwh",
+                             "price_multiplier", "base_price_cad", "dynamic_price_cad",
+                             "guaranteed_price_cad", "session_status", "day_ahead_price_cad",
+                             "alert_level", format_ts("created_at").alias("created_at"),
+                             F.col("_src").alias("src")))
+
+
+@register("a01_station_alerts")
+def q_station_alerts(spark, sf_dir):
+    return rounded(AL.station_alerts(priced_of(spark, sf_dir)))
+
+
+@register("a02_grid_stress_latest")
+def q_grid_latest(spark, sf_dir):
+    g = AL.grid_stress_latest(priced_of(spark, sf_dir, keep_start=True), PROFILE_B.capacity)
+    return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
+
+
+@register("a03_grid_stress")
+def q_grid(spark, sf_dir):
+    g = grid_of(priced_of(spark, sf_dir, keep_start=True))
+    return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
+
+
+@register("a04_regional_alerts")
+def q_regional(spark, sf_dir):
+    return rounded(AL.regional_alerts(grid_of(priced_of(spark, sf_dir, keep_start=True))))
+
+
+@register("a05_alert_stream")
+def q_alert_stream(spark, sf_dir):
+    return rounded(alerts_of(spark, sf_dir).select(*ALERT_COLS))
+
+
+@register("d03_combined")
+def q_combined(spark, sf_dir):
+    return combined_out(dashboard_frames(spark, sf_dir)[3])
+
+
+@register("d04_latest_per_station")
+def q_latest(spark, sf_dir):
+    return combined_out(SV.latest_per_station(dashboard_frames(spark, sf_dir)[3]))
+
+
+@register("d05_kpis")
+def q_kpis(spark, sf_dir):
+    return rounded(SV.kpis(SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])))
+
+
+@register("d06_current_stress")
+def q_current_stress(spark, sf_dir):
+    msgs, _, _, comb = dashboard_frames(spark, sf_dir)
+    latest = SV.latest_per_station(comb)
+    return rounded(SV.current_stress(grid_of(msgs), latest, PROFILE_B.capacity))
+
+
+@register("d08_latency_stats")
+def q_latency(spark, sf_dir):
+    msgs = messages_of(spark, sf_dir)
+    buf = SV.last_by_arrival(msgs).select(
+        (F.col("arrival_ms") - F.col("kafka_ts_ms")).cast("double").alias("latency_ms"), "kafka_ts_ms")
+    return rounded(SV.latency_stats(buf))
+
+
+@register("d09_heatmap")
+def q_heatmap(spark, sf_dir):
+    return rounded(SV.heatmap_long(dashboard_frames(spark, sf_dir)[3]))
+
+
+@register("d10_by_multiplier")
+def q_by_multiplier(spark, sf_dir):
+    from pyspark.sql import Window
+    latest = SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])
+    # one row per station: the ordered position is a small global sort
+    w = Window.orderBy(F.col("price_multiplier").desc(), F.col("station_id"))
+    return rounded(SV.by_multiplier(latest).select("station_id", "price_multiplier", "alert_level",
+                                                   F.row_number().over(w).alias("position")))
+
+
+@register("d11_status_table")
+def q_status(spark, sf_dir):
+    latest = SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])
+    return rounded(SV.status_table(latest).withColumn("time_bin", format_ts("time_bin")))
+
+
+@register("d12_grid_trend")
+def q_grid_trend(spark, sf_dir):
+    g = SV.grid_trend(grid_of(priced_of(spark, sf_dir, keep_start=True)))
+    return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
+
+
+@register("d13_recent_history")
+def q_history_window(spark, sf_dir):
+    h = dashboard_frames(spark, sf_dir)[2]
+    return rounded(h.withColumn("created_at", format_ts("created_at")))
+
+
+@register("d14_live_buffer")
+def q_live(spark, sf_dir):
+    return rounded(dashboard_frames(spark, sf_dir)[1])
+
+
+@register("d15_messages_seen")
+def q_seen(spark, sf_dir):
+    return SV.messages_seen(messages_of(spark, sf_dir))
+
+
+@register("d16_last_rows")
+def q_last_rows(spark, sf_dir):
+    msgs = messages_of(spark, sf_dir)
+    top = msgs.orderBy(F.col("created_at").desc(), F.col("station_id").desc()).limit(10)
+    return rounded(top.select("station_id", "time_bin", "predicted_kwh", "dynamic_price_cad",
+                              "guaranteed_price_cad", "day_ahead_price_cad", "session_status",
+                              "alert_level"))
+
+
+@register("d17_alert_text")
+def q_alert_text(spark, sf_dir):
+    a = alerts_of(spark, sf_dir)
+    return a.select("type", "time_bin", "key", alert_text().alias("message"))
+
+
+@register("d18_alert_feed")
+def q_alert_feed(spark, sf_dir):
+    return rounded(SV.alert_feed(alerts_of(spark, sf_dir)).select(*ALERT_COLS))
