@@ -14,10 +14,24 @@ from gridstream import config as C
 __all__ = [
     "col_", "three_sigma_flag", "corrected_value", "bin_start", "hour_of", "weekday_of",
     "format_ts", "utilisation", "price_multiplier", "alert_level", "dynamic_price",
-    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts",
+    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts", "round_half_away",
 ]
 
 
+def round_half_away(c, places: int = 6) -> Column:
+    """round(x' * 10^p) / 10^p with x' = x nudged up by 1e-10 |x| + 1e-12.
+
+    Sums of doubles differ in the last bits with summation order, and exact
+    decimal ties (0.3803855) are common in averaged prices, so plain
+    rounding could split equal results; the nudge moves the tie point away
+    from such values.  The oracle SQL applies the same arithmetic.
+    """
+    c = col_(c)
+    m = float(10 ** places)
+    nudged = c + (F.lit(1e-10) * F.abs(c) + F.lit(1e-12))
+    return F.round(nudged * F.lit(m), 0) / F.lit(m)
+
+
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -281,3 +281,112 @@ def q_alert_text(spark, sf_dir):
 @register("d18_alert_feed")
 def q_alert_feed(spark, sf_dir):
     return rounded(SV.alert_feed(alerts_of(spark, sf_dir)).select(*ALERT_COLS))
+
+
+# ---------------------------------------------------------------------------
+# Detector evaluation (profile B)
+# ---------------------------------------------------------------------------
+from gridstream.operators import evaluation as EV  # noqa: E402
+
+N_SWEEP = [4, 8, 16, 32, 64]
+P_SWEEP = [1.0, 0.85, 0.7, 0.55, 0.4]
+
+
+def eval_long(spark, sf_dir) -> DataFrame:
+    p = PROFILE_B
+    f = features_of(spark, sf_dir, p, keep_start=True)
+    return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes))
+
+
+def eval_parts(spark, sf_dir):
+    lng = eval_long(spark, sf_dir)
+    T = EV.n_windows(lng)
+    lo = EV.held_out_lo(T)
+    grid = EV.window_grid(lng, T)
+    return lng, T, lo, grid
+
+
+@register("e01_raw_trace_summary")
+def q_raw_summary(spark, sf_dir):
+    p = PROFILE_B
+    return rounded(EV.raw_trace_summary(FE.offline_windows(tel(spark, sf_dir, p), p.window_minutes), p.capacity))
+
+
+@register("e02_hour_profile")
+def q_hour_profile(spark, sf_dir):
+    p = PROFILE_B
+    return rounded(EV.hour_profile(FE.offline_windows(tel(spark, sf_dir, p), p.window_minutes)))
+
+
+@register("e03_detector_stats")
+def q_detector_stats(spark, sf_dir):
+    g = eval_parts(spark, sf_dir)[3]
+    return rounded(g.select("scenario_id", "t", "agg_current", "agg_forecast", "ind_current",
+                            "ind_forecast", "region_u", "overload"))
+
+
+@register("e05_event_runs")
+def q_events(spark, sf_dir):
+    _, _, lo, g = eval_parts(spark, sf_dir)
+    return EV.event_runs(g, lo)
+
+
+@register("e06_warning_zones")
+def q_zones(spark, sf_dir):
+    _, _, lo, g = eval_parts(spark, sf_dir)
+    return EV.zone_rows(EV.event_runs(g, lo), lo).select("scenario_id", "onset", "end", "t")
+
+
+def eval_metrics(spark, sf_dir) -> DataFrame:
+    return EV.detector_metrics(eval_long(spark, sf_dir))
+
+
+@register("e08_detector_metrics")
+def q_metrics(spark, sf_dir):
+    m = eval_metrics(spark, sf_dir)
+    return rounded(m.select("scenario_id", "detector", "threshold", "tp", "fp", "fn", "tn", "n_events",
+                            "precision", "recall", "f1", "fpr", "far", "mean_lead_windows",
+                            "detection_rate"))
+
+
+@register("e11_roc_points")
+def q_roc(spark, sf_dir):
+    return rounded(EV.roc_points(eval_metrics(spark, sf_dir)))
+
+
+@register("e12_operating_points")
+def q_operating(spark, sf_dir):
+    return rounded(EV.operating_points(eval_metrics(spark, sf_dir)))
+
+
+@register("e13_picked_thresholds")
+def q_picked(spark, sf_dir):
+    return rounded(EV.pick_threshold(eval_metrics(spark, sf_dir)))
+
+
+@register("e14_comparison_table")
+def q_comparison(spark, sf_dir):
+    return rounded(EV.comparison_table(eval_metrics(spark, sf_dir)))
+
+
+@register("e15_curves")
+def q_curves(spark, sf_dir):
+    return rounded(EV.curves(eval_metrics(spark, sf_dir)))
+
+
+@register("e16_station_sweep")
+def q_station_sweep(spark, sf_dir):
+    sub = EV.station_subsets(eval_long(spark, sf_dir), sizes=N_SWEEP)
+    return rounded(EV.sweep_table(sub, "n_stations"))
+
+
+@register("e17_participation_sweep")
+def q_participation_sweep(spark, sf_dir):
+    sub = EV.station_subsets(eval_long(spark, sf_dir), fractions=P_SWEEP)
+    return rounded(EV.sweep_table(sub, "participation"))
+
+
+@register("m05_forecast_alignment")
+def q_forecast_alignment(spark, sf_dir):
+    return rounded(eval_long(spark, sf_dir).select("scenario_id", "t", "station_id", "cur_obs", "cur_fc",
+                                                   "capacity"))

@@ -6,20 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PLACES = 6
-
+from gridstream.functions.rules import round_half_away
 
-def round_half_away(c, places: int = PLACES):
-    """round(x' * 10^p) / 10^p with x' = x nudged up by 1e-10 |x| + 1e-12.
-
-    Sums of doubles differ in the last bits with summation order, and exact
-    decimal ties (0.3803855) are common here, so plain rounding can split
-    equal results; the nudge moves the tie point away from such values.  The
-    oracle SQL applies the same arithmetic.
-    """
-    m = float(10 ** places)
-    nudged = c + (F.lit(1e-10) * F.abs(c) + F.lit(1e-12))
-    return F.round(nudged * F.lit(m), 0) / F.lit(m)
+PLACES = 6
 
 
 def rounded(df: DataFrame, places: int = PLACES) -> DataFrame:
