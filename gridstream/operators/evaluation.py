@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gridstream import config as C
 from gridstream.functions.rules import round_half_away
+from gridstream.session import materialize
 
 STAT_COLS = {
     "AGG-CURRENT": "agg_current", "AGG-FORECAST": "agg_forecast",
@@ -127,11 +128,14 @@ def _ratio(num: Column, den: Column) -> Column:
 def detector_metrics(long: DataFrame, l_true: float = C.L_TRUE, fraction: float = C.TRAIN_FRACTION,
                      detectors=C.DETECTORS, thr: list[float] | None = None,
                      lookback: int = C.LEAD_LOOKBACK_WINDOWS, part=("scenario_id",),
-                     T: Column | int | None = None) -> DataFrame:
+                     T: Column | int | None = None, materialize_grid: bool = True) -> DataFrame:
     part = list(part)
     T = T if T is not None else n_windows(long)
     lo = held_out_lo(T, fraction)
     grid = window_grid(long, T, l_true, part)
+    if materialize_grid:
+        # the grid feeds the alarms, the events and (through both) two joins
+        grid = materialize(grid)
     al = alarms(grid, lo, detectors, thr, part)
     events = event_runs(grid, lo, part)
     zones = zone_rows(events, lo, lookback)

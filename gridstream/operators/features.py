@@ -58,18 +58,29 @@ def window_features(cleaned: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                .withColumn("day_of_week", weekday_of("window_start")))
 
 
-# Previous window of the same station exactly one width earlier
-# (equi-join on the shifted start; a gap gives NULL -> rate 0).  Keyed on
-# (station, start), so no key concentrates a station's whole history.
+# Previous window of the same station exactly one width earlier; a
+# gap gives NULL -> rate 0.  Written as lag + exact-gap check rather than the
+# reference's self-join: the self-join would re-run the whole rolling plan on
+# its build side (pruned differently, so no exchange reuse), while lag runs
+# on the aggregate's existing station partitioning.  It orders one row per
+# station-window, bounded by the time span, not by the number of readings.
+# ``self_join=True`` gives the equi-join form (used by streaming and tests).
 def with_previous_window(wf: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
-                         key: str = "station_id") -> DataFrame:
-    prv = wf.select(F.col(key).alias("_pk"), F.col("window_start").alias("_ps"),
-                    F.col("mean_kwh").alias("_prev_mean"))
-    shifted = F.col("window_start") - F.expr(f"INTERVAL {int(window_minutes)} MINUTES")
-    j = wf.join(prv, (F.col(key) == F.col("_pk")) & (F.col("_ps") == shifted), "left")
+                         key: str = "station_id", self_join: bool = False) -> DataFrame:
+    width = F.expr(f"INTERVAL {int(window_minutes)} MINUTES")
+    if self_join:
+        prv = wf.select(F.col(key).alias("_pk"), F.col("window_start").alias("_ps"),
+                        F.col("mean_kwh").alias("_prev_mean"))
+        shifted = F.col("window_start") - width
+        j = wf.join(prv, (F.col(key) == F.col("_pk")) & (F.col("_ps") == shifted), "left") \
+              .drop("_pk", "_ps")
+    else:
+        w = Window.partitionBy(key).orderBy("window_start")
+        hit = F.lag("window_start", 1).over(w) == F.col("window_start") - width
+        j = wf.withColumn("_prev_mean", F.when(hit, F.lag("mean_kwh", 1).over(w)))
     return (j.withColumn("previous_mean_kwh", F.coalesce(F.col("_prev_mean"), F.col("mean_kwh")))
              .withColumn("rate_of_change", F.col("mean_kwh") - F.col("previous_mean_kwh"))
-             .drop("_pk", "_ps", "_prev_mean"))
+             .drop("_prev_mean"))
 
 
 FEATURE_OUT = ["station_id", "time_bin", "mean_kwh", "variance_kwh", "rate_of_change",

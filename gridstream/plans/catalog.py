@@ -293,9 +293,13 @@ P_SWEEP = [1.0, 0.85, 0.7, 0.55, 0.4]
 
 
 def eval_long(spark, sf_dir) -> DataFrame:
+    """The evaluation's long table, written once to the checkpoint folder
+    (one row per station-window; every evaluation query reads it several
+    times, including through scalar subqueries)."""
+    from gridstream.session import materialize
     p = PROFILE_B
-    f = features_of(spark, sf_dir, p, keep_start=True)
-    return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes))
+    f = materialize(features_of(spark, sf_dir, p, keep_start=True))
+    return materialize(EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes)))
 
 
 def eval_parts(spark, sf_dir):

@@ -57,3 +57,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, name: str | None = None):
+    """Cut lineage by writing ``df`` as a parquet table under the shared
+    ``spark.checkpoint.dir`` and reading it back.
+
+    Used where a plan would otherwise be recomputed several times (scalar
+    subqueries plus the main query, or one table feeding two branches).
+    Unlike ``checkpoint()`` the input is computed once, the files survive a
+    lost executor (never a local checkpoint), and the re-read carries real
+    size statistics for AQE.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, name or f"m-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
