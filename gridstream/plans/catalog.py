@@ -394,3 +394,92 @@ def q_participation_sweep(spark, sf_dir):
 def q_forecast_alignment(spark, sf_dir):
     return rounded(eval_long(spark, sf_dir).select("scenario_id", "t", "station_id", "cur_obs", "cur_fc",
                                                    "capacity"))
+
+
+# ---------------------------------------------------------------------------
+# Sources, messages and sinks
+# ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from gridstream import schemas as SC  # noqa: E402
+from gridstream.sources import messages as MS  # noqa: E402
+from gridstream.sources import sinks as SK  # noqa: E402
+from gridstream.sources import telemetry as TL  # noqa: E402
+
+TEL_OUT = ["station_id", "time_new", "duration", "kwh"]
+STATION_CAP = 100
+ROW_CAP = 5000
+REPLAY_SPEED = 1500.0
+
+
+@register("s02_row_cap")
+def q_row_cap(spark, sf_dir):
+    return rounded(TL.cap_rows(tel(spark, sf_dir, PROFILE_B), ROW_CAP).select(*TEL_OUT, "seq"))
+
+
+@register("s04_cleaned_trace")
+def q_cleaned(spark, sf_dir):
+    return rounded(TL.clean_telemetry(tel(spark, sf_dir, PROFILE_B)).select(*TEL_OUT, "seq"))
+
+
+@register("s06_station_cap")
+def q_station_cap(spark, sf_dir):
+    return rounded(TL.cap_stations(tel(spark, sf_dir, PROFILE_B), STATION_CAP).select(*TEL_OUT, "seq"))
+
+
+@register("s08_replay_offsets")
+def q_replay(spark, sf_dir):
+    return rounded(TL.replay_offsets(tel(spark, sf_dir, PROFILE_B), REPLAY_SPEED)
+                   .select("station_id", "seq", "offset_s"))
+
+
+def telemetry_messages(spark, sf_dir):
+    return MS.encode(tel(spark, sf_dir, PROFILE_B).select(*TEL_OUT, "seq"), "ev-telemetry")
+
+
+@register("s09_json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    schema = SC.TELEMETRY.add("seq", "long")
+    ok, _ = MS.decode(telemetry_messages(spark, sf_dir), schema, required=["station_id", "time_new"])
+    d = TL.clean_telemetry(TL.with_event_time(ok))
+    return rounded(d.select(*TEL_OUT, "seq", format_ts("event_time").alias("event_time")))
+
+
+def routed(spark, sf_dir):
+    prices = MS.encode(priced_of(spark, sf_dir), "dynamic-prices")
+    dq = MS.encode(FE.data_quality_rows(FE.clean_readings(tel(spark, sf_dir, PROFILE_A))), "data-quality")
+    frames = MS.route(prices.unionByName(dq), {"dynamic-prices": SC.PRICES, "data-quality": SC.DATA_QUALITY_IN})
+    return frames
+
+
+@register("s18_inference_rows")
+def q_inference_rows(spark, sf_dir):
+    r = MS.inference_rows(routed(spark, sf_dir)["dynamic-prices"])
+    return rounded(r.withColumn("time_bin", format_ts("time_bin")))
+
+
+@register("s19_data_quality_events")
+def q_dq_events(spark, sf_dir):
+    r = MS.data_quality_events(routed(spark, sf_dir)["data-quality"]).drop("raw_payload")
+    return rounded(r.withColumn("time_bin", format_ts("time_bin")))
+
+
+@register("s11_upsert_replay")
+def q_upsert(spark, sf_dir):
+    """Features written through the keyed upsert sink twice (a replay), read back."""
+    path = SK.table_path(spark, f"features-{uuid.uuid4().hex}")
+    f = features_of(spark, sf_dir, PROFILE_B)
+    SK.upsert(f, path)
+    SK.upsert(f, path)
+    return rounded(spark.read.parquet(path).drop("dt"))
+
+
+@register("s20_insert_once")
+def q_insert_once(spark, sf_dir):
+    """Grid rows inserted twice through the insert-once guard, read back."""
+    path = SK.table_path(spark, f"grid-{uuid.uuid4().hex}")
+    g = grid_of(priced_of(spark, sf_dir, keep_start=True)).select(
+        "time_bin", "stress_score", "station_count", "triggered_alert")
+    SK.insert_once(g, path)
+    SK.insert_once(g, path)
+    return rounded(spark.read.parquet(path))
