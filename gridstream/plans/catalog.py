@@ -439,7 +439,7 @@ def telemetry_messages(spark, sf_dir):
 
 @register("s09_json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
-    schema = SC.TELEMETRY.add("seq", "long")
+    schema = SC.TELEMETRY_SEQ
     ok, _ = MS.decode(telemetry_messages(spark, sf_dir), schema, required=["station_id", "time_new"])
     d = TL.clean_telemetry(TL.with_event_time(ok))
     return rounded(d.select(*TEL_OUT, "seq", format_ts("event_time").alias("event_time")))

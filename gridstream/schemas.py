@@ -107,3 +107,6 @@ DATA_QUALITY_EVENTS = T.StructType([
     T.StructField("raw_payload", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
 ])
+
+# Telemetry message with its tiebreak sequence number.
+TELEMETRY_SEQ = T.StructType(TELEMETRY.fields + [T.StructField("seq", T.LongType())])

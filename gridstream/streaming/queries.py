@@ -50,7 +50,7 @@ def message_stream(spark: SparkSession, path: str | None = None, kafka: dict | N
 
 
 def decode_telemetry(msgs: DataFrame) -> DataFrame:
-    rec = F.from_json("value", SC.TELEMETRY.add("seq", "long"), {"mode": "PERMISSIVE"})
+    rec = F.from_json("value", SC.TELEMETRY_SEQ, {"mode": "PERMISSIVE"})
     d = msgs.select(rec.alias("r")).select("r.*")
     d = (d.filter(F.col("station_id").isNotNull() & F.col("time_new").isNotNull())
           .fillna(0.0, subset=["duration", "kwh"])
