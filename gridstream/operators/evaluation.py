@@ -50,7 +50,7 @@ def long_table(features: DataFrame, capacity: float, width_minutes: int = C.WIND
         bin_index(F.col("window_start"), t0, width_minutes).alias("t"),
         "station_id",
         (F.col("mean_kwh") / F.lit(float(capacity))).alias("cur_obs"),
-        F.lit(float(capacity)).alias("capacity"))
+        F.lit(float(capacity)).alias("capacity"), "window_start")
 
 
 # Forecast alignment.  The forecast for window t is the prediction made

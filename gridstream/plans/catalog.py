@@ -483,3 +483,72 @@ def q_insert_once(spark, sf_dir):
     SK.insert_once(g, path)
     SK.insert_once(g, path)
     return rounded(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------------------
+# Offline features and the forecaster (profile B)
+# ---------------------------------------------------------------------------
+from gridstream.operators import model as MO  # noqa: E402
+
+
+def offline_of(spark, sf_dir) -> DataFrame:
+    p = PROFILE_B
+    return FE.offline_windows(tel(spark, sf_dir, p), p.window_minutes, p.capacity)
+
+
+OFFLINE_OUT = ["station_id", "time_bin", "mean_kwh", "variance_kwh", "rate_of_change",
+               "capacity_utilization_ratio", "hour_of_day", "day_of_week", "data_completeness", "anomaly_flag"]
+
+
+@register("f15_offline_windows")
+def q_offline(spark, sf_dir):
+    w = FE.with_diff(offline_of(spark, sf_dir)).withColumn("time_bin", format_ts("window_start"))
+    return rounded(w.select(*OFFLINE_OUT))
+
+
+@register("f17_training_table")
+def q_training(spark, sf_dir):
+    p = PROFILE_B
+    t = FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity)
+    return rounded(t.withColumn("time_bin", format_ts("window_start")).select(*OFFLINE_OUT, "target"))
+
+
+@register("f18_split")
+def q_split(spark, sf_dir):
+    p = PROFILE_B
+    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity))
+    return t.select("station_id", format_ts("window_start").alias("time_bin"), "is_train")
+
+
+@register("m04_persistence_horizons")
+def q_persistence(spark, sf_dir):
+    return rounded(MO.horizon_study(offline_of(spark, sf_dir), model="persistence"))
+
+
+def trained(spark, sf_dir):
+    """Train once per input folder; later calls load the saved model."""
+    import hashlib
+    from gridstream.session import materialize, scratch_path
+    p = PROFILE_B
+    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity))
+    t = materialize(t)   # the boosting loop re-reads its input every iteration
+    path = scratch_path(spark, "model-" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
+    return MO.load_or_train(path, t.filter("is_train")), t
+
+
+@register("m01_train_validate")
+def q_train_validate(spark, sf_dir):
+    """M01 + M03: 200-tree GBT on the 80% split, MAE/RMSE on the rest (no SQL twin)."""
+    model, t = trained(spark, sf_dir)
+    return rounded(MO.regression_metrics(model.transform(t.filter(~F.col("is_train")))))
+
+
+@register("m02_scored_prices")
+def q_scored_prices(spark, sf_dir):
+    """M02 + P09: priced rows whose predicted_kwh comes from the trained model."""
+    model, _ = trained(spark, sf_dir)
+    p = PROFILE_B
+    t = tel(spark, sf_dir, p)
+    f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
+    scored = MO.score(model, f, out="_pred")
+    return rounded(PR.price_features(scored, t, predicted=F.col("_pred")))
