@@ -40,11 +40,14 @@ def history_lookup(tel: DataFrame, key: str = "station_id", ts: str = "event_tim
 def with_day_ahead(rows: DataFrame, lookup: DataFrame, rated: Column | float,
                    base: float = C.BASE_PRICE_CAD) -> DataFrame:
     rated = F.lit(float(rated)) if isinstance(rated, (int, float)) else rated
-    j = rows.join(lookup, on=["station_id", "hour_of_day", "day_of_week"], how="left")
-    mult = price_multiplier(F.col("hist_avg_kwh") / rated)
-    price = F.when(F.col("hist_avg_kwh").isNull(), F.round(F.lit(float(base)), 4)) \
-             .otherwise(F.round(F.lit(float(base)) * mult, 4))
-    return j.withColumn("day_ahead_price_cad", price).drop("hist_avg_kwh")
+    # price the lookup side (<= 168 rows per station) before the join, so the
+    # rated-power scalar is applied once per lookup row, not per priced row
+    priced = lookup.select("station_id", "hour_of_day", "day_of_week",
+                           F.round(F.lit(float(base)) * price_multiplier(F.col("hist_avg_kwh") / rated), 4)
+                            .alias("_da"))
+    j = rows.join(priced, on=["station_id", "hour_of_day", "day_of_week"], how="left")
+    price = F.coalesce(F.col("_da"), F.round(F.lit(float(base)), 4))
+    return j.withColumn("day_ahead_price_cad", price).drop("_da")
 
 
 # Session lock per station in window order.

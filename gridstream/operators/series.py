@@ -40,6 +40,22 @@ def max_rows_per_key(df: DataFrame, key: str) -> int:
     return int(row[0] or 0)
 
 
+_DECISIONS: dict = {}
+
+
+def needs_blocks(df: DataFrame, key: str, block_rows: int) -> bool:
+    """True when some key holds more than ``block_rows`` rows.
+
+    Two tiers: a plain count first (no key can exceed the total), the
+    per-key maximum only when the total is larger.  Decisions are remembered
+    per analysed plan for the session, like AQE's runtime statistics.
+    """
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, int(block_rows))
+    if memo not in _DECISIONS:
+        _DECISIONS[memo] = df.count() > block_rows and max_rows_per_key(df, key) > block_rows
+    return _DECISIONS[memo]
+
+
 def index_rows(df: DataFrame, key: str, order: Sequence, ts: str,
                slice_minutes: int = 60) -> DataFrame:
     """Add ``_idx``: 0-based position of each row within its key in ``order``.
@@ -68,7 +84,7 @@ def ordered_window(df: DataFrame, key: str, order: Sequence, compute: Compute, *
     only when some key has more than ``block_rows`` rows).
     """
     if mode == "auto":
-        mode = "blocked" if max_rows_per_key(df, key) > block_rows else "simple"
+        mode = "blocked" if needs_blocks(df, key, block_rows) else "simple"
     if mode == "simple":
         return compute(df, Window.partitionBy(key).orderBy(*_order_cols(order)))
 

@@ -122,9 +122,14 @@ from gridstream.functions.rules import alert_text, format_ts  # noqa: E402
 ARRIVAL_PAD_MS = PROFILE_B.window_minutes * 60000 + 30000
 
 
+def stored_priced(spark, sf_dir) -> DataFrame:
+    """Stage table: priced windows as stored (the inference rows)."""
+    from gridstream.plans.stages import stage
+    return stage(spark, sf_dir, "priced_B", lambda: priced_of(spark, sf_dir, PROFILE_B, keep_start=True))
+
+
 def messages_of(spark, sf_dir) -> DataFrame:
-    return SV.price_messages(priced_of(spark, sf_dir, PROFILE_B, keep_start=True),
-                             PROFILE_B.window_minutes)
+    return SV.price_messages(stored_priced(spark, sf_dir), PROFILE_B.window_minutes)
 
 
 def grid_of(priced) -> DataFrame:
@@ -165,24 +170,25 @@ def combined_out(df: DataFrame) -> DataFrame:
 
 @register("a01_station_alerts")
 def q_station_alerts(spark, sf_dir):
-    return rounded(AL.station_alerts(priced_of(spark, sf_dir)))
+    return rounded(AL.station_alerts(stored_priced(spark, sf_dir)).drop("window_start", "last_event_time",
+                                                                         "capacity_utilization_ratio"))
 
 
 @register("a02_grid_stress_latest")
 def q_grid_latest(spark, sf_dir):
-    g = AL.grid_stress_latest(priced_of(spark, sf_dir, keep_start=True), PROFILE_B.capacity)
+    g = AL.grid_stress_latest(stored_priced(spark, sf_dir), PROFILE_B.capacity)
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
 @register("a03_grid_stress")
 def q_grid(spark, sf_dir):
-    g = grid_of(priced_of(spark, sf_dir, keep_start=True))
+    g = grid_of(stored_priced(spark, sf_dir))
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
 @register("a04_regional_alerts")
 def q_regional(spark, sf_dir):
-    return rounded(AL.regional_alerts(grid_of(priced_of(spark, sf_dir, keep_start=True))))
+    return rounded(AL.regional_alerts(grid_of(stored_priced(spark, sf_dir))))
 
 
 @register("a05_alert_stream")
@@ -243,7 +249,7 @@ def q_status(spark, sf_dir):
 
 @register("d12_grid_trend")
 def q_grid_trend(spark, sf_dir):
-    g = SV.grid_trend(grid_of(priced_of(spark, sf_dir, keep_start=True)))
+    g = SV.grid_trend(grid_of(stored_priced(spark, sf_dir)))
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
@@ -296,10 +302,11 @@ def eval_long(spark, sf_dir) -> DataFrame:
     """The evaluation's long table, written once to the checkpoint folder
     (one row per station-window; every evaluation query reads it several
     times, including through scalar subqueries)."""
-    from gridstream.session import materialize
+    from gridstream.plans.stages import stage
     p = PROFILE_B
-    f = materialize(features_of(spark, sf_dir, p, keep_start=True))
-    return materialize(EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes)))
+    f = stage(spark, sf_dir, "features_B", lambda: features_of(spark, sf_dir, p, keep_start=True))
+    return stage(spark, sf_dir, "long_B",
+                 lambda: EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes)))
 
 
 def eval_parts(spark, sf_dir):
@@ -478,7 +485,7 @@ def q_upsert(spark, sf_dir):
 def q_insert_once(spark, sf_dir):
     """Grid rows inserted twice through the insert-once guard, read back."""
     path = SK.table_path(spark, f"grid-{uuid.uuid4().hex}")
-    g = grid_of(priced_of(spark, sf_dir, keep_start=True)).select(
+    g = grid_of(stored_priced(spark, sf_dir)).select(
         "time_bin", "stress_score", "station_count", "triggered_alert")
     SK.insert_once(g, path)
     SK.insert_once(g, path)
@@ -532,7 +539,8 @@ def trained(spark, sf_dir):
     p = PROFILE_B
     t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity))
     t = materialize(t)   # the boosting loop re-reads its input every iteration
-    path = scratch_path(spark, "model-" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
+    tag = f"{spark.sparkContext.applicationId}|{sf_dir}"
+    path = scratch_path(spark, "model-" + hashlib.sha1(tag.encode()).hexdigest()[:12])
     return MO.load_or_train(path, t.filter("is_train")), t
 
 

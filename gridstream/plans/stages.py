@@ -1,0 +1,29 @@
+"""Stage tables: derived tables written once per session and re-read.
+
+The reference hands data between stages through durable stores (features
+topic, inference_results table); downstream queries here do the same: the
+first query that needs a stage writes it under the shared checkpoint
+folder, later queries in the session read the parquet files.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gridstream.session import scratch_path
+
+_STAGES: dict = {}
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    app = spark.sparkContext.applicationId
+    memo = (app, sf_dir, name)
+    if memo not in _STAGES:
+        tag = hashlib.sha1(f"{app}|{sf_dir}|{name}".encode()).hexdigest()[:16]
+        path = scratch_path(spark, f"stage-{name}-{tag}")
+        build().write.mode("overwrite").parquet(path)
+        _STAGES[memo] = path
+    return spark.read.parquet(_STAGES[memo])

@@ -43,20 +43,36 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (tests, local runs) is a private folder created and set.
+    (tests, local runs) is a private folder created and set.  The folder is
+    set once: Spark adds a fresh sub-folder on every ``setCheckpointDir``.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = fallback or tempfile.mkdtemp(prefix="gridstream-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        if not base:
+            base = fallback or tempfile.mkdtemp(prefix="gridstream-ckpt-", dir="/tmp")
+            spark.conf.set("spark.checkpoint.dir", base) if _conf_settable(spark) else None
+        sc.setCheckpointDir(base)
+    return base or sc.getCheckpointDir()
+
+
+def _conf_settable(spark: SparkSession) -> bool:
+    try:
+        return spark.conf.isModifiable("spark.checkpoint.dir")
+    except Exception:   # noqa: BLE001
+        return False
+
+
+_BASES: dict = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    """A path under the shared checkpoint folder for written intermediate
+    tables (one stable base per session)."""
+    app = spark.sparkContext.applicationId
+    if app not in _BASES:
+        _BASES[app] = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{_BASES[app]}/gridstream-tables/{name}"
 
 
 def materialize(df, name: str | None = None):
