@@ -151,15 +151,18 @@ def training_table(tel: DataFrame, horizon: int = 1, window_minutes: int = C.WIN
 
 
 # reduced feature set built from a CUR series (evaluation forecaster):
-# variance = (0.1 * mean)^2, rate = diff (0 first), completeness 1, flag 0.
+# variance = (0.1 * mean)^2, rate = difference to window t-1 of the dense
+# series (a window without a row counts as 0; window 0 has rate 0),
+# completeness 1, flag 0.
 def reduced_features(series: DataFrame, key=("scenario_id", "station_id"), t: str = "t",
                      cur: str = "cur_obs", capacity: str = "capacity") -> DataFrame:
     w = Window.partitionBy(*key).orderBy(t)
     mean = F.col(cur) * F.col(capacity)
+    prev = F.when(F.lag(t, 1).over(w) == F.col(t) - 1, F.lag("mean_kwh", 1).over(w))
+    rate = F.when(F.col(t) == 0, F.lit(0.0)).otherwise(F.col("mean_kwh") - F.coalesce(prev, F.lit(0.0)))
     return (series.withColumn("mean_kwh", mean)
                   .withColumn("variance_kwh", F.pow(F.lit(0.1) * F.col("mean_kwh"), 2))
-                  .withColumn("rate_of_change",
-                              F.coalesce(F.col("mean_kwh") - F.lag("mean_kwh", 1).over(w), F.lit(0.0)))
+                  .withColumn("rate_of_change", rate)
                   .withColumn("capacity_utilization_ratio", F.col(cur))
                   .withColumn("data_completeness", F.lit(1.0))
                   .withColumn("anomaly_flag", F.lit(0)))

@@ -560,3 +560,11 @@ def q_scored_prices(spark, sf_dir):
     f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
     scored = MO.score(model, f, out="_pred")
     return rounded(PR.price_features(scored, t, predicted=F.col("_pred")))
+
+
+@register("f19_reduced_features")
+def q_reduced(spark, sf_dir):
+    """the evaluation forecaster's reduced feature set over the long table."""
+    r = FE.reduced_features(eval_long(spark, sf_dir))
+    return rounded(r.select("scenario_id", "t", "station_id", "mean_kwh", "variance_kwh", "rate_of_change",
+                            "capacity_utilization_ratio", "data_completeness", "anomaly_flag"))

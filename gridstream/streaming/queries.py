@@ -151,3 +151,14 @@ def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                                             F.count(F.lit(1)).cast("int").alias("station_count")))
     return g.select(format_ts("window_start").alias("time_bin"), "stress_score", "station_count",
                     (F.col("stress_score") > F.lit(float(threshold))).alias("triggered_alert"))
+
+
+# Rows dropped behind the watermark, read from the query's progress
+# (the reference drops them silently; here they are counted).
+def late_rows(query) -> int:
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total
