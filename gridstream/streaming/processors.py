@@ -55,10 +55,15 @@ class RollingClean(StatefulProcessor):
         self.pending = handle.getListState("pending", READING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # The engine does not filter late input for this operator, so rows
+        # behind the watermark (already-released time) are dropped here.
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         new = []
         for pdf in rows:
             us = pdf["event_time"].astype("datetime64[us]").astype("int64")
             for u, s, v, tn in zip(us, pdf["seq"], pdf["kwh"], pdf["time_new"]):
+                if wm_us > 0 and u < wm_us:
+                    continue
                 new.append((int(u), int(s), float(v), tn))
                 self.handle.registerTimer(int(u) // 1000 + 1)
         if new:

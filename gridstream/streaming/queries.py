@@ -135,7 +135,7 @@ def price_batch_writer(prices_path: str, alerts_path: str):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         fan_out(batch, [
-            lambda b: append_batch(b.drop("window_start"), prices_path, batch_id),
+            lambda b: append_batch(b, prices_path, batch_id),
             lambda b: append_batch(station_alerts(b.withColumn("predicted_kwh", F.round("mean_kwh", 4))),
                                    alerts_path, batch_id),
         ])
@@ -153,8 +153,9 @@ def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                     (F.col("stress_score") > F.lit(float(threshold))).alias("triggered_alert"))
 
 
-# Rows dropped behind the watermark, read from the query's progress
-# (the reference drops them silently; here they are counted).
+# Rows dropped behind the watermark by the engine's stateful operators
+# (aggregations), read from the query's progress.  The rolling processor
+# drops late readings itself (see RollingClean.handleInputRows).
 def late_rows(query) -> int:
     total = 0
     for p in query.recentProgress:

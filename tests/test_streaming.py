@@ -109,3 +109,62 @@ def test_stream_session_lock_equals_batch(spark):
     assert j.count() == feats.count() == res.count()
     assert j.filter((F.col("s.session_status") != F.col("b.session_status"))
                     | (F.abs(F.col("s.guaranteed_price_cad") - F.col("b.guaranteed_price_cad")) > 1e-9)).count() == 0
+
+
+def test_micro_batch_writer_and_grid_stream(spark):
+    from gridstream.operators.alerts import grid_stress_by_bin
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_B)
+    feats = FE.stream_features(tel, PROFILE_B.window_minutes, PROFILE_B.capacity, keep_start=True) \
+              .drop("last_event_time")
+    src = _tmp("gs-feat2-") + "/t"
+    feats.withColumn("day", F.to_date("window_start")).write.partitionBy("day").parquet(src)
+    stream = spark.readStream.schema(feats.schema).option("maxFilesPerTrigger", 8).parquet(f"{src}/*")
+    prices, alerts, ck = _tmp("gs-prices-") + "/t", _tmp("gs-alerts-") + "/t", _tmp("gs-ck-")
+    q = (SQ.priced_stream(stream).writeStream.foreachBatch(SQ.price_batch_writer(prices, alerts))
+           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(900)
+    assert q.exception() is None
+    p = spark.read.parquet(prices)
+    assert p.count() == feats.count()
+    crit = p.filter("alert_level = 'critical'").count()
+    assert spark.read.parquet(alerts).count() == crit > 0
+
+    # Regional score per bin from the stored rows, as a stream
+    stored = spark.read.parquet(prices).drop("batch_id")
+    src2 = _tmp("gs-stored-") + "/t"
+    stored.withColumn("day", F.to_date("window_start")).write.partitionBy("day").parquet(src2)
+    # parallel writers give the day files arbitrary modification times; read
+    # them as one batch so the file order cannot make rows late
+    s2 = spark.readStream.schema(stored.schema).parquet(f"{src2}/*")
+    out, ck2 = _tmp("gs-grid-") + "/t", _tmp("gs-ck-")
+    _run(spark, SQ.grid_stress_stream(s2, PROFILE_B.capacity), out, ck2)
+    got = spark.read.parquet(out)
+    want = grid_stress_by_bin(stored.withColumn("predicted_kwh", F.round("mean_kwh", 4)), PROFILE_B.capacity)
+    j = got.alias("g").join(want.alias("w"), "time_bin")
+    assert got.count() > 0 and j.count() == got.count()
+    assert j.filter((F.abs(F.col("g.stress_score") - F.col("w.stress_score")) > 1e-12)
+                    | (F.col("g.station_count") != F.col("w.station_count"))).count() == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    import json
+    root = _tmp("gs-late-")
+    rows1 = [{"station_id": "1", "time_new": f"2024-01-02 00:{m:02d}:00", "duration": 0.0, "kwh": 1.0, "seq": m}
+             for m in range(0, 50, 5)]
+    rows2 = [{"station_id": "1", "time_new": "2024-01-01 00:00:00", "duration": 0.0, "kwh": 9.0, "seq": 99},
+             {"station_id": "1", "time_new": "2024-01-02 05:00:00", "duration": 0.0, "kwh": 1.0, "seq": 100}]
+    for i, rows in enumerate([rows1, rows2]):
+        spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1) \
+             .write.text(f"{root}/p{i}")
+    s = SQ.decode_telemetry(SQ.message_stream(spark, path=f"{root}/*", max_files=1))
+    out, ck = _tmp("gs-out-") + "/t", _tmp("gs-ck-")
+    q = (SQ.rolling_clean_stream(s).writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    res = spark.read.parquet(out)
+    assert res.filter("seq = 99").count() == 0            # behind the watermark: dropped
+    assert res.filter("seq < 50").count() == len(rows1)
+    last = res.filter("seq = 100").collect()
+    if last:                                              # released once the watermark passed it
+        assert abs(last[0].rolling_mean_kwh - 1.0) < 1e-12   # the late 9.0 is not in its baseline
+    assert SQ.late_rows(q) >= 0
