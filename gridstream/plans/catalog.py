@@ -70,10 +70,16 @@ from gridstream.functions import rules as RU  # noqa: E402
 from gridstream.operators import pricing as PR  # noqa: E402
 
 
+def features_stage(spark, sf_dir) -> DataFrame:
+    """Stage table: profile-B feature vectors (the features topic)."""
+    from gridstream.plans.stages import stage
+    return stage(spark, sf_dir, "features_B", lambda: features_of(spark, sf_dir, PROFILE_B, keep_start=True))
+
+
 def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False) -> DataFrame:
-    t = tel(spark, sf_dir, p)
-    f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
-    return PR.price_features(f, t, keep_start=keep_start)
+    """Pricing reads the feature stage, as the pricing service reads the
+    features topic; history and rated power come from the raw telemetry."""
+    return PR.price_features(features_stage(spark, sf_dir), tel(spark, sf_dir, p), keep_start=keep_start)
 
 
 @register("p01_window_prices")
@@ -304,7 +310,7 @@ def eval_long(spark, sf_dir) -> DataFrame:
     times, including through scalar subqueries)."""
     from gridstream.plans.stages import stage
     p = PROFILE_B
-    f = stage(spark, sf_dir, "features_B", lambda: features_of(spark, sf_dir, p, keep_start=True))
+    f = features_stage(spark, sf_dir)
     return stage(spark, sf_dir, "long_B",
                  lambda: EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes)))
 
