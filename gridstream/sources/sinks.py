@@ -62,14 +62,22 @@ def append_batch(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet
           .partitionBy("batch_id").format(fmt).save(path))
 
 
-# Surrogate id = max existing id + position within the batch, and a
-# created_at default.  The batch is one micro-batch (bounded), so its
-# ordered numbering is a small sort.
-def with_ids(batch: DataFrame, existing: DataFrame | None, order=("time_bin", "station_id")) -> DataFrame:
+# Surrogate id = max existing id + a dense position, and a created_at
+# default.  Positions come from per-partition offsets (row counts per input
+# partition, running sum over that one-row-per-partition table) plus the
+# row number inside the partition, so no single task numbers the batch.
+# The reference promises no order among rows of one insert batch.
+def with_ids(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     base = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar() if existing is not None else F.lit(0)
-    w = Window.orderBy(*order)
-    return (batch.withColumn("id", (base + F.row_number().over(w)).cast("long"))
-                 .withColumn("created_at", F.current_timestamp()))
+    d = batch.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_pid").orderBy("_mid")
+    return (d.join(F.broadcast(offsets), "_pid")      # one row per input partition
+             .withColumn("id", (base + F.col("_off") + F.row_number().over(within)).cast("long"))
+             .withColumn("created_at", F.current_timestamp())
+             .drop("_pid", "_mid", "_off"))
 
 
 # Insert-once guard: bins already stored are not inserted again.

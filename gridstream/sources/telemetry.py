@@ -89,9 +89,17 @@ PROFILE_B = Profile("B", None, 15, 100.0)   # sparse: one station per user, 15 m
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """Timestamps are zone-less wall-clock values: bins, hours and text
+    forms are only stable with a UTC session zone."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def telemetry_view(events: DataFrame, profile: Profile = PROFILE_A) -> DataFrame:
     """events -> (station_id, time_new, duration, kwh, event_time, seq).
 

@@ -44,3 +44,15 @@ def test_auto_mode_picks_blocked_for_hot_key(spark):
     simple = _rows(FE.rolling_stats(tel, mode="simple"), cols)
     assert [x[0] for x in auto] == [x[0] for x in simple]
     assert max(abs(x[1] - y[1]) for x, y in zip(auto, simple)) < 1e-9
+
+
+def test_blocked_feature_chain_equals_simple(spark):
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
+    cols = ["station_id", "time_bin", "mean_kwh", "variance_kwh", "rate_of_change", "anomaly_flag",
+            "data_completeness"]
+    a = _rows(FE.stream_features(tel, 360, 45.0, mode="simple"), cols)
+    b = _rows(FE.stream_features(tel, 360, 45.0, mode="blocked", block_rows=23), cols)
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x[:2] == y[:2] and x[5] == y[5]
+        assert all(abs(u - v) < 1e-9 for u, v in zip(x[2:5] + x[6:], y[2:5] + y[6:]))

@@ -99,6 +99,9 @@ def test_append_batch_replay_and_ids(spark):
     existing = spark.createDataFrame([(10,)], "id long")
     ids = sorted(r.id for r in SK.with_ids(b, existing).collect())
     assert ids == [11, 12]
+    many = spark.range(1000).repartition(7).withColumn("station_id", F.col("id").cast("string")).drop("id")
+    ids = sorted(r.id for r in SK.with_ids(many, existing).collect())
+    assert ids == list(range(11, 1011))
 
 
 def test_schema_evolution_and_export(spark):
