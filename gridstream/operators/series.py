@@ -23,6 +23,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridstream import config as C
 from gridstream.functions.rules import bin_start
@@ -93,16 +94,22 @@ def ordered_window(df: DataFrame, key: str, order: Sequence, compute: Compute, *
         raise ValueError("blocked mode needs a timestamp column to slice on")
     idx = index_rows(df, key, order, ts, slice_minutes)
     b = F.lit(int(block_rows))
-    blk = F.floor(F.col("_idx") / b)
-    pos = F.pmod(F.col("_idx"), b)
-    targets = [F.struct(blk.alias("b"), F.lit(False).alias("h"))]
-    if halo_before:
-        targets.append(F.when(pos >= b - F.lit(int(halo_before)),
-                              F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))))
-    if halo_after:
-        targets.append(F.when((pos < F.lit(int(halo_after))) & (blk > 0),
-                              F.struct((blk - 1).alias("b"), F.lit(True).alias("h"))))
-    spread = (idx.withColumn("_t", F.explode(F.filter(F.array(*targets), lambda x: x.isNotNull())))
+    i = F.col("_idx")
+    blk = F.floor(i / b)
+    tgt = T.ArrayType(T.StructType([T.StructField("b", T.LongType()), T.StructField("h", T.BooleanType())]))
+    none = F.array().cast(tgt)
+
+    def copies(lo, hi):   # halo copies into blocks lo..hi (empty when hi < lo)
+        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda x: F.struct(
+            x.cast("long").alias("b"), F.lit(True).alias("h")))).otherwise(none)
+
+    # row i is read by the frames of rows i+1..i+before and i-after..i-1,
+    # which may lie several blocks away when a block is shorter than a frame
+    targets = F.concat(F.array(F.struct(blk.cast("long").alias("b"), F.lit(False).alias("h"))),
+                       copies(blk + 1, F.floor((i + F.lit(int(halo_before))) / b)) if halo_before else none,
+                       copies(F.greatest(F.floor((i - F.lit(int(halo_after))) / b), F.lit(0)), blk - 1)
+                       if halo_after else none)
+    spread = (idx.withColumn("_t", F.explode(targets))
                  .withColumn("_blk", F.col("_t.b")).withColumn("_halo", F.col("_t.h")).drop("_t"))
     w = Window.partitionBy(key, "_blk").orderBy("_idx")
     return compute(spread, w).filter(~F.col("_halo")).drop("_idx", "_blk", "_halo")
