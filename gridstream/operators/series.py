@@ -81,13 +81,25 @@ def ordered_window(df: DataFrame, key: str, order: Sequence, compute: Compute, *
 
     ``compute`` must only use row frames reaching at most ``halo_before``
     rows back and ``halo_after`` rows forward.  ``mode``: ``"simple"`` (one
-    partition per key), ``"blocked"`` (always split) or ``"auto"`` (split
-    only when some key has more than ``block_rows`` rows).
+    partition per key), ``"blocked"`` (always split) or ``"auto"`` (keys
+    with more than ``block_rows`` rows are split, the rest stay simple).
     """
+    simple_w = Window.partitionBy(key).orderBy(*_order_cols(order))
     if mode == "auto":
-        mode = "blocked" if needs_blocks(df, key, block_rows) else "simple"
+        if not needs_blocks(df, key, block_rows):
+            return compute(df, simple_w)
+        # only the hot keys pay for numbering and blocks; the others keep the
+        # one-shuffle plan.  The hot-key table has at most rows/block_rows
+        # entries; its join strategy is left to AQE.
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.filter(F.col("_n") > F.lit(int(block_rows))).select(key)
+        cold = compute(df.join(hot, key, "left_anti"), simple_w)
+        heavy = ordered_window(df.join(hot, key, "left_semi"), key, order, compute, ts=ts,
+                               halo_before=halo_before, halo_after=halo_after, block_rows=block_rows,
+                               mode="blocked", slice_minutes=slice_minutes)
+        return cold.unionByName(heavy)
     if mode == "simple":
-        return compute(df, Window.partitionBy(key).orderBy(*_order_cols(order)))
+        return compute(df, simple_w)
 
     ts = ts or (order[0] if isinstance(order[0], str) else None)
     if ts is None:

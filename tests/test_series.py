@@ -57,3 +57,20 @@ def test_blocked_feature_chain_equals_simple(spark):
     for x, y in zip(a, b):
         assert x[:2] == y[:2] and x[5] == y[5]
         assert all(abs(u - v) < 1e-9 for u, v in zip(x[2:5] + x[6:], y[2:5] + y[6:]))
+
+
+def test_auto_mode_splits_only_hot_keys(spark):
+    from gridstream.sources.telemetry import PROFILE_B
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_B)
+    # one artificial hot station: every reading of user ids < 40 re-keyed to "hot"
+    skew = tel.withColumn("station_id", F.when(F.col("station_id").cast("int") < 40, F.lit("hot"))
+                          .otherwise(F.col("station_id")))
+    n_hot = skew.filter("station_id = 'hot'").count()
+    assert n_hot > 60
+    cols = ["station_id", "seq", "rolling_mean_kwh", "rolling_std_kwh"]
+    a = _rows(FE.rolling_stats(skew, mode="simple"), cols)
+    b = _rows(FE.rolling_stats(skew, mode="auto", block_rows=60), cols)
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x[:2] == y[:2]
+        assert abs(x[2] - y[2]) < 1e-9 and abs((x[3] or 0) - (y[3] or 0)) < 1e-9
