@@ -24,7 +24,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     read as NULL in the new ones)."""
     if not _exists(spark, path):
         return None
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except Exception as e:      # noqa: BLE001 - a folder without data files yet
+        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e):
+            return None
+        raise
 
 
 # Upsert keyed (station_id, time_bin); last write wins.  Partitioned by
@@ -34,6 +39,8 @@ def upsert(batch: DataFrame, path: str, keys=("station_id", "time_bin"), order:
            day_col: str = "dt", ts_col: str = "time_bin") -> None:
     spark = batch.sparkSession
     keys = list(keys)
+    if batch.isEmpty():
+        return
     if order:   # several versions of a key in one batch: keep the newest
         w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
         batch = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -168,3 +168,37 @@ def test_late_rows_are_dropped_and_counted(spark):
     if last:                                              # released once the watermark passed it
         assert abs(last[0].rolling_mean_kwh - 1.0) < 1e-12   # the late 9.0 is not in its baseline
     assert SQ.late_rows(q) >= 0
+
+
+def test_feature_job_upsert_and_data_quality(spark, source_parts):
+    from gridstream.streaming.jobs import start_feature_job
+    root, _ = source_parts
+    feats_path, dq_path, ck = _tmp("gs-ft-") + "/t", _tmp("gs-dq-") + "/t", _tmp("gs-ck-")
+    qs = start_feature_job(spark, f"{root}/*", feats_path, dq_path, ck, PROFILE_A.window_minutes,
+                           PROFILE_A.capacity, trigger={"availableNow": True}, max_files=2)
+    for q in qs:
+        q.awaitTermination(900)
+        assert q.exception() is None
+    res = spark.read.parquet(feats_path).drop("dt")
+    assert res.select("station_id", "time_bin").distinct().count() == res.count()
+    _compare(res, _batch_features(spark))
+    dq = spark.read.parquet(dq_path)
+    batch_dq = FE.data_quality_rows(FE.clean_readings(load_telemetry(spark, SF_SMALL, PROFILE_A)))
+    assert dq.join(batch_dq, ["station_id", "time_new"]).count() == dq.count() > 0
+
+
+def test_pricing_job_chain(spark, source_parts):
+    from gridstream.streaming.jobs import start_pricing_job
+    root, _ = source_parts
+    prices, alerts, ck = _tmp("gs-pr-") + "/t", _tmp("gs-al-") + "/t", _tmp("gs-ck-")
+    q = start_pricing_job(spark, f"{root}/*", prices, alerts, ck, PROFILE_A.window_minutes, PROFILE_A.capacity,
+                          trigger={"availableNow": True}, max_files=1)
+    q.awaitTermination(900)
+    assert q.exception() is None
+    p = spark.read.parquet(prices)
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
+    batch = PR.price_features(FE.stream_features(tel, PROFILE_A.window_minutes, PROFILE_A.capacity,
+                                                 keep_start=True), tel, keep_start=True)
+    j = p.alias("s").join(batch.alias("b"), ["station_id", "time_bin"])
+    assert j.count() == p.count() > 0.95 * batch.count()
+    assert j.filter(F.col("s.session_status") != F.col("b.session_status")).count() == 0
