@@ -14,10 +14,22 @@ from gridstream import config as C
 __all__ = [
     "col_", "three_sigma_flag", "corrected_value", "bin_start", "hour_of", "weekday_of",
     "format_ts", "utilisation", "price_multiplier", "alert_level", "dynamic_price",
-    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts", "round_half_away",
+    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts", "round_half_away", "snap",
 ]
 
 
+def snap(c, places: int = 9) -> Column:
+    """Value on a 1e-9 grid for threshold tests.
+
+    Averages of decimal data land exactly on thresholds (0.35, 0.8) and the
+    last bit then depends on summation order, which varies with
+    partitioning.  Comparing snapped values makes such ties compare equal,
+    run after run and in SQL alike (ROUND(x * 1e9) / 1e9).
+    """
+    m = float(10 ** places)
+    return F.round(col_(c) * F.lit(m), 0) / F.lit(m)
+
+
 def round_half_away(c, places: int = 6) -> Column:
     """round(x' * 10^p) / 10^p with x' = x nudged up by 1e-10 |x| + 1e-12.
 
@@ -41,7 +53,7 @@ def three_sigma_flag(kwh="kwh", mean="rolling_mean_kwh", std="rolling_std_kwh",
                      k: float = C.SIGMA_K) -> Column:
     kwh, mean, std = col_(kwh), col_(mean), col_(std)
     hit = (mean.isNotNull() & std.isNotNull() & (std > 0)
-           & (F.abs(kwh - mean) > F.lit(k) * std))
+           & (snap(F.abs(kwh - mean)) > snap(F.lit(k) * std)))
     return F.when(hit, F.lit(1)).otherwise(F.lit(0))
 
 
@@ -90,8 +102,8 @@ def price_multiplier(cur="capacity_utilization_ratio", warning: float = C.WARNIN
                      top: float = C.CRITICAL_MULTIPLIER) -> Column:
     cur = col_(cur)
     span = F.lit(float(critical) - float(warning))
-    return (F.when(cur < F.lit(float(warning)), F.lit(1.0))
-             .when(cur <= F.lit(float(critical)),
+    return (F.when(snap(cur) < F.lit(float(warning)), F.lit(1.0))
+             .when(snap(cur) <= F.lit(float(critical)),
                    F.lit(1.0) + (cur - F.lit(float(warning))) / span * F.lit(1.0))
              .otherwise(F.lit(float(top))))
 
@@ -99,7 +111,7 @@ def price_multiplier(cur="capacity_utilization_ratio", warning: float = C.WARNIN
 # >= 0.9 critical, >= 0.7 warning, else normal.
 def alert_level(cur="capacity_utilization_ratio", warning: float = C.WARNING_CUR,
                 critical: float = C.CRITICAL_CUR) -> Column:
-    cur = col_(cur)
+    cur = snap(cur)
     return (F.when(cur >= F.lit(float(critical)), F.lit("critical"))
              .when(cur >= F.lit(float(warning)), F.lit("warning"))
              .otherwise(F.lit("normal")))
@@ -118,7 +130,7 @@ def locked_price(dynamic="dynamic_price_cad", premium: float = C.GUARANTEE_PREMI
 # Dashboard band for the regional score.
 def stress_band(score="stress_score", trigger: float = C.GRID_THRESHOLD,
                 warning: float = C.GRID_WARNING) -> Column:
-    s = col_(score)
+    s = snap(score)
     return (F.when(s > F.lit(float(trigger)), F.lit("triggered"))
              .when(s > F.lit(float(warning)), F.lit("warning"))
              .otherwise(F.lit("normal")))

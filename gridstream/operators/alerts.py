@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstream import config as C
-from gridstream.functions.rules import format_ts
+from gridstream.functions.rules import format_ts, snap
 
 STATION_ALERT_COLS = ["type", "station_id", "time_bin", "alert_level", "predicted_kwh",
                       "price_multiplier", "dynamic_price_cad", "guaranteed_price_cad"]
@@ -31,7 +31,7 @@ def grid_stress_by_bin(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                .agg(F.avg(cur).alias("stress_score"),
                     F.count(F.lit(1)).cast("int").alias("station_count")))
     return (g.filter(F.col("station_count") > 0)
-             .withColumn("triggered_alert", F.col("stress_score") > F.lit(float(threshold)))
+             .withColumn("triggered_alert", snap("stress_score") > F.lit(float(threshold)))
              .withColumnRenamed(bin_col, "time_bin_ts")
              .withColumn("time_bin", format_ts("time_bin_ts")))
 

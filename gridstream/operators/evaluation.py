@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridstream import config as C
-from gridstream.functions.rules import round_half_away
+from gridstream.functions.rules import round_half_away, snap
 from gridstream.session import materialize
 
 STAT_COLS = {
@@ -82,7 +82,7 @@ def window_grid(long: DataFrame, T: Column | int, l_true: float = C.L_TRUE,
                 .withColumn("t", F.explode(F.sequence(F.lit(0), T - F.lit(1)))))
     g = grid.join(stats, on=[*part, "t"], how="left").fillna(
         0.0, subset=["agg_current", "agg_forecast", "ind_current", "ind_forecast", "region_u"])
-    return g.withColumn("overload", F.col("region_u") >= F.lit(float(l_true)))
+    return g.withColumn("overload", snap("region_u") >= F.lit(float(l_true)))
 
 
 def held_out_lo(T: Column | int, fraction: float = C.TRAIN_FRACTION) -> Column:
@@ -117,7 +117,7 @@ def alarms(grid: DataFrame, lo: Column, detectors=C.DETECTORS, thr: list[float]
                 .select(*part, "t", "overload", stack.alias("_d"))
                 .select(*part, "t", "overload", "_d.detector", "_d.stat")
                 .withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thr])))
-                .withColumn("alarm", F.col("stat") > F.col("threshold")))
+                .withColumn("alarm", snap("stat") > F.col("threshold")))
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -261,7 +261,7 @@ def raw_trace_summary(windows: DataFrame, capacity: float = C.CAPACITY_KWH,
     return per_bin.agg(
         stations.alias("stations"), F.count(F.lit(1)).alias("windows"),
         F.avg("_g").alias("mean_stress"), F.max("_g").alias("max_stress"),
-        F.count_if(F.col("_g") > F.lit(float(threshold))).alias("windows_above"))
+        F.count_if(snap("_g") > F.lit(float(threshold))).alias("windows_above"))
 
 
 # Normalised hour-of-day shape: mean by station-window, then by hour;

@@ -8,6 +8,7 @@ resumes where it stopped.
 
 from __future__ import annotations
 
+import math
 from typing import Iterator
 
 import numpy as np
@@ -31,6 +32,11 @@ ROLLED = T.StructType([
 ])
 
 
+def snap(x: float) -> float:
+    """Same 1e-9 grid as rules.snap (round half away from zero)."""
+    return math.copysign(math.floor(abs(x) * 1e9 + 0.5), x) / 1e9
+
+
 def _to_ts(us: pd.Series) -> pd.Series:
     return pd.to_datetime(us.astype("int64"), unit="us")
 
@@ -87,7 +93,7 @@ class RollingClean(StatefulProcessor):
             vals.append(v)
             win = np.asarray(vals[-(self.rows + 1):])
             mean, std = float(win.mean()), float(win.std())
-            flag = int(std > 0 and abs(v - mean) > self.k * std)
+            flag = int(std > 0 and snap(abs(v - mean)) > snap(self.k * std))
             out.append((key[0], u, tn, s, v, mean, std, flag, v, mean if flag else v))
         keep = (hist + ready)[-self.rows:]
         self.recent.clear()

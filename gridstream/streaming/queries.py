@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from gridstream import config as C
 from gridstream import schemas as SC
 from gridstream.functions.rules import (alert_level, dynamic_price, format_ts, hour_of, parse_ts,
-                                        price_multiplier, utilisation, weekday_of)
+                                        price_multiplier, snap, utilisation, weekday_of)
 from gridstream.streaming.processors import ROLLED, PreviousWindow, RollingClean, SessionLock
 
 TELEMETRY_ROW = T.StructType([
@@ -150,7 +150,7 @@ def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                .groupBy("window_start").agg(F.avg(cur).alias("stress_score"),
                                             F.count(F.lit(1)).cast("int").alias("station_count")))
     return g.select(format_ts("window_start").alias("time_bin"), "stress_score", "station_count",
-                    (F.col("stress_score") > F.lit(float(threshold))).alias("triggered_alert"))
+                    (snap("stress_score") > F.lit(float(threshold))).alias("triggered_alert"))
 
 
 # Rows dropped behind the watermark by the engine's stateful operators
