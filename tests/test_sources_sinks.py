@@ -134,3 +134,11 @@ def test_station_cap_and_replay_offsets(spark):
     assert off.agg(F.max("offset_s")).collect()[0][0] == 0.0
     off = TL.replay_offsets(tel, 60.0).groupBy("station_id").agg(F.min("offset_s").alias("m"))
     assert off.agg(F.max("m")).collect()[0][0] == 0.0
+
+
+def test_cap_rows_large_n_matches_topk(spark, monkeypatch):
+    tel = TL.load_telemetry(spark, SF_SMALL, TL.PROFILE_B)
+    want = sorted(r.seq for r in TL.cap_rows(tel, 537).collect())
+    monkeypatch.setattr(TL, "TOPK_MAX", 10)          # force the slice-count path
+    got = sorted(r.seq for r in TL.cap_rows(tel, 537).collect())
+    assert got == want and len(got) == 537
