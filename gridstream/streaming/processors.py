@@ -45,8 +45,9 @@ class RollingClean(StatefulProcessor):
     """W03 + F03/F04: ROWS n PRECEDING..CURRENT mean / population std per
     station in event-time order, then the 3-sigma flag and correction.
 
-    Rows are buffered until the watermark passes them (event-time timer per
-    reading), then released in (time, seq) order against the last n values,
+    Rows are buffered until the watermark passes them (one event-time timer
+    per station, at the earliest buffered reading, re-armed after each
+    release), then released in (time, seq) order against the last n values,
     so out-of-order input inside the watermark gives the batch result; rows
     behind the watermark are dropped by the engine, as the reference's OVER
     drops late rows.
@@ -59,6 +60,17 @@ class RollingClean(StatefulProcessor):
         self.handle = handle
         self.recent = handle.getListState("recent", READING)
         self.pending = handle.getListState("pending", READING)
+        # the one registered timer (ms): the earliest unreleased reading + 1
+        self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
+
+    def _arm(self, earliest_us: int) -> None:
+        at = earliest_us // 1000 + 1
+        cur = self.timer.get()[0] if self.timer.exists() else None
+        if cur is None or at < cur:
+            if cur is not None:
+                self.handle.deleteTimer(cur)
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # The engine does not filter late input for this operator, so rows
@@ -71,18 +83,21 @@ class RollingClean(StatefulProcessor):
                 if wm_us > 0 and u < wm_us:
                     continue
                 new.append((int(u), int(s), float(v), tn))
-                self.handle.registerTimer(int(u) // 1000 + 1)
         if new:
             self.pending.appendList(new)
+            self._arm(min(n[0] for n in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        self.timer.clear()
         pend = list(self.pending.get()) if self.pending.exists() else []
         ready = sorted(p for p in pend if p[0] < wm_us)
+        rest = [p for p in pend if p[0] >= wm_us]
+        if rest:
+            self._arm(min(p[0] for p in rest))
         if not ready:
             return iter([])
-        rest = [p for p in pend if p[0] >= wm_us]
         self.pending.clear()
         if rest:
             self.pending.put(rest)
