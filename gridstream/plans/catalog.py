@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridstream import schemas as SC
+from gridstream.functions import rules as RU
+from gridstream.functions.rules import alert_text, format_ts
+from gridstream.operators import alerts as AL
+from gridstream.operators import evaluation as EV
 from gridstream.operators import features as FE
+from gridstream.operators import model as MO
+from gridstream.operators import pricing as PR
+from gridstream.operators import serving as SV
 from gridstream.plans.common import rounded
+from gridstream.sources import messages as MS
+from gridstream.sources import sinks as SK
+from gridstream.sources import telemetry as TL
 from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, Profile, load_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +54,6 @@ def q_rolling(spark, sf_dir):
 def q_windows(spark, sf_dir):
     p = PROFILE_A
     wf = FE.window_features(FE.clean_readings(tel(spark, sf_dir, p)), p.window_minutes, p.capacity)
-    from gridstream.functions.rules import format_ts
     return rounded(wf.select("station_id", format_ts("window_start").alias("time_bin"), "mean_kwh",
                              "variance_kwh", "anomaly_flag", "data_completeness"))
 
@@ -64,10 +76,6 @@ def q_features_b(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Pricing
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from gridstream.functions import rules as RU  # noqa: E402
-from gridstream.operators import pricing as PR  # noqa: E402
 
 
 def features_stage(spark, sf_dir) -> DataFrame:
@@ -121,9 +129,6 @@ def q_priced(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Alerts and dashboard (profile B)
 # ---------------------------------------------------------------------------
-from gridstream.operators import alerts as AL  # noqa: E402
-from gridstream.operators import serving as SV  # noqa: E402
-from gridstream.functions.rules import alert_text, format_ts  # noqa: E402
 
 ARRIVAL_PAD_MS = PROFILE_B.window_minutes * 60000 + 30000
 
@@ -298,7 +303,6 @@ def q_alert_feed(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Detector evaluation (profile B)
 # ---------------------------------------------------------------------------
-from gridstream.operators import evaluation as EV  # noqa: E402
 
 N_SWEEP = [4, 8, 16, 32, 64]
 P_SWEEP = [1.0, 0.85, 0.7, 0.55, 0.4]
@@ -412,12 +416,7 @@ def q_forecast_alignment(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Sources, messages and sinks
 # ---------------------------------------------------------------------------
-import uuid  # noqa: E402
 
-from gridstream import schemas as SC  # noqa: E402
-from gridstream.sources import messages as MS  # noqa: E402
-from gridstream.sources import sinks as SK  # noqa: E402
-from gridstream.sources import telemetry as TL  # noqa: E402
 
 TEL_OUT = ["station_id", "time_new", "duration", "kwh"]
 STATION_CAP = 100
@@ -501,7 +500,6 @@ def q_insert_once(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Offline features and the forecaster (profile B)
 # ---------------------------------------------------------------------------
-from gridstream.operators import model as MO  # noqa: E402
 
 
 def offline_of(spark, sf_dir) -> DataFrame:
