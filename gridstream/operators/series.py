@@ -51,12 +51,31 @@ def needs_blocks(df: DataFrame, key: str, block_rows: int) -> bool:
     per-key maximum only when the total is larger.  Decisions are remembered
     per analysed plan for the session, like AQE's runtime statistics.
     """
+    return key_stats(df, key, block_rows)[0]
+
+
+def key_stats(df: DataFrame, key: str, block_rows: int) -> tuple[bool, int]:
+    """(some key exceeds block_rows, rows of the largest key or 0 if unknown)."""
     memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, int(block_rows))
     if memo not in _DECISIONS:
-        _DECISIONS[memo] = df.count() > block_rows and max_rows_per_key(df, key) > block_rows
+        if df.count() <= block_rows:
+            _DECISIONS[memo] = (False, 0)
+        else:
+            m = max_rows_per_key(df, key)
+            _DECISIONS[memo] = (m > block_rows, m)
     return _DECISIONS[memo]
 
 
+def slice_for(df: DataFrame, ts: str, max_rows: int, block_rows: int, cap: int = 60) -> int:
+    """Time-slice width (minutes) giving the largest key about block_rows / 8
+    rows per slice when its readings are spread over the observed span."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None or max_rows <= 0:
+        return cap
+    span = max(1.0, (hi - lo).total_seconds() / 60.0)
+    return int(min(cap, max(1, span * block_rows / (8.0 * max_rows))))
+
+
 def index_rows(df: DataFrame, key: str, order: Sequence, ts: str,
                slice_minutes: int = 60) -> DataFrame:
     """Add ``_idx``: 0-based position of each row within its key in ``order``.
@@ -86,8 +105,10 @@ def ordered_window(df: DataFrame, key: str, order: Sequence, compute: Compute, *
     """
     simple_w = Window.partitionBy(key).orderBy(*_order_cols(order))
     if mode == "auto":
-        if not needs_blocks(df, key, block_rows):
+        hot_any, max_rows = key_stats(df, key, block_rows)
+        if not hot_any:
             return compute(df, simple_w)
+        slice_minutes = min(slice_minutes, slice_for(df, ts or order[0], max_rows, block_rows))
         # only the hot keys pay for numbering and blocks; the others keep the
         # one-shuffle plan.  The hot-key table has at most rows/block_rows
         # entries; its join strategy is left to AQE.
