@@ -527,7 +527,7 @@ def q_training(spark, sf_dir):
 @register("f18_split")
 def q_split(spark, sf_dir):
     p = PROFILE_B
-    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity))
+    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity), mode="row_rank")
     return t.select("station_id", format_ts("window_start").alias("time_bin"), "is_train")
 
 
@@ -541,7 +541,7 @@ def trained(spark, sf_dir):
     import hashlib
     from gridstream.session import materialize, scratch_path
     p = PROFILE_B
-    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity))
+    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity), mode="row_rank")
     t = materialize(t)   # the boosting loop re-reads its input every iteration
     tag = f"{spark.sparkContext.applicationId}|{sf_dir}"
     path = scratch_path(spark, "model-" + hashlib.sha1(tag.encode()).hexdigest()[:12])

@@ -16,7 +16,7 @@ def _table(spark):
 
 
 def test_split_row_rank_matches_sorted_cut(spark):
-    t = MO.split(_table(spark))
+    t = MO.split(_table(spark), mode="row_rank")
     rows = sorted((r.station_id, r.window_start, r.is_train) for r in t.collect())
     cut = int(len(rows) * 0.8)
     assert [r[2] for r in rows] == [True] * cut + [False] * (len(rows) - cut)
