@@ -85,10 +85,15 @@ PRICE_OUT = ["station_id", "time_bin", "predicted_kwh", "price_multiplier", "bas
 # Complete priced row from a feature vector.  ``predicted`` is the
 # prediction column (M02 output); the default is the persistence forecast
 # (this window's mean), which SQL can check.
-def price_features(features: DataFrame, history: DataFrame, predicted: Column | None = None,
+def price_features(features: DataFrame, history: DataFrame | None, predicted: Column | None = None,
                    base: float = C.BASE_PRICE_CAD, premium: float = C.GUARANTEE_PREMIUM,
-                   rated: Column | float | None = None, keep_start: bool = False) -> DataFrame:
+                   rated: Column | float | None = None, keep_start: bool = False,
+                   lookup: DataFrame | None = None) -> DataFrame:
+    """``history`` is raw telemetry; a precomputed ``lookup`` (P05) and
+    ``rated`` (P04) may be passed instead, as the pricing service builds them
+    once at start-up."""
     rated = rated if rated is not None else rated_power(history).scalar()
+    lookup = lookup if lookup is not None else history_lookup(history)
     pred = predicted if predicted is not None else F.col("mean_kwh")
     cur = F.col("capacity_utilization_ratio")
     d = (features.withColumn("predicted_kwh", F.round(pred, 4))
@@ -98,7 +103,7 @@ def price_features(features: DataFrame, history: DataFrame, predicted: Column |
                  .withColumn("dynamic_price_cad", dynamic_price("_mult", base))
                  .withColumn("alert_level", alert_level(cur)))
     d = with_session(d, base=base, premium=premium)
-    d = with_day_ahead(d, history_lookup(history), rated, base)
+    d = with_day_ahead(d, lookup, rated, base)
     extra = ([c for c in ("window_start", "last_event_time", "capacity_utilization_ratio")
               if c in d.columns] if keep_start else [])
     return d.select(*PRICE_OUT, *extra)

@@ -84,10 +84,22 @@ def features_stage(spark, sf_dir) -> DataFrame:
     return stage(spark, sf_dir, "features_B", lambda: features_of(spark, sf_dir, PROFILE_B, keep_start=True))
 
 
+def history_stage(spark, sf_dir):
+    """Stage tables: the day-ahead lookup and the rated power, built once
+    from the raw telemetry (the pricing service builds them at start-up)."""
+    from gridstream.plans.stages import stage
+    t = tel(spark, sf_dir, PROFILE_B)
+    lookup = stage(spark, sf_dir, "history_B", lambda: PR.history_lookup(t))
+    rated = stage(spark, sf_dir, "rated_B", lambda: PR.rated_power(t))
+    return lookup, rated.scalar()
+
+
 def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False) -> DataFrame:
     """Pricing reads the feature stage, as the pricing service reads the
-    features topic; history and rated power come from the raw telemetry."""
-    return PR.price_features(features_stage(spark, sf_dir), tel(spark, sf_dir, p), keep_start=keep_start)
+    features topic, and the history stage."""
+    lookup, rated = history_stage(spark, sf_dir)
+    return PR.price_features(features_stage(spark, sf_dir), None, keep_start=keep_start,
+                             lookup=lookup, rated=rated)
 
 
 @register("p01_window_prices")
@@ -563,7 +575,8 @@ def q_scored_prices(spark, sf_dir):
     t = tel(spark, sf_dir, p)
     f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
     scored = MO.score(model, f, out="_pred")
-    return rounded(PR.price_features(scored, t, predicted=F.col("_pred")))
+    lookup, rated = history_stage(spark, sf_dir)
+    return rounded(PR.price_features(scored, None, predicted=F.col("_pred"), lookup=lookup, rated=rated))
 
 
 @register("f19_reduced_features")
