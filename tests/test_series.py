@@ -74,3 +74,23 @@ def test_auto_mode_splits_only_hot_keys(spark):
     for x, y in zip(a, b):
         assert x[:2] == y[:2]
         assert abs(x[2] - y[2]) < 1e-9 and abs((x[3] or 0) - (y[3] or 0)) < 1e-9
+
+
+def test_previous_window_lag_equals_self_join(spark):
+    from gridstream.sources.telemetry import PROFILE_B
+    for p in (PROFILE_A, PROFILE_B):
+        tel = load_telemetry(spark, SF_SMALL, p)
+        wf = FE.window_features(FE.clean_readings(tel), p.window_minutes, p.capacity)
+        cols = ["station_id", "window_start", "rate_of_change"]
+        a = _rows(FE.with_previous_window(wf, p.window_minutes), cols)
+        b = _rows(FE.with_previous_window(wf, p.window_minutes, self_join=True), cols)
+        assert a == b
+
+
+def test_time_ordered_within_partitions(spark):
+    from gridstream.sources.telemetry import time_ordered
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_A).repartition(3, "station_id")
+    parts = time_ordered(tel).rdd.glom().collect()
+    for rows in parts:
+        keys = [(r.station_id, r.event_time) for r in rows]
+        assert keys == sorted(keys)
