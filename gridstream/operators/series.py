@@ -12,9 +12,11 @@ Numbering rows of a key without one task per key:
 2. running sum of those counts per key   -- window over the small count table
 3. row index = slice offset + row_number within (key, slice)
 
-then ``block = index div block_rows``; rows within ``halo`` of a block edge
-are duplicated into the neighbouring block with ``_halo = true`` and dropped
-after the window is evaluated.
+then ``block = index div block_rows``; every row some other block's frames
+reach is copied into that block (possibly several blocks away when a block
+is shorter than a frame) with ``_halo = true``, and the copies are dropped
+after the window is evaluated.  The slice width is sized from the hottest
+key's rate (``slice_for``) so a (key, slice) group stays small.
 """
 
 from __future__ import annotations
