@@ -94,3 +94,16 @@ def test_time_ordered_within_partitions(spark):
     for rows in parts:
         keys = [(r.station_id, r.event_time) for r in rows]
         assert keys == sorted(keys)
+
+
+def test_index_rows_dense_and_ordered(spark):
+    from pyspark.sql import Window
+    from gridstream.operators.series import index_rows
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
+    want = tel.withColumn("_want", F.row_number().over(
+        Window.partitionBy("station_id").orderBy("event_time", "seq")) - 1)
+    for minutes in (1, 60, 24 * 60):
+        got = index_rows(tel, "station_id", ["event_time", "seq"], "event_time", minutes)
+        j = got.join(want.select("seq", "_want"), "seq")
+        assert j.count() == tel.count()
+        assert j.filter(F.col("_idx") != F.col("_want")).count() == 0
