@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridstream.session import ensure_checkpoint_dir
 
 SPACES = " \t\n\x0b\f\r"          # what separates words: \x20 and \x09-\x0D
-SLICE_BYTES = 8 << 20              # text a task works on at a time
+SLICE_BYTES = 4 << 20              # text a task works on at a time
 BLOCK_BYTES = 2 << 20              # bytes hashed at a time
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridstream.llm.chat_format import OP1_SQL, op1_chat_format
 from gridstream.llm.language_id import op3_language_id
 from gridstream.llm.near_dedup import op8_near_dedup
 from gridstream.llm.sentencepiece_bpe import op5_sentencepiece
@@ -9,6 +10,6 @@ from gridstream.llm.substring_dedup import op10_substring_dedup
 from gridstream.llm.token_files import op2_token_files
 from gridstream.llm.topk_search import OP4_SQL, op4_topk_search
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_id, op4_topk_search, op5_sentencepiece, op8_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_token_files, op3_language_id, op4_topk_search, op5_sentencepiece, op8_near_dedup,
                                    op10_substring_dedup)}
-SQL = {"op4_topk_search": OP4_SQL}
+SQL = {"op1_chat_format": OP1_SQL, "op4_topk_search": OP4_SQL}
