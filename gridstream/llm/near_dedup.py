@@ -13,11 +13,13 @@ not), so a text of n shingles costs about n + m log m draws, not n * m.
 
 Bands of the signature give candidates, and candidates are verified exactly on
 the texts.  Buckets are never expanded to all their pairs: equal texts are one
-node, each bucket is compared with one pivot (its member of most shared
-buckets), links join classes, what stays in another class meets a second
-pivot, and only pairs that the triangle inequality of the Jaccard distance
-leaves open by both pivots are compared one by one.  So no link between
-candidates is lost.
+node; each bucket is compared with one pivot (its member of most shared
+buckets); links join classes; what stays in another class meets a second pivot.
+The texts of buckets that still hold several classes are joined by a prefix
+filter: with shingles in one global order, the rarer the earlier, two texts of
+similarity t share one of the first |x| - t / (1 + t) * (|x| + |y|) + 1 shingles
+of either.  So no link between candidates is lost, and a text far from all
+others, whose first shingles nobody has, meets none of a large group.
 
 Edge cases: texts without words (null, empty, white space) are a class of
 their own each; texts of 1 to 4 words are one shingle of all their words;
@@ -45,6 +47,7 @@ from gridstream.llm.components import components
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 4                # a link at 0.8 is missed with probability 3e-5
+COUNTERS = 1 << 18                 # cells that order the shingles, 2 MB
 
 
 def shingles(texts: pa.Array, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,6 +200,83 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
     return named.join(open_, "bucket")
 
 
+def tokens(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, token): the multisets as sets, each repetition of a shingle a token of its own."""
+    text, element, weight = shingles(texts, length)
+    nth = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+    return np.repeat(text, weight), mix(np.repeat(element, weight) ^ mix(nth.astype(np.uint64), 41), 43)
+
+
+def _counted(length: int):
+    """Token counts of a task in COUNTERS cells, in blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for part in slices(batches):
+            total += np.bincount(_cell(tokens(part["text"], length)[1]), minlength=COUNTERS)
+        blocks = total.reshape(16, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "counts"])
+    return run
+
+
+def _cell(token: np.ndarray) -> np.ndarray:
+    return (token % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(c, np.int64) for c in rows["counts"].to_pylist())
+    return pa.table({"block": rows["block"].slice(0, 1), "counts": [total.tobytes()]})
+
+
+def _prefixes(counts: np.ndarray, length: int, similar: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            text, token = tokens(part["text"], length)
+            size = np.bincount(text, minlength=part.num_rows)
+            least = np.maximum(part["least"].to_numpy(), similar * size)
+            first = size - np.ceil(similar / (1 + similar) * (size + least) - 1e-9).astype(np.int64) + 1
+            order = np.lexsort((token, counts[_cell(token)], text))
+            place = np.arange(text.size) - (np.cumsum(size) - size)[text]
+            take = place < first[text]
+            own = text[take]
+            yield pa.RecordBatch.from_arrays([pa.array(token[order][take].view(np.int64)), pa.array(part["doc"].to_numpy()[own]),
+                                              pa.array(part["root"].to_numpy()[own])], ["token", "doc", "root"])
+    return run
+
+
+def _sizes(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            n = np.diff(words_of(part["text"]).first)
+            size = np.where(n >= length, n - length + 1, (n > 0).astype(n.dtype))
+            yield pa.RecordBatch.from_arrays([part["doc"].combine_chunks(), pa.array(size, pa.int64())], ["doc", "size"])
+    return run
+
+
+def prefix_pairs(left: DataFrame, texts: DataFrame, length: int, similar: float) -> DataFrame:
+    """(doc, pivot) of different classes that may be similar, among the members
+    of open buckets (bucket, doc, root), by the prefix filter.
+
+    The order of shingles comes from COUNTERS counts (a bounded array, the only
+    thing that tasks get from the driver); any order gives the same links, a
+    good one fewer pairs.  The least size of a text's fellow members bounds |y|.
+    """
+    own = written(texts.join(left.select("doc", "root").distinct(), "doc"), "open-texts")
+    blocks = own.select("text").mapInArrow(_counted(length), "block int, counts binary").groupBy("block").applyInArrow(
+        _summed, "block int, counts binary").orderBy("block").collect()
+    counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in blocks]) if blocks else np.zeros(COUNTERS, np.int64)
+    sizes = own.select("doc", "text").mapInArrow(_sizes(length), "doc long, size long")
+    placed = left.select("bucket", "doc").join(sizes, "doc")
+    lows = placed.groupBy("bucket").agg(F.min("size").alias("low"))
+    least = placed.select("bucket", "doc").join(lows, "bucket").groupBy("doc").agg(F.min("low").alias("least"))
+    found = written(own.join(least, "doc").select("doc", "root", "least", "text").mapInArrow(
+        _prefixes(counts, length, similar), "token long, doc long, root long"), "prefixes")
+    shared = found.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("token")
+    some = found.join(shared, "token")
+    a, b = some.alias("a"), some.alias("b")
+    return (a.join(b, F.col("a.token") == F.col("b.token")).where("a.root < b.root")
+            .select(F.col("b.doc").alias("doc"), F.col("a.doc").alias("pivot")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = SHINGLE,
                     similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc, text_doc, class_doc) of every document: the least doc_id with the
@@ -217,40 +297,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = None
     left = members
-    spans = []                     # one table for each pivot: distance of every member of an open bucket
     for turn in ("one", "two"):
         pivots = left.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("doc"))).alias("p")).select(
             "bucket", (-F.col("p.col2")).alias("pivot"))
-        met = left.join(pivots, "bucket")
-        found = written(verified(met.where("doc <> pivot").select("doc", "pivot").distinct(), texts, length), f"pivot-{turn}")
-        spans.append(met.select("bucket", "doc", "pivot").join(found, ["doc", "pivot"], "left").select(
-            "bucket", "doc", F.coalesce(1 - F.col("similarity"), F.lit(0.0)).alias(f"d_{turn}")))
-        new = found.where(F.col("similarity") >= similar).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+        met = left.join(pivots, "bucket").where("doc <> pivot").select("doc", "pivot").distinct()
+        new = written(verified(met, texts, length).where(F.col("similarity") >= similar), f"pivot-{turn}")
         links = new if links is None else links.union(new)
-        classes = written(components(links), "classes")
+        classes = written(components(links.select(F.col("doc").alias("a"), F.col("pivot").alias("b"))), "classes")
         left = written(_unresolved(members, classes), "open")
         if turn == "one":
             # the next pivot of a bucket comes from outside the first pivot's class
             first = pivots.join(classes.select(F.col("node").alias("pivot"), F.col("root").alias("at")), "pivot", "left")
-            left_out = left.join(first.select("bucket", F.coalesce("at", "pivot").alias("at")), "bucket")
-            lead = left_out.where("root <> at").groupBy("bucket").agg(F.max(F.struct("degree", -F.col("doc"))).alias("p"))
-            left = written(left_out.join(lead.select("bucket", (-F.col("p.col2")).alias("lead")), "bucket")
-                           .withColumn("degree", F.when(F.col("doc") == F.col("lead"), F.lit(1 << 62)).otherwise(F.col("degree")))
-                           .select("bucket", "doc", "degree"), "open")
-    # What two pivots left in different classes: pairs that both distances allow.
-    near = 1 - similar + 1e-9
-    rest = left.select("bucket", "doc", "root")
-    for s in spans:
-        rest = rest.join(s, ["bucket", "doc"], "left")
-    rest = written(rest.distinct(), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    apart = lambda c: F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= near
-    pairs = (a.join(b, F.col("a.bucket") == F.col("b.bucket"))
-             .where((F.col("a.doc") < F.col("b.doc")) & (F.col("a.root") != F.col("b.root")) & apart("d_one") & apart("d_two"))
-             .select(F.col("b.doc").alias("doc"), F.col("a.doc").alias("pivot")).distinct())
-    more = written(verified(pairs, texts, length).where(F.col("similarity") >= similar), "rest-links")
+            left = left.join(first.select("bucket", F.coalesce("at", "pivot").alias("at")), "bucket").withColumn(
+                "degree", F.when(F.col("root") == F.col("at"), F.lit(-1)).otherwise(F.col("degree")))
+    more = verified(prefix_pairs(left, texts, length, similar), texts, length).where(F.col("similarity") >= similar)
+    more = written(more, "links")
     if more.limit(1).count():
-        classes = written(components(links.union(more.select(F.col("doc").alias("a"), F.col("pivot").alias("b")))), "classes")
+        classes = written(components(links.union(more).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))), "classes")
     return (same.join(classes.select(F.col("node").alias("text_doc"), "root"), "text_doc", "left")
             .select("doc", "text_doc", F.coalesce("root", "text_doc").alias("class_doc")))
 
