@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -110,11 +111,11 @@ def test_topk_awkward(spark):
     for q in (i for i in sound if i % 50 == 0):
         scores = sorted((-sum(a * b for a, b in zip(sound[q], sound[c])), c) for c in sound if c != q)
         want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:5])]
-    got = topk_search.top_k(df, df.vec_id % 50 == 0, block=64, query_block=3).collect()
+    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, block=64, query_block=3).collect()
     assert Counter(map(tuple, got)) == Counter(want)
-    few = topk_search.top_k(df.where("vec_id in (0, 1, 2)"), df.vec_id % 50 == 0).collect()
+    few = topk_search.top_k(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 50 == 0).collect()
     assert len(few) == 2
-    assert topk_search.top_k(df.limit(0), df.vec_id % 50 == 0).count() == 0
+    assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
 # --- quality rules ------------------------------------------------------------
