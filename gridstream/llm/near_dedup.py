@@ -17,8 +17,9 @@ node; each bucket is compared with one pivot (its member of most shared
 buckets); links join classes; what stays in another class meets a second pivot.
 The texts of buckets that still hold several classes are joined by a prefix
 filter: with shingles in one global order, the rarer the earlier, two texts of
-similarity t share one of the first |x| - t / (1 + t) * (|x| + |y|) + 1 shingles
-of either.  So no link between candidates is lost, and a text far from all
+similarity t overlap in t / (1 + t) * (|x| + |y|) shingles at least, so they share
+one among the first |x| - overlap + 1 of either, at places that leave room for
+that overlap.  So no link between candidates is lost, and a text far from all
 others, whose first shingles nobody has, meets none of a large group.
 
 Edge cases: texts without words (null, empty, white space) are a class of
@@ -232,14 +233,17 @@ def _prefixes(counts: np.ndarray, length: int, similar: float):
         for part in slices(batches):
             text, token = tokens(part["text"], length)
             size = np.bincount(text, minlength=part.num_rows)
-            least = np.maximum(part["least"].to_numpy(), similar * size)
-            first = size - np.ceil(similar / (1 + similar) * (size + least) - 1e-9).astype(np.int64) + 1
+            share = similar / (1 + similar)
+            reach = lambda other: size - np.ceil(share * (size + other) - 1e-9).astype(np.int64) + 1
+            as_long, as_short = reach(np.maximum(part["least"].to_numpy(), similar * size)), reach(size)
             order = np.lexsort((token, counts[_cell(token)], text))
             place = np.arange(text.size) - (np.cumsum(size) - size)[text]
-            take = place < first[text]
-            own = text[take]
+            take = place < as_long[text]
+            own, place = text[take], place[take]
             yield pa.RecordBatch.from_arrays([pa.array(token[order][take].view(np.int64)), pa.array(part["doc"].to_numpy()[own]),
-                                              pa.array(part["root"].to_numpy()[own])], ["token", "doc", "root"])
+                                              pa.array(part["root"].to_numpy()[own]), pa.array(size[own], pa.int64()),
+                                              pa.array(place, pa.int64()), pa.array(place < as_short[own])],
+                                             ["token", "doc", "root", "size", "place", "short"])
     return run
 
 
@@ -269,12 +273,15 @@ def prefix_pairs(left: DataFrame, texts: DataFrame, length: int, similar: float)
     lows = placed.groupBy("bucket").agg(F.min("size").alias("low"))
     least = placed.select("bucket", "doc").join(lows, "bucket").groupBy("doc").agg(F.min("low").alias("least"))
     found = written(own.join(least, "doc").select("doc", "root", "least", "text").mapInArrow(
-        _prefixes(counts, length, similar), "token long, doc long, root long"), "prefixes")
+        _prefixes(counts, length, similar), "token long, doc long, root long, size long, place long, short boolean"), "prefixes")
     shared = found.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("token")
     some = found.join(shared, "token")
-    a, b = some.alias("a"), some.alias("b")
-    return (a.join(b, F.col("a.token") == F.col("b.token")).where("a.root < b.root")
-            .select(F.col("b.doc").alias("doc"), F.col("a.doc").alias("pivot")).distinct())
+    a, b = some.where("short").alias("a"), some.alias("b")        # a is the shorter text of a pair
+    room = F.least(F.expr("a.size - a.place"), F.expr("b.size - b.place")) * (1 + similar)
+    return (a.join(b, F.col("a.token") == F.col("b.token"))
+            .where((F.col("a.root") != F.col("b.root")) & (F.col("a.size") <= F.col("b.size"))
+                   & (room >= similar * (F.col("a.size") + F.col("b.size")) - 1e-6))
+            .select(F.greatest("a.doc", "b.doc").alias("doc"), F.least("a.doc", "b.doc").alias("pivot")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = SHINGLE,
