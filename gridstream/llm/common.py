@@ -160,11 +160,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
         yield pa.Table.from_batches(kept)
 
 
-def spread(first: np.ndarray, n: int) -> np.ndarray:
-    """The text of each word: ``first`` are n_texts + 1 word offsets."""
-    return np.repeat(np.arange(first.size - 1), np.diff(first))[:n]
-
-
 def windows_of(words: Words, length: int, hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text, start word in its text) of every window of ``length`` words
     within one text, in order."""

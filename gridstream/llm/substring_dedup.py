@@ -8,7 +8,7 @@ Three steps, no step holds more than a slice of text or one hash bucket:
    third of all documents share leaves a slice once) and deals those out by
    hash bucket, packed;
 2. a bucket finds for each hash its earliest occurrence over all slices and
-   sends the later ones to their documents;
+   sends the later ones, packed by parts of the documents, to their documents;
 3. the flagged windows of a document merge to intervals that are cut from it.
 
 Edge cases: null and empty texts have no words and stay as they are; texts
@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridstream.llm.common import (rolling, shuffle_parts, slices, spread, table, text_bytes, windows_of,
-                                   words_of)
+from gridstream.llm.common import mix, rolling, shuffle_parts, slices, table, windows_of, words_of
 
 WINDOW = 20
 FIRST = -(1 << 63)                 # stands for a null doc_id
 
 PARTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("flags", T.BooleanType()),
                       T.StructField("body", T.BinaryType())])
+SENT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("body", T.BinaryType())])
 FLAGS = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_key", T.IntegerType()),
                       T.StructField("starts", T.BinaryType())])
 
@@ -142,28 +142,35 @@ def windows_by_bucket(buckets: int, window: int):
     return run
 
 
-def _flag_rows(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+def repeats_of_bucket(parts: int):
+    """Step 2: the windows of one bucket that also start earlier, packed by part of the documents."""
+    def run(rows: pa.Table) -> pa.Table:
+        found = [unpack(b, False)[:3] for b in rows.filter(rows["flags"])["body"].to_pylist()]
+        bodies = [unpack(b) for b in rows.filter(pc.invert(rows["flags"]))["body"].to_pylist()]
+        if bodies:
+            ids, keys, starts, hashes = (np.concatenate(x) for x in zip(*bodies))
+            later, _ = later_ones(hashes, ids, keys, starts)
+            found.append((ids[later], keys[later], starts[later]))
+        ids, keys, starts = (np.concatenate(x) for x in zip(*found))
+        part = (mix(ids.view(np.uint64) ^ mix(keys.astype(np.uint64), 1), 2) % np.uint64(parts)).astype(np.int32)
+        order = np.lexsort((starts, keys, ids, part))
+        cut = np.flatnonzero(np.diff(part[order], prepend=-1))
+        out = [order[a:b] for a, b in zip(cut, np.append(cut[1:], order.size))]
+        return pa.table({"part": pa.array([part[x[0]] for x in out], pa.int32()),
+                         "body": pa.array([pack(ids[x], keys[x], starts[x], None) for x in out], pa.binary())})
+    return run
+
+
+def flags_of_part(rows: pa.Table) -> pa.Table:
+    """All flagged windows of each document of a part, as one row."""
+    ids, keys, starts = (np.concatenate(x) for x in zip(*(unpack(b, False)[:3] for b in rows["body"].to_pylist())))
     order = np.lexsort((starts, keys, ids))
     ids, keys, starts = ids[order], keys[order], starts[order].astype(np.uint32)
     cut = np.concatenate(([0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(keys) != 0)) + 1))
     raw = starts.tobytes()
     offsets = pa.py_buffer(np.concatenate((cut * 4, [len(raw)])).astype(np.int32).tobytes())
     bodies = pa.Array.from_buffers(pa.binary(), cut.size, [None, offsets, pa.py_buffer(raw)])
-    return pa.RecordBatch.from_arrays([pa.array(ids[cut], pa.int64()), pa.array(keys[cut], pa.int32()), bodies],
-                                      ["_id", "_key", "starts"])
-
-
-def repeats_of_bucket(rows: pa.Table) -> pa.Table:
-    """Step 2: windows of one bucket that also start earlier, by document."""
-    out = [_flag_rows(*unpack(b, False)[:3]) for b in rows.filter(rows["flags"])["body"].to_pylist()]
-    bodies = [unpack(b) for b in rows.filter(pc.invert(rows["flags"]))["body"].to_pylist()]
-    if bodies:
-        ids, keys, starts, hashes = (np.concatenate(x) for x in zip(*bodies))
-        later, _ = later_ones(hashes, ids, keys, starts)
-        if later.any():
-            out.append(_flag_rows(ids[later], keys[later], starts[later]))
-    return pa.Table.from_batches(out, schema=pa.schema([("_id", pa.int64()), ("_key", pa.int32()),
-                                                         ("starts", pa.binary())]))
+    return pa.table([pa.array(ids[cut], pa.int64()), pa.array(keys[cut], pa.int32()), bodies], ["_id", "_key", "starts"])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -174,11 +181,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def flagged_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(_id, _key, list of packed start words) of all windows that also start earlier."""
+    """(_id, _key, packed start words): the windows of each document that also start earlier."""
     buckets = shuffle_parts(docs.sparkSession)
     parts = _keyed(docs, id_col, text_col).select("_id", "_key", "text").mapInArrow(windows_by_bucket(buckets, window), PARTS)
-    flags = parts.groupBy("bucket").applyInArrow(repeats_of_bucket, FLAGS)
-    return flags.groupBy("_id", "_key").agg(F.collect_list("starts").alias("starts"))
+    sent = parts.groupBy("bucket").applyInArrow(repeats_of_bucket(buckets), SENT)
+    return sent.groupBy("part").applyInArrow(flags_of_part, FLAGS)
 
 
 def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,14 +232,14 @@ def _removals(window: int, want_text: bool):
                     continue
                 raw = expand.decompress(body.as_buffer())
                 words = raw.split()
-                starts = [np.frombuffer(f.as_buffer(), np.uint32) for f in flags.values] if flags.is_valid else []
-                gone = covered(len(words), np.concatenate(starts).astype(np.int64), window) if starts else None
+                some = flags.is_valid
+                gone = covered(len(words), np.frombuffer(flags.as_buffer(), np.uint32).astype(np.int64), window) if some else None
                 n_words.append(len(words))
-                n_removed.append(int(gone.sum()) if starts else 0)
+                n_removed.append(int(gone.sum()) if some else 0)
                 if want_text:
-                    result.append((cut_text(raw, gone) if starts else raw).decode())
+                    result.append((cut_text(raw, gone) if some else raw).decode())
                 else:
-                    left = compress(words, (~gone).tolist()) if starts else words
+                    left = compress(words, (~gone).tolist()) if some else words
                     result.append(hashlib.sha256(b" ".join(left)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                                               pa.array(result, pa.string())], ["_rest", "n_words", "n_removed", "result"])
