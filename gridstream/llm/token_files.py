@@ -18,6 +18,8 @@ runs again leaves the same files.
 Texts are encoded by the tokenizers library, each distinct space-separated
 word of a slice once: the tokenizer's pattern never matches across white
 space, and normalisation doesn't reach across it (checked in the tests).
+Plain Latin words go to the library many at a time; what it returns is cut
+where tokens close a word.
 
 Edge cases: a null or empty text is the end id alone; a null doc_id sorts
 first; rows with equal doc_id follow one another by text; other columns are
@@ -27,9 +29,11 @@ not read; an empty table gives an empty manifest and an empty result.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +47,7 @@ from gridstream.llm.common import shared_path, shuffle_parts, slices, table, wri
 
 NO_ID = -(1 << 63)                 # a null doc_id in the .docs file
 END_ID = 1
-CACHE_WORDS = 600_000              # words a Python worker remembers, about 120 MB
+CACHE_WORDS = 400_000              # words a Python worker remembers, about 60 MB
 _TOKENIZERS: dict = {}
 
 
@@ -54,6 +58,14 @@ def ragged_take(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> t
     return values[np.repeat(offsets[:-1][index] - to[:-1], sizes) + np.arange(to[-1])], to
 
 
+# Words of Latin letters, digits and plain signs, without apostrophe and angle
+# brackets: the tokenizer's pattern cuts them where letters, single digits and
+# other signs meet, and each piece ends in one token that closes a word.
+_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff0-9!-&(-;=?@\[-`{-~]+")
+_PIECE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff0-9]+")
+TOGETHER = 256                     # plain words that are encoded as one text
+
+
 class WordEncoder:
     """Ids of texts by the ids of their words, remembered per worker."""
 
@@ -61,7 +73,37 @@ class WordEncoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, int] = {}
+        self.values, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words and their sizes: plain words many at a time, split
+        again where their pieces close, all others one by one."""
+        plain = np.fromiter((_PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
+        some = [w for w, p in zip(words, plain.tolist()) if p]
+        texts = [" ".join(some[i:i + TOGETHER]) for i in range(0, len(some), TOGETHER)]
+        flat, _ = self._each(texts)
+        pieces = np.fromiter((1 if w.isalpha() else len(_PIECE.findall(w)) for w in some), np.int64, len(some))
+        ends = np.flatnonzero(self.closes[flat]) + 1
+        if ends.size != pieces.sum():               # not cut as expected: encode them one by one
+            return self._each(words)
+        upto = np.concatenate(([0], ends[np.cumsum(pieces) - 1] if pieces.size else [])).astype(np.int64)
+        rest, rest_sizes = self._each([w for w, p in zip(words, plain.tolist()) if not p])
+        sizes = np.empty(len(words), np.int64)
+        sizes[plain], sizes[~plain] = np.diff(upto), rest_sizes
+        order = np.empty(len(words), np.int64)
+        order[plain], order[~plain] = np.arange(len(some)), len(some) + np.arange(rest_sizes.size)
+        both = np.concatenate((flat, rest))
+        offsets = np.concatenate((upto, upto[-1] + np.cumsum(rest_sizes)))
+        return ragged_take(both, offsets, order)[0], sizes
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``, and n_texts + 1 offsets."""
@@ -69,21 +111,22 @@ class WordEncoder:
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        known = self.known
-        new = [w for w in words if w not in known]
-        own = {}
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            own.update(zip(some, (np.array(e.ids, np.uint32).tobytes()
-                                  for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        ids = [*(known.get(w) or own.get(w, b"") for w in words), np.uint32(end_id).tobytes()]
-        for w in new[:max(0, CACHE_WORDS - len(known))]:
-            known[w] = own[w]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        values = np.frombuffer(b"".join(ids), np.uint32)
+        place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(place < 0)
+        new = [words[i] for i in missing.tolist()]
+        flat, sizes = self._words(new)
+        place[missing] = self.offsets.size - 1 + np.arange(missing.size)
+        values = np.concatenate((self.values, flat, np.array([end_id], np.uint32)))
+        offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes), [values.size]))
+        room = max(0, CACHE_WORDS - len(self.known))
+        if room and new:
+            n = self.offsets.size - 1 + min(room, len(new))
+            self.known.update(zip(new[:room], range(self.offsets.size - 1, n)))
+            self.offsets = offsets[:n + 1].copy()
+            self.values = values[:self.offsets[-1]].copy()
         first = np.concatenate(([0], np.cumsum(counts)))
-        index = np.insert(coded.indices.to_numpy().astype(np.int64), first[1:], len(words))
-        out, to = ragged_take(values, np.concatenate(([0], np.cumsum(sizes))), index)
+        index = np.insert(place[coded.indices.to_numpy()], first[1:], offsets.size - 2)
+        out, to = ragged_take(values, offsets, index)
         return out, to[first + np.arange(first.size)]
 
 
