@@ -14,7 +14,7 @@ from gridstream import config as C
 __all__ = [
     "col_", "three_sigma_flag", "corrected_value", "bin_start", "hour_of", "weekday_of",
     "format_ts", "utilisation", "price_multiplier", "alert_level", "dynamic_price",
-    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts", "round_half_away", "snap",
+    "locked_price", "stress_band", "latency_ok", "alert_text", "parse_ts", "round_half_away", "round_exact", "snap",
 ]
 
 
@@ -95,23 +95,45 @@ def utilisation(mean="mean_kwh", capacity: float = C.CAPACITY_KWH) -> Column:
     return col_(mean) / F.lit(float(capacity))
 
 
+def round_exact(c, places: int = 4) -> Column:
+    """Rounds the exact binary value half to even, as Python's ``round``.
+
+    ``p = x * 10^k`` is split into its integer part and a rest; the product's
+    own rounding error ``e`` (exact: 10^k has few bits, x is split in halves)
+    settles on which side of the tie the true product lies.
+    """
+    x, m = col_(c).cast("double"), F.lit(float(10 ** places))
+    p = x * m
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    e = (high * m - p) + (x - high) * m
+    down = F.floor(p).cast("double")
+    side = (p - down - F.lit(0.5)) + e
+    up = (side > 0) | ((side == 0) & (F.pmod(down, F.lit(2.0)) == 1.0))
+    return F.when(F.abs(p) < F.lit(float(1 << 52)), F.when(up, down + F.lit(1.0)).otherwise(down) / m).otherwise(x)
+
+
+def on_grid(c, grid: int | None) -> Column:
+    return col_(c) if grid is None else snap(c, grid)
+
+
 # < 0.7 -> 1; 0.7..0.9 linear 1..2; > 0.9 -> 3.  The span is the
-# double (0.9 - 0.7), as in the reference, not the decimal 0.2.
+# double (0.9 - 0.7), as in the reference, not the decimal 0.2.  ``grid``
+# compares an averaged utilisation on a decimal grid (see ``snap``).
 def price_multiplier(cur="capacity_utilization_ratio", warning: float = C.WARNING_CUR,
                      critical: float = C.CRITICAL_CUR,
-                     top: float = C.CRITICAL_MULTIPLIER) -> Column:
+                     top: float = C.CRITICAL_MULTIPLIER, grid: int | None = None) -> Column:
     cur = col_(cur)
     span = F.lit(float(critical) - float(warning))
-    return (F.when(snap(cur) < F.lit(float(warning)), F.lit(1.0))
-             .when(snap(cur) <= F.lit(float(critical)),
-                   F.lit(1.0) + (cur - F.lit(float(warning))) / span * F.lit(1.0))
+    return (F.when(on_grid(cur, grid) < F.lit(float(warning)), F.lit(1.0))
+             .when(on_grid(cur, grid) <= F.lit(float(critical)), F.lit(1.0) + (cur - F.lit(float(warning))) / span)
              .otherwise(F.lit(float(top))))
 
 
 # >= 0.9 critical, >= 0.7 warning, else normal.
 def alert_level(cur="capacity_utilization_ratio", warning: float = C.WARNING_CUR,
-                critical: float = C.CRITICAL_CUR) -> Column:
-    cur = snap(cur)
+                critical: float = C.CRITICAL_CUR, grid: int | None = None) -> Column:
+    cur = on_grid(cur, grid)
     return (F.when(cur >= F.lit(float(critical)), F.lit("critical"))
              .when(cur >= F.lit(float(warning)), F.lit("warning"))
              .otherwise(F.lit("normal")))
@@ -119,12 +141,12 @@ def alert_level(cur="capacity_utilization_ratio", warning: float = C.WARNING_CUR
 
 # Dynamic price = round(base * multiplier, 4).
 def dynamic_price(multiplier="price_multiplier", base: float = C.BASE_PRICE_CAD) -> Column:
-    return F.round(F.lit(float(base)) * col_(multiplier), 4)
+    return round_exact(F.lit(float(base)) * col_(multiplier), 4)
 
 
 # P07 helper: locked price = round(dynamic * premium, 4).
 def locked_price(dynamic="dynamic_price_cad", premium: float = C.GUARANTEE_PREMIUM) -> Column:
-    return F.round(col_(dynamic) * F.lit(float(premium)), 4)
+    return round_exact(col_(dynamic) * F.lit(float(premium)), 4)
 
 
 # Dashboard band for the regional score.

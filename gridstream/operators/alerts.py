@@ -55,10 +55,3 @@ def regional_alerts(grid: DataFrame) -> DataFrame:
 def alert_stream(station: DataFrame, regional: DataFrame) -> DataFrame:
     return station.unionByName(regional, allowMissingColumns=True)
 
-
-# S07 / S16 / A01 value: keyed JSON encoding of any record.
-def encode_json(df: DataFrame, key_col: str | None = "station_id", cols: list[str] | None = None,
-                default_key: str = "unknown") -> DataFrame:
-    cols = cols or [c for c in df.columns if c != "key"]
-    key = F.coalesce(F.col(key_col).cast("string"), F.lit(default_key)) if key_col else F.lit(None)
-    return df.select(key.alias("key"), F.to_json(F.struct(*cols)).alias("value"))

@@ -1,16 +1,20 @@
 """Early-warning detector evaluation (E01-E18, M05) as grouped Spark jobs.
 
 Input is one long table ``(scenario_id, t, station_id, cur_obs, cur_fc,
-capacity)``.  The reference loops over seeds x detectors x thresholds; here
-every loop is a grouping key, so one job scores all cells:
-
-* detector statistics per (scenario, t)             -- E03/E04
-* dense window grid per scenario (``sequence``)     -- missing windows = 0
-* thresholds as a generated column (29 fixed values) -- E07, no join
-* event runs by gaps-and-islands per scenario       -- E05
-* warning zones / lead times via equi-joins on (scenario, t)  -- E06/E09/E10
-
-``part`` lists the keys that identify one scenario (add sweep keys such as
+capacity)``; a station without a row at t counts as 0 there.  The reference
+loops over seeds x detectors x thresholds on dense arrays; here every loop is
+a grouping key and no dense array is built:
+
+* sums and maxima per (scenario, t) against constants of the scenario (number
+  of stations, total capacity)                             -- E03/E04
+* window grid per scenario (``sequence``), missing windows 0
+* event runs by gaps-and-islands per scenario              -- E05
+* warning zones around the events, as lists on the windows  -- E06
+* per (scenario, t, detector) the number of thresholds exceeded; counts per
+  such number, then running totals over the 29 thresholds  -- E07-E10
+
+so the work is grid x detectors, whatever the number of thresholds.  ``part``
+lists the keys that identify one scenario (add sweep keys such as
 ``n_stations`` to score a sweep in the same job).
 """
 
@@ -20,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridstream import config as C
-from gridstream.functions.rules import round_half_away, snap
-from gridstream.session import materialize
+from gridstream.functions.rules import snap
+from gridstream.operators.series import sliced_rank
 
 STAT_COLS = {
     "AGG-CURRENT": "agg_current", "AGG-FORECAST": "agg_forecast",
@@ -40,49 +44,83 @@ def bin_index(ts: Column, t0: Column, width_minutes: int) -> Column:
     return ((F.unix_seconds(ts) - F.unix_seconds(t0)) / F.lit(int(width_minutes) * 60)).cast("int")
 
 
+# A station's scenario: its number mod k, or a hash mod k where its name is no number.
+def station_number(station: str, k: int) -> Column:
+    number = F.coalesce(F.expr(f"try_cast({station} AS BIGINT)"), F.xxhash64(station))
+    return F.pmod(number, F.lit(int(k))).cast("int")
+
+
 # Long table from windowed features: scenario = station number mod k,
 # t = window number from the first window, cur_obs = mean / capacity.
 def long_table(features: DataFrame, capacity: float, width_minutes: int = C.WINDOW_MINUTES,
-               scenarios: int = 5) -> DataFrame:
-    t0 = features.agg(F.min("window_start")).scalar()
+               scenarios: int = 5, t0: Column | None = None) -> DataFrame:
+    t0 = t0 if t0 is not None else features.agg(F.min("window_start")).scalar()
     return features.select(
-        (F.col("station_id").cast("long") % F.lit(int(scenarios))).cast("int").alias("scenario_id"),
+        station_number("station_id", scenarios).alias("scenario_id"),
         bin_index(F.col("window_start"), t0, width_minutes).alias("t"),
         "station_id",
         (F.col("mean_kwh") / F.lit(float(capacity))).alias("cur_obs"),
-        F.lit(float(capacity)).alias("capacity"), "window_start")
+        F.lit(float(capacity)).alias("capacity"))
 
 
 # Forecast alignment.  The forecast for window t is the prediction made
 # at t-1 (``pred`` column, default persistence = cur_obs); window 0 uses the
-# actual value; a station without a row at t-1 forecasts 0 (dense arrays).
-# An equi-join on (station, t) with the table shifted by one window.
+# actual value; a station without a row at t-1 forecasts 0 for t.  A station
+# with a row at t-1 has a forecast for t even where it has no reading then.
+# Observed and shifted rows meet in one grouping, without a join.
 def with_forecast(long: DataFrame, pred: str = "cur_obs", part=("scenario_id",)) -> DataFrame:
-    prev = long.select(*part, "station_id", (F.col("t") + 1).alias("t"), F.col(pred).alias("_prev"))
-    j = long.join(prev, on=[*part, "station_id", "t"], how="left")
-    fc = F.when(F.col("t") == 0, F.col("cur_obs")).otherwise(F.coalesce(F.col("_prev"), F.lit(0.0)))
-    return j.withColumn("cur_fc", fc).drop("_prev")
+    none = F.lit(None).cast("double")
+    seen = long.select(*part, "station_id", "t", "cur_obs", "capacity", none.alias("_fc"))
+    made = long.select(*part, "station_id", (F.col("t") + 1).alias("t"), none.alias("cur_obs"), "capacity",
+                       F.col(pred).alias("_fc"))
+    both = seen.unionByName(made.where(F.col("t") < n_windows(long)))
+    m = both.groupBy(*part, "station_id", "t").agg(
+        F.max("cur_obs").alias("_obs"), F.max("_fc").alias("_fc"), F.max("capacity").alias("capacity"))
+    obs = F.coalesce("_obs", F.lit(0.0))
+    return m.select(*part, "t", "station_id", obs.alias("cur_obs"), "capacity",
+                    F.when(F.col("t") == 0, obs).otherwise(F.coalesce("_fc", F.lit(0.0))).alias("cur_fc"))
 
 
 def n_windows(long: DataFrame) -> Column:
     return long.agg((F.max("t") + 1).cast("int")).scalar()
 
 
-# E03 + E04 over a dense grid: per (scenario, t) the four detector statistics,
-# regional utilisation and the overload label; windows without rows are 0.
-def window_grid(long: DataFrame, T: Column | int, l_true: float = C.L_TRUE,
-                part=("scenario_id",)) -> DataFrame:
+# Constants of a scenario: number of stations and their total capacity.
+def scenario_constants(long: DataFrame, part=("scenario_id",)) -> DataFrame:
+    one = long.groupBy(*part, "station_id").agg(F.max("capacity").alias("_c"))
+    return one.groupBy(*part).agg(F.count(F.lit(1)).alias("_stations"), F.sum("_c").alias("_capacity"))
+
+
+# E03 + E04: per (scenario, t) the four detector statistics over all stations
+# of the scenario, and regional utilisation; windows without rows are 0.
+def window_stats(long: DataFrame, T: Column | int, part=("scenario_id",)) -> DataFrame:
     part = list(part)
     T = F.lit(int(T)) if isinstance(T, int) else T
-    stats = long.groupBy(*part, "t").agg(
-        F.avg("cur_obs").alias("agg_current"), F.avg("cur_fc").alias("agg_forecast"),
-        F.max("cur_obs").alias("ind_current"), F.max("cur_fc").alias("ind_forecast"),
-        (F.sum(F.col("cur_obs") * F.col("capacity")) / F.sum("capacity")).alias("region_u"))
-    grid = (long.select(*part).distinct()
-                .withColumn("t", F.explode(F.sequence(F.lit(0), T - F.lit(1)))))
-    g = grid.join(stats, on=[*part, "t"], how="left").fillna(
-        0.0, subset=["agg_current", "agg_forecast", "ind_current", "ind_forecast", "region_u"])
-    return g.withColumn("overload", snap("region_u") >= F.lit(float(l_true)))
+    sums = long.groupBy(*part, "t").agg(
+        F.sum("cur_obs").alias("_obs"), F.sum("cur_fc").alias("_fc"),
+        F.max("cur_obs").alias("_max_obs"), F.max("cur_fc").alias("_max_fc"),
+        F.sum(F.col("cur_obs") * F.col("capacity")).alias("_load"))
+    grid = scenario_constants(long, part).withColumn("t", F.explode(F.sequence(F.lit(0), T - F.lit(1))))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return grid.join(sums, on=[*part, "t"], how="left").select(
+        *part, "t", (zero("_obs") / F.col("_stations")).alias("agg_current"),
+        (zero("_fc") / F.col("_stations")).alias("agg_forecast"),
+        F.greatest(zero("_max_obs"), F.lit(0.0)).alias("ind_current"),
+        F.greatest(zero("_max_fc"), F.lit(0.0)).alias("ind_forecast"),
+        (zero("_load") / F.col("_capacity")).alias("region_u"))
+
+
+# The overload line: a fixed utilisation (the reference's 0.80), or for data
+# of another level the nearest-rank quantile of the windows' utilisation.
+def overload_line(stats: DataFrame, quantile: float) -> Column:
+    return stats.agg(F.expr(f"percentile_disc({float(quantile)}) WITHIN GROUP (ORDER BY region_u)")).scalar()
+
+
+def window_grid(long: DataFrame, T: Column | int, l_true: float | None = C.L_TRUE, part=("scenario_id",),
+                quantile: float | None = None) -> DataFrame:
+    g = window_stats(long, T, part)
+    line = overload_line(g, quantile) if quantile is not None else F.lit(float(l_true))
+    return g.withColumn("overload", snap("region_u") >= snap(line))
 
 
 def held_out_lo(T: Column | int, fraction: float = C.TRAIN_FRACTION) -> Column:
@@ -106,63 +144,74 @@ def zone_rows(events: DataFrame, lo: Column, lookback: int = C.LEAD_LOOKBACK_WIN
         "t", F.explode(F.sequence(F.col("zone_start"), F.col("end"))))
 
 
-# Detector series x thresholds as a generated column (no join).
-def alarms(grid: DataFrame, lo: Column, detectors=C.DETECTORS, thr: list[float] | None = None,
-           part=("scenario_id",)) -> DataFrame:
-    part = list(part)
-    thr = thr or thresholds()
-    stack = F.explode(F.array(*[F.struct(F.lit(d).alias("detector"), F.col(STAT_COLS[d]).alias("stat"))
-                                for d in detectors]))
-    return (grid.filter(F.col("t") >= lo)
-                .select(*part, "t", "overload", stack.alias("_d"))
-                .select(*part, "t", "overload", "_d.detector", "_d.stat")
-                .withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thr])))
-                .withColumn("alarm", snap("stat") > F.col("threshold")))
+# Per (scenario, t, detector) the number of thresholds below the statistic.
+# Thresholds ascend, so threshold i raises an alarm if and only if level > i.
+def alarm_levels(grid: DataFrame, lo: Column, detectors=C.DETECTORS, thr: list[float] | None = None,
+                 part=("scenario_id",), keep=()) -> DataFrame:
+    thr = sorted(thr or thresholds())
+    line = F.array(*[F.lit(float(x)) for x in thr])
+    stack = F.explode(F.array(*[F.struct(F.lit(d).alias("detector"), snap(STAT_COLS[d]).alias("stat")) for d in detectors]))
+    return (grid.filter(F.col("t") >= lo).select(*part, "t", "overload", *keep, stack.alias("_d"))
+            .select(*part, "t", "overload", *keep, "_d.detector",
+                    F.size(F.filter(line, lambda x: F.col("_d.stat") > x)).alias("level")))
 
 
 def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))
 
 
+# Held-out windows with the onsets of all events whose zone they lie in: the
+# own event's where overloaded, and those starting in the next ``lookback``
+# windows.  One ordered pass per scenario, no join (a scenario's windows are
+# bounded by the time span, whatever the number of readings).
+def in_zones(grid: DataFrame, lo: Column, lookback: int = C.LEAD_LOOKBACK_WINDOWS, part=("scenario_id",)) -> DataFrame:
+    by = Window.partitionBy(*part).orderBy("t")
+    onset = F.col("overload") & ~F.coalesce(F.lag("overload").over(by), F.lit(False))
+    d = grid.filter(F.col("t") >= lo).withColumn("onset", F.when(onset, F.col("t")))
+    own = F.last("onset", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.collect_list("onset").over(by.rowsBetween(1, int(lookback)))
+    none = F.array().cast("array<int>")
+    return d.withColumn("_events", F.concat(F.when(F.col("overload"), F.array(own)).otherwise(none), ahead))
+
+
 # All metrics per (scenario, detector, threshold) over [lo, hi).
-def detector_metrics(long: DataFrame, l_true: float = C.L_TRUE, fraction: float = C.TRAIN_FRACTION,
+def detector_metrics(long: DataFrame, l_true: float | None = C.L_TRUE, fraction: float = C.TRAIN_FRACTION,
                      detectors=C.DETECTORS, thr: list[float] | None = None,
                      lookback: int = C.LEAD_LOOKBACK_WINDOWS, part=("scenario_id",),
-                     T: Column | int | None = None, materialize_grid: bool = True) -> DataFrame:
+                     T: Column | int | None = None, quantile: float | None = None) -> DataFrame:
     part = list(part)
+    thr = sorted(thr or thresholds())
     T = T if T is not None else n_windows(long)
     lo = held_out_lo(T, fraction)
-    grid = window_grid(long, T, l_true, part)
-    if materialize_grid:
-        # the grid feeds the alarms, the events and (through both) two joins
-        grid = materialize(grid)
-    al = alarms(grid, lo, detectors, thr, part)
-    events = event_runs(grid, lo, part)
-    zones = zone_rows(events, lo, lookback)
-    in_zone = zones.select(*part, "t").distinct().withColumn("in_zone", F.lit(True))
-
-    a = al.join(in_zone, on=[*part, "t"], how="left").withColumn(
-        "outside", F.col("in_zone").isNull())
-    cnt = lambda cond: F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
-    conf = a.groupBy(*part, "detector", "threshold").agg(
-        cnt(F.col("alarm") & F.col("overload")).alias("tp"),
-        cnt(F.col("alarm") & ~F.col("overload")).alias("fp"),
-        cnt(~F.col("alarm") & F.col("overload")).alias("fn"),
-        cnt(~F.col("alarm") & ~F.col("overload")).alias("tn"),
-        cnt(F.col("alarm") & F.col("outside")).alias("_fa"),
-        cnt(F.col("outside")).alias("_out"))
-
-    # first alarm inside each event's zone -> lead
-    first = (zones.join(al.filter("alarm").select(*part, "t", "detector", "threshold"), on=[*part, "t"])
-                  .groupBy(*part, "onset", "detector", "threshold").agg(F.min("t").alias("_first")))
-    leads = first.groupBy(*part, "detector", "threshold").agg(
-        F.sum(F.greatest(F.lit(0), F.col("onset") - F.col("_first"))).alias("_lead_sum"),
+    zoned = in_zones(window_grid(long, T, l_true, part, quantile), lo, lookback, part)
+    levels = alarm_levels(zoned, lo, detectors, thr, part, keep=("onset", "_events"))
+    steps = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(len(thr) - 1)).alias("i"),
+                                   F.array(*[F.lit(float(x)) for x in thr]).alias("threshold"))).alias("_s")
+
+    # windows by level: a few dozen rows for each (scenario, detector)
+    counted = levels.groupBy(*part, "detector", "level").agg(
+        F.count_if("overload").alias("_pos"), F.count_if(~F.col("overload")).alias("_neg"),
+        F.count_if(F.size("_events") == 0).alias("_outside"), F.count("onset").alias("_onsets"))
+    fired = F.col("level") > F.col("_s.i")
+    total = lambda c, cond: F.sum(F.when(cond, F.col(c)).otherwise(F.lit(0)))
+    conf = counted.select("*", steps).groupBy(*part, "detector", F.col("_s.i").alias("_i"),
+                                              F.col("_s.threshold").alias("threshold")).agg(
+        total("_pos", fired).alias("tp"), total("_neg", fired).alias("fp"),
+        total("_pos", ~fired).alias("fn"), total("_neg", ~fired).alias("tn"),
+        total("_outside", fired).alias("_fa"), F.sum("_outside").alias("_out"), F.sum("_onsets").alias("n_events"))
+
+    # the first alarm of an event at threshold i is where the level first
+    # passes i: only windows that raise the running maximum matter
+    by_event = Window.partitionBy(*part, "detector", "event").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    first = (levels.select(*part, "t", "detector", "level", F.explode("_events").alias("event"))
+             .withColumn("_before", F.coalesce(F.max("level").over(by_event), F.lit(0)))
+             .where(F.col("level") > F.col("_before"))
+             .withColumn("_i", F.explode(F.sequence(F.col("_before"), F.col("level") - 1))))
+    leads = first.groupBy(*part, "detector", "_i").agg(
+        F.sum(F.greatest(F.lit(0), F.col("event") - F.col("t"))).alias("_lead_sum"),
         F.count(F.lit(1)).alias("_detected"))
-    n_ev = events.groupBy(*part).agg(F.count(F.lit(1)).alias("n_events"))
 
-    m = (conf.join(leads, on=[*part, "detector", "threshold"], how="left")
-             .join(n_ev, on=part, how="left")
-             .fillna(0, subset=["_lead_sum", "_detected", "n_events"]))
+    m = (conf.join(leads, on=[*part, "detector", "_i"], how="left").fillna(0, subset=["_lead_sum", "_detected"]))
     prec = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     return (m.withColumn("precision", prec).withColumn("recall", rec)
@@ -172,7 +221,7 @@ def detector_metrics(long: DataFrame, l_true: float = C.L_TRUE, fraction: float
              .withColumn("far", _ratio(F.col("_fa"), F.col("_out")))
              .withColumn("mean_lead_windows", _ratio(F.col("_lead_sum").cast("double"), F.col("n_events")))
              .withColumn("detection_rate", _ratio(F.col("_detected").cast("double"), F.col("n_events")))
-             .drop("_fa", "_out", "_lead_sum", "_detected"))
+             .drop("_i", "_fa", "_out", "_lead_sum", "_detected"))
 
 
 # E11 (fpr, recall) and E12 (far, lead minutes) per threshold.
@@ -199,18 +248,16 @@ def at_picked(metrics: DataFrame, budget: float = C.FALSE_ALARM_BUDGET,
     return metrics.join(pick_threshold(metrics, budget, part), on=[*part, "detector", "threshold"])
 
 
-# Detector comparison averaged over scenarios, rounded to 3 places.
+# Detector comparison averaged over scenarios (rounding is the output's).
 def comparison_table(metrics: DataFrame, budget: float = C.FALSE_ALARM_BUDGET,
                      width_minutes: int = C.WINDOW_MINUTES, part=("scenario_id",),
                      by=("detector",)) -> DataFrame:
     p = at_picked(metrics, budget, part)
     return p.groupBy(*by).agg(
-        round_half_away(F.avg("precision"), 3).alias("precision"),
-        round_half_away(F.avg("recall"), 3).alias("recall"),
-        round_half_away(F.avg("f1"), 3).alias("f1"),
-        round_half_away(F.avg("far"), 3).alias("false_alarm_rate"),
-        round_half_away(F.avg("mean_lead_windows") * F.lit(float(width_minutes)), 3).alias("mean_lead_min"),
-        round_half_away(F.avg("detection_rate"), 3).alias("detection_rate"))
+        F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
+        F.avg("far").alias("false_alarm_rate"),
+        (F.avg("mean_lead_windows") * F.lit(float(width_minutes))).alias("mean_lead_min"),
+        F.avg("detection_rate").alias("detection_rate"))
 
 
 # Curves averaged over scenarios per (detector, threshold).
@@ -223,17 +270,18 @@ def curves(metrics: DataFrame, width_minutes: int = C.WINDOW_MINUTES, by=("detec
 
 # Sweep over station subsets.  Each sweep value keeps the first k
 # stations of a scenario (k = n, or ceil(p * stations)); the sweep value joins
-# the scenario key so every cell is scored in one job.
+# the scenario key so every cell is scored in one job.  Sizes should lie below
+# the number of stations of a scenario: larger ones all keep every station.
 def station_subsets(long: DataFrame, sizes=None, fractions=None) -> DataFrame:
-    ranked = long.select("scenario_id", "station_id").distinct().withColumn(
-        "_rank", F.dense_rank().over(Window.partitionBy("scenario_id").orderBy("station_id")))
+    stations = long.select("scenario_id", "station_id").distinct()
+    ranked = sliced_rank(stations, ["scenario_id"], "station_id", "_rank")
     if sizes is not None:
         cells = ranked.withColumn("n_stations", F.explode(F.array(*[F.lit(int(n)) for n in sizes]))) \
                       .filter(F.col("_rank") <= F.col("n_stations"))
         key = "n_stations"
     else:
-        tot = F.max("_rank").over(Window.partitionBy("scenario_id"))
-        cells = (ranked.withColumn("_tot", tot)
+        total = stations.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("_tot"))
+        cells = (ranked.join(total, "scenario_id")
                        .withColumn("participation", F.explode(F.array(*[F.lit(float(p)) for p in fractions])))
                        .filter(F.col("_rank") <= F.ceil(F.col("participation") * F.col("_tot"))))
         key = "participation"

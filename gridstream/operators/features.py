@@ -22,7 +22,7 @@ from gridstream.operators.series import ordered_window
 # blocks with an n-row halo (see operators.series).
 def rolling_stats(tel: DataFrame, rows: int = C.ROLLING_PRECEDING_ROWS, key: str = "station_id",
                   order=("event_time", "seq"), value: str = "kwh", *,
-                  block_rows: int = C.ROLLING_BLOCK_ROWS, mode: str = "auto") -> DataFrame:
+                  block_rows: int = C.ROLLING_BLOCK_ROWS, mode: str = "blocked") -> DataFrame:
     def compute(d, w):
         frame = w.rowsBetween(-int(rows), 0)
         return (d.withColumn("rolling_mean_kwh", F.avg(value).over(frame))

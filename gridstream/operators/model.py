@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridstream import config as C
+from gridstream.functions.rules import round_exact
 
 
 # ordered 80/20 split.  Default "time" (a true chronological cut, for
 # new work); "row_rank" reproduces the reference.
 #   mode="row_rank": the reference's cut - rows sorted by (station, time),
-#     first int(n * 0.8) rows train.  The global position is
-#     (rows of earlier stations) + (position within the station): a window
-#     over the per-station count table plus a per-station window over that
-#     station's windows; no single-partition global numbering.
+#     first int(n * 0.8) rows train.  The global position is (rows of earlier
+#     stations) + (position within the station); rows of earlier stations are
+#     a running sum over slices of station names, then within each slice, so
+#     no task orders all stations.
 #   mode="time": every row before the 80% time quantile trains (cut from a
 #     distributed quantile sketch).
 def split(table: DataFrame, fraction: float = C.TRAIN_FRACTION, mode: str = "time",
@@ -30,10 +31,12 @@ def split(table: DataFrame, fraction: float = C.TRAIN_FRACTION, mode: str = "tim
     if mode == "time":
         cut = table.agg(F.percentile_approx(F.unix_micros(ts), F.lit(float(fraction)), 10000)).scalar()
         return table.withColumn("is_train", F.unix_micros(ts) < cut)
-    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    total = counts.agg(F.sum("_n")).scalar()
+    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slice", F.substring(key, 1, 3))
+    upto = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    slices = counts.groupBy("_slice").agg(F.sum("_n").alias("_n")).select("_slice", upto(Window.orderBy("_slice")).alias("_base"))
+    offsets = (counts.withColumn("_in", upto(Window.partitionBy("_slice").orderBy(key))).join(slices, "_slice")
+               .select(key, (F.col("_base") + F.col("_in")).alias("_off")))
+    total = table.agg(F.count(F.lit(1))).scalar()
     cut = F.floor(total * F.lit(float(fraction)))
     pos = F.row_number().over(Window.partitionBy(key).orderBy(ts)) - F.lit(1)
     return (table.join(offsets, key, "inner")
@@ -55,7 +58,7 @@ def train_regressor(train: DataFrame, features=C.FEATURE_COLS, label: str = "tar
 
 # Score rows; prediction rounded to 4 places.
 def score(model: PipelineModel, rows: DataFrame, out: str = "predicted_kwh") -> DataFrame:
-    return (model.transform(rows).withColumn(out, F.round("prediction", 4))
+    return (model.transform(rows).withColumn(out, round_exact("prediction", 4))
                  .drop("features", "prediction"))
 
 
@@ -98,36 +101,34 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
-    try:
+    from gridstream.sources.sinks import exists
+    if exists(train.sparkSession, path + "/metadata/_SUCCESS"):
         return PipelineModel.load(path)
-    except Exception:      # noqa: BLE001 - absent or unreadable: train afresh
-        m = train_regressor(train, **kw)
-        save_model(m, path)
-        return m
+    m = train_regressor(train, **kw)
+    save_model(m, path)
+    return m
 
 
 # Pooled per-scenario forecaster.  Features of window t (F19) predict
 # the mean of window t+1; each scenario trains on its windows t < int(T*0.8)-1
-# and forecasts every window; M05 then aligns the forecast to t.
-def scenario_forecasts(long: DataFrame, T: int, fraction: float = C.TRAIN_FRACTION, **gbt) -> DataFrame:
+# and forecasts every window; M05 then aligns the forecast to t.  A station
+# without a row at t+1 has a mean of 0 there, as in a dense array.  Scenarios
+# are numbered 0 .. scenarios-1, so none has to be looked up.
+def scenario_forecasts(long: DataFrame, T: int, scenarios: int, width_minutes: int = C.WINDOW_MINUTES,
+                       fraction: float = C.TRAIN_FRACTION, **gbt) -> DataFrame:
     from gridstream.operators.evaluation import with_forecast
     from gridstream.operators.features import reduced_features
-    feats = reduced_features(long)
-    if "window_start" in long.columns:
-        feats = feats.withColumn("hour_of_day", F.hour("window_start")) \
-                     .withColumn("day_of_week", F.weekday("window_start"))
-    else:
-        feats = feats.withColumn("hour_of_day", F.lit(0)).withColumn("day_of_week", F.lit(0))
+    minutes = F.col("t") * F.lit(int(width_minutes))
+    feats = (reduced_features(long).withColumn("hour_of_day", F.floor(minutes / 60) % 24)
+             .withColumn("day_of_week", F.floor(minutes / 1440) % 7))
     nxt = feats.select("scenario_id", "station_id", (F.col("t") - 1).alias("t"), F.col("mean_kwh").alias("target"))
-    rows = feats.join(nxt, ["scenario_id", "station_id", "t"], "left")
+    rows = feats.join(nxt, ["scenario_id", "station_id", "t"], "left").fillna(0.0, subset=["target"])
     split_t = int(T * fraction) - 1
-    outs = []
-    for s in [r[0] for r in long.select("scenario_id").distinct().orderBy("scenario_id").collect()]:
+    pred = None
+    for s in range(int(scenarios)):
         mine = rows.filter(F.col("scenario_id") == s)
-        m = train_regressor(mine.filter((F.col("t") < split_t) & F.col("target").isNotNull()), **gbt)
-        outs.append(m.transform(mine).withColumn("pred_cur", F.col("prediction") / F.col("capacity"))
-                     .select("scenario_id", "t", "station_id", "cur_obs", "capacity", "pred_cur"))
-    pred = outs[0]
-    for o in outs[1:]:
-        pred = pred.unionByName(o)
+        m = train_regressor(mine.filter(F.col("t") < split_t), **gbt)
+        one = m.transform(mine).withColumn("pred_cur", F.col("prediction") / F.col("capacity")).select(
+            "scenario_id", "t", "station_id", "cur_obs", "capacity", "pred_cur")
+        pred = one if pred is None else pred.unionByName(one)
     return with_forecast(pred, pred="pred_cur")

@@ -12,18 +12,28 @@ from pyspark.sql import functions as F
 
 from gridstream import config as C
 from gridstream.functions.rules import (alert_level, dynamic_price, hour_of, locked_price,
-                                        price_multiplier, weekday_of)
+                                        price_multiplier, round_exact, weekday_of)
 
 
 # Capacity baseline = 95th percentile (linear interpolation) of the
-# stations' mean readings.  The input is one row per station, so the exact
-# percentile buffer is bounded by the station count; ``exact=False`` switches
-# to the sketch for very many stations.
+# stations' mean readings.  Stations are counted by ranges of value (on a
+# logarithmic scale, 256 to an octave), a running sum over those few ranges
+# finds the ones that hold the two neighbouring ranks, and only their stations
+# are ordered.
 def rated_power(tel: DataFrame, q: float = C.RATED_POWER_QUANTILE, key: str = "station_id",
-                value: str = "kwh", exact: bool = True) -> DataFrame:
-    means = tel.groupBy(key).agg(F.avg(value).alias("_m"))
-    p = F.percentile("_m", F.lit(q)) if exact else F.percentile_approx("_m", F.lit(q), 100000)
-    return means.agg(p.cast("double").alias("rated_kw"))
+                value: str = "kwh") -> DataFrame:
+    means = tel.groupBy(key).agg(F.avg(value).alias("_m")).where("_m is not null")
+    placed = means.withColumn("_r", F.floor(F.signum("_m") * F.log2(F.abs("_m") + F.lit(1.0)) * F.lit(256.0)))
+    counts = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
+    every = Window.orderBy("_r")
+    summed = counts.select("_r", "_n", F.coalesce(F.sum("_n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                           (F.lit(float(q)) * (F.sum("_n").over(Window.partitionBy()) - F.lit(1))).alias("_rank"))
+    wanted = summed.where((F.col("_off") <= F.ceil("_rank")) & (F.col("_off") + F.col("_n") > F.floor("_rank")))
+    at = F.col("_off") + F.row_number().over(Window.partitionBy("_r").orderBy("_m")) - F.lit(1)
+    some = placed.join(wanted.drop("_n"), "_r").withColumn("_at", at)
+    a = F.max(F.when(F.col("_at") == F.floor("_rank"), F.col("_m")))
+    b = F.max(F.when(F.col("_at") == F.ceil("_rank"), F.col("_m")))
+    return some.agg((a + (b - a) * (F.max("_rank") - F.floor(F.max("_rank")))).alias("rated_kw"))
 
 
 # History lookup (station, hour, weekday) -> mean reading.
@@ -38,15 +48,15 @@ def history_lookup(tel: DataFrame, key: str = "station_id", ts: str = "event_tim
 # falls back to the base price.  The lookup has at most 168 rows per station;
 # the join strategy is left to AQE (broadcast when its runtime size allows).
 def with_day_ahead(rows: DataFrame, lookup: DataFrame, rated: Column | float,
-                   base: float = C.BASE_PRICE_CAD) -> DataFrame:
+                   base: float = C.BASE_PRICE_CAD, grid: int | None = None) -> DataFrame:
     rated = F.lit(float(rated)) if isinstance(rated, (int, float)) else rated
     # price the lookup side (<= 168 rows per station) before the join, so the
     # rated-power scalar is applied once per lookup row, not per priced row
     priced = lookup.select("station_id", "hour_of_day", "day_of_week",
-                           F.round(F.lit(float(base)) * price_multiplier(F.col("hist_avg_kwh") / rated), 4)
+                           round_exact(F.lit(float(base)) * price_multiplier(F.col("hist_avg_kwh") / rated, grid=grid), 4)
                             .alias("_da"))
     j = rows.join(priced, on=["station_id", "hour_of_day", "day_of_week"], how="left")
-    price = F.coalesce(F.col("_da"), F.round(F.lit(float(base)), 4))
+    price = F.coalesce(F.col("_da"), round_exact(F.lit(float(base)), 4))
     return j.withColumn("day_ahead_price_cad", price).drop("_da")
 
 
@@ -68,7 +78,7 @@ def with_session(rows: DataFrame, cur: str = "capacity_utilization_ratio",
              .withColumn("_start", F.col("_active") & ~F.col("_prev")))
     lock = F.last(F.when(F.col("_start"), locked_price(dynamic, premium)), ignorenulls=True) \
             .over(w.rowsBetween(Window.unboundedPreceding, 0))
-    idle_price = F.round(F.lit(float(base)) * F.lit(float(premium)), 4)
+    idle_price = round_exact(F.lit(float(base)) * F.lit(float(premium)), 4)
     return (d.withColumn("guaranteed_price_cad", F.when(F.col("_active"), lock).otherwise(idle_price))
              .withColumn("session_status",
                          F.when(F.col("_start"), F.lit("session_started"))
@@ -88,7 +98,7 @@ PRICE_OUT = ["station_id", "time_bin", "predicted_kwh", "price_multiplier", "bas
 def price_features(features: DataFrame, history: DataFrame | None, predicted: Column | None = None,
                    base: float = C.BASE_PRICE_CAD, premium: float = C.GUARANTEE_PREMIUM,
                    rated: Column | float | None = None, keep_start: bool = False,
-                   lookup: DataFrame | None = None) -> DataFrame:
+                   lookup: DataFrame | None = None, grid: int | None = None) -> DataFrame:
     """``history`` is raw telemetry; a precomputed ``lookup`` (P05) and
     ``rated`` (P04) may be passed instead, as the pricing service builds them
     once at start-up."""
@@ -96,14 +106,14 @@ def price_features(features: DataFrame, history: DataFrame | None, predicted: Co
     lookup = lookup if lookup is not None else history_lookup(history)
     pred = predicted if predicted is not None else F.col("mean_kwh")
     cur = F.col("capacity_utilization_ratio")
-    d = (features.withColumn("predicted_kwh", F.round(pred, 4))
-                 .withColumn("_mult", price_multiplier(cur))
-                 .withColumn("price_multiplier", F.round(F.col("_mult"), 4))
+    d = (features.withColumn("predicted_kwh", round_exact(pred, 4))
+                 .withColumn("_mult", price_multiplier(cur, grid=grid))
+                 .withColumn("price_multiplier", round_exact("_mult", 4))
                  .withColumn("base_price_cad", F.lit(float(base)))
                  .withColumn("dynamic_price_cad", dynamic_price("_mult", base))
-                 .withColumn("alert_level", alert_level(cur)))
+                 .withColumn("alert_level", alert_level(cur, grid=grid)))
     d = with_session(d, base=base, premium=premium)
-    d = with_day_ahead(d, lookup, rated, base)
+    d = with_day_ahead(d, lookup, rated, base, grid)
     extra = ([c for c in ("window_start", "last_event_time", "capacity_utilization_ratio")
               if c in d.columns] if keep_start else [])
     return d.select(*PRICE_OUT, *extra)

@@ -2,21 +2,22 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task.  A station
 can hold a third of all readings, so for row-count frames (ROWS n PRECEDING,
-lag, lead) the series is cut into fixed-size blocks of consecutive rows and
-each block gets copies of the few neighbouring rows its frames reach
+lag) the series of a large key is cut into blocks of consecutive time slices,
+and each block gets copies of the preceding slices that its frames reach
 ("halo").  Frames then see exactly the rows they would see unsplit.
 
-Numbering rows of a key without one task per key:
+There is one plan for all keys and sizes:
 
-1. count rows per (key, time slice)      -- partial aggregate, small output
-2. running sum of those counts per key   -- window over the small count table
-3. row index = slice offset + row_number within (key, slice)
+1. count rows per (key, time slice): partial aggregation, one scan without values;
+2. a running sum per key turns the counts into block numbers; only slices of
+   keys with more than ``block_rows`` rows are kept, so the table is small;
+3. readings meet that table on (key, slice): rows of other keys find nothing
+   and are block 0, rows of large keys get their block, and once more each
+   block whose frames reach back to them;
+4. the window is partitioned by (key, block) and the copies are dropped.
 
-then ``block = index div block_rows``; every row some other block's frames
-reach is copied into that block (possibly several blocks away when a block
-is shorter than a frame) with ``_halo = true``, and the copies are dropped
-after the window is evaluated.  The slice width is sized from the hottest
-key's rate (``slice_for``) so a (key, slice) group stays small.
+Blocks are cut by counts, so an uneven spread in time makes more blocks, not
+larger ones.  What one station reads within one slice stays together.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridstream import config as C
 from gridstream.functions.rules import bin_start
@@ -37,114 +37,52 @@ def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    """Largest group size (one scalar back to the driver)."""
-    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
-
-
-_DECISIONS: dict = {}
-
-
-def needs_blocks(df: DataFrame, key: str, block_rows: int) -> bool:
-    """True when some key holds more than ``block_rows`` rows.
-
-    Two tiers: a plain count first (no key can exceed the total), the
-    per-key maximum only when the total is larger.  Decisions are remembered
-    per analysed plan for the session, like AQE's runtime statistics.
-    """
-    return key_stats(df, key, block_rows)[0]
-
-
-def key_stats(df: DataFrame, key: str, block_rows: int) -> tuple[bool, int]:
-    """(some key exceeds block_rows, rows of the largest key or 0 if unknown)."""
-    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, int(block_rows))
-    if memo not in _DECISIONS:
-        if df.count() <= block_rows:
-            _DECISIONS[memo] = (False, 0)
-        else:
-            m = max_rows_per_key(df, key)
-            _DECISIONS[memo] = (m > block_rows, m)
-    return _DECISIONS[memo]
-
-
-def slice_for(df: DataFrame, ts: str, max_rows: int, block_rows: int, cap: int = 60) -> int:
-    """Time-slice width (minutes) giving the largest key about block_rows / 8
-    rows per slice when its readings are spread over the observed span."""
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
-    if lo is None or max_rows <= 0:
-        return cap
-    span = max(1.0, (hi - lo).total_seconds() / 60.0)
-    return int(min(cap, max(1, span * block_rows / (8.0 * max_rows))))
-
-
-def index_rows(df: DataFrame, key: str, order: Sequence, ts: str,
-               slice_minutes: int = 60) -> DataFrame:
-    """Add ``_idx``: 0-based position of each row within its key in ``order``.
-
-    ``order`` must start with ``ts`` so that time slices are ordered too.
-    """
-    d = df.withColumn("_slice", bin_start(ts, slice_minutes))
-    counts = d.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy(key, "_slice").orderBy(*_order_cols(order))
-    return (d.join(offsets, on=[key, "_slice"], how="inner")
-             .withColumn("_idx", F.col("_off") + F.row_number().over(within) - F.lit(1))
-             .drop("_slice", "_off"))
+def block_map(df: DataFrame, key: str, halo_before: int, block_rows: int) -> DataFrame:
+    """(key, _slice, _blk, _halo) of the slices of keys with more than
+    ``block_rows`` rows: each slice's own block, and later blocks that reach it."""
+    counts = df.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    by = Window.partitionBy(key)
+    before = by.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    large = (counts.withColumn("_all", F.sum("_n").over(by))
+             .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .filter(F.col("_all") > F.lit(int(block_rows))))
+    b = F.lit(int(block_rows))
+    own = F.floor(F.col("_off") / b)
+    last = F.floor((F.col("_off") + F.col("_n") + F.lit(int(halo_before) - 1)) / b)
+    return (large.withColumn("_own", own).withColumn("_blk", F.explode(F.sequence(own, F.greatest(own, last))))
+            .select(key, "_slice", "_blk", (F.col("_blk") != F.col("_own")).alias("_halo")))
 
 
 def ordered_window(df: DataFrame, key: str, order: Sequence, compute: Compute, *,
-                   ts: str | None = None, halo_before: int = 0, halo_after: int = 0,
-                   block_rows: int = C.ROLLING_BLOCK_ROWS, mode: str = "auto",
-                   slice_minutes: int = 60) -> DataFrame:
+                   ts: str | None = None, halo_before: int = 0, block_rows: int = C.ROLLING_BLOCK_ROWS,
+                   mode: str = "blocked", slice_minutes: int = 60) -> DataFrame:
     """Evaluate ``compute(df, window)`` with ``window`` ordered per key.
 
-    ``compute`` must only use row frames reaching at most ``halo_before``
-    rows back and ``halo_after`` rows forward.  ``mode``: ``"simple"`` (one
-    partition per key), ``"blocked"`` (always split) or ``"auto"`` (keys
-    with more than ``block_rows`` rows are split, the rest stay simple).
+    ``compute`` must only use row frames reaching at most ``halo_before`` rows
+    back.  ``mode``: ``"blocked"`` (keys above ``block_rows`` rows are split) or
+    ``"simple"`` (one partition per key; the reference point of the tests).
+    ``order`` starts with ``ts``, so that slices are ordered too.
     """
-    simple_w = Window.partitionBy(key).orderBy(*_order_cols(order))
-    if mode == "auto":
-        hot_any, max_rows = key_stats(df, key, block_rows)
-        if not hot_any:
-            return compute(df, simple_w)
-        slice_minutes = min(slice_minutes, slice_for(df, ts or order[0], max_rows, block_rows))
-        # only the hot keys pay for numbering and blocks; the others keep the
-        # one-shuffle plan.  The hot-key table has at most rows/block_rows
-        # entries; its join strategy is left to AQE.
-        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.filter(F.col("_n") > F.lit(int(block_rows))).select(key)
-        cold = compute(df.join(hot, key, "left_anti"), simple_w)
-        heavy = ordered_window(df.join(hot, key, "left_semi"), key, order, compute, ts=ts,
-                               halo_before=halo_before, halo_after=halo_after, block_rows=block_rows,
-                               mode="blocked", slice_minutes=slice_minutes)
-        return cold.unionByName(heavy)
     if mode == "simple":
-        return compute(df, simple_w)
-
+        return compute(df, Window.partitionBy(key).orderBy(*_order_cols(order)))
     ts = ts or (order[0] if isinstance(order[0], str) else None)
     if ts is None:
-        raise ValueError("blocked mode needs a timestamp column to slice on")
-    idx = index_rows(df, key, order, ts, slice_minutes)
-    b = F.lit(int(block_rows))
-    i = F.col("_idx")
-    blk = F.floor(i / b)
-    tgt = T.ArrayType(T.StructType([T.StructField("b", T.LongType()), T.StructField("h", T.BooleanType())]))
-    none = F.array().cast(tgt)
-
-    def copies(lo, hi):   # halo copies into blocks lo..hi (empty when hi < lo)
-        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda x: F.struct(
-            x.cast("long").alias("b"), F.lit(True).alias("h")))).otherwise(none)
-
-    # row i is read by the frames of rows i+1..i+before and i-after..i-1,
-    # which may lie several blocks away when a block is shorter than a frame
-    targets = F.concat(F.array(F.struct(blk.cast("long").alias("b"), F.lit(False).alias("h"))),
-                       copies(blk + 1, F.floor((i + F.lit(int(halo_before))) / b)) if halo_before else none,
-                       copies(F.greatest(F.floor((i - F.lit(int(halo_after))) / b), F.lit(0)), blk - 1)
-                       if halo_after else none)
-    spread = (idx.withColumn("_t", F.explode(targets))
-                 .withColumn("_blk", F.col("_t.b")).withColumn("_halo", F.col("_t.h")).drop("_t"))
-    w = Window.partitionBy(key, "_blk").orderBy("_idx")
-    return compute(spread, w).filter(~F.col("_halo")).drop("_idx", "_blk", "_halo")
+        raise ValueError("a timestamp column is needed to slice on")
+    d = df.withColumn("_slice", bin_start(ts, slice_minutes))
+    placed = (d.join(block_map(d, key, halo_before, block_rows), [key, "_slice"], "left")
+              .withColumn("_blk", F.coalesce("_blk", F.lit(0))))
+    w = Window.partitionBy(key, "_blk").orderBy(*_order_cols(order))
+    return compute(placed, w).filter(~F.coalesce("_halo", F.lit(False))).drop("_slice", "_blk", "_halo")
+
+
+def sliced_rank(df: DataFrame, part: Sequence[str], order: str, name: str, slice_chars: int = 3) -> DataFrame:
+    """``name``: 1-based position of each row's ``order`` (a text, distinct
+    within ``part``) without one task per part: rows are counted by the first
+    characters, counts summed over the few slices, rows numbered per slice."""
+    d = df.withColumn("_slice", F.substring(order, 1, slice_chars))
+    counts = d.groupBy(*part, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(*part, "_slice").orderBy(order)
+    return (d.withColumn("_pos", F.row_number().over(within)).join(offsets, [*part, "_slice"])
+            .withColumn(name, F.col("_off") + F.col("_pos")).drop("_slice", "_pos", "_off"))

@@ -111,22 +111,19 @@ def current_stress(grid: DataFrame, latest: DataFrame, capacity: float = C.CAPAC
                  .withColumn("band", stress_band("grid_stress_score")))
 
 
-# Mean latency and p95 = sorted[int(0.95 n) - 1] when n >= 20, over the
-# bounded latency buffer (samples outside (-1000, 600000) ms or with no
-# positive message time are not kept).
-def latency_stats(samples: DataFrame, latency: str = "latency_ms", msg_ts: str = "kafka_ts_ms",
-                  q: float = 0.95, min_n: int = C.P95_MIN_SAMPLES) -> DataFrame:
+# The latency buffer holds the newest n samples that count (those outside
+# (-1000, 600000) ms or with no positive message time never enter it); mean,
+# and p95 = sorted[int(0.95 k) - 1] when k >= 20 samples are there.  The
+# buffer is bounded by n, so its order fits one task.
+def latency_stats(msgs: DataFrame, latency: str = "latency_ms", msg_ts: str = "kafka_ts_ms",
+                  n: int = C.PRICE_BUFFER_SIZE, order=("arrival_ms", "station_id"), q: float = 0.95,
+                  min_n: int = C.P95_MIN_SAMPLES) -> DataFrame:
     from gridstream.functions.rules import latency_ok
-    ok = samples.filter(latency_ok(latency, msg_ts)).select(F.col(latency).cast("double").alias("_l"))
-    n = ok.agg(F.count(F.lit(1))).scalar()
-    k = F.floor(F.lit(float(q)) * n)
-    ranked = ok.withColumn("_rk", F.row_number().over(Window.orderBy("_l")))
-    p95 = ranked.filter(F.col("_rk") == k).agg(F.max("_l")).scalar()
-    spark = samples.sparkSession
-    return spark.range(1).select(
-        ok.agg(F.avg("_l")).scalar().alias("avg_latency_ms"),
-        F.when(n >= F.lit(int(min_n)), p95).alias("p95_latency_ms"),
-        n.alias("n_samples"))
+    kept = last_by_arrival(msgs.filter(latency_ok(latency, msg_ts)), n, order)
+    held = kept.agg(F.sort_array(F.collect_list(F.col(latency).cast("double"))).alias("_l"), F.avg(latency).alias("avg_latency_ms"))
+    k = F.floor(F.lit(float(q)) * F.size("_l")).cast("int")
+    return held.select("avg_latency_ms", F.when(F.size("_l") >= F.lit(int(min_n)), F.get("_l", k - 1)).alias("p95_latency_ms"),
+                       F.size("_l").cast("long").alias("n_samples"))
 
 
 # Heatmap over the newest n distinct bins; label HH:mm (the same label
@@ -148,6 +145,21 @@ def by_multiplier(latest: DataFrame) -> DataFrame:
     return latest.orderBy(F.col("price_multiplier").desc(), F.col("station_id"))
 
 
+# The place of each station in that order, without ordering all stations
+# in one task: stations are counted by multiplier and first characters, the
+# counts are summed over those few slices, and places counted per slice.
+def multiplier_positions(latest: DataFrame) -> DataFrame:
+    d = latest.withColumn("_m", -F.col("price_multiplier")).withColumn("_s", F.substring("station_id", 1, 3))
+    counts = d.groupBy("_m", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    level = counts.groupBy("_m").agg(F.sum("_n").alias("_n"))
+    upto = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = counts.withColumn("_in", upto(Window.partitionBy("_m").orderBy("_s"))).join(
+        level.select("_m", upto(Window.orderBy("_m")).alias("_base")), "_m")
+    place = F.row_number().over(Window.partitionBy("_m", "_s").orderBy("station_id"))
+    return (d.withColumn("_place", place).join(bases.select("_m", "_s", (F.col("_base") + F.col("_in")).alias("_off")), ["_m", "_s"])
+            .withColumn("position", (F.col("_off") + F.col("_place")).cast("int")).drop("_m", "_s", "_place", "_off"))
+
+
 # Status table, 7 columns, by station.
 def status_table(latest: DataFrame) -> DataFrame:
     return latest.select(*[c for c in STATUS_COLS if c in latest.columns]).orderBy("station_id")

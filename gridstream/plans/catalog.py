@@ -8,6 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstream import config as C
 from gridstream import schemas as SC
 from gridstream.functions import rules as RU
 from gridstream.functions.rules import alert_text, format_ts
@@ -21,8 +22,9 @@ from gridstream.plans.common import rounded
 from gridstream.sources import messages as MS
 from gridstream.sources import sinks as SK
 from gridstream.sources import telemetry as TL
-from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, Profile, load_telemetry
+from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, PROFILE_E, Profile, load_telemetry
 
+OVERLOAD_QUANTILE = 0.9      # the overload line of the given data: their own level is far below 0.80
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -78,37 +80,22 @@ def q_features_b(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-def features_stage(spark, sf_dir) -> DataFrame:
-    """Stage table: profile-B feature vectors (the features topic)."""
-    from gridstream.plans.stages import stage
-    return stage(spark, sf_dir, "features_B", lambda: features_of(spark, sf_dir, PROFILE_B, keep_start=True))
+GRID = 9      # averaged utilisations meet their limits on a 1e-9 grid, in the SQL alike
 
 
-def history_stage(spark, sf_dir):
-    """Stage tables: the day-ahead lookup and the rated power, built once
-    from the raw telemetry (the pricing service builds them at start-up)."""
-    from gridstream.plans.stages import stage
-    t = tel(spark, sf_dir, PROFILE_B)
-    lookup = stage(spark, sf_dir, "history_B", lambda: PR.history_lookup(t))
-    rated = stage(spark, sf_dir, "rated_B", lambda: PR.rated_power(t))
-    return lookup, rated.scalar()
-
-
-def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False) -> DataFrame:
-    """Pricing reads the feature stage, as the pricing service reads the
-    features topic, and the history stage."""
-    lookup, rated = history_stage(spark, sf_dir)
-    return PR.price_features(features_stage(spark, sf_dir), None, keep_start=keep_start,
-                             lookup=lookup, rated=rated)
+def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False, predicted=None, features=None) -> DataFrame:
+    """Priced windows of a profile; the day-ahead lookup and the rated power come from the raw telemetry."""
+    f = features if features is not None else features_of(spark, sf_dir, p, keep_start=True)
+    return PR.price_features(f, tel(spark, sf_dir, p), predicted=predicted, keep_start=keep_start, grid=GRID)
 
 
 @register("p01_window_prices")
 def q_window_prices(spark, sf_dir):
     f = features_of(spark, sf_dir, PROFILE_A)
-    m = RU.price_multiplier("capacity_utilization_ratio")
+    m = RU.price_multiplier("capacity_utilization_ratio", grid=GRID)
     return rounded(f.select("station_id", "time_bin", "capacity_utilization_ratio",
-                            F.round(m, 4).alias("price_multiplier"),
-                            RU.alert_level("capacity_utilization_ratio").alias("alert_level"),
+                            RU.round_exact(m, 4).alias("price_multiplier"),
+                            RU.alert_level("capacity_utilization_ratio", grid=GRID).alias("alert_level"),
                             RU.dynamic_price(m).alias("dynamic_price_cad")))
 
 
@@ -146,9 +133,8 @@ ARRIVAL_PAD_MS = PROFILE_B.window_minutes * 60000 + 30000
 
 
 def stored_priced(spark, sf_dir) -> DataFrame:
-    """Stage table: priced windows as stored (the inference rows)."""
-    from gridstream.plans.stages import stage
-    return stage(spark, sf_dir, "priced_B", lambda: priced_of(spark, sf_dir, PROFILE_B, keep_start=True))
+    """Priced windows as stored (the inference rows)."""
+    return priced_of(spark, sf_dir, PROFILE_B, keep_start=True)
 
 
 def messages_of(spark, sf_dir) -> DataFrame:
@@ -224,50 +210,48 @@ def q_combined(spark, sf_dir):
     return combined_out(dashboard_frames(spark, sf_dir)[3])
 
 
+def latest_of(spark, sf_dir) -> DataFrame:
+    """The latest stored row of every station (from all stored rows, not the buffers)."""
+    stored = messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))
+    return SV.latest_per_station(stored.select(*PR.PRICE_OUT, "created_at"))
+
+
 @register("d04_latest_per_station")
 def q_latest(spark, sf_dir):
-    return combined_out(SV.latest_per_station(dashboard_frames(spark, sf_dir)[3]))
+    latest = latest_of(spark, sf_dir)
+    return rounded(latest.withColumn("time_bin", format_ts("time_bin")).withColumn("created_at", format_ts("created_at")))
 
 
 @register("d05_kpis")
 def q_kpis(spark, sf_dir):
-    return rounded(SV.kpis(SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])))
+    return rounded(SV.kpis(latest_of(spark, sf_dir)))
 
 
 @register("d06_current_stress")
 def q_current_stress(spark, sf_dir):
-    msgs, _, _, comb = dashboard_frames(spark, sf_dir)
-    latest = SV.latest_per_station(comb)
-    return rounded(SV.current_stress(grid_of(msgs), latest, PROFILE_B.capacity))
+    return rounded(SV.current_stress(grid_of(messages_of(spark, sf_dir)), latest_of(spark, sf_dir), PROFILE_B.capacity))
 
 
 @register("d08_latency_stats")
 def q_latency(spark, sf_dir):
     msgs = messages_of(spark, sf_dir)
-    buf = SV.last_by_arrival(msgs).select(
-        (F.col("arrival_ms") - F.col("kafka_ts_ms")).cast("double").alias("latency_ms"), "kafka_ts_ms")
-    return rounded(SV.latency_stats(buf))
+    return rounded(SV.latency_stats(msgs.withColumn("latency_ms", (F.col("arrival_ms") - F.col("kafka_ts_ms")).cast("double"))))
 
 
 @register("d09_heatmap")
 def q_heatmap(spark, sf_dir):
-    return rounded(SV.heatmap_long(dashboard_frames(spark, sf_dir)[3]))
+    return rounded(SV.heatmap_long(messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))))
 
 
 @register("d10_by_multiplier")
 def q_by_multiplier(spark, sf_dir):
-    from pyspark.sql import Window
-    latest = SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])
-    # one row per station: the ordered position is a small global sort
-    w = Window.orderBy(F.col("price_multiplier").desc(), F.col("station_id"))
-    return rounded(SV.by_multiplier(latest).select("station_id", "price_multiplier", "alert_level",
-                                                   F.row_number().over(w).alias("position")))
+    placed = SV.multiplier_positions(latest_of(spark, sf_dir))
+    return rounded(placed.select("station_id", "price_multiplier", "alert_level", "position"))
 
 
 @register("d11_status_table")
 def q_status(spark, sf_dir):
-    latest = SV.latest_per_station(dashboard_frames(spark, sf_dir)[3])
-    return rounded(SV.status_table(latest).withColumn("time_bin", format_ts("time_bin")))
+    return rounded(SV.status_table(latest_of(spark, sf_dir)).withColumn("time_bin", format_ts("time_bin")))
 
 
 @register("d12_grid_trend")
@@ -292,13 +276,18 @@ def q_seen(spark, sf_dir):
     return SV.messages_seen(messages_of(spark, sf_dir))
 
 
+@register("d14_alert_buffer")
+def q_alert_buffer(spark, sf_dir):
+    a = SV.last_by_arrival(alerts_of(spark, sf_dir), C.ALERT_BUFFER_SIZE, ("arrival_ms", "key", "time_bin"))
+    return rounded(a.select(*ALERT_COLS))
+
+
 @register("d16_last_rows")
 def q_last_rows(spark, sf_dir):
-    msgs = messages_of(spark, sf_dir)
-    top = msgs.orderBy(F.col("created_at").desc(), F.col("station_id").desc()).limit(10)
-    return rounded(top.select("station_id", "time_bin", "predicted_kwh", "dynamic_price_cad",
-                              "guaranteed_price_cad", "day_ahead_price_cad", "session_status",
-                              "alert_level"))
+    """Newest rows by id; a stored row's id grows with arrival, then station."""
+    stored = messages_of(spark, sf_dir).withColumn("id", F.col("arrival_ms") * 1000000 + F.col("station_id").cast("long"))
+    return rounded(SV.last_rows(stored).select("id", "station_id", "time_bin", "predicted_kwh", "dynamic_price_cad",
+                                               "guaranteed_price_cad", "day_ahead_price_cad", "session_status", "alert_level"))
 
 
 @register("d17_alert_text")
@@ -313,29 +302,23 @@ def q_alert_feed(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Detector evaluation (profile B)
+# Detector evaluation (profile E)
 # ---------------------------------------------------------------------------
 
-N_SWEEP = [4, 8, 16, 32, 64]
-P_SWEEP = [1.0, 0.85, 0.7, 0.55, 0.4]
-
-
 def eval_long(spark, sf_dir) -> DataFrame:
-    """The evaluation's long table, written once to the checkpoint folder
-    (one row per station-window; every evaluation query reads it several
-    times, including through scalar subqueries)."""
-    from gridstream.plans.stages import stage
-    p = PROFILE_B
-    f = features_stage(spark, sf_dir)
-    return stage(spark, sf_dir, "long_B",
-                 lambda: EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes)))
+    """The evaluation's long table (profile E: enough readings per cell, and
+    more stations per scenario than the largest sweep size)."""
+    p = PROFILE_E
+    f = features_of(spark, sf_dir, p, keep_start=True)
+    first = tel(spark, sf_dir, p).agg(F.min(RU.bin_start("event_time", p.window_minutes))).scalar()
+    return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes, t0=first))
 
 
 def eval_parts(spark, sf_dir):
     lng = eval_long(spark, sf_dir)
     T = EV.n_windows(lng)
     lo = EV.held_out_lo(T)
-    grid = EV.window_grid(lng, T)
+    grid = EV.window_grid(lng, T, quantile=OVERLOAD_QUANTILE)
     return lng, T, lo, grid
 
 
@@ -371,7 +354,7 @@ def q_zones(spark, sf_dir):
 
 
 def eval_metrics(spark, sf_dir) -> DataFrame:
-    return EV.detector_metrics(eval_long(spark, sf_dir))
+    return EV.detector_metrics(eval_long(spark, sf_dir), quantile=OVERLOAD_QUANTILE)
 
 
 @register("e08_detector_metrics")
@@ -389,7 +372,7 @@ def q_roc(spark, sf_dir):
 
 @register("e12_operating_points")
 def q_operating(spark, sf_dir):
-    return rounded(EV.operating_points(eval_metrics(spark, sf_dir)))
+    return rounded(EV.operating_points(eval_metrics(spark, sf_dir), PROFILE_E.window_minutes))
 
 
 @register("e13_picked_thresholds")
@@ -399,24 +382,24 @@ def q_picked(spark, sf_dir):
 
 @register("e14_comparison_table")
 def q_comparison(spark, sf_dir):
-    return rounded(EV.comparison_table(eval_metrics(spark, sf_dir)))
+    return rounded(EV.comparison_table(eval_metrics(spark, sf_dir), width_minutes=PROFILE_E.window_minutes), 3)
 
 
 @register("e15_curves")
 def q_curves(spark, sf_dir):
-    return rounded(EV.curves(eval_metrics(spark, sf_dir)))
+    return rounded(EV.curves(eval_metrics(spark, sf_dir), PROFILE_E.window_minutes))
 
 
 @register("e16_station_sweep")
 def q_station_sweep(spark, sf_dir):
-    sub = EV.station_subsets(eval_long(spark, sf_dir), sizes=N_SWEEP)
-    return rounded(EV.sweep_table(sub, "n_stations"))
+    sub = EV.station_subsets(eval_long(spark, sf_dir), sizes=C.STATION_SWEEP)
+    return rounded(EV.sweep_table(sub, "n_stations", width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE))
 
 
 @register("e17_participation_sweep")
 def q_participation_sweep(spark, sf_dir):
-    sub = EV.station_subsets(eval_long(spark, sf_dir), fractions=P_SWEEP)
-    return rounded(EV.sweep_table(sub, "participation"))
+    sub = EV.station_subsets(eval_long(spark, sf_dir), fractions=C.PARTICIPATION_SWEEP)
+    return rounded(EV.sweep_table(sub, "participation", width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE))
 
 
 @register("m05_forecast_alignment")
@@ -484,31 +467,92 @@ def q_inference_rows(spark, sf_dir):
 
 @register("s19_data_quality_events")
 def q_dq_events(spark, sf_dir):
-    r = MS.data_quality_events(routed(spark, sf_dir)["data-quality"]).drop("raw_payload")
-    return rounded(r.withColumn("time_bin", format_ts("time_bin")))
+    """Every second station's messages lack a reason: the default stands in."""
+    d = FE.data_quality_rows(FE.clean_readings(tel(spark, sf_dir, PROFILE_A)))
+    even = F.col("station_id").cast("int") % 2 == 0
+    dq = MS.encode(d.where(even), "data-quality").unionByName(MS.encode(d.where(~even).drop("reason"), "data-quality"))
+    r = MS.data_quality_events(MS.route(dq, {"data-quality": SC.DATA_QUALITY_IN})["data-quality"])
+    raw = F.from_json("raw_payload", "station_id string, time_new string")
+    return rounded(r.withColumn("time_bin", format_ts("time_bin")).withColumn("raw_key", F.concat_ws("|", raw["station_id"], raw["time_new"]))
+                   .drop("raw_payload"))
+
+
+def new_table(spark, name: str) -> str:
+    return SK.table_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 @register("s11_upsert_replay")
 def q_upsert(spark, sf_dir):
-    """Features written through the keyed upsert sink twice (a replay), read back."""
-    path = SK.table_path(spark, f"features-{uuid.uuid4().hex}")
+    """Two versions of every feature row through the keyed upsert sink, both
+    replayed, the older one last; the newer version is read back."""
+    path = new_table(spark, "features")
     f = features_of(spark, sf_dir, PROFILE_B)
-    SK.upsert(f, path)
-    SK.upsert(f, path)
-    return rounded(spark.read.parquet(path).drop("dt"))
+    older = f.withColumn("mean_kwh", F.col("mean_kwh") + 1.0).withColumn("version", F.lit(1))
+    newer = f.withColumn("version", F.lit(2))
+    for batch in (older, newer, newer, older):
+        SK.upsert(batch, path, order="version")
+    return rounded(spark.read.parquet(path).drop("dt", "version"))
+
+
+@register("s12_append_batches")
+def q_append(spark, sf_dir):
+    """Data-quality rows appended by batch id, each batch twice (a replay), read back."""
+    path = new_table(spark, "dq")
+    d = FE.data_quality_rows(FE.clean_readings(tel(spark, sf_dir, PROFILE_A)))
+    halves = F.col("station_id").cast("int") % 2 == 0
+    for i, batch in enumerate((d.where(halves), d.where(~halves))):
+        SK.append_batch(batch, path, i)
+        SK.append_batch(batch, path, i)
+    return rounded(spark.read.parquet(path).drop("batch_id"))
 
 
 @register("s20_insert_once")
 def q_insert_once(spark, sf_dir):
-    """Grid rows inserted twice through the insert-once guard, read back."""
-    path = SK.table_path(spark, f"grid-{uuid.uuid4().hex}")
+    """Grid rows inserted twice, each batch holding every bin twice, through
+    the insert-once guard, read back."""
+    path = new_table(spark, "grid")
     g = grid_of(stored_priced(spark, sf_dir)).select(
         "time_bin", "stress_score", "station_count", "triggered_alert")
-    SK.insert_once(g, path)
-    SK.insert_once(g, path)
+    twice = g.unionByName(g.withColumn("stress_score", F.col("stress_score") + 1.0))
+    SK.insert_once(twice, path)
+    SK.insert_once(twice, path)
     return rounded(spark.read.parquet(path))
 
 
+@register("s21_surrogate_ids")
+def q_ids(spark, sf_dir):
+    """Two insert batches get dense ids, the second above the first."""
+    path = new_table(spark, "ids")
+    rows = FE.data_quality_rows(FE.clean_readings(tel(spark, sf_dir, PROFILE_A))).withColumn("k", F.concat_ws("|", "station_id", "time_new"))
+    even = F.col("station_id").cast("int") % 2 == 0
+    SK.with_ids(rows.where(even), None, "k").write.parquet(path)
+    SK.with_ids(rows.where(~even), spark.read.parquet(path), "k").write.mode("append").parquet(path)
+    t = spark.read.parquet(path)
+    return (t.groupBy(even.alias("first_batch")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"),
+                                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+                                                     F.count("created_at").alias("n_created")))
+
+
+@register("s22_added_columns")
+def q_added_columns(spark, sf_dir):
+    """Old files without the added columns and new files with them, read as one table."""
+    path = new_table(spark, "evolved")
+    rows = priced_of(spark, sf_dir).select("station_id", "time_bin", "predicted_kwh", "guaranteed_price_cad", "day_ahead_price_cad")
+    even = F.col("station_id").cast("int") % 2 == 0
+    rows.where(even).drop("guaranteed_price_cad", "day_ahead_price_cad").write.mode("append").parquet(path)
+    rows.where(~even).write.mode("append").parquet(path)
+    return rounded(SK.read_table(spark, path))
+
+
+@register("s24_exported_table")
+def q_exported(spark, sf_dir):
+    """The detector comparison as one CSV file, read back."""
+    path = new_table(spark, "csv")
+    t = q_comparison(spark, sf_dir)
+    SK.export_csv(t, path)
+    return spark.read.schema(t.schema).option("header", True).csv(path)
+
+
 # ---------------------------------------------------------------------------
 # Offline features and the forecaster (profile B)
 # ---------------------------------------------------------------------------
@@ -571,12 +615,8 @@ def q_train_validate(spark, sf_dir):
 def q_scored_prices(spark, sf_dir):
     """M02 + P09: priced rows whose predicted_kwh comes from the trained model."""
     model, _ = trained(spark, sf_dir)
-    p = PROFILE_B
-    t = tel(spark, sf_dir, p)
-    f = FE.stream_features(t, p.window_minutes, p.capacity, keep_start=True)
-    scored = MO.score(model, f, out="_pred")
-    lookup, rated = history_stage(spark, sf_dir)
-    return rounded(PR.price_features(scored, None, predicted=F.col("_pred"), lookup=lookup, rated=rated))
+    scored = MO.score(model, features_of(spark, sf_dir, PROFILE_B, keep_start=True), out="_pred")
+    return rounded(priced_of(spark, sf_dir, PROFILE_B, predicted=F.col("_pred"), features=scored))
 
 
 @register("f19_reduced_features")

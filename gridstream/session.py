@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,9 @@ CORE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the stream operators keep state by key and time
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -27,8 +31,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     })
     conf.update(extra or {})
     for k, v in conf.items():
@@ -39,40 +41,33 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (tests, local runs) is a private folder created and set.  The folder is
-    set once: Spark adds a fresh sub-folder on every ``setCheckpointDir``.
+    Only a local master may do without: it gets a folder of its own, removed
+    when the process ends.  On a cluster a missing setting is an error, as a
+    machine-local folder would lose what other machines wrote.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = _OWN.get(sc.applicationId)
+        if base is None:
+            base = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="gridstream-ckpt-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
     if sc.getCheckpointDir() is None:
-        if not base:
-            base = fallback or tempfile.mkdtemp(prefix="gridstream-ckpt-", dir="/tmp")
-            spark.conf.set("spark.checkpoint.dir", base) if _conf_settable(spark) else None
         sc.setCheckpointDir(base)
-    return base or sc.getCheckpointDir()
+    return base
 
 
-def _conf_settable(spark: SparkSession) -> bool:
-    try:
-        return spark.conf.isModifiable("spark.checkpoint.dir")
-    except Exception:   # noqa: BLE001
-        return False
-
-
-_BASES: dict = {}
+_OWN: dict[str, str] = {}     # local masters only: application id -> its folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate
-    tables (one stable base per session)."""
-    app = spark.sparkContext.applicationId
-    if app not in _BASES:
-        _BASES[app] = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{_BASES[app]}/gridstream-tables/{name}"
+    """A path under the shared checkpoint folder for written intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridstream-tables/{spark.sparkContext.applicationId}/{name}"
 
 
 def materialize(df, name: str | None = None):

@@ -6,13 +6,11 @@ inside ``foreachBatch``; a replayed batch leaves the table unchanged.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -22,7 +20,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """Read with additive schema evolution (files with fewer columns
     read as NULL in the new ones)."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return None
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
@@ -32,32 +30,33 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-# Upsert keyed (station_id, time_bin); last write wins.  Partitioned by
-# day; only the days a batch touches are rewritten (dynamic overwrite):
-# existing rows of those days minus the batch's keys, plus the batch.
-def upsert(batch: DataFrame, path: str, keys=("station_id", "time_bin"), order: str | None = None,
+# Upsert keyed (station_id, time_bin); the newest version by ``order``
+# wins, in the batch and against what is stored.  Partitioned by day; only the
+# days a batch touches are rewritten (dynamic overwrite).  Days compare
+# null-safe, so stored rows without a day stay; rows with a null key can't be
+# addressed and go to ``<path>-rejected``.
+def upsert(batch: DataFrame, path: str, order: str, keys=("station_id", "time_bin"),
            day_col: str = "dt", ts_col: str = "time_bin") -> None:
+    from gridstream.session import materialize
     spark = batch.sparkSession
     keys = list(keys)
+    batch = materialize(batch)        # every step below reads one and the same batch
+    unkeyed = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    rejected = batch.where(unkeyed)
+    if not rejected.isEmpty():
+        rejected.write.mode("append").parquet(path + "-rejected")
+    batch = batch.where(~unkeyed).withColumn(day_col, F.to_date(F.col(ts_col)))
     if batch.isEmpty():
         return
-    if order:   # several versions of a key in one batch: keep the newest
-        w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-        batch = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    else:
-        batch = batch.dropDuplicates(keys)
-    batch = batch.withColumn(day_col, F.to_date(F.col(ts_col)))
     old = read_table(spark, path)
     if old is not None:
-        days = batch.select(day_col).distinct()
-        touched = old.join(F.broadcast(days), day_col, "left_semi")   # days of one batch: bounded
-        keep = touched.join(batch.select(*keys), keys, "left_anti")
-        # the touched partitions are rewritten, so the union must not read them lazily
-        from gridstream.session import materialize
-        out = materialize(keep.unionByName(batch, allowMissingColumns=True))
-    else:
-        out = batch
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        days = batch.select(F.col(day_col).alias("_day")).distinct()
+        touched = old.join(days, old[day_col].eqNullSafe(F.col("_day")), "left_semi")
+        batch = touched.unionByName(batch, allowMissingColumns=True)
+    others = [c for c in batch.columns if c not in keys]
+    newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order)).alias("_r")).select(*keys, "_r.*")
+    # the touched partitions are rewritten, so the write must not read them
+    (materialize(newest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(path))
 
 
@@ -70,28 +69,29 @@ def append_batch(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet
 
 
 # Surrogate id = max existing id + a dense position, and a created_at
-# default.  Positions come from per-partition offsets (row counts per input
-# partition, running sum over that one-row-per-partition table) plus the
-# row number inside the partition, so no single task numbers the batch.
-# The reference promises no order among rows of one insert batch.
-def with_ids(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+# default.  Positions follow ``key`` (a column distinct in the batch): rows are
+# counted by ``slices`` hash slices of the key, the counts summed, and rows
+# numbered per slice, so the same row gets the same id whenever it is computed.
+def with_ids(batch: DataFrame, existing: DataFrame | None, key: str, slices: int = 1024) -> DataFrame:
     base = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar() if existing is not None else F.lit(0)
-    d = batch.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_pid").orderBy("_mid")
-    return (d.join(F.broadcast(offsets), "_pid")      # one row per input partition
-             .withColumn("id", (base + F.col("_off") + F.row_number().over(within)).cast("long"))
-             .withColumn("created_at", F.current_timestamp())
-             .drop("_pid", "_mid", "_off"))
-
-
-# Insert-once guard: bins already stored are not inserted again.
+    d = batch.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(int(slices))))
+    counts = d.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(key))
+    return (d.withColumn("_pos", place).join(offsets, "_slice")
+             .withColumn("id", (base + F.col("_off") + F.col("_pos")).cast("long"))
+             .withColumn("created_at", F.current_timestamp()).drop("_slice", "_pos", "_off"))
+
+
+# Insert-once guard: bins already stored are not inserted again, and of
+# several rows of one bin in a batch the least by its other columns enters.
 def insert_once(batch: DataFrame, path: str, key: str = "time_bin") -> DataFrame:
     spark = batch.sparkSession
     old = read_table(spark, path)
     new = batch if old is None else batch.join(old.select(key).distinct(), key, "left_anti")
+    others = [c for c in batch.columns if c != key]
+    new = new.groupBy(key).agg(F.min(F.struct(*others)).alias("_r")).select(key, "_r.*").select(*batch.columns)
     new.write.mode("append").parquet(path)
     return new
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridstream import config as C
 from gridstream import schemas
-from gridstream.functions.rules import format_ts, parse_ts
+from gridstream.functions.rules import bin_start, format_ts, parse_ts
 
 
 # Typed scan of a telemetry trace (csv with header, or parquet/json).
@@ -42,42 +42,34 @@ def time_ordered(df: DataFrame, key: str = "station_id",
 
 
 # First n rows in a defined order (0 = all rows).  The reference caps by
-# file order; a distributed file has no such order, so the order is explicit.
-# Small n is a top-k (each task keeps n rows).  Large n (the reference caps at
-# millions) finds the cut through row counts per time slice: slices wholly
-# before the cut are kept by a semi-join, and only the one slice holding the
-# cut is ranked, so no task ever holds n rows.
-TOPK_MAX = 100_000
-
-
-def cap_rows(df: DataFrame, n: int, order=("event_time", "station_id"), slice_minutes: int = 60) -> DataFrame:
+# file order; a distributed file has no such order, so the order is explicit
+# and ends with a unique column.  Rows are counted by time slice; slices wholly
+# before the cut are kept by a semi-join, and only the slice that holds the cut
+# is ranked, so no task ever holds n rows.  Rows without a time come first.
+def cap_rows(df: DataFrame, n: int, order=("event_time", "station_id", "seq"), slice_minutes: int = 60) -> DataFrame:
     if not n or n <= 0:
         return df
-    if n <= TOPK_MAX:
-        return df.orderBy(*order).limit(int(n))
-    from gridstream.functions.rules import bin_start
-    d = df.withColumn("_s", bin_start(order[0], slice_minutes))
+    d = df.withColumn("_s", F.coalesce(F.unix_seconds(bin_start(order[0], slice_minutes)), F.lit(-(1 << 62))))
     counts = d.groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))   # one row per time slice
     before = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    full = cum.filter(F.col("_b") + F.col("_n") <= F.lit(int(n))).select("_s")
-    cut = cum.filter((F.col("_b") < F.lit(int(n))) & (F.col("_b") + F.col("_n") > F.lit(int(n))))
-    whole = d.join(full, "_s", "left_semi")
-    part = (d.join(cut.select("_s", "_b"), "_s", "inner")
+    cut = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_b") < F.lit(int(n)))
+    whole = d.join(cut.where(F.col("_b") + F.col("_n") <= F.lit(int(n))).select("_s"), "_s", "left_semi")
+    part = (d.join(cut.where(F.col("_b") + F.col("_n") > F.lit(int(n))).select("_s", "_b"), "_s")
              .withColumn("_r", F.row_number().over(Window.partitionBy("_s").orderBy(*order)))
              .filter(F.col("_r") <= F.lit(int(n)) - F.col("_b")).drop("_b", "_r"))
     return whole.unionByName(part).drop("_s")
 
 
 # Keep the first n stations by first appearance (ties by station id).
-# The kept-station table holds at most n rows, so it is broadcast.
+# The kept-station table holds at most n rows; how it is joined is left to
+# Spark, which knows its size.
 def cap_stations(df: DataFrame, n: int, key: str = "station_id",
                  ts: str = "event_time") -> DataFrame:
     if not n or n <= 0:
         return df
     first = (df.groupBy(key).agg(F.min(ts).alias("_first"))
                .orderBy("_first", key).limit(int(n)).select(key))
-    return df.join(F.broadcast(first), on=key, how="left_semi")
+    return df.join(first, on=key, how="left_semi")
 
 
 # Replay schedule.  gap = positive time step to the station's previous
@@ -106,6 +98,7 @@ class Profile:
 
 PROFILE_A = Profile("A", 15, 360, 45.0)     # dense: 15 stations, 6-hour windows
 PROFILE_B = Profile("B", None, 15, 100.0)   # sparse: one station per user, 15 min
+PROFILE_E = Profile("E", 100, 360, 45.0)    # evaluation: 100 stations (20 per scenario), 6-hour windows
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

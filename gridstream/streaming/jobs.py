@@ -33,7 +33,7 @@ def start_feature_job(spark: SparkSession, source: str | None, features_path: st
     tel = SQ.decode_telemetry(SQ.message_stream(spark, path=source, kafka=kafka, max_files=max_files))
     feats = SQ.features_stream(tel, window_minutes, capacity)
     dq = SQ.data_quality_stream(tel)
-    q1 = _start(feats, lambda b, _i: upsert(b, features_path), f"{checkpoint}/features", trigger)
+    q1 = _start(feats, lambda b, _i: upsert(b, features_path, order="window_start"), f"{checkpoint}/features", trigger)
     q2 = _start(dq, lambda b, i: append_batch(b, dq_path, i), f"{checkpoint}/data_quality", trigger)
     return [q1, q2]
 

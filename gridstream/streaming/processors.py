@@ -1,6 +1,6 @@
 """Stateful processors for ``transformWithStateInPandas``.
 
-State is per station and small: at most 31 recent readings plus the not-yet
+State is per station and small: at most 30 recent readings plus the not-yet
 -released ones (W03), one (start, mean) pair (W05), one (active, lock) pair
 (W08).  All of it lives in the checkpointed state store, so a restart
 resumes where it stopped.
@@ -8,7 +8,6 @@ resumes where it stopped.
 
 from __future__ import annotations
 
-import math
 from typing import Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ READING = T.StructType([
     T.StructField("ts_us", T.LongType()), T.StructField("seq", T.LongType()),
     T.StructField("kwh", T.DoubleType()), T.StructField("time_new", T.StringType()),
 ])
+FIELDS = ["ts_us", "seq", "kwh", "time_new"]
 
 ROLLED = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("event_time", T.TimestampType()),
@@ -32,25 +32,39 @@ ROLLED = T.StructType([
 ])
 
 
-def snap(x: float) -> float:
+def snap(x: np.ndarray) -> np.ndarray:
     """Same 1e-9 grid as rules.snap (round half away from zero)."""
-    return math.copysign(math.floor(abs(x) * 1e9 + 0.5), x) / 1e9
+    return np.copysign(np.floor(np.abs(x) * 1e9 + 0.5), x) / 1e9
 
 
-def _to_ts(us: pd.Series) -> pd.Series:
-    return pd.to_datetime(us.astype("int64"), unit="us")
+def rolled(recent: pd.DataFrame, ready: pd.DataFrame, rows: int, k: float) -> pd.DataFrame:
+    """``ready`` (in order) with mean, deviation and flag of each reading's
+    frame: itself and up to ``rows`` readings before it, from ``recent`` on."""
+    values = np.concatenate((recent["kwh"].to_numpy(float), ready["kwh"].to_numpy(float)))
+    padded = np.concatenate((np.full(rows, np.nan), values))
+    frames = np.lib.stride_tricks.sliding_window_view(padded, rows + 1)[len(recent):]
+    mean, std = np.nanmean(frames, axis=1), np.nanstd(frames, axis=1)
+    own = values[len(recent):]
+    flag = (std > 0) & (snap(np.abs(own - mean)) > snap(k * std))
+    return ready.assign(rolling_mean_kwh=mean, rolling_std_kwh=std, anomaly_flag=flag.astype("int32"), original_kwh=own,
+                        corrected_kwh=np.where(flag, mean, own))
+
+
+def micros(times: pd.Series) -> pd.Series:
+    return times.astype("datetime64[us]").astype("int64")
 
 
 class RollingClean(StatefulProcessor):
     """W03 + F03/F04: ROWS n PRECEDING..CURRENT mean / population std per
     station in event-time order, then the 3-sigma flag and correction.
 
-    Rows are buffered until the watermark passes them (one event-time timer
-    per station, at the earliest buffered reading, re-armed after each
-    release), then released in (time, seq) order against the last n values,
-    so out-of-order input inside the watermark gives the batch result; rows
-    behind the watermark are dropped by the engine, as the reference's OVER
-    drops late rows.
+    Readings wait until the watermark passes them, then leave in (time, seq)
+    order against the last n values, so out-of-order input inside the watermark
+    gives the batch result.  Waiting readings lie in a map keyed by (time, seq),
+    so a release reads and removes only its own; one event-time timer per
+    station stands at the earliest of them.  Readings behind the watermark are
+    not used (the engine doesn't filter this operator's input): they leave at
+    once with the flag LATE, so that a sink can count them.
     """
 
     def __init__(self, rows: int = C.ROLLING_PRECEDING_ROWS, k: float = C.SIGMA_K):
@@ -59,7 +73,8 @@ class RollingClean(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.recent = handle.getListState("recent", READING)
-        self.pending = handle.getListState("pending", READING)
+        self.pending = handle.getMapState("pending", T.StructType([T.StructField("ts_us", T.LongType()), T.StructField("seq", T.LongType())]),
+                                          T.StructType([T.StructField("kwh", T.DoubleType()), T.StructField("time_new", T.StringType())]))
         # the one registered timer (ms): the earliest unreleased reading + 1
         self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
 
@@ -73,55 +88,50 @@ class RollingClean(StatefulProcessor):
             self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # The engine does not filter late input for this operator, so rows
-        # behind the watermark (already-released time) are dropped here.
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        new = []
-        for pdf in rows:
-            us = pdf["event_time"].astype("datetime64[us]").astype("int64")
-            for u, s, v, tn in zip(us, pdf["seq"], pdf["kwh"], pdf["time_new"]):
-                if wm_us > 0 and u < wm_us:
-                    continue
-                new.append((int(u), int(s), float(v), tn))
-        if new:
-            self.pending.appendList(new)
-            self._arm(min(n[0] for n in new))
-        return iter([])
+        pdf = pd.concat(list(rows), ignore_index=True)
+        us = micros(pdf["event_time"])
+        on_time = (us >= wm_us) if wm_us > 0 else pd.Series(True, index=us.index)
+        for t, s, v, text in zip(us[on_time].tolist(), pdf["seq"][on_time].tolist(), pdf["kwh"][on_time].tolist(), pdf["time_new"][on_time]):
+            self.pending.updateValue((t, s), (v, text))
+        if on_time.any():
+            self._arm(int(us[on_time].min()))
+        late = pdf[~on_time]
+        if len(late):                       # out at once, marked, so that sinks can count them
+            yield self._out(key, late.assign(ts_us=us[~on_time], kwh=late["kwh"].astype(float), rolling_mean_kwh=np.nan, rolling_std_kwh=np.nan,
+                                             anomaly_flag=np.int32(LATE), original_kwh=late["kwh"].astype(float),
+                                             corrected_kwh=late["kwh"].astype(float)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         self.timer.clear()
-        pend = list(self.pending.get()) if self.pending.exists() else []
-        ready = sorted(p for p in pend if p[0] < wm_us)
-        rest = [p for p in pend if p[0] >= wm_us]
-        if rest:
-            self._arm(min(p[0] for p in rest))
-        if not ready:
-            return iter([])
-        self.pending.clear()
-        if rest:
-            self.pending.put(rest)
-        hist = sorted(self.recent.get()) if self.recent.exists() else []
-        vals = [h[2] for h in hist]
-        out = []
-        for u, s, v, tn in ready:
-            vals.append(v)
-            win = np.asarray(vals[-(self.rows + 1):])
-            mean, std = float(win.mean()), float(win.std())
-            flag = int(std > 0 and snap(abs(v - mean)) > snap(self.k * std))
-            out.append((key[0], u, tn, s, v, mean, std, flag, v, mean if flag else v))
-        keep = (hist + ready)[-self.rows:]
-        self.recent.clear()
-        self.recent.put(keep)
-        df = pd.DataFrame(out, columns=["station_id", "ts_us", "time_new", "seq", "kwh", "rolling_mean_kwh",
-                                        "rolling_std_kwh", "anomaly_flag", "original_kwh", "corrected_kwh"])
-        df.insert(1, "event_time", _to_ts(df.pop("ts_us")))
-        yield df
+        keys = [tuple(k) for k in self.pending.keys()]
+        due = sorted(k for k in keys if k[0] < wm_us)
+        later = [k[0] for k in keys if k[0] >= wm_us]
+        if later:
+            self._arm(min(later))
+        if not due:
+            return
+        ready = pd.DataFrame([(*k, *self.pending.getValue(k)) for k in due], columns=FIELDS)
+        for k in due:
+            self.pending.removeKey(k)
+        recent = pd.DataFrame(sorted(map(tuple, self.recent.get())) if self.recent.exists() else [], columns=FIELDS)
+        out = rolled(recent, ready, self.rows, self.k)
+        both = [*recent.itertuples(index=False, name=None), *ready.itertuples(index=False, name=None)]
+        self.recent.put([(int(t), int(s), float(v), x) for t, s, v, x in both[-self.rows:]])
+        yield self._out(key, out)
+
+    @staticmethod
+    def _out(key, d: pd.DataFrame) -> pd.DataFrame:
+        d = d.assign(station_id=key[0], event_time=pd.to_datetime(d["ts_us"].astype("int64"), unit="us"))
+        return d[[f.name for f in ROLLED.fields]]
 
     def close(self) -> None:
         pass
 
 
+LATE = -1       # anomaly_flag of a reading that came behind the watermark
+
 PREV = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("mean", T.DoubleType())])
 
 
@@ -158,33 +168,25 @@ SESSION = T.StructType([T.StructField("active", T.BooleanType()), T.StructField(
 
 
 class SessionLock(StatefulProcessor):
-    """W08 + P07: per-station session lock in window order."""
-
-    def __init__(self, base: float = C.BASE_PRICE_CAD, premium: float = C.GUARANTEE_PREMIUM):
-        self.base, self.premium = float(base), float(premium)
+    """W08 + P07: per-station session lock in window order.  The price a
+    session would lock and the idle price are columns (``lock_offer``,
+    ``idle_price``) from the batch rules; the state carries the lock only."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("session", SESSION)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_start", kind="stable")
-        st = self.state.get() if self.state.exists() else (False, None)
-        active_prev, lock = bool(st[0]), st[1]
-        prices, status = [], []
-        idle = round(self.base * self.premium, 4)
-        for cur, dyn in zip(pdf["capacity_utilization_ratio"], pdf["dynamic_price_cad"]):
-            active = cur > 0
-            if active and not active_prev:
-                lock = round(dyn * self.premium, 4)
-                prices.append(lock), status.append("session_started")
-            elif active:
-                prices.append(lock), status.append("session_ongoing")
-            else:
-                lock = None
-                prices.append(idle), status.append("idle")
-            active_prev = active
-        self.state.update((active_prev, lock))
-        yield pdf.assign(guaranteed_price_cad=prices, session_status=status)
+        was_active, lock = self.state.get() if self.state.exists() else (False, None)
+        active = (pdf["capacity_utilization_ratio"] > 0).to_numpy(bool)
+        before = np.concatenate(([bool(was_active)], active[:-1]))
+        started = active & ~before
+        offers = pd.Series(np.where(started, pdf["lock_offer"].to_numpy(float), np.nan)).ffill()
+        locked = offers.fillna(np.nan if lock is None else lock).to_numpy(float)
+        self.state.update((bool(active[-1]), float(locked[-1]) if active[-1] else None))
+        yield pdf.drop(columns=["lock_offer", "idle_price"]).assign(
+            guaranteed_price_cad=np.where(active, locked, pdf["idle_price"].to_numpy(float)),
+            session_status=np.where(started, "session_started", np.where(active, "session_ongoing", "idle")))
 
     def close(self) -> None:
         pass

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from gridstream import config as C
 from gridstream import schemas as SC
-from gridstream.functions.rules import (alert_level, dynamic_price, format_ts, hour_of, parse_ts,
-                                        price_multiplier, snap, utilisation, weekday_of)
-from gridstream.streaming.processors import ROLLED, PreviousWindow, RollingClean, SessionLock
+from gridstream.functions.rules import (alert_level, dynamic_price, format_ts, hour_of, locked_price, parse_ts,
+                                        price_multiplier, round_exact, snap, utilisation, weekday_of)
+from gridstream.streaming.processors import LATE, ROLLED, PreviousWindow, RollingClean, SessionLock
 
 TELEMETRY_ROW = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("event_time", T.TimestampType()),
@@ -76,7 +76,7 @@ def rolling_clean_stream(tel: DataFrame, watermark: str = C.WATERMARK_DELAY,
 def window_stream(rolled: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                   capacity: float = C.CAPACITY_KWH) -> DataFrame:
     positive = F.sum(F.when(F.col("original_kwh") > 0, F.lit(1)).otherwise(F.lit(0)))
-    agg = (rolled.groupBy("station_id", F.window("event_time", f"{int(window_minutes)} minutes"))
+    agg = (rolled.filter(F.col("anomaly_flag") != LATE).groupBy("station_id", F.window("event_time", f"{int(window_minutes)} minutes"))
                  .agg(F.avg("corrected_kwh").alias("mean_kwh"),
                       F.var_pop("corrected_kwh").alias("variance_kwh"),
                       F.max("anomaly_flag").cast("int").alias("anomaly_flag"),
@@ -120,8 +120,10 @@ PRICED_ROW = T.StructType(FEATURE_ROW.fields + [
 def priced_stream(features: DataFrame) -> DataFrame:
     m = price_multiplier("capacity_utilization_ratio")
     d = features.select(*[f.name for f in FEATURE_ROW.fields], "time_bin",
-                        F.round(m, 4).alias("price_multiplier"), dynamic_price(m).alias("dynamic_price_cad"),
-                        alert_level("capacity_utilization_ratio").alias("alert_level"))
+                        round_exact(m, 4).alias("price_multiplier"), dynamic_price(m).alias("dynamic_price_cad"),
+                        alert_level("capacity_utilization_ratio").alias("alert_level"),
+                        locked_price(dynamic_price(m)).alias("lock_offer"),
+                        round_exact(F.lit(C.BASE_PRICE_CAD * C.GUARANTEE_PREMIUM), 4).alias("idle_price"))
     return (d.groupBy("station_id")
              .transformWithStateInPandas(statefulProcessor=SessionLock(), outputStructType=PRICED_ROW,
                                          outputMode="Append", timeMode="None"))
@@ -136,7 +138,7 @@ def price_batch_writer(prices_path: str, alerts_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         fan_out(batch, [
             lambda b: append_batch(b, prices_path, batch_id),
-            lambda b: append_batch(station_alerts(b.withColumn("predicted_kwh", F.round("mean_kwh", 4))),
+            lambda b: append_batch(station_alerts(b.withColumn("predicted_kwh", round_exact("mean_kwh", 4))),
                                    alerts_path, batch_id),
         ])
     return write
@@ -145,7 +147,7 @@ def price_batch_writer(prices_path: str, alerts_path: str):
 # Regional score per bin on the priced stream (event-time group by bin).
 def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                        threshold: float = C.GRID_THRESHOLD, watermark: str = "15 minutes") -> DataFrame:
-    cur = F.round("mean_kwh", 4) / F.lit(float(capacity))
+    cur = round_exact("mean_kwh", 4) / F.lit(float(capacity))
     g = (priced.withWatermark("window_start", watermark)
                .groupBy("window_start").agg(F.avg(cur).alias("stress_score"),
                                             F.count(F.lit(1)).cast("int").alias("station_count")))
@@ -153,9 +155,13 @@ def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
                     (snap("stress_score") > F.lit(float(threshold))).alias("triggered_alert"))
 
 
-# Rows dropped behind the watermark by the engine's stateful operators
-# (aggregations), read from the query's progress.  The rolling processor
-# drops late readings itself (see RollingClean.handleInputRows).
+# Readings behind the watermark: those that the rolling stage passed on
+# with the LATE flag, and those that the engine's own stateful operators dropped
+# (from the query's progress).
+def late_readings(rolled: DataFrame) -> DataFrame:
+    return rolled.filter(F.col("anomaly_flag") == LATE).select("station_id", "event_time", "time_new", "seq", "kwh")
+
+
 def late_rows(query) -> int:
     total = 0
     for p in query.recentProgress:

@@ -84,7 +84,7 @@ def test_latency_bounds(spark):
 def test_p95_rank(spark, n, expect):
     from gridstream.operators.serving import latency_stats
     df = spark.createDataFrame([(float(i + 1), 5) for i in range(n)], "latency_ms double, kafka_ts_ms long")
-    r = latency_stats(df).collect()[0]
+    r = latency_stats(df, order=("latency_ms",)).collect()[0]
     assert r.p95_latency_ms == expect
     assert r.n_samples == n
 
@@ -93,3 +93,28 @@ def test_stress_band(spark):
     df = spark.createDataFrame([(0.81,), (0.8,), (0.61,), (0.6,)], "stress_score double")
     assert [r.b for r in df.select(R.stress_band().alias("b")).collect()] == \
         ["triggered", "warning", "warning", "normal"]
+
+
+def test_rounding_is_of_the_binary_value(spark):
+    """Prices round as Python's ``round`` does: all locks of 4-place prices,
+    all 4-place ties, and values around them."""
+    prices = [k / 10000 for k in range(1000, 3700)] + [(2 * k + 1) / 20000 for k in range(0, 20000, 7)]
+    values = [x * 1.1 for x in prices] + prices + [0.0, -0.12345, -0.00005, 1e17, 123456.78905, 0.13585]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double")
+    got = {r.i: r.y for r in df.select("i", R.round_exact("x", 4).alias("y")).collect()}
+    assert [got[i] for i in range(len(values))] == [round(x, 4) for x in values]
+
+
+def test_limits_are_not_moved_unless_asked(spark):
+    df = spark.createDataFrame([(0.6999999997,)], "cur double")
+    r = df.select(R.alert_level("cur").alias("a"), R.alert_level("cur", grid=9).alias("b")).collect()[0]
+    assert (r.a, r.b) == ("normal", "warning")
+
+
+def test_rated_power_is_the_interpolated_quantile(spark):
+    import numpy as np
+    from gridstream.operators.pricing import rated_power
+    for n in (1, 2, 3, 40, 401):
+        v = np.random.default_rng(n).gamma(2.0, 20.0, n)
+        df = spark.createDataFrame([(str(i), float(x)) for i, x in enumerate(v)], "station_id string, kwh double")
+        assert rated_power(df).collect()[0][0] == pytest.approx(float(np.quantile(v, 0.95)), abs=1e-9)

@@ -24,27 +24,31 @@ def test_blocked_rolling_equals_simple(spark):
         assert abs(a[2] - b[2]) < 1e-9 and abs((a[3] or 0) - (b[3] or 0)) < 1e-9
 
 
-def test_blocked_lag_lead_halo(spark):
+def test_blocked_lag_halo(spark):
     tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
 
     def compute(d, w):
-        return d.withColumn("p2", F.lag("seq", 2).over(w)).withColumn("n3", F.lead("seq", 3).over(w))
+        return d.withColumn("p2", F.lag("seq", 2).over(w)).withColumn("p7", F.lag("seq", 7).over(w))
 
     key, order = "station_id", ["event_time", "seq"]
-    a = _rows(ordered_window(tel, key, order, compute, mode="simple"), ["seq", "p2", "n3"])
-    for block in (11, 2):          # blocks longer and shorter than the halo
-        b = _rows(ordered_window(tel, key, order, compute, halo_before=2, halo_after=3, mode="blocked",
-                                 block_rows=block), ["seq", "p2", "n3"])
-        assert a == b
+    a = _rows(ordered_window(tel, key, order, compute, mode="simple"), ["seq", "p2", "p7"])
+    for block in (50, 11, 2):          # blocks longer and shorter than the halo
+        for minutes in (1, 60, 24 * 60):
+            b = _rows(ordered_window(tel, key, order, compute, halo_before=7, block_rows=block,
+                                     slice_minutes=minutes), ["seq", "p2", "p7"])
+            assert a == b
 
 
-def test_auto_mode_picks_blocked_for_hot_key(spark):
+def test_a_third_in_one_station_is_split_with_two_scans(spark):
     tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
-    cols = ["seq", "rolling_mean_kwh"]
-    auto = _rows(FE.rolling_stats(tel, mode="auto", block_rows=50), cols)
-    simple = _rows(FE.rolling_stats(tel, mode="simple"), cols)
-    assert [x[0] for x in auto] == [x[0] for x in simple]
-    assert max(abs(x[1] - y[1]) for x, y in zip(auto, simple)) < 1e-9
+    skew = tel.withColumn("station_id", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("station_id")))
+    df = FE.rolling_stats(skew, block_rows=50)
+    cols = ["seq", "rolling_mean_kwh", "rolling_std_kwh"]
+    a, b = _rows(FE.rolling_stats(skew, mode="simple"), cols), _rows(df, cols)
+    assert [x[0] for x in a] == [x[0] for x in b]
+    assert all(abs(u - v) < 1e-9 for x, y in zip(a, b) for u, v in zip(x[1:], y[1:]) if u is not None)
+    plan = FE.rolling_stats(skew, block_rows=50)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 2       # readings, and keys with times for the counts
 
 
 def test_blocked_feature_chain_equals_simple(spark):
@@ -59,23 +63,6 @@ def test_blocked_feature_chain_equals_simple(spark):
         assert all(abs(u - v) < 1e-9 for u, v in zip(x[2:5] + x[6:], y[2:5] + y[6:]))
 
 
-def test_auto_mode_splits_only_hot_keys(spark):
-    from gridstream.sources.telemetry import PROFILE_B
-    tel = load_telemetry(spark, SF_SMALL, PROFILE_B)
-    # one artificial hot station: every reading of user ids < 40 re-keyed to "hot"
-    skew = tel.withColumn("station_id", F.when(F.col("station_id").cast("int") < 40, F.lit("hot"))
-                          .otherwise(F.col("station_id")))
-    n_hot = skew.filter("station_id = 'hot'").count()
-    assert n_hot > 60
-    cols = ["station_id", "seq", "rolling_mean_kwh", "rolling_std_kwh"]
-    a = _rows(FE.rolling_stats(skew, mode="simple"), cols)
-    b = _rows(FE.rolling_stats(skew, mode="auto", block_rows=60), cols)
-    assert len(a) == len(b)
-    for x, y in zip(a, b):
-        assert x[:2] == y[:2]
-        assert abs(x[2] - y[2]) < 1e-9 and abs((x[3] or 0) - (y[3] or 0)) < 1e-9
-
-
 def test_previous_window_lag_equals_self_join(spark):
     from gridstream.sources.telemetry import PROFILE_B
     for p in (PROFILE_A, PROFILE_B):
@@ -96,14 +83,11 @@ def test_time_ordered_within_partitions(spark):
         assert keys == sorted(keys)
 
 
-def test_index_rows_dense_and_ordered(spark):
+def test_sliced_rank(spark):
     from pyspark.sql import Window
-    from gridstream.operators.series import index_rows
-    tel = load_telemetry(spark, SF_SMALL, PROFILE_A)
-    want = tel.withColumn("_want", F.row_number().over(
-        Window.partitionBy("station_id").orderBy("event_time", "seq")) - 1)
-    for minutes in (1, 60, 24 * 60):
-        got = index_rows(tel, "station_id", ["event_time", "seq"], "event_time", minutes)
-        j = got.join(want.select("seq", "_want"), "seq")
-        assert j.count() == tel.count()
-        assert j.filter(F.col("_idx") != F.col("_want")).count() == 0
+    from gridstream.operators.series import sliced_rank
+    tel = load_telemetry(spark, SF_SMALL, PROFILE_A).select("station_id").distinct().withColumn("g", F.lit(1))
+    want = tel.withColumn("_want", F.row_number().over(Window.partitionBy("g").orderBy("station_id")))
+    for n in (1, 2, 9):
+        j = sliced_rank(tel, ["g"], "station_id", "_r", n).join(want.select("station_id", "_want"), "station_id")
+        assert j.count() == tel.count() and j.filter("_r <> _want").count() == 0

@@ -74,18 +74,33 @@ def test_fixture_smoke_messages(spark):
     assert json.loads(ev["1000000001"].raw_payload)["original_kwh"] == 25.0
 
 
-def test_upsert_last_write_wins(spark):
+def test_upsert_newest_version_wins(spark):
     path = _dir("gs-upsert-")
-    a = spark.createDataFrame([("s1", "2024-01-01 00:00:00", 1.0), ("s2", "2024-01-01 00:15:00", 2.0)],
-                              "station_id string, time_bin string, v double")
-    SK.upsert(a, path)
-    b = spark.createDataFrame([("s1", "2024-01-01 00:00:00", 9.0), ("s3", "2024-01-02 00:00:00", 3.0)],
-                              "station_id string, time_bin string, v double")
-    SK.upsert(b, path)
-    SK.upsert(b, path)                                    # replay
+    a = spark.createDataFrame([("s1", "2024-01-01 00:00:00", 1.0, 1), ("s2", "2024-01-01 00:15:00", 2.0, 1), ("s9", "no time", 5.0, 1)],
+                              "station_id string, time_bin string, v double, ver int").withColumn("time_bin", F.col("time_bin"))
+    as_time = lambda d: d.withColumn("dt_text", F.col("time_bin"))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        SK.upsert(as_time(a), path, order="ver")
+        b = spark.createDataFrame([("s1", "2024-01-01 00:00:00", 9.0, 3), ("s1", "2024-01-01 00:00:00", 8.0, 2),
+                                   ("s3", "2024-01-02 00:00:00", 3.0, 1), ("s8", "no time", 6.0, 1), (None, "2024-01-02 00:00:00", 7.0, 1)],
+                                  "station_id string, time_bin string, v double, ver int")
+        for batch in (b, b, a):                          # a replay, then an older version again
+            SK.upsert(as_time(batch), path, order="ver")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
     got = {(r.station_id, r.time_bin): r.v for r in spark.read.parquet(path).collect()}
     assert got == {("s1", "2024-01-01 00:00:00"): 9.0, ("s2", "2024-01-01 00:15:00"): 2.0,
-                   ("s3", "2024-01-02 00:00:00"): 3.0}
+                   ("s3", "2024-01-02 00:00:00"): 3.0, ("s9", "no time"): 5.0, ("s8", "no time"): 6.0}
+    assert spark.read.parquet(path + "-rejected").count() == 2      # the row without a station, twice
+
+
+def test_insert_once_keeps_one_row_of_a_bin(spark):
+    path = _dir("gs-once-") + "/t"
+    b = spark.createDataFrame([("t1", 2.0), ("t1", 1.0), ("t2", 3.0)], "time_bin string, v double")
+    SK.insert_once(b, path)
+    SK.insert_once(b.withColumn("v", F.col("v") + 9), path)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("t1", 1.0), ("t2", 3.0)}
 
 
 def test_append_batch_replay_and_ids(spark):
@@ -97,11 +112,13 @@ def test_append_batch_replay_and_ids(spark):
     SK.append_batch(b, path, 1)
     assert spark.read.parquet(path).count() == 4
     existing = spark.createDataFrame([(10,)], "id long")
-    ids = sorted(r.id for r in SK.with_ids(b, existing).collect())
+    ids = sorted(r.id for r in SK.with_ids(b, existing, "station_id").collect())
     assert ids == [11, 12]
     many = spark.range(1000).repartition(7).withColumn("station_id", F.col("id").cast("string")).drop("id")
-    ids = sorted(r.id for r in SK.with_ids(many, existing).collect())
-    assert ids == list(range(11, 1011))
+    numbered = SK.with_ids(many, existing, "station_id", slices=16)
+    first = {r.station_id: r.id for r in numbered.collect()}
+    assert sorted(first.values()) == list(range(11, 1011))
+    assert first == {r.station_id: r.id for r in SK.with_ids(many.repartition(3), existing, "station_id", slices=16).collect()}
 
 
 def test_schema_evolution_and_export(spark):
@@ -136,9 +153,10 @@ def test_station_cap_and_replay_offsets(spark):
     assert off.agg(F.max("m")).collect()[0][0] == 0.0
 
 
-def test_cap_rows_large_n_matches_topk(spark, monkeypatch):
+def test_cap_rows_is_the_first_n(spark):
     tel = TL.load_telemetry(spark, SF_SMALL, TL.PROFILE_B)
-    want = sorted(r.seq for r in TL.cap_rows(tel, 537).collect())
-    monkeypatch.setattr(TL, "TOPK_MAX", 10)          # force the slice-count path
-    got = sorted(r.seq for r in TL.cap_rows(tel, 537).collect())
-    assert got == want and len(got) == 537
+    tel = tel.withColumn("event_time", F.when(F.col("seq") % 97 != 0, F.col("event_time")))      # some rows without a time
+    for n in (1, 7, 537, 10 ** 6):
+        want = sorted(r.seq for r in tel.orderBy("event_time", "station_id", "seq").limit(n).collect())
+        for minutes in (60, 60 * 24 * 60):
+            assert sorted(r.seq for r in TL.cap_rows(tel, n, slice_minutes=minutes).collect()) == want
