@@ -114,7 +114,7 @@ def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
 # and forecasts every window; M05 then aligns the forecast to t.  A station
 # without a row at t+1 has a mean of 0 there, as in a dense array.  Scenarios
 # are numbered 0 .. scenarios-1, so none has to be looked up.
-def scenario_forecasts(long: DataFrame, T: int, scenarios: int, width_minutes: int = C.WINDOW_MINUTES,
+def scenario_forecasts(long: DataFrame, T, scenarios: int, width_minutes: int = C.WINDOW_MINUTES,
                        fraction: float = C.TRAIN_FRACTION, **gbt) -> DataFrame:
     from gridstream.operators.evaluation import with_forecast
     from gridstream.operators.features import reduced_features
@@ -123,7 +123,7 @@ def scenario_forecasts(long: DataFrame, T: int, scenarios: int, width_minutes: i
              .withColumn("day_of_week", F.floor(minutes / 1440) % 7))
     nxt = feats.select("scenario_id", "station_id", (F.col("t") - 1).alias("t"), F.col("mean_kwh").alias("target"))
     rows = feats.join(nxt, ["scenario_id", "station_id", "t"], "left").fillna(0.0, subset=["target"])
-    split_t = int(T * fraction) - 1
+    split_t = F.floor((F.lit(T) if isinstance(T, int) else T) * F.lit(float(fraction))) - 1
     pred = None
     for s in range(int(scenarios)):
         mine = rows.filter(F.col("scenario_id") == s)

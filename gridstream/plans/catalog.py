@@ -611,6 +611,42 @@ def q_train_validate(spark, sf_dir):
     return rounded(MO.regression_metrics(model.transform(t.filter(~F.col("is_train")))))
 
 
+SMALL = {"max_iter": 10}      # trees of the checked variants; the reference's 200 are the operators' default
+
+
+@register("m01_model_checks")
+def q_model_checks(spark, sf_dir):
+    """M01 + M03 with few trees: rows of both parts, no missing prediction, no
+    larger error than the persistence forecast."""
+    p = PROFILE_B
+    t = MO.split(FE.training_table(tel(spark, sf_dir, p), 1, p.window_minutes, p.capacity), mode="row_rank")
+    rest = t.filter(~F.col("is_train"))
+    scored = MO.train_regressor(t.filter("is_train"), **SMALL).transform(rest)
+    rmse = lambda c: F.sqrt(F.avg((F.col(c) - F.col("target")) ** 2))
+    checks = scored.agg(F.count(F.lit(1)).alias("n_validate"), F.count_if(F.col("prediction").isNull()).alias("n_missing"),
+                        (rmse("prediction") <= rmse("mean_kwh")).alias("beats_persistence"))
+    return checks.select(t.filter("is_train").agg(F.count(F.lit(1))).scalar().alias("n_train"), "*")
+
+
+@register("m04_boosted_horizons")
+def q_boosted(spark, sf_dir):
+    """M04 with few trees: rows of each horizon, and errors no larger than persistence has."""
+    windows = offline_of(spark, sf_dir)
+    boosted = MO.horizon_study(windows, **SMALL).select("horizon_min", "n", "rmse")
+    plain = MO.horizon_study(windows, model="persistence").select("horizon_min", F.col("rmse").alias("plain"))
+    return boosted.join(plain, "horizon_min").select("horizon_min", "n", (F.col("rmse") <= F.col("plain")).alias("beats_persistence"))
+
+
+@register("m06_scenario_forecasts")
+def q_scenario_forecasts(spark, sf_dir):
+    """M06 with few trees: forecast rows of each scenario, none missing, window 0 the actual value."""
+    lng = eval_long(spark, sf_dir)
+    fc = MO.scenario_forecasts(lng, EV.n_windows(lng), 5, PROFILE_E.window_minutes, max_iter=2)
+    return fc.groupBy("scenario_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("cur_fc").isNull()).alias("n_missing"),
+        F.count_if((F.col("t") == 0) & (F.col("cur_fc") != F.col("cur_obs"))).alias("n_wrong_first"))
+
+
 @register("m02_scored_prices")
 def q_scored_prices(spark, sf_dir):
     """M02 + P09: priced rows whose predicted_kwh comes from the trained model."""
@@ -625,3 +661,6 @@ def q_reduced(spark, sf_dir):
     r = FE.reduced_features(eval_long(spark, sf_dir))
     return rounded(r.select("scenario_id", "t", "station_id", "mean_kwh", "variance_kwh", "rate_of_change",
                             "capacity_utilization_ratio", "data_completeness", "anomaly_flag"))
+
+
+from gridstream.plans import streams  # noqa: E402,F401 - registers the streaming queries

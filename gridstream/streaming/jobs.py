@@ -1,9 +1,11 @@
 """Long-running streaming jobs with durable, idempotent sinks.
 
-* ``start_feature_job``: telemetry messages -> features table (keyed upsert
-  per micro-batch, S11) and data-quality table (append by batch id, S12).
-* ``start_pricing_job``: features table (as a file stream) -> stored prices
-  and station alerts in one pass per micro-batch (W11).
+* ``start_feature_job``: telemetry messages -> one rolling pass whose batches go
+  to the cleaned-readings table, the data-quality table and the late-readings
+  table (S13, append by batch id), and a second query that reads the cleaned
+  readings as a file stream and upserts the features (S11).
+* ``start_pricing_job``: telemetry -> features -> complete priced rows, station
+  alerts and regional alerts, in one pass per micro-batch (W11).
 
 Each job takes its own checkpoint folder; restarting with the same folder
 resumes offsets and state.
@@ -15,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridstream import config as C
-from gridstream.sources.sinks import append_batch, upsert
+from gridstream.sources.sinks import append_batch, fan_out, upsert
 from gridstream.streaming import queries as SQ
+from gridstream.streaming.processors import ROLLED
 
 
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -28,26 +31,40 @@ def start_feature_job(spark: SparkSession, source: str | None, features_path: st
                       checkpoint: str, window_minutes: int = C.WINDOW_MINUTES,
                       capacity: float = C.CAPACITY_KWH, kafka: dict | None = None,
                       trigger: dict | None = None, max_files: int | None = None) -> list[StreamingQuery]:
-    """Two queries over one source, as the reference's statement set runs its
-    two inserts: the feature chain and the data-quality side output."""
+    """Two queries: the rolling stage runs once and feeds both sinks.  With
+    ``trigger={"availableNow": True}`` the second starts when the first is done."""
+    rolled_path, late_path = f"{features_path}-rolled", f"{features_path}-late"
     tel = SQ.decode_telemetry(SQ.message_stream(spark, path=source, kafka=kafka, max_files=max_files))
-    feats = SQ.features_stream(tel, window_minutes, capacity)
-    dq = SQ.data_quality_stream(tel)
-    q1 = _start(feats, lambda b, _i: upsert(b, features_path, order="window_start"), f"{checkpoint}/features", trigger)
-    q2 = _start(dq, lambda b, i: append_batch(b, dq_path, i), f"{checkpoint}/data_quality", trigger)
-    return [q1, q2]
+
+    def write(batch: DataFrame, i: int) -> None:
+        fan_out(batch, [lambda b: append_batch(SQ.on_time(b), rolled_path, i),
+                        lambda b: append_batch(SQ.late_readings(b), late_path, i),
+                        lambda b: append_batch(SQ.data_quality_rows(b), dq_path, i)])
+
+    first = _start(SQ.rolling_clean_stream(tel), write, f"{checkpoint}/rolled", trigger)
+    if trigger and trigger.get("availableNow"):
+        first.awaitTermination()
+        if first.exception() is not None:
+            return [first]
+    # the folder must be there before the second query lists it
+    spark.createDataFrame([], ROLLED).write.mode("append").parquet(f"{rolled_path}/batch_id=-1")
+    rolled = spark.readStream.schema(ROLLED).parquet(f"{rolled_path}/*")
+    feats = SQ.features_of_rolled(rolled.withWatermark("event_time", C.WATERMARK_DELAY), window_minutes, capacity)
+    second = _start(feats, lambda b, _i: upsert(b, features_path, order="window_start"), f"{checkpoint}/features", trigger)
+    return [first, second]
 
 
 def start_pricing_job(spark: SparkSession, source: str | None, prices_path: str, alerts_path: str,
                       checkpoint: str, window_minutes: int = C.WINDOW_MINUTES,
                       capacity: float = C.CAPACITY_KWH, kafka: dict | None = None,
-                      trigger: dict | None = None, max_files: int | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, max_files: int | None = None, history: DataFrame | None = None,
+                      model=None, grid: int | None = None) -> StreamingQuery:
     """Telemetry -> features -> window prices + session lock -> stored prices
-    and station alerts, one query with four chained stateful operators.
-    (Streaming the upsert-maintained features table would re-read rewritten
-    files, so the chain recomputes features, as the reference's second
-    statement recomputes its shared part.)"""
+    and alerts, one query with four chained stateful operators.  ``history``
+    (raw telemetry) gives the day-ahead price, ``model`` the prediction (the
+    window's mean without one)."""
     tel = SQ.decode_telemetry(SQ.message_stream(spark, path=source, kafka=kafka, max_files=max_files))
     feats = SQ.features_stream(tel, window_minutes, capacity)
-    priced = SQ.priced_stream(feats.select(*[f.name for f in SQ.FEATURE_ROW.fields], "time_bin"))
-    return _start(priced, SQ.price_batch_writer(prices_path, alerts_path), checkpoint, trigger)
+    priced = SQ.priced_stream(feats.select(*[f.name for f in SQ.FEATURE_ROW.fields], "time_bin"), grid)
+    write = SQ.price_batch_writer(prices_path, alerts_path, capacity, history, model, grid)
+    return _start(priced, write, checkpoint, trigger)

@@ -76,7 +76,7 @@ def rolling_clean_stream(tel: DataFrame, watermark: str = C.WATERMARK_DELAY,
 def window_stream(rolled: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                   capacity: float = C.CAPACITY_KWH) -> DataFrame:
     positive = F.sum(F.when(F.col("original_kwh") > 0, F.lit(1)).otherwise(F.lit(0)))
-    agg = (rolled.filter(F.col("anomaly_flag") != LATE).groupBy("station_id", F.window("event_time", f"{int(window_minutes)} minutes"))
+    agg = (on_time(rolled).groupBy("station_id", F.window("event_time", f"{int(window_minutes)} minutes"))
                  .agg(F.avg("corrected_kwh").alias("mean_kwh"),
                       F.var_pop("corrected_kwh").alias("variance_kwh"),
                       F.max("anomaly_flag").cast("int").alias("anomaly_flag"),
@@ -89,9 +89,9 @@ def window_stream(rolled: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
 
 
 # W05 + W07: previous-window rate per station, giving the F14 vector.
-def features_stream(tel: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
-                    capacity: float = C.CAPACITY_KWH, watermark: str = C.WATERMARK_DELAY) -> DataFrame:
-    wins = window_stream(rolling_clean_stream(tel, watermark), window_minutes, capacity)
+def features_of_rolled(rolled: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
+                       capacity: float = C.CAPACITY_KWH) -> DataFrame:
+    wins = window_stream(rolled, window_minutes, capacity)
     feats = (wins.groupBy("station_id")
                  .transformWithStateInPandas(statefulProcessor=PreviousWindow(window_minutes),
                                              outputStructType=FEATURE_ROW, outputMode="Append",
@@ -101,14 +101,22 @@ def features_stream(tel: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
                         "anomaly_flag", "data_completeness", "window_start")
 
 
+def features_stream(tel: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
+                    capacity: float = C.CAPACITY_KWH, watermark: str = C.WATERMARK_DELAY) -> DataFrame:
+    return features_of_rolled(rolling_clean_stream(tel, watermark), window_minutes, capacity)
+
+
 # F13 on a stream: data-quality side output of the rolling stage.
-def data_quality_stream(tel: DataFrame, watermark: str = C.WATERMARK_DELAY) -> DataFrame:
-    r = rolling_clean_stream(tel, watermark)
-    return r.filter(F.col("anomaly_flag") == 1).select(
+def data_quality_rows(rolled: DataFrame) -> DataFrame:
+    return rolled.filter(F.col("anomaly_flag") == 1).select(
         "station_id", "time_new", "original_kwh", "corrected_kwh", "rolling_mean_kwh", "rolling_std_kwh",
         F.lit(C.ANOMALY_REASON).alias("reason"))
 
 
+def on_time(rolled: DataFrame) -> DataFrame:
+    return rolled.filter(F.col("anomaly_flag") != LATE)
+
+
 PRICED_ROW = T.StructType(FEATURE_ROW.fields + [
     T.StructField("time_bin", T.StringType()), T.StructField("price_multiplier", T.DoubleType()),
     T.StructField("dynamic_price_cad", T.DoubleType()), T.StructField("alert_level", T.StringType()),
@@ -117,11 +125,11 @@ PRICED_ROW = T.StructType(FEATURE_ROW.fields + [
 
 
 # Window rules + the session lock as per-station state.
-def priced_stream(features: DataFrame) -> DataFrame:
-    m = price_multiplier("capacity_utilization_ratio")
+def priced_stream(features: DataFrame, grid: int | None = None) -> DataFrame:
+    m = price_multiplier("capacity_utilization_ratio", grid=grid)
     d = features.select(*[f.name for f in FEATURE_ROW.fields], "time_bin",
                         round_exact(m, 4).alias("price_multiplier"), dynamic_price(m).alias("dynamic_price_cad"),
-                        alert_level("capacity_utilization_ratio").alias("alert_level"),
+                        alert_level("capacity_utilization_ratio", grid=grid).alias("alert_level"),
                         locked_price(dynamic_price(m)).alias("lock_offer"),
                         round_exact(F.lit(C.BASE_PRICE_CAD * C.GUARANTEE_PREMIUM), 4).alias("idle_price"))
     return (d.groupBy("station_id")
@@ -129,18 +137,29 @@ def priced_stream(features: DataFrame) -> DataFrame:
                                          outputMode="Append", timeMode="None"))
 
 
-# Per micro-batch persistence + alerts in one pass (S13 fan-out), with
-# idempotent writes keyed by the batch id.
-def price_batch_writer(prices_path: str, alerts_path: str):
-    from gridstream.operators.alerts import station_alerts
-    from gridstream.sources.sinks import append_batch, fan_out
+# Per micro-batch the complete priced row (prediction, base and day-ahead
+# price), station alerts, and regional alerts of the batch's time bins over all
+# stored rows; idempotent writes keyed by the batch id.
+def price_batch_writer(prices_path: str, alerts_path: str, capacity: float = C.CAPACITY_KWH, history: DataFrame | None = None,
+                       model=None, grid: int | None = None):
+    from gridstream.operators import pricing as PR
+    from gridstream.operators.alerts import alert_stream, grid_stress_by_bin, regional_alerts, station_alerts
+    from gridstream.operators.model import score
+    from gridstream.sources.sinks import append_batch
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fan_out(batch, [
-            lambda b: append_batch(b, prices_path, batch_id),
-            lambda b: append_batch(station_alerts(b.withColumn("predicted_kwh", round_exact("mean_kwh", 4))),
-                                   alerts_path, batch_id),
-        ])
+        spark = batch.sparkSession
+        rows = score(model, batch) if model is not None else batch.withColumn("predicted_kwh", round_exact("mean_kwh", 4))
+        rows = rows.withColumn("base_price_cad", F.lit(float(C.BASE_PRICE_CAD)))
+        if history is not None:
+            rows = PR.with_day_ahead(rows, PR.history_lookup(history), PR.rated_power(history).scalar(), grid=grid)
+        else:
+            rows = rows.withColumn("day_ahead_price_cad", F.lit(None).cast("double"))
+        append_batch(rows, prices_path, batch_id)
+        stored = spark.read.schema(rows.withColumn("batch_id", F.lit(0)).schema).parquet(prices_path)
+        own = stored.filter(F.col("batch_id") == int(batch_id))
+        bins = stored.join(own.select("window_start").distinct(), "window_start", "left_semi")
+        append_batch(alert_stream(station_alerts(own), regional_alerts(grid_stress_by_bin(bins, capacity))), alerts_path, batch_id)
     return write
 
 
