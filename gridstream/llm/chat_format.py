@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstream.llm.common import shuffle_parts, table
+from gridstream.llm.common import in_batches, shuffle_parts, table
 
 SEGMENT = 1 << 20                  # characters after which a segment ends
 
@@ -529,7 +529,7 @@ def formatted(turns: DataFrame, template: str = CHAT, size: int = SEGMENT) -> Da
     Template(template)             # errors show here
     own = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     ordered = own.repartition(shuffle_parts(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(_format(template, size),
+    return in_batches(ordered, _format(template, size),
                               "conv_id long, segment long, text string, loss array<struct<start:long,end:long>>")
 
 
@@ -570,7 +570,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(segments: DataFrame) -> DataFrame:
     """What the output of ``formatted`` holds, read back; a conversation's
     segments lie in one partition, in order."""
-    return segments.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    return in_batches(segments, _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                          "loss_sha256 string, formatted_chars long")
 
 

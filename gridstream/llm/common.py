@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from gridstream.session import ensure_checkpoint_dir
 
 SPACES = " \t\n\x0b\f\r"          # what separates words: \x20 and \x09-\x0D
-SLICE_BYTES = 4 << 20              # text a task works on at a time
+SLICE_BYTES = 2 << 20              # text a task works on at a time
 BLOCK_BYTES = 2 << 20              # bytes hashed at a time
+BATCH_BYTES = 4 << 20              # of an Arrow batch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,15 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most BATCH_BYTES: what a Python worker
+    holds doesn't grow with the length of the texts."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df.mapInArrow(function, schema)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

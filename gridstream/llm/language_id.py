@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridstream.llm.common import slices, table, text_bytes, written
+from gridstream.llm.common import in_batches, slices, table, text_bytes, written
 
 UNKNOWN = "und"
 CLASSES = 128                      # blank, up to 126 letters, any other letter
@@ -176,7 +176,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS, r
     model = LanguageModel(alphabet, space, presence, np.zeros((presence.shape[1], max(1, len(languages))), np.float32), languages)
     if not languages:
         return model
-    rows = (sample.select("lang", "text").repartition(8).mapInArrow(_rows_kernel(model), "lang string, kernel array<float>, lettered boolean")
+    rows = (in_batches(sample.select("lang", "text").repartition(8), _rows_kernel(model), "lang string, kernel array<float>, lettered boolean")
             .where("lettered").toPandas())
     if not len(rows):
         return model._replace(languages=[])
@@ -207,14 +207,14 @@ def _predict(model: LanguageModel):
 def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """(row, lang_pred, score): ``row`` holds all columns of ``docs``."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return own.mapInArrow(_predict(model), T.StructType([own.schema["row"], T.StructField("lang_pred", T.StringType()),
+    return in_batches(own, _predict(model), T.StructType([own.schema["row"], T.StructField("lang_pred", T.StringType()),
                                                         T.StructField("score", T.DoubleType())]))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.select("doc_id", "lang", "text"))
-    own = docs.select("doc_id", "text").mapInArrow(_predict(model), "doc_id long, lang_pred string, score double")
+    own = in_batches(docs.select("doc_id", "text"), _predict(model), "doc_id long, lang_pred string, score double")
     return own.select("doc_id", F.coalesce(F.expr("crc32(cast(doc_id as string)) % 3 = 1"), F.lit(False)).alias("held_out"),
                       "lang_pred", "score")
 

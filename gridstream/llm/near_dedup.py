@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridstream.llm.common import mix, slices, table, text_bytes, words_of, written
+from gridstream.llm.common import in_batches, mix, slices, table, text_bytes, words_of, written
 from gridstream.llm.components import components
 
 SHINGLE = 5
@@ -189,7 +189,7 @@ def verified(pairs: DataFrame, texts: DataFrame, length: int = SHINGLE) -> DataF
     both = (pairs.join(texts.select(F.col("doc"), F.col("text").alias("x")), "doc")
             .join(texts.select(F.col("doc").alias("pivot"), F.col("text").alias("y")), "pivot")
             .select("doc", "pivot", "x", "y"))
-    return (both.mapInArrow(_compare(length), "doc long, pivot long, similarity double")
+    return (in_batches(both, _compare(length), "doc long, pivot long, similarity double")
             .groupBy("doc", "pivot").agg(F.max("similarity").alias("similarity")))
 
 
@@ -265,14 +265,14 @@ def prefix_pairs(left: DataFrame, texts: DataFrame, length: int, similar: float)
     good one fewer pairs.  The least size of a text's fellow members bounds |y|.
     """
     own = written(texts.join(left.select("doc", "root").distinct(), "doc"), "open-texts")
-    blocks = own.select("text").mapInArrow(_counted(length), "block int, counts binary").groupBy("block").applyInArrow(
+    blocks = in_batches(own.select("text"), _counted(length), "block int, counts binary").groupBy("block").applyInArrow(
         _summed, "block int, counts binary").orderBy("block").collect()
     counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in blocks]) if blocks else np.zeros(COUNTERS, np.int64)
-    sizes = own.select("doc", "text").mapInArrow(_sizes(length), "doc long, size long")
+    sizes = in_batches(own.select("doc", "text"), _sizes(length), "doc long, size long")
     placed = left.select("bucket", "doc").join(sizes, "doc")
     lows = placed.groupBy("bucket").agg(F.min("size").alias("low"))
     least = placed.select("bucket", "doc").join(lows, "bucket").groupBy("doc").agg(F.min("low").alias("least"))
-    found = written(own.join(least, "doc").select("doc", "root", "least", "text").mapInArrow(
+    found = written(in_batches(own.join(least, "doc").select("doc", "root", "least", "text"),
         _prefixes(counts, length, similar), "token long, doc long, root long, size long, place long, short boolean"), "prefixes")
     shared = found.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("token")
     some = found.join(shared, "token")
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc, text_doc, class_doc) of every document: the least doc_id with the
     same text, and the least doc_id of its near-duplicate class."""
     own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    signed = written(own.mapInArrow(_sign(bands, rows, length), SIGNED), "signatures")
+    signed = written(in_batches(own, _sign(bands, rows, length), SIGNED), "signatures")
     firsts = signed.where("doc is not null and same is not null").groupBy("same").agg(F.min("doc").alias("text_doc"))
     same = signed.select("doc", "same").join(firsts, "same", "left").select(
         "doc", F.coalesce("text_doc", "doc").alias("text_doc"))

@@ -27,10 +27,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from gridstream.llm.common import mix, slices, table
+from gridstream.llm.common import in_batches, slices, table
 from gridstream.llm.token_files import ragged_take
 
 MARK = "▁"
@@ -304,12 +303,12 @@ def _encode_rows(path: str, end_id: int):
 
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids) of every text."""
-    return docs.select("doc_id", "text").mapInArrow(_encode_rows(path, end_id), "doc_id long, ids array<int>")
+    return in_batches(docs.select("doc_id", "text"), _encode_rows(path, end_id), "doc_id long, ids array<int>")
 
 
 def digests(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """Counts and digests of the ids and of the text decoded from them."""
-    return docs.select("doc_id", "text").mapInArrow(
+    return in_batches(docs.select("doc_id", "text"),
         _digests(path, end_id), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

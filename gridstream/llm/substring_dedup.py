@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridstream.llm.common import mix, rolling, shuffle_parts, slices, table, windows_of, words_of
+from gridstream.llm.common import in_batches, mix, rolling, shuffle_parts, slices, table, windows_of, words_of
 
 WINDOW = 20
 FIRST = -(1 << 63)                 # stands for a null doc_id
@@ -183,7 +183,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def flagged_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(_id, _key, packed start words): the windows of each document that also start earlier."""
     buckets = shuffle_parts(docs.sparkSession)
-    parts = _keyed(docs, id_col, text_col).select("_id", "_key", "text").mapInArrow(windows_by_bucket(buckets, window), PARTS)
+    parts = in_batches(_keyed(docs, id_col, text_col).select("_id", "_key", "text"), windows_by_bucket(buckets, window), PARTS)
     sent = parts.groupBy("bucket").applyInArrow(repeats_of_bucket(buckets), SENT)
     return sent.groupBy("part").applyInArrow(flags_of_part, FLAGS)
 
@@ -253,10 +253,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words joined by one space."""
     keyed = _keyed(docs, id_col, text_col)
     rest = keyed.schema["_rest"]
-    packed = keyed.mapInArrow(_packed_texts, T.StructType([
+    packed = in_batches(keyed, _packed_texts, T.StructType([
         T.StructField("_id", T.LongType()), T.StructField("_key", T.IntegerType()), T.StructField("text", T.BinaryType()), rest]))
     both = packed.join(flagged_windows(docs, id_col, text_col, window), ["_id", "_key"], "left")
-    return both.select("_rest", "text", "starts").mapInArrow(_removals(window, not digest), T.StructType([
+    return in_batches(both.select("_rest", "text", "starts"), _removals(window, not digest), T.StructType([
         rest, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("result", T.StringType())]))
 

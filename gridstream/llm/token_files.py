@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridstream.llm.common import shared_path, shuffle_parts, slices, table, written
+from gridstream.llm.common import in_batches, shared_path, shuffle_parts, slices, table, written
 
 NO_ID = -(1 << 63)                 # a null doc_id in the .docs file
 END_ID = 1
@@ -172,7 +172,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = own.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    shards = written(ordered.mapInArrow(_write_shards(folder, tokenizer, end_id, dtype), "shard long, n_docs long, n_tokens long"),
+    shards = written(in_batches(ordered, _write_shards(folder, tokenizer, end_id, dtype), "shard long, n_docs long, n_tokens long"),
                      "manifest")
     # One row for each shard, so a single window orders them.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
