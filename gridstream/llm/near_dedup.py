@@ -337,3 +337,19 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = near_duplicates(docs).where("doc = class_doc").select(F.col("doc").alias("doc_id")).distinct()
     with_id = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
     return with_id.select(*docs.columns).union(docs.where("doc_id is null")).select(*docs.columns)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(list_slice(words, i, i + 4), ' '))
+                            WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS key FROM w),
+n AS (SELECT doc_id, key, count(*) AS n FROM s GROUP BY ALL),
+t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS least FROM n a JOIN n b ON a.key = b.key AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b WHERE least >= 0.8 * (x.total + y.total - least)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a),
+e AS (SELECT text, min(doc_id) AS text_id FROM w WHERE len(words) > 0 GROUP BY text)
+SELECT doc_id, coalesce(text_id, doc_id) AS text_id, coalesce(least(c.least, doc_id), doc_id) AS class_id
+FROM w LEFT JOIN e USING (text) LEFT JOIN c USING (doc_id)
+"""

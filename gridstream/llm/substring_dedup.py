@@ -273,3 +273,17 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pick = [F.col("_text").alias("text") if c == "text" else
             F.length("_text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
     return out.select(*pick)
+
+
+OP10_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+i AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+k AS (SELECT doc_id, i, string_agg(word, ' ') OVER f AS key, count(*) OVER f AS n FROM i
+      WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+l AS (SELECT doc_id, i, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1 AS later FROM k WHERE n = 20),
+c AS (SELECT i.doc_id, i.i, word, coalesce(max(CASE WHEN later THEN i.i END) OVER (PARTITION BY i.doc_id ORDER BY i.i) > i.i - 20, false) AS gone
+      FROM i LEFT JOIN l USING (doc_id, i)),
+r AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN r USING (doc_id)
+"""
