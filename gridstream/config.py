@@ -15,6 +15,8 @@ WATERMARK_DELAY = "30 seconds"       # bounded out-of-orderness
 ANOMALY_REASON = "kwh value exceeded 3 standard deviations from station rolling mean"
 DEFAULT_DQ_REASON = "anomaly_detected"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+REGIONAL_TEXT = "REGIONAL stress %.2f across %s stations at %s"
+STATION_TEXT = "Station %s -> %s (load %s kWh, multiplier %sx) at %s"
 
 BASE_PRICE_CAD = 0.12
 GUARANTEE_PREMIUM = 1.1

@@ -174,12 +174,12 @@ def alert_text(type_="type", level="alert_level", station="station_id",
     t = F.coalesce(col_(type_), F.lit("station"))
     lvl = F.coalesce(col_(level), F.lit("warning"))
     regional = F.format_string(
-        "REGIONAL stress %.2f across %s stations at %s",
+        C.REGIONAL_TEXT,
         F.coalesce(col_(score), F.lit(0.0)),
         F.coalesce(col_(count).cast("string"), F.lit("?")),
         F.coalesce(col_(time_bin).cast("string"), F.lit("None")))
     station_line = F.format_string(
-        "Station %s -> %s (load %s kWh, multiplier %sx) at %s",
+        C.STATION_TEXT,
         F.coalesce(col_(station).cast("string"), F.lit("None")), F.upper(lvl),
         F.coalesce(col_(predicted).cast("string"), F.lit("None")),
         F.coalesce(col_(multiplier).cast("string"), F.lit("None")),

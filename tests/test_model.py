@@ -49,8 +49,8 @@ def test_scenario_forecasts(spark):
     f = FE.stream_features(load_telemetry(spark, SF_SMALL, p), p.window_minutes, p.capacity, keep_start=True)
     lng = EV.long_table(f, p.capacity, p.window_minutes, scenarios=2)
     T = lng.agg(F.max("t")).collect()[0][0] + 1
-    out = MO.scenario_forecasts(lng, T, max_iter=2, max_depth=2)
-    assert out.count() == lng.count()
+    out = MO.scenario_forecasts(lng, T, 2, max_iter=2, max_depth=2)
+    assert out.count() == EV.with_forecast(lng).count() > lng.count()
     assert out.filter(F.col("cur_fc").isNull()).count() == 0
 
 
