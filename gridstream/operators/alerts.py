@@ -14,10 +14,10 @@ STATION_ALERT_COLS = ["type", "station_id", "time_bin", "alert_level", "predicte
 
 # Critical priced rows become station alerts; message key defaults to
 # "unknown" when the station is missing.
-def station_alerts(priced: DataFrame, level: str = "critical") -> DataFrame:
+def station_alerts(priced: DataFrame, level: str = "critical", keep=()) -> DataFrame:
     return (priced.filter(F.col("alert_level") == F.lit(level))
                   .select(F.lit("station").alias("type"), *STATION_ALERT_COLS[1:],
-                          F.coalesce(F.col("station_id"), F.lit("unknown")).alias("key")))
+                          F.coalesce(F.col("station_id"), F.lit("unknown")).alias("key"), *keep))
 
 
 # Regional score per time bin = mean(predicted / capacity) over rows
@@ -45,10 +45,10 @@ def grid_stress_latest(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
 
 
 # Regional alert records from triggered bins.
-def regional_alerts(grid: DataFrame) -> DataFrame:
+def regional_alerts(grid: DataFrame, keep=()) -> DataFrame:
     return (grid.filter(F.col("triggered_alert"))
                 .select(F.lit("regional").alias("type"), "time_bin", "stress_score", "station_count",
-                        F.lit("regional").alias("key")))
+                        F.lit("regional").alias("key"), *keep))
 
 
 # One alert stream fed by both kinds (missing columns are NULL).

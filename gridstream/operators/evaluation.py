@@ -67,15 +67,16 @@ def long_table(features: DataFrame, capacity: float, width_minutes: int = C.WIND
 # at t-1 (``pred`` column, default persistence = cur_obs); window 0 uses the
 # actual value; a station without a row at t-1 forecasts 0 for t.  A station
 # with a row at t-1 has a forecast for t even where it has no reading then.
-# Observed and shifted rows meet in one grouping, without a join.
-def with_forecast(long: DataFrame, pred: str = "cur_obs", part=("scenario_id",)) -> DataFrame:
+# Each row leaves once for its window and once for the next; they meet in one
+# grouping, without a join.
+def with_forecast(long: DataFrame, pred: str = "cur_obs", part=("scenario_id",), T: Column | int | None = None) -> DataFrame:
+    T = n_windows(long) if T is None else F.lit(T) if isinstance(T, int) else T
     none = F.lit(None).cast("double")
-    seen = long.select(*part, "station_id", "t", "cur_obs", "capacity", none.alias("_fc"))
-    made = long.select(*part, "station_id", (F.col("t") + 1).alias("t"), none.alias("cur_obs"), "capacity",
-                       F.col(pred).alias("_fc"))
-    both = seen.unionByName(made.where(F.col("t") < n_windows(long)))
-    m = both.groupBy(*part, "station_id", "t").agg(
-        F.max("cur_obs").alias("_obs"), F.max("_fc").alias("_fc"), F.max("capacity").alias("capacity"))
+    both = long.select(*part, "station_id", "capacity", F.explode(F.array(
+        F.struct(F.col("t").alias("t"), F.col("cur_obs").alias("obs"), none.alias("fc")),
+        F.struct((F.col("t") + 1).alias("t"), none.alias("obs"), F.col(pred).alias("fc")))).alias("_x"))
+    m = both.where(F.col("_x.t") < T).groupBy(*part, "station_id", F.col("_x.t").alias("t")).agg(
+        F.max("_x.obs").alias("_obs"), F.max("_x.fc").alias("_fc"), F.max("capacity").alias("capacity"))
     obs = F.coalesce("_obs", F.lit(0.0))
     return m.select(*part, "t", "station_id", obs.alias("cur_obs"), "capacity",
                     F.when(F.col("t") == 0, obs).otherwise(F.coalesce("_fc", F.lit(0.0))).alias("cur_fc"))
@@ -85,22 +86,24 @@ def n_windows(long: DataFrame) -> Column:
     return long.agg((F.max("t") + 1).cast("int")).scalar()
 
 
-# Constants of a scenario: number of stations and their total capacity.
-def scenario_constants(long: DataFrame, part=("scenario_id",)) -> DataFrame:
-    one = long.groupBy(*part, "station_id").agg(F.max("capacity").alias("_c"))
-    return one.groupBy(*part).agg(F.count(F.lit(1)).alias("_stations"), F.sum("_c").alias("_capacity"))
+# The stations of each scenario with their capacity: one row each.  A caller
+# that has them from elsewhere passes them, which saves a pass over ``long``.
+def station_table(long: DataFrame, part=("scenario_id",)) -> DataFrame:
+    return long.groupBy(*part, "station_id").agg(F.max("capacity").alias("capacity"))
 
 
 # E03 + E04: per (scenario, t) the four detector statistics over all stations
 # of the scenario, and regional utilisation; windows without rows are 0.
-def window_stats(long: DataFrame, T: Column | int, part=("scenario_id",)) -> DataFrame:
+def window_stats(long: DataFrame, T: Column | int, part=("scenario_id",), stations: DataFrame | None = None) -> DataFrame:
     part = list(part)
+    constants = (stations if stations is not None else station_table(long, part)).groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_stations"), F.sum("capacity").alias("_capacity"))
     T = F.lit(int(T)) if isinstance(T, int) else T
     sums = long.groupBy(*part, "t").agg(
         F.sum("cur_obs").alias("_obs"), F.sum("cur_fc").alias("_fc"),
         F.max("cur_obs").alias("_max_obs"), F.max("cur_fc").alias("_max_fc"),
         F.sum(F.col("cur_obs") * F.col("capacity")).alias("_load"))
-    grid = scenario_constants(long, part).withColumn("t", F.explode(F.sequence(F.lit(0), T - F.lit(1))))
+    grid = constants.withColumn("t", F.explode(F.sequence(F.lit(0), T - F.lit(1))))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return grid.join(sums, on=[*part, "t"], how="left").select(
         *part, "t", (zero("_obs") / F.col("_stations")).alias("agg_current"),
@@ -117,8 +120,8 @@ def overload_line(stats: DataFrame, quantile: float) -> Column:
 
 
 def window_grid(long: DataFrame, T: Column | int, l_true: float | None = C.L_TRUE, part=("scenario_id",),
-                quantile: float | None = None) -> DataFrame:
-    g = window_stats(long, T, part)
+                quantile: float | None = None, stations: DataFrame | None = None) -> DataFrame:
+    g = window_stats(long, T, part, stations)
     line = overload_line(g, quantile) if quantile is not None else F.lit(float(l_true))
     return g.withColumn("overload", snap("region_u") >= snap(line))
 
@@ -178,12 +181,13 @@ def in_zones(grid: DataFrame, lo: Column, lookback: int = C.LEAD_LOOKBACK_WINDOW
 def detector_metrics(long: DataFrame, l_true: float | None = C.L_TRUE, fraction: float = C.TRAIN_FRACTION,
                      detectors=C.DETECTORS, thr: list[float] | None = None,
                      lookback: int = C.LEAD_LOOKBACK_WINDOWS, part=("scenario_id",),
-                     T: Column | int | None = None, quantile: float | None = None) -> DataFrame:
+                     T: Column | int | None = None, quantile: float | None = None,
+                     stations: DataFrame | None = None) -> DataFrame:
     part = list(part)
     thr = sorted(thr or thresholds())
     T = T if T is not None else n_windows(long)
     lo = held_out_lo(T, fraction)
-    zoned = in_zones(window_grid(long, T, l_true, part, quantile), lo, lookback, part)
+    zoned = in_zones(window_grid(long, T, l_true, part, quantile, stations), lo, lookback, part)
     levels = alarm_levels(zoned, lo, detectors, thr, part, keep=("onset", "_events"))
     steps = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(len(thr) - 1)).alias("i"),
                                    F.array(*[F.lit(float(x)) for x in thr]).alias("threshold"))).alias("_s")
@@ -272,28 +276,29 @@ def curves(metrics: DataFrame, width_minutes: int = C.WINDOW_MINUTES, by=("detec
 # stations of a scenario (k = n, or ceil(p * stations)); the sweep value joins
 # the scenario key so every cell is scored in one job.  Sizes should lie below
 # the number of stations of a scenario: larger ones all keep every station.
-def station_subsets(long: DataFrame, sizes=None, fractions=None) -> DataFrame:
-    stations = long.select("scenario_id", "station_id").distinct()
+def station_subsets(stations: DataFrame, sizes=None, fractions=None) -> tuple[DataFrame, str]:
+    """(scenario_id, station_id, capacity, sweep value) of every subset, and the sweep column."""
     ranked = sliced_rank(stations, ["scenario_id"], "station_id", "_rank")
     if sizes is not None:
         cells = ranked.withColumn("n_stations", F.explode(F.array(*[F.lit(int(n)) for n in sizes]))) \
                       .filter(F.col("_rank") <= F.col("n_stations"))
-        key = "n_stations"
-    else:
-        total = stations.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("_tot"))
-        cells = (ranked.join(total, "scenario_id")
-                       .withColumn("participation", F.explode(F.array(*[F.lit(float(p)) for p in fractions])))
-                       .filter(F.col("_rank") <= F.ceil(F.col("participation") * F.col("_tot"))))
-        key = "participation"
-    return long.join(cells.select("scenario_id", "station_id", key), on=["scenario_id", "station_id"])
+        return cells.drop("_rank"), "n_stations"
+    total = stations.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("_tot"))
+    cells = (ranked.join(total, "scenario_id")
+                   .withColumn("participation", F.explode(F.array(*[F.lit(float(p)) for p in fractions])))
+                   .filter(F.col("_rank") <= F.ceil(F.col("participation") * F.col("_tot"))))
+    return cells.drop("_rank", "_tot"), "participation"
 
 
-def sweep_table(long: DataFrame, key: str, detectors=("AGG-CURRENT", "IND-CURRENT"),
+def sweep_table(long: DataFrame, sizes=None, fractions=None, detectors=("AGG-CURRENT", "IND-CURRENT"),
                 budget: float = C.FALSE_ALARM_BUDGET, width_minutes: int = C.WINDOW_MINUTES,
-                **kw) -> DataFrame:
-    T = n_windows(long)
-    m = detector_metrics(long, detectors=list(detectors), part=("scenario_id", key), T=T, **kw)
-    p = at_picked(m, budget, part=("scenario_id", key))
+                stations: DataFrame | None = None, T: Column | int | None = None, **kw) -> DataFrame:
+    stations = stations if stations is not None else station_table(long)
+    cells, key = station_subsets(stations, sizes, fractions)
+    part = ("scenario_id", key)
+    some = long.join(cells.drop("capacity"), ["scenario_id", "station_id"])
+    m = detector_metrics(some, detectors=list(detectors), part=part, T=T if T is not None else n_windows(long), stations=cells, **kw)
+    p = at_picked(m, budget, part=part)
     return p.groupBy(key, "detector").agg(
         F.avg("recall").alias("recall"),
         F.avg(F.col("mean_lead_windows") * F.lit(float(width_minutes))).alias("mean_lead_min"))

@@ -147,13 +147,8 @@ def grid_of(priced) -> DataFrame:
 
 def alerts_of(spark, sf_dir) -> DataFrame:
     msgs = messages_of(spark, sf_dir)
-    st = AL.station_alerts(msgs).join(
-        msgs.select("station_id", "time_bin", "arrival_ms"), ["station_id", "time_bin"], "left")
-    g = grid_of(msgs)
-    rg = (AL.regional_alerts(g)
-          .join(g.select("time_bin", (F.unix_millis("time_bin_ts") + F.lit(ARRIVAL_PAD_MS)).alias("arrival_ms")),
-                "time_bin", "left"))
-    return AL.alert_stream(st, rg)
+    g = grid_of(msgs).withColumn("arrival_ms", F.unix_millis("time_bin_ts") + F.lit(ARRIVAL_PAD_MS))
+    return AL.alert_stream(AL.station_alerts(msgs, keep=("arrival_ms",)), AL.regional_alerts(g, keep=("arrival_ms",)))
 
 
 ALERT_COLS = ["type", "station_id", "time_bin", "alert_level", "predicted_kwh", "price_multiplier",
@@ -305,21 +300,30 @@ def q_alert_feed(spark, sf_dir):
 # Detector evaluation (profile E)
 # ---------------------------------------------------------------------------
 
+def eval_constants(spark, sf_dir):
+    """First window, number of windows and the stations, from the readings' keys and times alone."""
+    p = PROFILE_E
+    t = tel(spark, sf_dir, p)
+    ends = t.agg(F.min(RU.bin_start("event_time", p.window_minutes)).alias("a"), F.max(RU.bin_start("event_time", p.window_minutes)).alias("b"))
+    first, last = ends.select("a").scalar(), ends.select("b").scalar()
+    stations = t.select("station_id").distinct().select(
+        EV.station_number("station_id", 5).alias("scenario_id"), "station_id", F.lit(float(p.capacity)).alias("capacity"))
+    return first, EV.bin_index(last, first, p.window_minutes) + 1, stations
+
+
 def eval_long(spark, sf_dir) -> DataFrame:
     """The evaluation's long table (profile E: enough readings per cell, and
     more stations per scenario than the largest sweep size)."""
     p = PROFILE_E
+    first, T, _ = eval_constants(spark, sf_dir)
     f = features_of(spark, sf_dir, p, keep_start=True)
-    first = tel(spark, sf_dir, p).agg(F.min(RU.bin_start("event_time", p.window_minutes))).scalar()
-    return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes, t0=first))
+    return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes, t0=first), T=T)
 
 
 def eval_parts(spark, sf_dir):
+    _, T, stations = eval_constants(spark, sf_dir)
     lng = eval_long(spark, sf_dir)
-    T = EV.n_windows(lng)
-    lo = EV.held_out_lo(T)
-    grid = EV.window_grid(lng, T, quantile=OVERLOAD_QUANTILE)
-    return lng, T, lo, grid
+    return lng, T, EV.held_out_lo(T), EV.window_grid(lng, T, quantile=OVERLOAD_QUANTILE, stations=stations)
 
 
 @register("e01_raw_trace_summary")
@@ -354,7 +358,13 @@ def q_zones(spark, sf_dir):
 
 
 def eval_metrics(spark, sf_dir) -> DataFrame:
-    return EV.detector_metrics(eval_long(spark, sf_dir), quantile=OVERLOAD_QUANTILE)
+    _, T, stations = eval_constants(spark, sf_dir)
+    return EV.detector_metrics(eval_long(spark, sf_dir), T=T, quantile=OVERLOAD_QUANTILE, stations=stations)
+
+
+def sweep_of(spark, sf_dir, **kw) -> DataFrame:
+    _, T, stations = eval_constants(spark, sf_dir)
+    return EV.sweep_table(eval_long(spark, sf_dir), width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE, T=T, stations=stations, **kw)
 
 
 @register("e08_detector_metrics")
@@ -392,14 +402,12 @@ def q_curves(spark, sf_dir):
 
 @register("e16_station_sweep")
 def q_station_sweep(spark, sf_dir):
-    sub = EV.station_subsets(eval_long(spark, sf_dir), sizes=C.STATION_SWEEP)
-    return rounded(EV.sweep_table(sub, "n_stations", width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE))
+    return rounded(sweep_of(spark, sf_dir, sizes=C.STATION_SWEEP))
 
 
 @register("e17_participation_sweep")
 def q_participation_sweep(spark, sf_dir):
-    sub = EV.station_subsets(eval_long(spark, sf_dir), fractions=C.PARTICIPATION_SWEEP)
-    return rounded(EV.sweep_table(sub, "participation", width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE))
+    return rounded(sweep_of(spark, sf_dir, fractions=C.PARTICIPATION_SWEEP))
 
 
 @register("m05_forecast_alignment")
@@ -641,7 +649,7 @@ def q_boosted(spark, sf_dir):
 def q_scenario_forecasts(spark, sf_dir):
     """M06 with few trees: forecast rows of each scenario, none missing, window 0 the actual value."""
     lng = eval_long(spark, sf_dir)
-    fc = MO.scenario_forecasts(lng, EV.n_windows(lng), 5, PROFILE_E.window_minutes, max_iter=2)
+    fc = MO.scenario_forecasts(lng, eval_constants(spark, sf_dir)[1], 5, PROFILE_E.window_minutes, max_iter=2)
     return fc.groupBy("scenario_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("cur_fc").isNull()).alias("n_missing"),
         F.count_if((F.col("t") == 0) & (F.col("cur_fc") != F.col("cur_obs"))).alias("n_wrong_first"))
