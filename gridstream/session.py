@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings every job relies on; cluster deployments keep their own sizes.
@@ -65,9 +66,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _OWN: dict[str, str] = {}     # local masters only: application id -> its folder
 
 
+_FOLDERS: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridstream-tables/{spark.sparkContext.applicationId}/{name}"
+    """A path for an intermediate table, in a folder of this application under
+    the shared one; the folder goes when the driver's process ends."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridstream/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark.sparkContext._jvm, folder)
+    return f"{folder}/{name}"
+
+
+def _remove(jvm, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except (Py4JError, OSError):      # the JVM has ended before
+        pass
 
 
 def materialize(df, name: str | None = None):
