@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from gridstream.session import ensure_checkpoint_dir
+from gridstream.session import scratch_path
 
 SPACES = " \t\n\x0b\f\r"          # what separates words: \x20 and \x09-\x0D
 SLICE_BYTES = 2 << 20              # text a task works on at a time
@@ -26,8 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A new path in the folder that driver and executors share."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/llm/{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"llm-{kind}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:

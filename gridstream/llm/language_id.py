@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,7 @@ PER_LANG, LANDMARKS, LANDMARK_CHARS, MAX_LANGS = 500, 256, 6000, 64
 RIDGE = 1e-3
 SHARPNESS = 4.0                    # of the softmax over one-versus-rest scores
 REJECT_BELOW = 0.4                 # the pipeline's least score
-CELLS = 4 << 20                    # cells of a presence matrix at a time
+CELLS = 1 << 20                    # cells of a presence matrix at a time
 
 
 def letter_table(alphabet: str) -> np.ndarray:
@@ -204,11 +205,18 @@ def _predict(model: LanguageModel):
     return run
 
 
+def _predict_rows(model: LanguageModel, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = (pa.RecordBatch.from_arrays([b.column(0), pc.struct_field(b.column(0), text_col)], ["row", "text"]) for b in batches)
+        yield from _predict(model)(own)
+    return run
+
+
 def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """(row, lang_pred, score): ``row`` holds all columns of ``docs``."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return in_batches(own, _predict(model), T.StructType([own.schema["row"], T.StructField("lang_pred", T.StringType()),
-                                                        T.StructField("score", T.DoubleType())]))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return in_batches(own, _predict_rows(model, text_col), T.StructType([own.schema["row"], T.StructField("lang_pred", T.StringType()),
+                                                                        T.StructField("score", T.DoubleType())]))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
