@@ -337,8 +337,8 @@ def fold(body: list) -> list:
 class Output:
     """Rendered text, its length, and the spans under the loss mask."""
 
-    def __init__(self, boundary: Callable[[Output], None] | None = None):
-        self.parts, self.size, self.spans, self.boundary = [], 0, [], boundary
+    def __init__(self):
+        self.parts, self.size, self.spans = [], 0, []
 
     def put(self, text: str) -> None:
         self.parts.append(text)
@@ -371,8 +371,8 @@ def _value(tree: tuple) -> Callable:
     return lambda env: run(first(env), second(env))
 
 
-def _block(body: list, top: bool = False) -> Callable:
-    steps = [_step(s, top) for s in body]
+def _block(body: list) -> Callable:
+    steps = [_step(s) for s in body]
 
     def run(env, out):
         for f in steps:
@@ -380,7 +380,20 @@ def _block(body: list, top: bool = False) -> Callable:
     return run
 
 
-def _step(s: tuple, top: bool) -> Callable:
+def _rounds(name: str, items, body: Callable, env: dict, out: Output) -> Iterator[None]:
+    """Runs a loop's body for each item, one item ahead, and pauses after each."""
+    own, index = iter(items or ()), 0
+    current = next(own, _END)
+    while current is not _END:
+        following = next(own, _END)
+        env[name] = current
+        env["loop"] = {"index0": index, "index": index + 1, "first": index == 0, "last": following is _END}
+        body(env, out)
+        yield
+        current, index = following, index + 1
+
+
+def _step(s: tuple) -> Callable:
     if s[0] == "text":
         return lambda env, out, t=s[1]: out.put(t)
     if s[0] == "emit":
@@ -409,16 +422,8 @@ def _step(s: tuple, top: bool) -> Callable:
     items, body = _value(s[2]), _block(s[3])
 
     def loop(env, out):
-        own, index = iter(items(env) or ()), 0
-        current = next(own, _END)
-        while current is not _END:
-            following = next(own, _END)
-            env[s[1]] = current
-            env["loop"] = {"index0": index, "index": index + 1, "first": index == 0, "last": following is _END}
-            body(env, out)
-            if top and out.boundary:
-                out.boundary(out)
-            current, index = following, index + 1
+        for _ in _rounds(s[1], items(env), body, env, out):
+            pass
     return loop
 
 
@@ -435,7 +440,7 @@ def _names(tree) -> int:
 class Template:
     def __init__(self, source: str):
         self.tree = fold(parse(source))
-        self.run = _block(self.tree, top=True)
+        self.run = _block(self.tree)
         loops = [s for s in self.tree if s[0] == "for" and s[2] == ("name", "messages")]
         #: one top-level loop is all that reads the messages: they may come as a stream
         self.streams = len(loops) == 1 and _names(self.tree) == 1
@@ -447,47 +452,24 @@ class Template:
         return out.taken()
 
     def segments(self, messages: Iterator, size: int = SEGMENT) -> Iterator[tuple[str, list]]:
-        """The same in segments of about ``size`` characters, cut between messages."""
-        done: list = []
-
-        def boundary(out: Output) -> None:
-            if out.size >= size:
-                done.append(out.taken())
-
-        out = Output(boundary)
+        """The same in segments of about ``size`` characters, cut between
+        messages; one segment where the template needs all messages at once."""
         if not self.streams:
-            messages = list(messages)
-            self.run({"messages": messages}, out)
-        else:
-            # The loop pulls messages itself; full segments leave as it goes.
-            for _ in _stepwise(self.tree, messages, out):
-                yield from done
-                done.clear()
-        yield from done
-        if out.size or not done:
+            yield self.render(list(messages))
+            return
+        out, env, left = Output(), {}, False
+        for s in self.tree:
+            if s[0] == "for" and s[2] == ("name", "messages"):
+                for _ in _rounds(s[1], messages, _block(s[3]), env, out):
+                    if out.size >= size:
+                        yield out.taken()
+                        left = True
+            else:
+                _step(s)(env, out)
+        if out.size or not left:
             yield out.taken()
 
 
-def _stepwise(tree: list, messages: Iterator, out: Output) -> Iterator[None]:
-    """Runs a streaming template, pausing after each message."""
-    env: dict = {"messages": ()}
-    for s in tree:
-        if s[0] == "for" and s[2] == ("name", "messages"):
-            body, index = _block(s[3]), 0
-            current = next(messages, _END)
-            while current is not _END:
-                following = next(messages, _END)
-                env[s[1]] = current
-                env["loop"] = {"index0": index, "index": index + 1, "first": index == 0, "last": following is _END}
-                body(env, out)
-                out.boundary(out)
-                yield
-                current, index = following, index + 1
-        else:
-            _step(s, False)(env, out)
-    yield
-
-
 CHAT = ("{% for m in messages %}<|im_start|>{{ m.role | line }}\n"
         "{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}"
         "{% else %}{{ m.text | escape }}{% endif %}<|im_end|>\n{% endfor %}")
