@@ -10,8 +10,8 @@ postings term by term into a dense score array over the block, partition
 selection takes its k best there, and the blocks' lists are merged by a ranking
 window.
 
-Blocks are numbered by ranges of the sorted vec_id, block sizes are bounded by
-parameters.  Integer sums are exact: 64-bit, for weights up to 2**27 or so.
+Blocks are dealt by a hash of vec_id, their sizes are about the parameters'.
+Integer sums are exact: 64-bit, for weights up to 2**27 or so.
 
 Edge cases: vectors that are null, hold a null or a non-finite component, or
 have a null vec_id take no part; vectors may differ in length, missing
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridstream.llm.common import table, written
+from gridstream.llm.common import shuffle_parts, table, written
 
 BLOCK = 8192                       # candidates of a block
 QUERIES = 1024                     # queries of a block
@@ -124,7 +124,9 @@ def top_k(rows: DataFrame, queries, k: int = 5, block: int = BLOCK, query_block:
     left = every.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_own - 1))))
     right = (own.select("qb", F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("weights").alias("q_weights"))
              .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_every - 1)))))
-    pairs = left.join(right, ["qb", "cb"]).select("ids", "sizes", "weights", "q_ids", "q_sizes", "q_weights")
+    # dealt in full, as a pair of blocks is few bytes but much work
+    n = shuffle_parts(rows.sparkSession)
+    pairs = left.repartition(n, "qb", "cb").join(right.repartition(n, "qb", "cb"), ["qb", "cb"]).select("ids", "sizes", "weights", "q_ids", "q_sizes", "q_weights")
     found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
