@@ -167,8 +167,9 @@ def _write_shards(folder: str, tokenizer: str, end_id: int, dtype: str):
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, dtype: str = "<u2",
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the shards to ``folder`` (which driver and executors share) and
-    returns the manifest: shard, n_docs, n_tokens, base."""
+    """Writes the shards to ``folder`` (which driver and executors share, on a
+    file system that pyarrow can write) and returns the manifest: shard,
+    n_docs, n_tokens, base."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = own.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
