@@ -136,8 +136,13 @@ def heatmap_long(df: DataFrame, n: int = C.HEATMAP_WINDOWS, value: str = "predic
                .groupBy("station_id", "time_label").agg(F.avg(value).alias("mean_value")))
 
 
-def heatmap_pivot(long: DataFrame) -> DataFrame:
-    return long.groupBy("station_id").pivot("time_label").agg(F.first("mean_value"))
+def time_labels(width_minutes: int) -> list[str]:
+    return [f"{m // 60:02d}:{m % 60:02d}" for m in range(0, 1440, int(width_minutes))]
+
+
+def heatmap_pivot(long: DataFrame, width_minutes: int = C.WINDOW_MINUTES) -> DataFrame:
+    """One column for each window of a day; the labels are known, so no job looks them up."""
+    return long.groupBy("station_id").pivot("time_label", time_labels(width_minutes)).agg(F.first("mean_value"))
 
 
 # Stations by multiplier, highest first (ties by station).

@@ -238,6 +238,12 @@ def q_heatmap(spark, sf_dir):
     return rounded(SV.heatmap_long(messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))))
 
 
+@register("d09_heatmap_wide")
+def q_heatmap_wide(spark, sf_dir):
+    return rounded(SV.heatmap_pivot(SV.heatmap_long(messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))),
+                                    PROFILE_B.window_minutes))
+
+
 @register("d10_by_multiplier")
 def q_by_multiplier(spark, sf_dir):
     placed = SV.multiplier_positions(latest_of(spark, sf_dir))
@@ -437,6 +443,15 @@ def q_cleaned(spark, sf_dir):
     return rounded(TL.clean_telemetry(tel(spark, sf_dir, PROFILE_B)).select(*TEL_OUT, "seq"))
 
 
+@register("s05_time_order")
+def q_time_order(spark, sf_dir):
+    """Readings per station and how many of them come before an earlier one in their partition."""
+    from pyspark.sql import Window
+    t = TL.time_ordered(tel(spark, sf_dir, PROFILE_B).repartition(8, "station_id")).withColumn("_at", F.monotonically_increasing_id())
+    back = F.col("event_time") < F.lag("event_time").over(Window.partitionBy("station_id").orderBy("_at"))
+    return t.withColumn("_back", back).groupBy("station_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("_back").alias("n_back"))
+
+
 @register("s06_station_cap")
 def q_station_cap(spark, sf_dir):
     return rounded(TL.cap_stations(tel(spark, sf_dir, PROFILE_B), STATION_CAP).select(*TEL_OUT, "seq"))
