@@ -332,11 +332,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the document of the least id stays;
-    documents without id stay."""
+    """Pipeline stage: of each class the document of the least id stays, once
+    where it is repeated (with its least text); documents without id stay."""
     keep = near_duplicates(docs).where("doc = class_doc").select(F.col("doc").alias("doc_id")).distinct()
-    with_id = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return with_id.select(*docs.columns).union(docs.where("doc_id is null")).select(*docs.columns)
+    some = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = some.groupBy("doc_id").agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("_row"))
+    return once.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]).union(docs.where("doc_id is null"))
 
 
 OP8_SQL = r"""
