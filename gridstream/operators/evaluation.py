@@ -192,30 +192,32 @@ def detector_metrics(long: DataFrame, l_true: float | None = C.L_TRUE, fraction:
     steps = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(len(thr) - 1)).alias("i"),
                                    F.array(*[F.lit(float(x)) for x in thr]).alias("threshold"))).alias("_s")
 
-    # windows by level: a few dozen rows for each (scenario, detector)
-    counted = levels.groupBy(*part, "detector", "level").agg(
-        F.count_if("overload").alias("_pos"), F.count_if(~F.col("overload")).alias("_neg"),
-        F.count_if(F.size("_events") == 0).alias("_outside"), F.count("onset").alias("_onsets"))
-    fired = F.col("level") > F.col("_s.i")
+    # Each window counts once under its level, and once for every event whose
+    # zone it lies in: the first alarm at threshold i is where the level first
+    # passes i, so only a window that raises the running maximum matters.
+    by_event = Window.partitionBy(*part, "detector", "event").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.max("level").over(by_event), F.lit(0))
+    rows = (levels.withColumn("event", F.explode(F.concat(F.array(F.lit(None).cast("int")), "_events")))
+            .withColumn("_before", before))
+    plain = F.col("event").isNull()
+    passed = F.when(F.col("level") > F.col("_before"), F.sequence(F.col("_before"), F.col("level") - 1)).otherwise(F.array().cast("array<int>"))
+    counted = (rows.withColumn("_i", F.explode(F.when(plain, F.array("level")).otherwise(passed)))
+               .groupBy(*part, "detector", plain.alias("_plain"), "_i").agg(
+                   F.count_if("overload").alias("_pos"), F.count_if(~F.col("overload")).alias("_neg"),
+                   F.count_if(F.size("_events") == 0).alias("_outside"), F.count("onset").alias("_onsets"),
+                   F.sum(F.greatest(F.lit(0), F.col("event") - F.col("t"))).alias("_lead"), F.count(F.lit(1)).alias("_n")))
+
+    # a few dozen rows for each (scenario, detector): running totals over the thresholds
+    fired = F.col("_plain") & (F.col("_i") > F.col("_s.i"))
+    quiet = F.col("_plain") & (F.col("_i") <= F.col("_s.i"))
+    first = ~F.col("_plain") & (F.col("_i") == F.col("_s.i"))
     total = lambda c, cond: F.sum(F.when(cond, F.col(c)).otherwise(F.lit(0)))
-    conf = counted.select("*", steps).groupBy(*part, "detector", F.col("_s.i").alias("_i"),
-                                              F.col("_s.threshold").alias("threshold")).agg(
+    m = counted.select("*", steps).groupBy(*part, "detector", F.col("_s.threshold").alias("threshold")).agg(
         total("_pos", fired).alias("tp"), total("_neg", fired).alias("fp"),
-        total("_pos", ~fired).alias("fn"), total("_neg", ~fired).alias("tn"),
-        total("_outside", fired).alias("_fa"), F.sum("_outside").alias("_out"), F.sum("_onsets").alias("n_events"))
-
-    # the first alarm of an event at threshold i is where the level first
-    # passes i: only windows that raise the running maximum matter
-    by_event = Window.partitionBy(*part, "detector", "event").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    first = (levels.select(*part, "t", "detector", "level", F.explode("_events").alias("event"))
-             .withColumn("_before", F.coalesce(F.max("level").over(by_event), F.lit(0)))
-             .where(F.col("level") > F.col("_before"))
-             .withColumn("_i", F.explode(F.sequence(F.col("_before"), F.col("level") - 1))))
-    leads = first.groupBy(*part, "detector", "_i").agg(
-        F.sum(F.greatest(F.lit(0), F.col("event") - F.col("t"))).alias("_lead_sum"),
-        F.count(F.lit(1)).alias("_detected"))
-
-    m = (conf.join(leads, on=[*part, "detector", "_i"], how="left").fillna(0, subset=["_lead_sum", "_detected"]))
+        total("_pos", quiet).alias("fn"), total("_neg", quiet).alias("tn"),
+        total("_outside", fired).alias("_fa"), total("_outside", F.col("_plain")).alias("_out"),
+        total("_onsets", F.col("_plain")).alias("n_events"),
+        total("_lead", first).alias("_lead_sum"), total("_n", first).alias("_detected"))
     prec = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     return (m.withColumn("precision", prec).withColumn("recall", rec)
@@ -225,7 +227,7 @@ def detector_metrics(long: DataFrame, l_true: float | None = C.L_TRUE, fraction:
              .withColumn("far", _ratio(F.col("_fa"), F.col("_out")))
              .withColumn("mean_lead_windows", _ratio(F.col("_lead_sum").cast("double"), F.col("n_events")))
              .withColumn("detection_rate", _ratio(F.col("_detected").cast("double"), F.col("n_events")))
-             .drop("_i", "_fa", "_out", "_lead_sum", "_detected"))
+             .drop("_fa", "_out", "_lead_sum", "_detected"))
 
 
 # E11 (fpr, recall) and E12 (far, lead minutes) per threshold.

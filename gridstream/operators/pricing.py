@@ -98,12 +98,10 @@ PRICE_OUT = ["station_id", "time_bin", "predicted_kwh", "price_multiplier", "bas
 def price_features(features: DataFrame, history: DataFrame | None, predicted: Column | None = None,
                    base: float = C.BASE_PRICE_CAD, premium: float = C.GUARANTEE_PREMIUM,
                    rated: Column | float | None = None, keep_start: bool = False,
-                   lookup: DataFrame | None = None, grid: int | None = None) -> DataFrame:
+                   lookup: DataFrame | None = None, grid: int | None = None, day_ahead: bool = True) -> DataFrame:
     """``history`` is raw telemetry; a precomputed ``lookup`` (P05) and
     ``rated`` (P04) may be passed instead, as the pricing service builds them
     once at start-up."""
-    rated = rated if rated is not None else rated_power(history).scalar()
-    lookup = lookup if lookup is not None else history_lookup(history)
     pred = predicted if predicted is not None else F.col("mean_kwh")
     cur = F.col("capacity_utilization_ratio")
     d = (features.withColumn("predicted_kwh", round_exact(pred, 4))
@@ -113,7 +111,11 @@ def price_features(features: DataFrame, history: DataFrame | None, predicted: Co
                  .withColumn("dynamic_price_cad", dynamic_price("_mult", base))
                  .withColumn("alert_level", alert_level(cur, grid=grid)))
     d = with_session(d, base=base, premium=premium)
-    d = with_day_ahead(d, lookup, rated, base, grid)
+    if day_ahead:
+        rated = rated if rated is not None else rated_power(history).scalar()
+        d = with_day_ahead(d, lookup if lookup is not None else history_lookup(history), rated, base, grid)
+    else:      # for what doesn't read that price: no lookup in the plan
+        d = d.withColumn("day_ahead_price_cad", F.lit(None).cast("double"))
     extra = ([c for c in ("window_start", "last_event_time", "capacity_utilization_ratio")
               if c in d.columns] if keep_start else [])
     return d.select(*PRICE_OUT, *extra)

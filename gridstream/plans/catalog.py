@@ -83,10 +83,12 @@ def q_features_b(spark, sf_dir):
 GRID = 9      # averaged utilisations meet their limits on a 1e-9 grid, in the SQL alike
 
 
-def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False, predicted=None, features=None) -> DataFrame:
+def priced_of(spark, sf_dir, p: Profile = PROFILE_B, keep_start=False, predicted=None, features=None,
+              day_ahead=True) -> DataFrame:
     """Priced windows of a profile; the day-ahead lookup and the rated power come from the raw telemetry."""
     f = features if features is not None else features_of(spark, sf_dir, p, keep_start=True)
-    return PR.price_features(f, tel(spark, sf_dir, p), predicted=predicted, keep_start=keep_start, grid=GRID)
+    return PR.price_features(f, tel(spark, sf_dir, p), predicted=predicted, keep_start=keep_start, grid=GRID,
+                             day_ahead=day_ahead)
 
 
 @register("p01_window_prices")
@@ -132,13 +134,13 @@ def q_priced(spark, sf_dir):
 ARRIVAL_PAD_MS = PROFILE_B.window_minutes * 60000 + 30000
 
 
-def stored_priced(spark, sf_dir) -> DataFrame:
-    """Priced windows as stored (the inference rows)."""
-    return priced_of(spark, sf_dir, PROFILE_B, keep_start=True)
+def stored_priced(spark, sf_dir, day_ahead=True) -> DataFrame:
+    """Priced windows as stored (the inference rows); without the day-ahead price for what doesn't read it."""
+    return priced_of(spark, sf_dir, PROFILE_B, keep_start=True, day_ahead=day_ahead)
 
 
-def messages_of(spark, sf_dir) -> DataFrame:
-    return SV.price_messages(stored_priced(spark, sf_dir), PROFILE_B.window_minutes)
+def messages_of(spark, sf_dir, day_ahead=True) -> DataFrame:
+    return SV.price_messages(stored_priced(spark, sf_dir, day_ahead), PROFILE_B.window_minutes)
 
 
 def grid_of(priced) -> DataFrame:
@@ -146,7 +148,7 @@ def grid_of(priced) -> DataFrame:
 
 
 def alerts_of(spark, sf_dir) -> DataFrame:
-    msgs = messages_of(spark, sf_dir)
+    msgs = messages_of(spark, sf_dir, day_ahead=False)
     g = grid_of(msgs).withColumn("arrival_ms", F.unix_millis("time_bin_ts") + F.lit(ARRIVAL_PAD_MS))
     return AL.alert_stream(AL.station_alerts(msgs, keep=("arrival_ms",)), AL.regional_alerts(g, keep=("arrival_ms",)))
 
@@ -174,25 +176,25 @@ def combined_out(df: DataFrame) -> DataFrame:
 
 @register("a01_station_alerts")
 def q_station_alerts(spark, sf_dir):
-    return rounded(AL.station_alerts(stored_priced(spark, sf_dir)).drop("window_start", "last_event_time",
+    return rounded(AL.station_alerts(stored_priced(spark, sf_dir, day_ahead=False)).drop("window_start", "last_event_time",
                                                                          "capacity_utilization_ratio"))
 
 
 @register("a02_grid_stress_latest")
 def q_grid_latest(spark, sf_dir):
-    g = AL.grid_stress_latest(stored_priced(spark, sf_dir), PROFILE_B.capacity)
+    g = AL.grid_stress_latest(stored_priced(spark, sf_dir, day_ahead=False), PROFILE_B.capacity)
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
 @register("a03_grid_stress")
 def q_grid(spark, sf_dir):
-    g = grid_of(stored_priced(spark, sf_dir))
+    g = grid_of(stored_priced(spark, sf_dir, day_ahead=False))
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
 @register("a04_regional_alerts")
 def q_regional(spark, sf_dir):
-    return rounded(AL.regional_alerts(grid_of(stored_priced(spark, sf_dir))))
+    return rounded(AL.regional_alerts(grid_of(stored_priced(spark, sf_dir, day_ahead=False))))
 
 
 @register("a05_alert_stream")
@@ -224,23 +226,23 @@ def q_kpis(spark, sf_dir):
 
 @register("d06_current_stress")
 def q_current_stress(spark, sf_dir):
-    return rounded(SV.current_stress(grid_of(messages_of(spark, sf_dir)), latest_of(spark, sf_dir), PROFILE_B.capacity))
+    return rounded(SV.current_stress(grid_of(messages_of(spark, sf_dir, day_ahead=False)), latest_of(spark, sf_dir), PROFILE_B.capacity))
 
 
 @register("d08_latency_stats")
 def q_latency(spark, sf_dir):
-    msgs = messages_of(spark, sf_dir)
+    msgs = messages_of(spark, sf_dir, day_ahead=False)
     return rounded(SV.latency_stats(msgs.withColumn("latency_ms", (F.col("arrival_ms") - F.col("kafka_ts_ms")).cast("double"))))
 
 
 @register("d09_heatmap")
 def q_heatmap(spark, sf_dir):
-    return rounded(SV.heatmap_long(messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))))
+    return rounded(SV.heatmap_long(messages_of(spark, sf_dir, day_ahead=False).withColumn("time_bin", F.col("window_start"))))
 
 
 @register("d09_heatmap_wide")
 def q_heatmap_wide(spark, sf_dir):
-    return rounded(SV.heatmap_pivot(SV.heatmap_long(messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))),
+    return rounded(SV.heatmap_pivot(SV.heatmap_long(messages_of(spark, sf_dir, day_ahead=False).withColumn("time_bin", F.col("window_start"))),
                                     PROFILE_B.window_minutes))
 
 
@@ -257,7 +259,7 @@ def q_status(spark, sf_dir):
 
 @register("d12_grid_trend")
 def q_grid_trend(spark, sf_dir):
-    g = SV.grid_trend(grid_of(stored_priced(spark, sf_dir)))
+    g = SV.grid_trend(grid_of(stored_priced(spark, sf_dir, day_ahead=False)))
     return rounded(g.select("time_bin", "stress_score", "station_count", "triggered_alert"))
 
 
@@ -274,7 +276,7 @@ def q_live(spark, sf_dir):
 
 @register("d15_messages_seen")
 def q_seen(spark, sf_dir):
-    return SV.messages_seen(messages_of(spark, sf_dir))
+    return SV.messages_seen(messages_of(spark, sf_dir, day_ahead=False))
 
 
 @register("d14_alert_buffer")
@@ -534,7 +536,7 @@ def q_insert_once(spark, sf_dir):
     """Grid rows inserted twice, each batch holding every bin twice, through
     the insert-once guard, read back."""
     path = new_table(spark, "grid")
-    g = grid_of(stored_priced(spark, sf_dir)).select(
+    g = grid_of(stored_priced(spark, sf_dir, day_ahead=False)).select(
         "time_bin", "stress_score", "station_count", "triggered_alert")
     twice = g.unionByName(g.withColumn("stress_score", F.col("stress_score") + 1.0))
     SK.insert_once(twice, path)
