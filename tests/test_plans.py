@@ -31,15 +31,18 @@ def test_scans_are_pruned(spark):
 BUILDING = ("m0", "w", "op", "pipeline", "s11", "s12", "s13", "s20", "s21", "s22", "s24", "s01")
 
 
-def test_building_a_query_starts_no_job(spark):
-    tracker = spark.sparkContext.statusTracker()
+def test_building_a_query_starts_no_job(spark, monkeypatch):
+    """Apart from the one in which Spark reads a file's schema."""
+    from gridstream.sources import telemetry as TL
+    reads, load = [], TL.load_table
+    monkeypatch.setattr(TL, "load_table", lambda *a: reads.append(a) or load(*a))
     spark.sparkContext.setJobGroup("building", "building")
     for name, q in E.queries().items():
         if not name.startswith(BUILDING):
             q(spark, SF_SMALL)
-    # reading a schema lists a file in a job of its own kind, outside any SQL execution
-    assert len(tracker.getJobIdsForGroup("building")) <= 2 * len(E.queries())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(reads) > 50 and len(jobs) <= len(reads)
 
 
 @pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(BUILDING)))
