@@ -67,14 +67,12 @@ def grams(codes: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tuple[n
     starts = bounds[:-1][bounds[:-1] < codes.size]
     keep[starts] = True                          # and one before the first
     k, owner = kind[keep].astype(np.int32), owner[keep]
-    parts, owners = [k], [owner]
-    for n in (2, 3):
-        if k.size >= n:
-            same = owner[n - 1:] == owner[:1 - n]
-            code = parts[-1] if n == 2 else k[:-2] * CLASSES + k[1:-1]
-            code = (k[:-1] if n == 2 else code) * CLASSES + k[n - 1:]
-            parts.append((code + CLASSES * (CLASSES if n == 3 else 1))[same])
-            owners.append(owner[n - 1:][same])
+    parts, owners, code = [k], [owner], k
+    for n, base in ((2, CLASSES), (3, CLASSES + CLASSES ** 2)):
+        code = code[:-1] * CLASSES + k[n - 1:]
+        inside = owner[n - 1:] == owner[:code.size]
+        parts.append((code + base)[inside])
+        owners.append(owner[n - 1:][inside])
     return np.concatenate(parts), np.concatenate(owners), has_letter
 
 

@@ -302,14 +302,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = written(members.select("bucket", "doc").join(degree, "doc"), "members")
     texts = written(own.join(degree.select("doc"), "doc", "left_semi").distinct(), "texts")
 
-    links = None
+    # A doc_id on rows of several texts is one document: its texts' nodes are linked.
+    several = same.groupBy("doc").agg(F.min("text_doc").alias("pivot"), F.max("text_doc").alias("_b")).where("pivot < _b")
+    links = written(same.join(several.select("doc", "pivot"), "doc").where("text_doc <> pivot")
+                    .select(F.col("text_doc").alias("doc"), "pivot", F.lit(1.0).alias("similarity")).distinct(), "own-links")
     left = members
     for turn in ("one", "two"):
         pivots = left.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("doc"))).alias("p")).select(
             "bucket", (-F.col("p.col2")).alias("pivot"))
         met = left.join(pivots, "bucket").where("doc <> pivot").select("doc", "pivot").distinct()
         new = written(verified(met, texts, length).where(F.col("similarity") >= similar), f"pivot-{turn}")
-        links = new if links is None else links.union(new)
+        links = links.union(new)
         classes = written(components(links.select(F.col("doc").alias("a"), F.col("pivot").alias("b"))), "classes")
         left = written(_unresolved(members, classes), "open")
         if turn == "one":

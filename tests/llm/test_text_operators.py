@@ -176,6 +176,12 @@ def test_near_dedup_star_and_chain(spark):
     assert classes(spark, rows) == brute_classes(rows)
 
 
+def test_near_dedup_one_id_with_several_texts(spark):
+    a, b, c = prose(60, 80), prose(61, 80), prose(62, 80)
+    got = near_dedup.near_duplicates(documents(spark, [(1, a), (2, b), (5, a + " more"), (5, b), (5, c), (9, c), (7, prose(63, 80))])).collect()
+    assert {(r.doc, r.class_doc) for r in got} == {(1, 1), (2, 1), (5, 1), (9, 1), (7, 7)}
+
+
 def test_near_dedup_small_table_and_stage(spark):
     rows = small(spark)
     assert classes(spark, rows) == brute_classes(rows)
