@@ -5,6 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from gridstream import config as C
 from gridstream.operators import features as FE
 from gridstream.operators import pricing as PR
 from gridstream.sources import messages as MS
@@ -128,10 +129,13 @@ def test_micro_batch_writer_and_grid_stream(spark):
     p = spark.read.parquet(prices)
     assert p.count() == feats.count()
     crit = p.filter("alert_level = 'critical'").count()
-    assert spark.read.parquet(alerts).count() == crit > 0
+    raised = spark.read.parquet(alerts)
+    assert raised.filter("type = 'station'").count() == crit > 0
+    hot = grid_stress_by_bin(p, C.CAPACITY_KWH).filter("triggered_alert").count()
+    assert raised.filter("type = 'regional'").count() == hot > 0
 
     # Regional score per bin from the stored rows, as a stream
-    stored = spark.read.parquet(prices).drop("batch_id")
+    stored = spark.read.parquet(prices).drop("batch_id", "predicted_kwh")
     src2 = _tmp("gs-stored-") + "/t"
     stored.withColumn("day", F.to_date("window_start")).write.partitionBy("day").parquet(src2)
     # parallel writers give the day files arbitrary modification times; read
