@@ -145,13 +145,8 @@ def heatmap_pivot(long: DataFrame, width_minutes: int = C.WINDOW_MINUTES) -> Dat
     return long.groupBy("station_id").pivot("time_label", time_labels(width_minutes)).agg(F.first("mean_value"))
 
 
-# Stations by multiplier, highest first (ties by station).
-def by_multiplier(latest: DataFrame) -> DataFrame:
-    return latest.orderBy(F.col("price_multiplier").desc(), F.col("station_id"))
-
-
-# The place of each station in that order, without ordering all stations
-# in one task: stations are counted by multiplier and first characters, the
+# The place of each station by multiplier, highest first (ties by station),
+# without ordering all stations in one task: stations are counted by multiplier and first characters, the
 # counts are summed over those few slices, and places counted per slice.
 def multiplier_positions(latest: DataFrame) -> DataFrame:
     d = latest.withColumn("_m", -F.col("price_multiplier")).withColumn("_s", F.substring("station_id", 1, 3))
