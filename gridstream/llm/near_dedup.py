@@ -22,27 +22,31 @@ one among the first |x| - overlap + 1 of either, at places that leave room for
 that overlap.  So no link between candidates is lost, and a text far from all
 others, whose first shingles nobody has, meets none of a large group.
 
+The node is the distinct text, named by its digest; nodes are linked by
+verified similarity only.  The pipeline stage keeps one row of each class of
+texts, whatever the ids: texts that share an id are not joined, and rows without
+id meet the others.  op8 reports documents: a doc_id on rows of several texts is
+one document, whose texts' classes are joined in the report.
+
 Edge cases: texts without words (null, empty, white space) are a class of
 their own each; texts of 1 to 4 words are one shingle of all their words;
-a null doc_id gets null classes; rows with one doc_id and different texts are
-one document that matches if any of its texts does; repeated rows get equal
-results; other columns pass through in the stage; an empty table gives an
-empty result.
+a null doc_id links nothing in op8's report and has the classes of an equal
+text there, else null; repeated rows get equal results; other columns pass
+through in the stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridstream.llm.common import in_batches, mix, slices, table, text_bytes, words_of, written
+from gridstream.llm.common import in_batches, mix, slices, table, words_of, written
 from gridstream.llm.components import components
 
 SHINGLE = 5
@@ -129,8 +133,6 @@ SIGNED = T.StructType([T.StructField("doc", T.LongType()), T.StructField("same",
 def _sign(bands: int, rows: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            data, bounds = text_bytes(part["text"])
-            raw = memoryview(data)
             text, element, weight = shingles(part["text"], length)
             n = part.num_rows
             seen = np.bincount(text, minlength=n) > 0
@@ -139,10 +141,9 @@ def _sign(bands: int, rows: int, length: int):
             band = np.tile(mix(np.arange(bands, dtype=np.uint64), 31), (n, 1))
             for r in range(rows):
                 band = mix(band ^ key[:, :, r], 37)
-            same = [hashlib.blake2b(raw[bounds[i]:bounds[i + 1]], digest_size=16).digest() if seen[i] else None for i in range(n)]
             offsets = np.concatenate(([0], np.cumsum(np.where(seen, bands, 0)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[seen].reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part["doc"].combine_chunks(), pa.array(same, pa.binary()), lists],
+            yield pa.RecordBatch.from_arrays([part["doc"].combine_chunks(), part["same"].combine_chunks(), lists],
                                              ["doc", "same", "bands"])
     return run
 
@@ -284,35 +285,43 @@ def prefix_pairs(left: DataFrame, texts: DataFrame, length: int, similar: float)
             .select(F.greatest("a.doc", "b.doc").alias("doc"), F.least("a.doc", "b.doc").alias("pivot")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = SHINGLE,
-                    similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc, text_doc, class_doc) of every document: the least doc_id with the
-    same text, and the least doc_id of its near-duplicate class."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    signed = written(in_batches(own, _sign(bands, rows, length), SIGNED), "signatures")
-    firsts = signed.where("doc is not null and same is not null").groupBy("same").agg(F.min("doc").alias("text_doc"))
-    same = signed.select("doc", "same").join(firsts, "same", "left").select(
-        "doc", F.coalesce("text_doc", "doc").alias("text_doc"))
-    nodes = (signed.where("doc is not null").join(firsts, "same").where("doc = text_doc")
-             .select("doc", F.explode("bands").alias("bucket")).distinct())
+def digest(text_col: str) -> Column:
+    """Name of a text (hex of 16 bytes); null for a null text."""
+    return F.substring(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), 1, 32)
+
+
+def has_words(text_col: str) -> Column:
+    return F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def signatures(docs: DataFrame, id_col: str, text_col: str, length: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc, text, same), where ``same`` names a text with words, and their signatures."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
+                      F.when(has_words(text_col), F.unhex(digest(text_col))).alias("same"))
+    return own, written(in_batches(own, _sign(bands, rows, length), SIGNED), "signatures")
+
+
+def text_classes(own: DataFrame, signed: DataFrame, length: int = SHINGLE, similar: float = SIMILAR) -> DataFrame:
+    """(same, text_doc, root) of every text with words in ``signed``: its least
+    doc_id (null where all its rows lack one) and its class, a number of this run."""
+    known = written(signed.where("same is not null").groupBy("same").agg(F.min("doc").alias("text_doc"), F.first("bands").alias("bands"))
+                    .withColumn("doc", F.monotonically_increasing_id()), "nodes")
+    nodes = known.select("doc", F.explode(F.array_distinct("bands")).alias("bucket"))
     # Buckets with several texts; the pivot of a bucket is the member of most shared buckets.
     shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(nodes.join(shared, "bucket"), "members")
     degree = members.groupBy("doc").agg(F.sum("n").alias("degree"))
     members = written(members.select("bucket", "doc").join(degree, "doc"), "members")
-    texts = written(own.join(degree.select("doc"), "doc", "left_semi").distinct(), "texts")
-
-    # A doc_id on rows of several texts is one document: its texts' nodes are linked.
-    several = same.groupBy("doc").agg(F.min("text_doc").alias("pivot"), F.max("text_doc").alias("_b")).where("pivot < _b")
-    links = written(same.join(several.select("doc", "pivot"), "doc").where("text_doc <> pivot")
-                    .select(F.col("text_doc").alias("doc"), "pivot", F.lit(1.0).alias("similarity")).distinct(), "own-links")
-    left = members
+    wanted = known.select("same", "doc").join(degree.select("doc"), "doc")
+    texts = written(own.where("same is not null").groupBy("same").agg(F.first("text").alias("text"))
+                    .join(wanted, "same").select("doc", "text"), "texts")
+    left, links = members, None
     for turn in ("one", "two"):
         pivots = left.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("doc"))).alias("p")).select(
             "bucket", (-F.col("p.col2")).alias("pivot"))
         met = left.join(pivots, "bucket").where("doc <> pivot").select("doc", "pivot").distinct()
         new = written(verified(met, texts, length).where(F.col("similarity") >= similar), f"pivot-{turn}")
-        links = links.union(new)
+        links = links.union(new) if links else new
         classes = written(components(links.select(F.col("doc").alias("a"), F.col("pivot").alias("b"))), "classes")
         left = written(_unresolved(members, classes), "open")
         if turn == "one":
@@ -324,8 +333,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = written(more, "links")
     if more.limit(1).count():
         classes = written(components(links.union(more).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))), "classes")
-    return (same.join(classes.select(F.col("node").alias("text_doc"), "root"), "text_doc", "left")
-            .select("doc", "text_doc", F.coalesce("root", "text_doc").alias("class_doc")))
+    return (known.select("same", "text_doc", "doc").join(classes.select(F.col("node").alias("doc"), "root"), "doc", "left")
+            .select("same", "text_doc", F.coalesce("root", "doc").alias("root")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = SHINGLE,
+                    similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc, text_doc, class_doc) of every document: the least doc_id with the
+    same text, and the least doc_id of its near-duplicate class."""
+    own, signed = signatures(docs, id_col, text_col, length, bands, rows)
+    found = text_classes(own.where("doc is not null"), signed.where("doc is not null"), length, similar)
+    least = found.groupBy("root").agg(F.min("text_doc").alias("class_doc"))
+    named = written(signed.select("doc", "same").join(found.join(least, "root").drop("root"), "same", "left").select(
+        "doc", F.coalesce("text_doc", "doc").alias("text_doc"), F.coalesce("class_doc", "doc").alias("class_doc")), "named")
+    # A doc_id on rows of several texts is one document: its texts' classes are joined.
+    several = named.groupBy("doc").agg(F.min("class_doc").alias("a"), F.max("class_doc").alias("_b")).where("doc is not null and a < _b")
+    bridges = named.join(several.select("doc", "a"), "doc").where("class_doc <> a").select("a", F.col("class_doc").alias("b"))
+    joined = components(bridges).select(F.col("node").alias("class_doc"), "root")
+    return named.join(joined, "class_doc", "left").select("doc", "text_doc", F.coalesce("root", "class_doc").alias("class_doc"))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,13 +360,18 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the document of the least id stays, once
-    where it is repeated (with its least text); documents without id stay."""
-    keep = near_duplicates(docs).where("doc = class_doc").select(F.col("doc").alias("doc_id")).distinct()
-    some = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
+    """Pipeline stage: of each class of texts one row stays, that of the least id
+    (a row without id where the class has none, the least digest among texts of
+    one id); a text without words stays once for each id."""
+    own, signed = signatures(docs, "doc_id", "text", SHINGLE, BANDS, ROWS)
+    place = lambda name, doc: F.concat(F.coalesce(name, F.lit("")), F.lit(":"), F.coalesce(doc.cast("string"), F.lit("")))
+    least = text_classes(own, signed).groupBy("root").agg(F.min(F.struct(F.col("text_doc").isNull(), "text_doc", "same")).alias("_k"))
+    keep = least.select(place(F.lower(F.hex("_k.same")), F.col("_k.text_doc")).alias("_at"), F.lit(True).alias("_keep"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    once = some.groupBy("doc_id").agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("_row"))
-    return once.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]).union(docs.where("doc_id is null"))
+    once = (docs.select(place(digest("text"), F.col("doc_id").cast("long")).alias("_at"), has_words("text").alias("_words"), row.alias("_row"))
+            .groupBy("_at").agg(F.first("_words").alias("_words"), F.first("_row").alias("_row")))
+    return (once.join(keep, "_at", "left").where("_keep or not _words")
+            .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
 
 
 OP8_SQL = r"""

@@ -182,6 +182,17 @@ def test_near_dedup_one_id_with_several_texts(spark):
     assert {(r.doc, r.class_doc) for r in got} == {(1, 1), (2, 1), (5, 1), (9, 1), (7, 7)}
 
 
+def test_near_dedup_stage_keeps_every_text_class(spark):
+    """Unrelated texts under one id stay, one row of each class; rows without id meet the others."""
+    a, b, c, d = (prose(s, 80) for s in (60, 61, 62, 63))
+    rows = [(1, a), (2, b), (5, a), (5, b), (5, c), (9, c), (None, c + " more"), (None, d), (None, d), (None, d + " more"),
+            (0, None), (0, prose(64, 80)), (0, prose(65, 80)), (7, prose(65, 80) + " more")]
+    got = [(r.doc_id, r.text) for r in near_dedup.stage(spark, documents(spark, rows), SF).collect()]
+    apart = [r for r in got if r[1] is None or not r[1].startswith(d)]
+    assert sorted(apart, key=str) == sorted([(1, a), (2, b), (5, c), (0, None), (0, prose(64, 80)), (0, prose(65, 80))], key=str)
+    assert len(got) == len(apart) + 1
+
+
 def test_near_dedup_small_table_and_stage(spark):
     rows = small(spark)
     assert classes(spark, rows) == brute_classes(rows)
