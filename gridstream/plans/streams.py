@@ -7,6 +7,7 @@ milliseconds, less the 30 seconds of allowed lateness.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ from gridstream.streaming import jobs
 from gridstream.streaming import queries as SQ
 
 ONCE = {"availableNow": True}
-DAYS = 8                         # days of readings in one message file
+DAYS = 8                         # days of readings in one part, a micro-batch
+FILE_ROWS = 250_000              # messages in one file, about
 MESSAGE = ["station_id", "time_new", "duration", "kwh", "seq"]
 
 
@@ -34,14 +36,24 @@ def part() -> F.Column:
     return F.floor(F.unix_seconds("event_time") / (86400 * DAYS)) - F.floor(F.unix_timestamp(F.lit("2024-01-01 00:00:00")) / (86400 * DAYS))
 
 
-def messages(spark, sf_dir, order=(0, 1, 2, 3, 4)) -> str:
-    """A folder of JSON-lines files, written one after the other in ``order`` of their part of the month."""
-    root = place(spark, "messages")
-    t = tel(spark, sf_dir, PROFILE_A).withColumn("part", part())
-    for i, p in enumerate(order):
-        (MS.encode(t.filter(F.col("part") == p).select(*MESSAGE), "ev-telemetry").select("value")
-           .coalesce(1).write.text(f"{root}/{i}"))
-    return f"{root}/*"
+def messages(spark, sf_dir, last: int | None = None) -> tuple[str, int]:
+    """A folder of JSON-lines files and the number of files of a part.  All parts
+    of the table's time are written one after the other, part ``last`` after
+    the others, each with equally many files: that many are one micro-batch."""
+    root, staged = place(spark, "messages"), place(spark, "parts")
+    t = tel(spark, sf_dir, PROFILE_A).select(*MESSAGE, part().alias("part"))
+    t.write.partitionBy("part").parquet(staged)
+    t = spark.read.schema(t.schema).parquet(staged)
+    rows = {r["part"]: r["count"] for r in t.groupBy("part").count().collect()}
+    files = max(1, math.ceil(max(rows.values(), default=0) / FILE_ROWS))
+    for i, p in enumerate(sorted(rows, key=lambda p: (p == last, p)) or [0]):
+        own = t.filter(F.col("part") == p).select(*MESSAGE).repartition(files, "station_id", "seq")
+        MS.encode(own, "ev-telemetry").select("value").write.text(f"{root}/{i}")
+        for _ in range(files - len(spark.read.text(f"{root}/{i}").inputFiles())):     # tasks without rows write no file
+            spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(f"{root}/{i}")
+    # late_rows reads the progress of every batch
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", max(100, 2 * len(rows) + 10))
+    return f"{root}/*", files
 
 
 def run(df: DataFrame, name: str):
@@ -61,8 +73,9 @@ def finish(*queries) -> None:
             raise q.exception()
 
 
-def telemetry_stream(spark, sf_dir, order=(0, 1, 2, 3, 4)) -> DataFrame:
-    return SQ.decode_telemetry(SQ.message_stream(spark, path=messages(spark, sf_dir, order), max_files=1))
+def telemetry_stream(spark, sf_dir, last: int | None = None) -> DataFrame:
+    path, files = messages(spark, sf_dir, last)
+    return SQ.decode_telemetry(SQ.message_stream(spark, path=path, max_files=files))
 
 
 @register("s01_trace_scan")
@@ -75,10 +88,10 @@ def q_trace(spark, sf_dir):
 
 @register("w02_late_readings")
 def q_late(spark, sf_dir):
-    """The second part of the month comes last: all its readings are late.
+    """The second part from 2024-01-01 comes last: all its readings are late.
     Those behind the watermark of the batch before are dropped and counted by
     the engine, the others are passed on by the rolling stage."""
-    rolled, q = run(SQ.rolling_clean_stream(telemetry_stream(spark, sf_dir, (0, 2, 3, 4, 1))), "rolled")
+    rolled, q = run(SQ.rolling_clean_stream(telemetry_stream(spark, sf_dir, last=1)), "rolled")
     return SQ.late_readings(rolled).agg((F.count(F.lit(1)) + F.lit(SQ.late_rows(q))).alias("n_late"), F.lit(rolled.count()).alias("n_out"))
 
 
@@ -90,8 +103,9 @@ def q_rolled(spark, sf_dir):
 
 def feature_job(spark, sf_dir) -> tuple[str, str]:
     feats, dq = place(spark, "features"), place(spark, "dq")
-    finish(*jobs.start_feature_job(spark, messages(spark, sf_dir), feats, dq, place(spark, "stream-state"), PROFILE_A.window_minutes,
-                                   PROFILE_A.capacity, trigger=ONCE, max_files=1))
+    path, files = messages(spark, sf_dir)
+    finish(*jobs.start_feature_job(spark, path, feats, dq, place(spark, "stream-state"), PROFILE_A.window_minutes,
+                                   PROFILE_A.capacity, trigger=ONCE, max_files=files))
     return feats, dq
 
 
@@ -109,8 +123,9 @@ def q_dq_sink(spark, sf_dir):
 
 def pricing_job(spark, sf_dir) -> tuple[str, str]:
     prices, alerts = place(spark, "prices"), place(spark, "alerts")
-    finish(jobs.start_pricing_job(spark, messages(spark, sf_dir), prices, alerts, place(spark, "stream-state"), PROFILE_A.window_minutes,
-                                  PROFILE_A.capacity, trigger=ONCE, max_files=1, history=tel(spark, sf_dir, PROFILE_A), grid=GRID))
+    path, files = messages(spark, sf_dir)
+    finish(jobs.start_pricing_job(spark, path, prices, alerts, place(spark, "stream-state"), PROFILE_A.window_minutes,
+                                  PROFILE_A.capacity, trigger=ONCE, max_files=files, history=tel(spark, sf_dir, PROFILE_A), grid=GRID))
     return prices, alerts
 
 
