@@ -8,9 +8,9 @@ rules indexed under one of its tokens and is blocked if it has all tokens of
 one.  Fixed rules (host, path) come first: the longest that fits decides.
 
 A page's label is the row of ``labels`` whose doc_id is the page_id: bad if
-quality is 0 or toxic is 1.  Rules need a support of MIN_SUPPORT, at least
-MIN_PAGES labelled pages, and MIN_CONFIDENCE; their number is bounded by the
-support, whatever the number of pages.
+quality is 0 or toxic is 1.  Rules need MIN_PAGES bad pages, however many are
+labelled, and MIN_CONFIDENCE; tokens on fewer bad pages are dropped before mining.
+A rule that contains another one is left out.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no
 tokens and is allowed; equal urls are judged once, each row gets the verdict; a
@@ -25,11 +25,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstream.llm.common import shuffle_parts, table
+from gridstream.llm.common import shuffle_parts, table, written
 
 #: Fixed rules: (verdict, host, path prefix).
 FIXED: list[tuple[str, str, str]] = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 20, 0.8, 3
+MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS = 20, 0.8, 3
 BAD = "label=bad"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -71,20 +71,31 @@ def tokens(url_col: str = "url") -> Column:
     return F.array_distinct(F.concat(F.coalesce(hosts, none), words, names))
 
 
-def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES,
-                min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE,
+                max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(items, anchor) of the rules {items} -> bad; ``labelled`` has items and bad."""
-    transactions = labelled.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    spark = labelled.sparkSession
+    able = (labelled.where("bad").select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("_bad"))
+            .where(F.col("_bad") >= min_pages).select("item"))
+    numbered = labelled.withColumn("_n", F.monotonically_increasing_id()).select("_n", "bad", F.explode("items").alias("item"))
+    own = numbered.join(able, "item").groupBy("_n", "bad").agg(F.collect_list("item").alias("items"))
+    transactions = written(own.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")), "transactions")
     n = transactions.count()
     if not n:
-        return labelled.sparkSession.createDataFrame([], "items array<string>, anchor string")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_pages / n)), minConfidence=min_confidence,
-                     numPartitions=shuffle_parts(labelled.sparkSession)).fit(transactions)
+        return spark.createDataFrame([], "items array<string>, anchor string")
+    # half a page less, as the product with n is rounded up
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_pages - 0.5) / n), minConfidence=min_confidence,
+                     numPartitions=shuffle_parts(spark)).fit(transactions)
+    implied = F.exists("items", lambda x: x.startswith("host=") & F.exists(
+        "items", lambda y: y.startswith("host=") & y.endswith(F.concat(F.lit("."), F.substring(x, 6, 1 << 30)))))
     rules = (model.associationRules.where((F.array_join("consequent", ",") == BAD) & (F.size("antecedent") <= max_tokens))
-             .select(F.sort_array("antecedent").alias("items"), "confidence", "support"))
+             .select(F.sort_array("antecedent").alias("items")).where(~implied))
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
-    return (rules.select("items", F.explode("items").alias("item")).join(single, "item")
-            .groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")))
+    rules = written(rules.select("items", F.explode("items").alias("item")).join(single, "item")
+                    .groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")), "rules")
+    wide = (rules.select("items", F.explode("items").alias("anchor")).join(rules.select("anchor", F.col("items").alias("part")), "anchor")
+            .where((F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0)).select("items").distinct())
+    return rules.join(wide, "items", "left_anti")
 
 
 def matched_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:

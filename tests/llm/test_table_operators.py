@@ -170,6 +170,13 @@ def test_url_rules_learn_combinations(spark):
     assert all(got[i] == ("block" if b else "allow") for i, _, b in rows)
 
 
+def test_url_rules_need_as_many_pages_of_a_large_table(spark):
+    """20 bad pages make a rule, also where they are less than 0.2 % of the labelled pages; 19 don't."""
+    urls = spark.range(12000).selectExpr("id", "CASE WHEN id < 20 THEN 'tail.bad' WHEN id < 39 THEN 'less.worse' ELSE concat('h', id % 50, '.com') END AS host")
+    labelled = urls.selectExpr("array(concat('host=', host), concat('path=', id % 7)) AS items", "id < 39 AS bad")
+    assert [r["items"] for r in url_rules.mined_rules(labelled).collect()] == [["host=tail.bad"]]
+
+
 # --- mixing -------------------------------------------------------------------
 
 def brute_targets(sizes):
