@@ -10,7 +10,7 @@ one.  Fixed rules (host, path) come first: the longest that fits decides.
 A page's label is the row of ``labels`` whose doc_id is the page_id: bad if
 quality is 0 or toxic is 1.  Rules need MIN_PAGES bad pages, however many are
 labelled, and MIN_CONFIDENCE; tokens on fewer bad pages are dropped before mining.
-A rule that contains another one is left out.
+A rule has any number of tokens; one that contains another rule is left out.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no
 tokens and is allowed; equal urls are judged once, each row gets the verdict; a
@@ -29,7 +29,7 @@ from gridstream.llm.common import shuffle_parts, table, written
 
 #: Fixed rules: (verdict, host, path prefix).
 FIXED: list[tuple[str, str, str]] = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS = 20, 0.8, 3
+MIN_PAGES, MIN_CONFIDENCE = 20, 0.8
 BAD = "label=bad"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -71,8 +71,7 @@ def tokens(url_col: str = "url") -> Column:
     return F.array_distinct(F.concat(F.coalesce(hosts, none), words, names))
 
 
-def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE,
-                max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(items, anchor) of the rules {items} -> bad; ``labelled`` has items and bad."""
     spark = labelled.sparkSession
     able = (labelled.where("bad").select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("_bad"))
@@ -88,7 +87,7 @@ def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence:
                      numPartitions=shuffle_parts(spark)).fit(transactions)
     implied = F.exists("items", lambda x: x.startswith("host=") & F.exists(
         "items", lambda y: y.startswith("host=") & y.endswith(F.concat(F.lit("."), F.substring(x, 6, 1 << 30)))))
-    rules = (model.associationRules.where((F.array_join("consequent", ",") == BAD) & (F.size("antecedent") <= max_tokens))
+    rules = (model.associationRules.where(F.array_join("consequent", ",") == BAD)
              .select(F.sort_array("antecedent").alias("items")).where(~implied))
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rules = written(rules.select("items", F.explode("items").alias("item")).join(single, "item")

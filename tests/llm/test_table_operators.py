@@ -177,6 +177,20 @@ def test_url_rules_need_as_many_pages_of_a_large_table(spark):
     assert [r["items"] for r in url_rules.mined_rules(labelled).collect()] == [["host=tail.bad"]]
 
 
+def test_url_rules_of_four_tokens(spark):
+    """Pages are bad with all four words only; each three of them are as often on good pages."""
+    words = ["a", "b", "c", "d"]
+    rows = [(f"http://x.com/{'/'.join(words)}/{i}", 0) for i in range(40)]
+    rows += [(f"http://x.com/{'/'.join(w for w in words if w != out)}/{i}", 1) for out in words for i in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_rules.judged(pages, labels).collect()}
+    assert all(got[i] == ("allow" if q else "block") for i, (_, q) in enumerate(rows))
+    items = [[f"path={w}" for w in words if w != out] for out in [None, *words] for _ in range(40)]
+    labelled = spark.createDataFrame([(t, len(t) == 4) for t in items], "items array<string>, bad boolean")
+    assert [r["items"] for r in url_rules.mined_rules(labelled).collect()] == [[f"path={w}" for w in words]]
+
+
 # --- mixing -------------------------------------------------------------------
 
 def brute_targets(sizes):
