@@ -30,7 +30,9 @@ STAGES = [
 ]
 
 #: No SQL: kernel models, signatures and SentencePiece merges are outside SQL.
-#: The tests run every stage against a brute-force version instead.
+#: The tests hold near dedup, substring dedup and the SentencePiece digests
+#: against brute force or the library; of language_id.stage and mixing.stage
+#: they check the columns only, of the whole run columns and a least count.
 ORACLE_SQL = None
 
 
