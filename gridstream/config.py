@@ -45,7 +45,7 @@ TRAIN_FRACTION = 0.80
 LEAD_LOOKBACK_WINDOWS = 8
 FALSE_ALARM_BUDGET = 0.05
 THRESHOLD_LO, THRESHOLD_HI, THRESHOLD_STEP = 0.10, 1.50, 0.05   # 29 thresholds
-STATION_SWEEP = [4, 8, 16]           # subset sizes (32 and 64 need more stations per scenario than the given data have)
+STATION_SWEEP = [4, 8, 16, 32, 64]   # subset sizes
 PARTICIPATION_SWEEP = [1.0, 0.85, 0.7, 0.55, 0.4]
 DETECTORS = ["AGG-FORECAST", "AGG-CURRENT", "IND-FORECAST", "IND-CURRENT"]
 

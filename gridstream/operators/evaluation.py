@@ -249,9 +249,14 @@ def pick_threshold(metrics: DataFrame, budget: float = C.FALSE_ALARM_BUDGET,
                    F.max("threshold")).alias("threshold"))
 
 
+# The metrics at the picked threshold, in the same one grouping.
 def at_picked(metrics: DataFrame, budget: float = C.FALSE_ALARM_BUDGET,
               part=("scenario_id",)) -> DataFrame:
-    return metrics.join(pick_threshold(metrics, budget, part), on=[*part, "detector", "threshold"])
+    by = [*part, "detector"]
+    row = F.struct(*[c for c in metrics.columns if c not in by])
+    within = F.min_by(row, F.when(F.col("far") <= F.lit(float(budget)), F.col("threshold")))
+    picked = metrics.groupBy(*by).agg(F.coalesce(within, F.max_by(row, F.col("threshold"))).alias("_m"))
+    return picked.select(*by, "_m.*")
 
 
 # Detector comparison averaged over scenarios (rounding is the output's).

@@ -44,22 +44,34 @@ def history_lookup(tel: DataFrame, key: str = "station_id", ts: str = "event_tim
                .agg(F.avg(value).alias("hist_avg_kwh")))
 
 
-# P06a + P08: day-ahead price for the same station, hour and weekday.  A miss
-# falls back to the base price.  The lookup has at most 168 rows per station;
-# the join strategy is left to AQE (broadcast when its runtime size allows).
-def with_day_ahead(rows: DataFrame, lookup: DataFrame, rated: Column | float,
-                   base: float = C.BASE_PRICE_CAD, grid: int | None = None) -> DataFrame:
+# P06a + P08: day-ahead price of each station, hour and weekday (at most 168
+# rows per station).  Each step is a column of its own, so the rated power, a
+# scalar subquery, stands in the plan once.
+def day_ahead_tariff(lookup: DataFrame, rated: Column | float, base: float = C.BASE_PRICE_CAD, grid: int | None = None) -> DataFrame:
     rated = F.lit(float(rated)) if isinstance(rated, (int, float)) else rated
-    # price the lookup side (<= 168 rows per station) before the join, so the
-    # rated-power scalar is applied once per lookup row, not per priced row
-    priced = lookup.select("station_id", "hour_of_day", "day_of_week",
-                           round_exact(F.lit(float(base)) * price_multiplier(F.col("hist_avg_kwh") / rated, grid=grid), 4)
-                            .alias("_da"))
-    j = rows.join(priced, on=["station_id", "hour_of_day", "day_of_week"], how="left")
+    return (lookup.withColumn("_rated", rated).withColumn("_rel", F.col("hist_avg_kwh") / F.col("_rated"))
+            .withColumn("_raw", F.lit(float(base)) * price_multiplier("_rel", grid=grid))
+            .select("station_id", "hour_of_day", "day_of_week", round_exact("_raw", 4).alias("_da")))
+
+
+# The rows with the tariff's price; a miss falls back to the base price.  The
+# join strategy is left to AQE (broadcast when its runtime size allows).
+def with_tariff(rows: DataFrame, tariff: DataFrame, base: float = C.BASE_PRICE_CAD) -> DataFrame:
+    j = rows.join(tariff, on=["station_id", "hour_of_day", "day_of_week"], how="left")
     price = F.coalesce(F.col("_da"), round_exact(F.lit(float(base)), 4))
     return j.withColumn("day_ahead_price_cad", price).drop("_da")
 
 
+def with_day_ahead(rows: DataFrame, lookup: DataFrame, rated: Column | float,
+                   base: float = C.BASE_PRICE_CAD, grid: int | None = None) -> DataFrame:
+    return with_tariff(rows, day_ahead_tariff(lookup, rated, base, grid), base)
+
+
+def tariff_of(history: DataFrame, base: float = C.BASE_PRICE_CAD, grid: int | None = None) -> DataFrame:
+    """The tariff of raw telemetry."""
+    return day_ahead_tariff(history_lookup(history), rated_power(history).scalar(), base, grid)
+
+
 # Session lock per station in window order.
 #   idle -> active : lock = round(dynamic * 1.1, 4), "session_started"
 #   active -> active: keep the lock, "session_ongoing"

@@ -22,7 +22,7 @@ from gridstream.plans.common import rounded
 from gridstream.sources import messages as MS
 from gridstream.sources import sinks as SK
 from gridstream.sources import telemetry as TL
-from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, PROFILE_E, Profile, load_telemetry
+from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, PROFILE_E, PROFILE_S, Profile, load_telemetry
 
 OVERLOAD_QUANTILE = 0.9      # the overload line of the given data: their own level is far below 0.80
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,9 +208,13 @@ def q_combined(spark, sf_dir):
 
 
 def latest_of(spark, sf_dir) -> DataFrame:
-    """The latest stored row of every station (from all stored rows, not the buffers)."""
-    stored = messages_of(spark, sf_dir).withColumn("time_bin", F.col("window_start"))
-    return SV.latest_per_station(stored.select(*PR.PRICE_OUT, "created_at"))
+    """The latest stored row of every station (from all stored rows, not the
+    buffers); only these rows get their day-ahead price."""
+    stored = messages_of(spark, sf_dir, day_ahead=False).withColumn("time_bin", F.col("window_start"))
+    latest = SV.latest_per_station(stored.select(*PR.PRICE_OUT, "created_at")).drop("day_ahead_price_cad")
+    timed = latest.withColumn("hour_of_day", RU.hour_of("time_bin")).withColumn("day_of_week", RU.weekday_of("time_bin"))
+    priced = PR.with_tariff(timed, PR.tariff_of(tel(spark, sf_dir, PROFILE_B), grid=GRID))
+    return priced.select(*PR.PRICE_OUT, "created_at")
 
 
 @register("d04_latest_per_station")
@@ -308,9 +312,8 @@ def q_alert_feed(spark, sf_dir):
 # Detector evaluation (profile E)
 # ---------------------------------------------------------------------------
 
-def eval_constants(spark, sf_dir):
+def eval_constants(spark, sf_dir, p: Profile = PROFILE_E):
     """First window, number of windows and the stations, from the readings' keys and times alone."""
-    p = PROFILE_E
     t = tel(spark, sf_dir, p)
     ends = t.agg(F.min(RU.bin_start("event_time", p.window_minutes)).alias("a"), F.max(RU.bin_start("event_time", p.window_minutes)).alias("b"))
     first, last = ends.select("a").scalar(), ends.select("b").scalar()
@@ -319,11 +322,10 @@ def eval_constants(spark, sf_dir):
     return first, EV.bin_index(last, first, p.window_minutes) + 1, stations
 
 
-def eval_long(spark, sf_dir) -> DataFrame:
-    """The evaluation's long table (profile E: enough readings per cell, and
-    more stations per scenario than the largest sweep size)."""
-    p = PROFILE_E
-    first, T, _ = eval_constants(spark, sf_dir)
+def eval_long(spark, sf_dir, p: Profile = PROFILE_E) -> DataFrame:
+    """The evaluation's long table (profile E: enough readings per cell; profile
+    S: more stations per scenario than the largest sweep size)."""
+    first, T, _ = eval_constants(spark, sf_dir, p)
     f = features_of(spark, sf_dir, p, keep_start=True)
     return EV.with_forecast(EV.long_table(f, p.capacity, p.window_minutes, t0=first), T=T)
 
@@ -370,9 +372,9 @@ def eval_metrics(spark, sf_dir) -> DataFrame:
     return EV.detector_metrics(eval_long(spark, sf_dir), T=T, quantile=OVERLOAD_QUANTILE, stations=stations)
 
 
-def sweep_of(spark, sf_dir, **kw) -> DataFrame:
-    _, T, stations = eval_constants(spark, sf_dir)
-    return EV.sweep_table(eval_long(spark, sf_dir), width_minutes=PROFILE_E.window_minutes, quantile=OVERLOAD_QUANTILE, T=T, stations=stations, **kw)
+def sweep_of(spark, sf_dir, p: Profile = PROFILE_E, **kw) -> DataFrame:
+    _, T, stations = eval_constants(spark, sf_dir, p)
+    return EV.sweep_table(eval_long(spark, sf_dir, p), width_minutes=p.window_minutes, quantile=OVERLOAD_QUANTILE, T=T, stations=stations, **kw)
 
 
 @register("e08_detector_metrics")
@@ -410,7 +412,7 @@ def q_curves(spark, sf_dir):
 
 @register("e16_station_sweep")
 def q_station_sweep(spark, sf_dir):
-    return rounded(sweep_of(spark, sf_dir, sizes=C.STATION_SWEEP))
+    return rounded(sweep_of(spark, sf_dir, PROFILE_S, sizes=C.STATION_SWEEP))
 
 
 @register("e17_participation_sweep")

@@ -99,6 +99,7 @@ class Profile:
 PROFILE_A = Profile("A", 15, 360, 45.0)     # dense: 15 stations, 6-hour windows
 PROFILE_B = Profile("B", None, 15, 100.0)   # sparse: one station per user, 15 min
 PROFILE_E = Profile("E", 100, 360, 45.0)    # evaluation: 100 stations (20 per scenario), 6-hour windows
+PROFILE_S = Profile("S", 350, 360, 45.0)    # station sweep: 350 stations (70 per scenario), 6-hour windows
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

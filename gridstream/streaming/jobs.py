@@ -17,14 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridstream import config as C
+from gridstream.operators.pricing import tariff_of
+from gridstream.session import materialize
 from gridstream.sources.sinks import append_batch, fan_out, upsert
 from gridstream.streaming import queries as SQ
 from gridstream.streaming.processors import ROLLED
+from gridstream.streaming.starting import start
 
 
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
+    return start(df.sparkSession, w.trigger(**(trigger or {"processingTime": "30 seconds"})))
 
 
 def start_feature_job(spark: SparkSession, source: str | None, features_path: str, dq_path: str,
@@ -61,10 +64,11 @@ def start_pricing_job(spark: SparkSession, source: str | None, prices_path: str,
                       model=None, grid: int | None = None) -> StreamingQuery:
     """Telemetry -> features -> window prices + session lock -> stored prices
     and alerts, one query with four chained stateful operators.  ``history``
-    (raw telemetry) gives the day-ahead price, ``model`` the prediction (the
-    window's mean without one)."""
+    (raw telemetry) gives the day-ahead price: its tariff is written once, when
+    the job starts; ``model`` the prediction (the window's mean without one)."""
     tel = SQ.decode_telemetry(SQ.message_stream(spark, path=source, kafka=kafka, max_files=max_files))
     feats = SQ.features_stream(tel, window_minutes, capacity)
     priced = SQ.priced_stream(feats.select(*[f.name for f in SQ.FEATURE_ROW.fields], "time_bin"), grid)
-    write = SQ.price_batch_writer(prices_path, alerts_path, capacity, history, model, grid)
+    tariff = materialize(tariff_of(history, grid=grid)) if history is not None else None
+    write = SQ.price_batch_writer(prices_path, alerts_path, capacity, tariff, model)
     return _start(priced, write, checkpoint, trigger)

@@ -139,9 +139,10 @@ def priced_stream(features: DataFrame, grid: int | None = None) -> DataFrame:
 
 # Per micro-batch the complete priced row (prediction, base and day-ahead
 # price), station alerts, and regional alerts of the batch's time bins over all
-# stored rows; idempotent writes keyed by the batch id.
-def price_batch_writer(prices_path: str, alerts_path: str, capacity: float = C.CAPACITY_KWH, history: DataFrame | None = None,
-                       model=None, grid: int | None = None):
+# stored rows; idempotent writes keyed by the batch id.  ``tariff`` (P08) is a
+# table made before the stream starts.
+def price_batch_writer(prices_path: str, alerts_path: str, capacity: float = C.CAPACITY_KWH, tariff: DataFrame | None = None,
+                       model=None):
     from gridstream.operators import pricing as PR
     from gridstream.operators.alerts import alert_stream, grid_stress_by_bin, regional_alerts, station_alerts
     from gridstream.operators.model import score
@@ -151,8 +152,8 @@ def price_batch_writer(prices_path: str, alerts_path: str, capacity: float = C.C
         spark = batch.sparkSession
         rows = score(model, batch) if model is not None else batch.withColumn("predicted_kwh", round_exact("mean_kwh", 4))
         rows = rows.withColumn("base_price_cad", F.lit(float(C.BASE_PRICE_CAD)))
-        if history is not None:
-            rows = PR.with_day_ahead(rows, PR.history_lookup(history), PR.rated_power(history).scalar(), grid=grid)
+        if tariff is not None:
+            rows = PR.with_tariff(rows, tariff)
         else:
             rows = rows.withColumn("day_ahead_price_cad", F.lit(None).cast("double"))
         append_batch(rows, prices_path, batch_id)
@@ -176,15 +177,14 @@ def grid_stress_stream(priced: DataFrame, capacity: float = C.CAPACITY_KWH,
 
 # Readings behind the watermark: those that the rolling stage passed on
 # with the LATE flag, and those that the engine's own stateful operators dropped
-# (from the query's progress).
+# (counted from the query's progress, see ``counting``).
 def late_readings(rolled: DataFrame) -> DataFrame:
     return rolled.filter(F.col("anomaly_flag") == LATE).select("station_id", "event_time", "time_new", "seq", "kwh")
 
 
-def late_rows(query) -> int:
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(n or 0)
-    return total
+# D15 on a stream: the readings seen, as an observed count of every micro-batch.
+SEEN = "seen.readings"
+
+
+def observed(tel: DataFrame) -> DataFrame:
+    return tel.observe("seen", F.count(F.lit(1)).alias("readings"))

@@ -11,6 +11,8 @@ from gridstream.operators import pricing as PR
 from gridstream.sources import messages as MS
 from gridstream.sources.telemetry import PROFILE_A, PROFILE_B, load_telemetry
 from gridstream.streaming import queries as SQ
+from gridstream.streaming.starting import STREAM_CONF, session_conf, start
+from gridstream.streaming.state import state_of
 
 from conftest import SF_SMALL
 
@@ -35,8 +37,8 @@ def source_parts(spark):
 
 
 def _run(spark, df, out, ck):
-    q = (df.writeStream.format("parquet").option("checkpointLocation", ck).option("path", out)
-           .outputMode("append").trigger(availableNow=True).start())
+    q = start(spark, df.writeStream.format("parquet").option("checkpointLocation", ck).option("path", out)
+              .outputMode("append").trigger(availableNow=True))
     q.awaitTermination(900)
     assert q.exception() is None
 
@@ -88,6 +90,12 @@ def test_stream_restart_resumes_state(spark, source_parts):
     for p in parts[half:]:
         shutil.copytree(f"{root}/p{p}", f"{live}/p{p}")
     _run(spark, build(), out, ck)            # restart from the checkpoint
+    # what the restarted query holds: at most 30 recent readings of a station, its last window
+    recent = state_of(spark, ck, "recent").groupBy("station_id").count().collect()
+    assert len(recent) == 15 and all(r["count"] <= C.ROLLING_PRECEDING_ROWS for r in recent)
+    last = {r.station_id: r.mean for r in state_of(spark, ck, "last").collect()}
+    newest = spark.read.parquet(out).groupBy("station_id").agg(F.max_by("mean_kwh", "window_start").alias("m")).collect()
+    assert last == {r.station_id: r.m for r in newest}
     res = spark.read.parquet(out)
     assert res.count() > first
     assert res.select("station_id", "time_bin").distinct().count() == res.count()
@@ -122,8 +130,8 @@ def test_micro_batch_writer_and_grid_stream(spark):
     feats.withColumn("day", F.to_date("window_start")).write.partitionBy("day").parquet(src)
     stream = spark.readStream.schema(feats.schema).option("maxFilesPerTrigger", 8).parquet(f"{src}/*")
     prices, alerts, ck = _tmp("gs-prices-") + "/t", _tmp("gs-alerts-") + "/t", _tmp("gs-ck-")
-    q = (SQ.priced_stream(stream).writeStream.foreachBatch(SQ.price_batch_writer(prices, alerts))
-           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q = start(spark, SQ.priced_stream(stream).writeStream.foreachBatch(SQ.price_batch_writer(prices, alerts))
+              .option("checkpointLocation", ck).trigger(availableNow=True))
     q.awaitTermination(900)
     assert q.exception() is None
     p = spark.read.parquet(prices)
@@ -163,8 +171,8 @@ def test_late_rows_are_dropped_and_counted(spark):
              .write.text(f"{root}/p{i}")
     s = SQ.decode_telemetry(SQ.message_stream(spark, path=f"{root}/*", max_files=1))
     out, ck = _tmp("gs-out-") + "/t", _tmp("gs-ck-")
-    q = (SQ.rolling_clean_stream(s).writeStream.format("parquet").option("path", out)
-           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q = start(spark, SQ.rolling_clean_stream(s).writeStream.format("parquet").option("path", out)
+              .option("checkpointLocation", ck).trigger(availableNow=True))
     q.awaitTermination(600)
     assert q.exception() is None
     res = spark.read.parquet(out)
@@ -209,3 +217,26 @@ def test_pricing_job_chain(spark, source_parts):
     assert j.filter((F.col("s.session_status") != F.col("b.session_status"))
                     | (F.col("s.dynamic_price_cad") != F.col("b.dynamic_price_cad"))
                     | (F.col("s.guaranteed_price_cad") != F.col("b.guaranteed_price_cad"))).count() == 0
+
+
+def test_session_settings_are_put_back(spark):
+    key = next(iter(STREAM_CONF))
+    own = dict(spark.conf.getAll)
+    with session_conf(spark, {**STREAM_CONF, "spark.sql.shuffle.partitions": "3"}):
+        assert spark.conf.get(key) == STREAM_CONF[key] and spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert dict(spark.conf.getAll) == own and key not in own
+
+
+def test_counts_take_a_batch_once(spark):
+    """A batch that runs again overwrites its report; broken reports and other queries don't count."""
+    from types import SimpleNamespace as N
+    from pyspark.sql import Row
+    from gridstream.streaming import counting as CT
+    folder = _tmp("gs-counts-")
+    counts = CT.Counts(spark, folder)
+    for q, batch, n, late in [("a", 0, 5, 0), ("a", 1, 9, 1), ("a", 1, 7, 2), ("b", 0, 1, 0)]:
+        counts.onQueryProgress(N(progress=N(id=q, batchId=batch, numInputRows=n, stateOperators=[N(numRowsDroppedByWatermark=late)],
+                                            observedMetrics={"seen": Row(readings=n)})))
+    got = {r["query"]: (r.batches, r.input_rows, r.dropped) for r in CT.totals(spark, folder).collect()}
+    assert got == {"a": (2, 12, 2), "b": (1, 1, 0)}
+    assert {r["query"]: r.total for r in CT.observed_total(spark, folder, SQ.SEEN).collect()} == {"a": 12, "b": 1}
