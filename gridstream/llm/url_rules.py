@@ -10,7 +10,17 @@ one.  Fixed rules (host, path) come first: the longest that fits decides.
 A page's label is the row of ``labels`` whose doc_id is the page_id: bad if
 quality is 0 or toxic is 1.  Rules need MIN_PAGES bad pages, however many are
 labelled, and MIN_CONFIDENCE; tokens on fewer bad pages are dropped before mining.
-A rule has any number of tokens; one that contains another rule is left out.
+A rule has any number of tokens.
+
+Before mining, two steps keep the number of token sets small without changing a
+verdict.  A token that is a rule by itself is taken out of the transactions:
+every set that holds it is covered by it.  Tokens on the same labelled pages
+(equal count, and equal xor and sum of 64-bit hashes of the pages) are
+one class, mined as one token; a page has a class if it has any of its tokens.
+So one long bad url on many rows gives single rules or one class, not 2**n sets.
+What is still exponential, as in any mining of all frequent sets: tokens that
+meet on MIN_PAGES bad pages, are no rules alone and lie on different pages each.
+A rule whose tokens less one are a rule is left out.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no
 tokens and is allowed; equal urls are judged once, each row gets the verdict; a
@@ -71,36 +81,60 @@ def tokens(url_col: str = "url") -> Column:
     return F.array_distinct(F.concat(F.coalesce(hosts, none), words, names))
 
 
-def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(items, anchor) of the rules {items} -> bad; ``labelled`` has items and bad."""
-    spark = labelled.sparkSession
+def reduced(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, single, classes) of ``labelled`` (items, bad): the transactions as
+    rows (n, bad, item), tokens that are rules by themselves, and the class
+    (its least token) of every other token on ``min_pages`` bad pages."""
     able = (labelled.where("bad").select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("_bad"))
             .where(F.col("_bad") >= min_pages).select("item"))
-    numbered = labelled.withColumn("_n", F.monotonically_increasing_id()).select("_n", "bad", F.explode("items").alias("item"))
-    own = numbered.join(able, "item").groupBy("_n", "bad").agg(F.collect_list("item").alias("items"))
+    numbered = labelled.withColumn("n", F.monotonically_increasing_id()).select("n", "bad", F.explode("items").alias("item"))
+    cells = written(numbered.join(able, "item"), "cells")
+    spread = F.pmod(F.xxhash64(F.lit("s"), "n"), F.lit((1 << 31) - 1))
+    stats = cells.groupBy("item").agg(F.count("*").alias("all"), F.count_if("bad").alias("bad"),
+                                      F.bit_xor(F.xxhash64("n")).alias("x"), F.sum(spread).alias("s"))
+    alone = F.col("bad") / F.col("all") >= min_confidence
+    rest = stats.where(~alone)
+    least = rest.groupBy("all", "x", "s").agg(F.min("item").alias("class"))
+    return cells, stats.where(alone).select("item"), rest.join(least, ["all", "x", "s"]).select("item", "class")
+
+
+def rules_and_classes(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """(items, anchor) of the rules {items} -> bad over classes of tokens, and
+    (item, class): the class of every token that a rule may need."""
+    spark = labelled.sparkSession
+    cells, single, classes = reduced(labelled, min_pages, min_confidence)
+    single, classes = written(single, "single"), written(classes, "classes")
+    own = cells.join(classes, "item").groupBy("n", "bad").agg(F.collect_set("class").alias("items"))
     transactions = written(own.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")), "transactions")
+    rules = single.select(F.array("item").alias("items"), F.col("item").alias("anchor"))
     n = transactions.count()
-    if not n:
-        return spark.createDataFrame([], "items array<string>, anchor string")
-    # half a page less, as the product with n is rounded up
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_pages - 0.5) / n), minConfidence=min_confidence,
-                     numPartitions=shuffle_parts(spark)).fit(transactions)
-    implied = F.exists("items", lambda x: x.startswith("host=") & F.exists(
-        "items", lambda y: y.startswith("host=") & y.endswith(F.concat(F.lit("."), F.substring(x, 6, 1 << 30)))))
-    rules = (model.associationRules.where(F.array_join("consequent", ",") == BAD)
-             .select(F.sort_array("antecedent").alias("items")).where(~implied))
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
-    rules = written(rules.select("items", F.explode("items").alias("item")).join(single, "item")
-                    .groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")), "rules")
-    wide = (rules.select("items", F.explode("items").alias("anchor")).join(rules.select("anchor", F.col("items").alias("part")), "anchor")
-            .where((F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0)).select("items").distinct())
-    return rules.join(wide, "items", "left_anti")
-
-
-def matched_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
-    """Distinct urls that have all tokens of a rule."""
-    own = pages.where(F.col(url_col).isNotNull()).select(F.col(url_col).alias("url"), "host", "path").distinct().withColumn("own", tokens("url"))
-    met = own.select("url", "own", F.explode("own").alias("anchor")).join(rules, "anchor")
+    if n:
+        # half a page less, as the product with n is rounded up
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_pages - 0.5) / n), minConfidence=min_confidence,
+                         numPartitions=shuffle_parts(spark)).fit(transactions)
+        mined = written(model.associationRules.where(F.array_join("consequent", ",") == BAD)
+                        .select(F.sort_array("antecedent").alias("items")), "mined")
+        less = mined.where(F.size("items") > 1).select("items", F.explode("items").alias("out")).select(
+            F.array_except("items", F.array("out")).alias("part"), F.col("items").alias("whole"))
+        wide = less.join(mined.withColumnRenamed("items", "part"), "part").select(F.col("whole").alias("items")).distinct()
+        freq = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+        anchored = (mined.join(wide, "items", "left_anti").select("items", F.explode("items").alias("item")).join(freq, "item")
+                    .groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")))
+        rules = rules.unionByName(anchored)
+    return written(rules, "rules"), classes.unionByName(single.select("item", F.col("item").alias("class")))
+
+
+def mined_rules(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(items, anchor) of the rules {items} -> bad; ``labelled`` has items and bad."""
+    return rules_and_classes(labelled, min_pages, min_confidence)[0]
+
+
+def matched_urls(pages: DataFrame, rules: DataFrame, classes: DataFrame, url_col: str = "url") -> DataFrame:
+    """Distinct urls that have all classes of a rule."""
+    own = pages.where(F.col(url_col).isNotNull()).select(F.col(url_col).alias("url"), "host", "path").distinct()
+    placed = (own.select("url", F.explode(tokens("url")).alias("item")).join(classes, "item")
+              .groupBy("url").agg(F.collect_set("class").alias("own")))
+    met = placed.select("url", "own", F.explode("own").alias("anchor")).join(rules, "anchor")
     return met.where(F.size(F.array_except("items", "own")) == 0).select("url").distinct()
 
 
@@ -110,7 +144,7 @@ def judged(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col
     bad = (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id"))
            .agg(F.max((F.coalesce(F.col("quality") == 0, F.lit(False))) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad")))
     labelled = own.join(bad, "page_id").select(tokens().alias("items"), "bad")
-    blocked = matched_urls(own, mined_rules(labelled)).withColumn("_bad", F.lit(True))
+    blocked = matched_urls(own, *rules_and_classes(labelled)).withColumn("_bad", F.lit(True))
     rule, verdict = fixed_rule()
     return (own.join(blocked, "url", "left")
             .select("page_id", "host", "path", rule.alias("rule"),
@@ -122,7 +156,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = r"""
-WITH u AS (SELECT page_id, url, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, url, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 s AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS l FROM p),
@@ -133,12 +167,13 @@ t AS (SELECT page_id, url, host, path, list_distinct(list_concat(
                    lambda x: 'query=' || string_split(x, '=')[1]))) AS items FROM s),
 b AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
 x AS (SELECT row_number() OVER () AS n, items, bad FROM t JOIN b USING (page_id)),
-i AS (SELECT n, bad, unnest(items) AS a FROM x),
-k AS (SELECT [a] AS s, bad FROM i
-  UNION ALL SELECT [i.a, j.a], i.bad FROM i JOIN i j ON i.n = j.n AND i.a < j.a
-  UNION ALL SELECT [i.a, j.a, m.a], i.bad FROM i JOIN i j ON i.n = j.n AND i.a < j.a JOIN i m ON m.n = j.n AND j.a < m.a),
-r AS (SELECT s FROM k GROUP BY s HAVING sum(bad) >= ceil(least(1.0, greatest(0.002, 20.0 / (SELECT count(*) FROM x))) * (SELECT count(*) FROM x))
-      AND CAST(sum(bad) AS DOUBLE) / count(*) >= 0.8),
+c AS (SELECT n, bad, unnest(items) AS a FROM x),
+o AS (SELECT a, CAST(sum(bad) AS DOUBLE) / count(*) >= 0.8 AS alone FROM c GROUP BY a HAVING sum(bad) >= 20),
+i AS (SELECT n, bad, a FROM c JOIN o USING (a) WHERE NOT alone),
+k AS (SELECT [a] AS s, a AS z, n, bad FROM i
+  UNION ALL SELECT s, z, n, bad FROM (SELECT *, sum(bad) OVER (PARTITION BY s) AS f FROM (
+    SELECT list_append(k.s, i.a) AS s, i.a AS z, k.n, k.bad FROM k JOIN i ON i.n = k.n AND i.a > k.z)) WHERE f >= 20),
+r AS (SELECT s FROM k GROUP BY s HAVING CAST(sum(bad) AS DOUBLE) / count(*) >= 0.8 UNION ALL SELECT [a] FROM o WHERE alone),
 m AS (SELECT DISTINCT url FROM t JOIN r ON len(list_filter(r.s, lambda y: NOT list_contains(t.items, y))) = 0),
 f AS (SELECT *, CASE
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'

@@ -258,3 +258,21 @@ def test_stages_on_awkward_and_empty_rows(spark):
             out = stage(spark, own, SF)
             assert name == "sentencepiece" or out.columns == docs.columns
             out.count()
+
+
+def test_url_rules_of_a_long_bad_url(spark):
+    """A url of 40 words on 25 bad rows; another of 40 words on bad and good rows
+    alike; a third of 40 words that is bad with one query name only."""
+    import time
+    w, v, x = ([f"{c}{i}" for i in range(40)] for c in "wvx")
+    rows = [("http://a.b.c.d.e/" + "/".join(w), 0)] * 25 + [("http://a.b.c.d.e/" + "/".join(v), i % 2) for i in range(60)]
+    rows += [("http://q.r/" + "/".join(x) + "?go=1", 0)] * 25 + [("http://q.r/" + "/".join(x), 1)] * 25 + [(f"http://s{i}.t/?go=1", 1) for i in range(25)]
+    urls = ["http://x.y/w3", "http://a.b.c.d.e/v1/v2", "http://other.t/x7/news?go=9", "http://other.t/x7/news", "http://other.t/?go=9"]
+    pages = spark.createDataFrame(list(enumerate([u for u, _ in rows] + urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    began = time.time()
+    got = {r.page_id: r.verdict for r in url_rules.judged(pages, labels).collect()}
+    assert time.time() - began < 60
+    assert [got[i] for i in range(len(rows), len(rows) + 5)] == ["block", "allow", "block", "allow", "allow"]
+    for i, (u, _) in enumerate(rows):
+        assert got[i] == ("block" if "w1/" in u or ("x1/" in u and "go" in u) else "allow"), u
