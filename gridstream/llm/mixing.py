@@ -8,7 +8,9 @@ level: with sources sorted by limit per weight, those below the level take
 their limit, all others level * weight, found with running sums.
 
 A document gets the exponential key -ln(u) / weight, u from an MD5 of its id
-and a seed, weight its quality.  A source takes whole epochs first, then
+and a seed, weight its quality.  Where an id is null or on several rows, u is
+drawn from the id, an MD5 of the text, and a number among equal rows: such rows
+spread like others and are sampled by chance.  A source takes whole epochs first, then
 documents by key until its budget is used; the document at the edge is taken
 if that comes nearer.  The running sum within a source is split: keys fall
 into ranges of about RANGE_ROWS documents, ranges are summed first, and each
@@ -20,8 +22,9 @@ quarter of that.  Key ranges stay within a factor (largest over least weight)
 of even.  The table of sources (not documents) is ordered in one task.
 
 Edge cases: a null text has size 0 and takes nothing; a null source is a source
-of its own; a null doc_id counts as an empty one in the key; rows with equal
-keys follow by id, then size, so repeated rows give one result in any order;
+of its own; a null doc_id counts as an empty one in the key; equal rows are
+numbered by slices, whatever their order, and get keys of their own; rows
+with equal keys follow by id, then size;
 other columns pass through untouched; empty tables, and tables without words,
 give targets of 0.
 """
@@ -37,6 +40,7 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MOST_EPOCHS = 2
 SEED = "mix-1"
+SLICES = 64                        # of equal rows
 RANGE_ROWS = 5000
 
 
@@ -52,9 +56,30 @@ def quality_weights(labels: DataFrame) -> DataFrame:
                                   * F.when(F.col("t") == 1, 0.25).otherwise(1.0)).alias("_label_weight")))
 
 
+def marked(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``rows`` (with digest) and ``mark``: empty where the id is on this row only,
+    else the digest and the row's number among equal rows."""
+    several = written(rows.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_several")).agg(F.count("*").alias("_rows"))
+                      .where("_rows > 1").drop("_rows"), "several-ids")
+    d = rows.join(several, F.col(id_col) == F.col("_several"), "left")
+    some = F.col(id_col).isNull() | F.col("_several").isNotNull()
+    # equal rows: counted by slice, the counts summed, and numbered within a
+    # slice; the slices are written, as they must be the same in both places
+    rest = written(d.where(some).drop("_several").withColumn("_slice", F.monotonically_increasing_id() % SLICES), "equal-rows")
+    counts = rest.groupBy(id_col, "digest", "_slice").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(id_col, "digest").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(F.col(id_col).alias("_id"), F.col("digest").alias("_d"), F.col("_slice").alias("_s"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(id_col, "digest", "_slice").orderBy("size")
+    numbered = (rest.withColumn("_nth", F.row_number().over(within))
+                .join(bases, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_d")) & (F.col("_slice") == F.col("_s")))
+                .withColumn("mark", F.concat_ws(":", F.lit(""), "digest", (F.col("_nth") + F.col("_base")).cast("string"))))
+    return (d.where(~some).drop("_several").withColumn("mark", F.lit(""))
+            .unionByName(numbered.drop("_slice", "_nth", "_id", "_d", "_s", "_base")))
+
+
 def key(id_col: str, weight: str) -> Column:
     """Exponential key of a document: the less, the earlier it is taken."""
-    digest = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("mark")))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     return -F.log(u) / F.col(weight)
 
@@ -82,9 +107,9 @@ def targets(rows: DataFrame) -> DataFrame:
 
 
 def mixed(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``rows`` (with source, size and weight) and source_size, target, taken."""
+    """``rows`` (with source, size, weight and digest) and source_size, target, taken."""
     goal = written(targets(rows), "targets")
-    keyed = (rows.withColumn("key", key(id_col, "weight"))
+    keyed = (marked(rows, id_col).withColumn("key", key(id_col, "weight"))
              .join(goal.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n_rows") / RANGE_ROWS))
     placed = keyed.withColumn("range", F.least(ranges - 1, F.floor(ranges * (1 - F.exp(-F.col("least_weight") * F.col("key"))))).cast("int"))
@@ -98,20 +123,20 @@ def mixed(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     more = F.col("upto") - F.col("size") / 2.0 <= F.col("target") - epochs * F.col("source_size")
     return (running.withColumn("taken", F.col("size") * (epochs + F.when(more & (epochs < MOST_EPOCHS), 1).otherwise(0)))
-            .drop("key", "n_rows", "least_weight", "range", "upto", "base", "_source", "_range"))
+            .drop("digest", "mark", "key", "n_rows", "least_weight", "range", "upto", "base", "_source", "_range"))
 
 
 def weighted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(row, doc id, source, size, weight): ``row`` holds all columns of ``docs``."""
+    """(row, doc id, source, size, weight, digest): ``row`` holds all columns of ``docs``."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), "source",
-                      words().alias("size"))
+                      words().alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
     return (own.join(quality_weights(labels), F.col("doc_id") == F.col("_label_id"), "left")
             .withColumn("weight", F.coalesce("_label_weight", F.lit(1.0))).drop("_label_id", "_label_weight"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sizes = written(weighted(docs, table(spark, sf_dir, "labels")).select("doc_id", "source", "size", "weight"), "sizes")
+    sizes = written(weighted(docs, table(spark, sf_dir, "labels")).select("doc_id", "source", "size", "weight", "digest"), "sizes")
     return mixed(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -15,7 +15,10 @@ has become their UTF-8 bytes.
 Edge cases: a null or empty text has the end id alone and decodes to an empty
 text; a literal U+2581 in a text is the space mark, as in the library; equal
 rows get equal results; other columns are not read; an empty table gives an
-empty result.  A word of n characters takes up to n rounds.
+empty result.  A word of more than LONG characters (a text without spaces) is
+first cut between any two characters that stand side by side in no piece, as no
+merge can cross there; its parts merge like words of their own.  A part of n
+characters takes up to n rounds.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ MARK = "▁"
 END_ID = 2
 NONE = np.int32(2**31 - 1)         # rank where a pair has no piece
 SHIFT = np.int64(21)               # symbols are below 2**21
+LONG = 64                          # characters of a word that is not cut
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -115,13 +119,30 @@ class Model:
             if len(p) == 1:
                 self.chars[ord(p)] = i
         self.decimal = [b"%d " % i for i in range(self.size)]
+        #: pairs of characters that stand side by side in a piece
+        self.joined = np.unique(np.array([ord(a) << int(SHIFT) | ord(b) for p in self.pieces for a, b in zip(p, p[1:])], np.int64))
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words (each gets a space mark in front), and offsets."""
         marked = MARK + MARK.join(words) if words else ""
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         codes = np.frombuffer(marked.encode("utf-32-le"), np.uint32)
-        return self._merge(self.chars[codes], np.concatenate(([0], np.cumsum(lengths))))
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        parts = self._parts(codes, lengths, ends)
+        ids, to = self._merge(self.chars[codes], parts)
+        return ids, to if parts is ends else to[np.searchsorted(parts, ends)]
+
+    def _parts(self, codes: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Offsets of the words, and of the parts of long ones that no merge leaves."""
+        long = lengths > LONG
+        if not long.any():
+            return ends
+        inner = np.repeat(long, lengths)
+        inner[ends[:-1]] = False                        # places with a character before them, in a long word
+        at = np.flatnonzero(inner)
+        pair = codes[at - 1].astype(np.int64) << SHIFT | codes[at]
+        found = np.minimum(np.searchsorted(self.joined, pair), self.joined.size - 1)
+        return np.union1d(ends, at[self.joined[found] != pair])
 
     def _merge(self, symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = offsets.size - 1

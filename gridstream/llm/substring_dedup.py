@@ -14,7 +14,9 @@ Three steps, no step holds more than a slice of text or one hash bucket:
 Edge cases: null and empty texts have no words and stay as they are; texts
 shorter than a window lose nothing; a null doc_id sorts before all others;
 repeated rows (same doc_id, same text) are one document and get equal results;
-rows with one doc_id but different texts are ordered by a hash of the text;
+rows with one doc_id (or none) but different texts are told apart and ordered
+by a 64-bit hash of the text: for n such texts n*n/2**65 pairs are expected to
+be taken for one document (3e-8 at 10**6);
 other columns pass through untouched, whatever their names; an empty table
 gives an empty result.  Equal windows are recognised by 64-bit hashes: for n
 windows n*n/2**65 pairs of different windows are expected to collide (5e-4 at
@@ -39,11 +41,12 @@ from gridstream.llm.common import in_batches, mix, rolling, shuffle_parts, slice
 
 WINDOW = 20
 FIRST = -(1 << 63)                 # stands for a null doc_id
+BUCKET_BYTES, WINDOW_BYTES = 64 << 20, 12
 
 PARTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("flags", T.BooleanType()),
                       T.StructField("body", T.BinaryType())])
 SENT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("body", T.BinaryType())])
-FLAGS = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_key", T.IntegerType()),
+FLAGS = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_key", T.LongType()),
                       T.StructField("starts", T.BinaryType())])
 
 
@@ -65,7 +68,7 @@ def pack(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, hashes: np.ndarr
     step = np.diff(starts, prepend=0)
     step[heads] = starts[heads]
     return b"".join((np.array([heads.size, ids.size], np.int64).tobytes(), _planes(np.ascontiguousarray(ids[heads])),
-                     _planes(np.ascontiguousarray(keys[heads])), _planes(counts.astype(np.uint32)),
+                     _planes(keys[heads].astype(np.int64)), _planes(counts.astype(np.uint32)),
                      _planes(step.astype(np.uint32)), b"" if hashes is None else hashes.tobytes()))
 
 
@@ -74,7 +77,7 @@ def unpack(body: bytes, hashed: bool = True) -> tuple[np.ndarray, ...]:
     docs, n = np.frombuffer(raw, np.int64, 2)
     at = 16
     out = []
-    for dtype, size in ((np.int64, docs), (np.int32, docs), (np.uint32, docs), (np.uint32, n)):
+    for dtype, size in ((np.int64, docs), (np.int64, docs), (np.uint32, docs), (np.uint32, n)):
         out.append(_unplanes(raw[at:], dtype, size))
         at += int(size) * np.dtype(dtype).itemsize
     ids, keys, counts, step = out
@@ -152,7 +155,7 @@ def repeats_of_bucket(parts: int):
             later, _ = later_ones(hashes, ids, keys, starts)
             found.append((ids[later], keys[later], starts[later]))
         ids, keys, starts = (np.concatenate(x) for x in zip(*found))
-        part = (mix(ids.view(np.uint64) ^ mix(keys.astype(np.uint64), 1), 2) % np.uint64(parts)).astype(np.int32)
+        part = (mix(ids.view(np.uint64) ^ mix(keys.view(np.uint64), 1), 2) % np.uint64(parts)).astype(np.int32)
         order = np.lexsort((starts, keys, ids, part))
         cut = np.flatnonzero(np.diff(part[order], prepend=-1))
         out = [order[a:b] for a, b in zip(cut, np.append(cut[1:], order.size))]
@@ -170,19 +173,26 @@ def flags_of_part(rows: pa.Table) -> pa.Table:
     raw = starts.tobytes()
     offsets = pa.py_buffer(np.concatenate((cut * 4, [len(raw)])).astype(np.int32).tobytes())
     bodies = pa.Array.from_buffers(pa.binary(), cut.size, [None, offsets, pa.py_buffer(raw)])
-    return pa.table([pa.array(ids[cut], pa.int64()), pa.array(keys[cut], pa.int32()), bodies], ["_id", "_key", "starts"])
+    return pa.table([pa.array(ids[cut], pa.int64()), pa.array(keys[cut], pa.int64()), bodies], ["_id", "_key", "starts"])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("_id"),
-                       F.hash(text_col).alias("_key"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("_key"), F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_rest") if len(docs.columns) > 1 else
                        F.lit(None).cast("struct<none:int>").alias("_rest"))
 
 
+def bucket_count(docs: DataFrame, text_col: str = "text", most: int = BUCKET_BYTES) -> int:
+    """Hash buckets, so that one holds about ``most`` bytes of windows, and at
+    least one for each shuffle partition; a word has six bytes, its window WINDOW_BYTES."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(shuffle_parts(docs.sparkSession), -(-size // 6 * WINDOW_BYTES // most))
+
+
 def flagged_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(_id, _key, packed start words): the windows of each document that also start earlier."""
-    buckets = shuffle_parts(docs.sparkSession)
+    buckets = bucket_count(docs, text_col)
     parts = in_batches(_keyed(docs, id_col, text_col).select("_id", "_key", "text"), windows_by_bucket(buckets, window), PARTS)
     sent = parts.groupBy("bucket").applyInArrow(repeats_of_bucket(buckets), SENT)
     return sent.groupBy("part").applyInArrow(flags_of_part, FLAGS)
@@ -254,7 +264,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = _keyed(docs, id_col, text_col)
     rest = keyed.schema["_rest"]
     packed = in_batches(keyed, _packed_texts, T.StructType([
-        T.StructField("_id", T.LongType()), T.StructField("_key", T.IntegerType()), T.StructField("text", T.BinaryType()), rest]))
+        T.StructField("_id", T.LongType()), T.StructField("_key", T.LongType()), T.StructField("text", T.BinaryType()), rest]))
     both = packed.join(flagged_windows(docs, id_col, text_col, window), ["_id", "_key"], "left")
     return in_batches(both.select("_rest", "text", "starts"), _removals(window, not digest), T.StructType([
         rest, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),

@@ -165,19 +165,30 @@ def _write_shards(folder: str, tokenizer: str, end_id: int, dtype: str):
     return run
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, dtype: str = "<u2",
+def id_type(tokenizer: str, end_id: int = END_ID) -> str:
+    """The least unsigned type that holds every id of a vocabulary and the end id."""
+    from tokenizers import Tokenizer
+    most = max([end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()])
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, dtype: str | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the shards to ``folder`` (which driver and executors share, on a
     file system that pyarrow can write) and returns the manifest: shard,
-    n_docs, n_tokens, base."""
+    n_docs, n_tokens, dtype, base.  ``dtype`` is the vocabulary's, or a wider one."""
     spark = docs.sparkSession
+    least = id_type(tokenizer, end_id)
+    dtype = dtype or least
+    if np.dtype(dtype).itemsize < np.dtype(least).itemsize:
+        raise ValueError(f"{dtype} doesn't hold all ids: {least} does")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = own.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     shards = written(in_batches(ordered, _write_shards(folder, tokenizer, end_id, dtype), "shard long, n_docs long, n_tokens long"),
                      "manifest")
     # One row for each shard, so a single window orders them.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return shards.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    return shards.withColumn("dtype", F.lit(dtype)).withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
 def mapped(fs: pafs.FileSystem, path: str, dtype: str) -> np.ndarray:
@@ -188,13 +199,13 @@ def mapped(fs: pafs.FileSystem, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=dtype)
 
 
-def _read_shards(folder: str, dtype: str):
+def _read_shards(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 path = f"{base}/{row['shard']}"
-                ids = mapped(fs, f"{path}.ids", dtype)
+                ids = mapped(fs, f"{path}.ids", row["dtype"])
                 to = mapped(fs, f"{path}.offsets", "<u8").astype(np.int64)
                 docs = mapped(fs, f"{path}.docs", "<i8")
                 for at in range(0, docs.size, 4096):
@@ -209,11 +220,11 @@ def _read_shards(folder: str, dtype: str):
     return run
 
 
-def read_token_files(manifest: DataFrame, folder: str, dtype: str = "<u2") -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """A row for each document, from the files alone."""
     n = shuffle_parts(manifest.sparkSession)
-    return manifest.select("shard", "base").repartition(n, "shard").mapInArrow(
-        _read_shards(folder, dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return manifest.select("shard", "dtype", "base").repartition(n, "shard").mapInArrow(
+        _read_shards(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -276,3 +276,25 @@ def test_url_rules_of_a_long_bad_url(spark):
     assert [got[i] for i in range(len(rows), len(rows) + 5)] == ["block", "allow", "block", "allow", "allow"]
     for i, (u, _) in enumerate(rows):
         assert got[i] == ("block" if "w1/" in u or ("x1/" in u and "go" in u) else "allow"), u
+
+
+# --- mixing without ids of their own ------------------------------------------
+
+def test_mixing_samples_rows_without_id_by_chance(spark):
+    """Texts of rising length without an id, and copies under one id: the partial
+    epoch takes them by chance, not by size, and the same in any order of rows."""
+    rows = [(None, "w " * (1 + i % 50), "a") for i in range(1500)] + [(7, "same text here", "a")] * 500 + [(100 + i, "x y z", "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    run = lambda d: mixing.mixed(mixing.weighted(d, labels)).select("doc_id", "source", "size", "taken", "target").collect()
+    got = run(docs.repartition(3))
+    assert len(got) == len(rows) and Counter(map(tuple, got)) == Counter(map(tuple, run(docs.repartition(7, "text"))))
+    own = [r for r in got if r.source == "a"]
+    epochs = int(own[0].target // sum(r.size for r in own))
+    more = [r for r in own if r.taken > epochs * r.size]
+    share = sum(r.size for r in more) / sum(r.size for r in own)
+    assert 0.05 < share < 0.95
+    for some in (lambda r: r.size < 15 and r.doc_id is None, lambda r: r.size > 35, lambda r: r.doc_id == 7):
+        whole = [r for r in own if some(r)]
+        assert abs(sum(some(r) for r in more) / len(whole) - share) < 0.1
+    assert abs(sum(r.taken for r in own) - own[0].target) <= 50

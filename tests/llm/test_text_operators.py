@@ -1,6 +1,7 @@
 """Operators over texts against brute force, on the awkward rows and the small table."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -12,6 +13,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridstream.llm import common, components, language_id, near_dedup, sentencepiece_bpe, substring_dedup, token_files
@@ -344,3 +346,85 @@ def test_language_kernel_is_the_presence_kernel():
     for i in (0, 1, 4):
         for j in (0, 1, 4):
             assert len(sets[i] & sets[j]) == pytest.approx(len(grams(texts[i]) & grams(texts[j])), abs=4)
+
+
+def test_language_id_many_languages_and_scripts(spark):
+    """80 languages over four scripts, one with long texts only: all are learned and told apart."""
+    r = random.Random(8)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "".join(chr(0x4E00 + 7 * i) for i in range(300))]
+    rows, n = [], 0
+    for k in range(80):
+        letters = r.sample(scripts[k % 4], 9)
+        words = ["".join(r.choices(letters, k=r.randrange(2, 6))) for _ in range(40)]
+        for _ in range(24):
+            rows.append((n, " ".join(r.choices(words, k=2500 if k == 3 else 60)), f"l{k:02d}", "s", 0))
+            n += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    model = language_id.fit(docs)
+    assert len(model.languages) == 80 and min(len(t) for _, t, lang, *_ in rows if lang == "l03") > language_id.LANDMARK_CHARS
+    got = {r.row.doc_id: (r.row.lang, r.lang_pred) for r in language_id.predicted(docs, model).collect()}
+    held = [p for i, p in got.items() if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(a == b for a, b in held) / len(held) > 0.95 and all(b == "l03" for a, b in held if a == "l03")
+
+
+def test_language_kernel_by_lists_equals_products(spark, monkeypatch):
+    docs = documents(spark, [(i, prose(i, 50 + i)) for i in range(40)])
+    model = language_id.fit(docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")))
+    texts = pa.array([prose(99, 500), "", None, "x y z w1"])
+    dense = language_id.Scorer(model)
+    monkeypatch.setattr(language_id, "DENSE_CELLS", 0)
+    lists = language_id.Scorer(model)
+    assert dense.dense is not None and lists.dense is None
+    assert np.allclose(dense.kernel(texts)[0], lists.kernel(texts)[0], atol=1e-6)
+
+
+def test_token_files_of_a_large_vocabulary(spark):
+    """A vocabulary of more than 65,536 ids needs and gets uint32 files."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    vocabulary = {"[UNK]": 0, "[END]": 1} | {f"w{i}</w>": i + 2 for i in range(70000)}
+    own = Tokenizer(models.WordLevel(vocabulary, unk_token="[UNK]"))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = common.shared_path(spark, "vocabulary").replace("file:", "")
+    os.makedirs(path)
+    own.save(f"{path}/t.json")
+    assert token_files.id_type(f"{path}/t.json") == "<u4" and token_files.id_type(BPE) == "<u2"
+    rows = [(i, " ".join(f"w{(i * 9973 + j * 77) % 70000}</w>" for j in range(50))) for i in range(40)]
+    folder = common.shared_path(spark, "tokens")
+    manifest = token_files.write_token_files(documents(spark, rows), folder, f"{path}/t.json")
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(manifest, folder).collect()}
+    for i, t in rows:
+        ids = own.encode(t).ids + [1]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert {r.dtype for r in manifest.collect()} == {"<u4"} and max(max(own.encode(t).ids) for _, t in rows) > 65536
+    with pytest.raises(ValueError):
+        token_files.write_token_files(documents(spark, rows), folder, f"{path}/t.json", dtype="<u2")
+
+
+def test_sentencepiece_long_words():
+    """Texts without spaces: equal to the library, and no round for each character."""
+    import time
+    model, sp, r = sentencepiece_bpe.model_of(PIECES), library(), random.Random(3)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=160000)), "x" * 5000, "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(20000)),
+             "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=50000)), "a" * 65 + "▁" * 70 + "日" * 66]
+    for t in texts:
+        began = time.time()
+        ids = sentencepiece_bpe.encode(model, [t + " and more"])[0]
+        assert time.time() - began < 10
+        assert ids == [*sp.encode(t + " and more"), 2]
+
+
+def test_substring_dedup_tells_texts_of_one_id_apart(spark):
+    """Two texts without an id whose 32-bit hashes are equal: the one that nothing repeats loses no word."""
+    a, b = (" ".join(f"w{j}_{i}" for j in range(30)) for i in (114031, 137301))
+    docs = spark.createDataFrame([(None, a), (None, b), (5, "x " + a + " y")], "doc_id long, text string")
+    got = {(r["_rest"].doc_id, r["result"]): r.n_removed for r in substring_dedup.remove_repeats(docs).collect()}
+    assert got[(None, a)] == 0 and got[(None, b)] == 0 and [n for (i, _), n in got.items() if i == 5] == [30]
+
+
+def test_substring_buckets_grow_with_the_input(spark, monkeypatch):
+    docs = documents(spark, [(i, prose(i % 30, 400)) for i in range(60)])
+    few = sorted(map(str, substring_dedup.remove_repeats(docs).collect()))
+    assert substring_dedup.bucket_count(docs) == common.shuffle_parts(spark)
+    assert substring_dedup.bucket_count(docs, most=2000) > 100
+    monkeypatch.setattr(substring_dedup, "bucket_count", lambda *_: 101)
+    assert sorted(map(str, substring_dedup.remove_repeats(docs).collect())) == few
