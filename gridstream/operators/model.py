@@ -7,6 +7,10 @@ defaults.  Metric-level, not bit-level, parity with the reference model.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gridstream import config as C
 from gridstream.functions.rules import round_exact
+from gridstream.session import materialize
 
 
 # ordered 80/20 split.  Default "time" (a true chronological cut, for
@@ -76,14 +81,14 @@ def horizon_study(windows: DataFrame, horizons=(1, 2, 3), model: str = "gbt", fr
                   split_mode: str = "row_rank", width_minutes: int = C.WINDOW_MINUTES, **gbt) -> DataFrame:
     from gridstream.operators.features import with_diff, with_target
     base = with_diff(windows)
+    tables = [split(with_target(base, h), fraction, split_mode) for h in horizons]
+    if model != "persistence":     # each boosting round reads its rows again: they are written once
+        tables = [materialize(t) for t in tables]
+        models = fitted(windows.sparkSession, [partial(train_regressor, t.filter("is_train"), **gbt) for t in tables])
     parts = []
-    for h in horizons:     # one small loop over the 3 horizons; each fit is distributed
-        t = split(with_target(base, h), fraction, split_mode)
-        val = t.filter(~F.col("is_train"))
-        if model == "persistence":
-            pred = val.withColumn("prediction", F.col("mean_kwh"))
-        else:
-            pred = train_regressor(t.filter("is_train"), **gbt).transform(val)
+    for i, h in enumerate(horizons):
+        val = tables[i].filter(~F.col("is_train"))
+        pred = val.withColumn("prediction", F.col("mean_kwh")) if model == "persistence" else models[i].transform(val)
         parts.append(regression_metrics(pred).select(F.lit(int(h) * int(width_minutes)).alias("horizon_min"),
                                                      "mae", "rmse", "n"))
     res = parts[0]
@@ -95,18 +100,66 @@ def horizon_study(windows: DataFrame, horizons=(1, 2, 3), model: str = "gbt", fr
                .withColumn("rmse_vs_first_pct", (F.col("rmse") / r0 - F.lit(1.0)) * F.lit(100.0)))
 
 
-# Persist / load, reuse if present.
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+# A registry of saved models.  A model is written to a folder of its own;
+# the pointer file CURRENT names it and is moved into place last, so a reader
+# finds whole models only, whatever died while writing.
+POINTER = "CURRENT"
+
+
+def save_model(model: PipelineModel, root: str) -> str:
+    """Saves a new version and publishes it; older versions stay. Returns its name."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.active()
+    version = f"v-{uuid.uuid4().hex}"
+    model.write().save(f"{root}/{version}")
+    fs, path = _hadoop(spark, root)
+    temporary, current = path(f"{root}/.{version}"), path(f"{root}/{POINTER}")
+    out = fs.create(temporary, True)
+    try:
+        out.write(bytearray(version, "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(current):
+        fs.delete(current, False)
+    fs.rename(temporary, current)
+    return version
+
+
+def published(spark, root: str) -> str | None:
+    """The folder of the published model, None where there is none."""
+    fs, path = _hadoop(spark, root)
+    if not fs.exists(path(f"{root}/{POINTER}")):
+        return None
+    name = spark.read.text(f"{root}/{POINTER}").first()[0]
+    return f"{root}/{name}"
+
+
+def _hadoop(spark, root: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def load_or_train(root: str, train: DataFrame, **kw) -> PipelineModel:
+    found = published(train.sparkSession, root)
+    if found:
+        return PipelineModel.load(found)
+    model = train_regressor(train, **kw)
+    save_model(model, root)
+    return model
+
+
+# Several fits at a time: each runs its jobs from a thread of its own, under a
+# pool of its own where the scheduler is fair.
+def fitted(spark, fits: list, at_once: int = 4) -> list:
+    """Results of functions without arguments, in order."""
+    from pyspark import inheritable_thread_target
 
+    def run(i: int, fit):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i % at_once}")
+        return fit()
 
-def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
-    from gridstream.sources.sinks import exists
-    if exists(train.sparkSession, path + "/metadata/_SUCCESS"):
-        return PipelineModel.load(path)
-    m = train_regressor(train, **kw)
-    save_model(m, path)
-    return m
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), i, fit) for i, fit in enumerate(fits)]]
 
 
 # Pooled per-scenario forecaster.  Features of window t (F19) predict
@@ -124,11 +177,12 @@ def scenario_forecasts(long: DataFrame, T, scenarios: int, width_minutes: int =
     nxt = feats.select("scenario_id", "station_id", (F.col("t") - 1).alias("t"), F.col("mean_kwh").alias("target"))
     rows = feats.join(nxt, ["scenario_id", "station_id", "t"], "left").fillna(0.0, subset=["target"])
     split_t = F.floor((F.lit(T) if isinstance(T, int) else T) * F.lit(float(fraction))) - 1
+    rows = materialize(rows.withColumn("is_train", F.col("t") < split_t))     # read by every fit, again and again
+    mine = [rows.filter(F.col("scenario_id") == s) for s in range(int(scenarios))]
+    models = fitted(rows.sparkSession, [partial(train_regressor, m.filter("is_train"), **gbt) for m in mine])
     pred = None
-    for s in range(int(scenarios)):
-        mine = rows.filter(F.col("scenario_id") == s)
-        m = train_regressor(mine.filter(F.col("t") < split_t), **gbt)
-        one = m.transform(mine).withColumn("pred_cur", F.col("prediction") / F.col("capacity")).select(
+    for own, m in zip(mine, models):
+        one = m.transform(own).withColumn("pred_cur", F.col("prediction") / F.col("capacity")).select(
             "scenario_id", "t", "station_id", "cur_obs", "capacity", "pred_cur")
         pred = one if pred is None else pred.unionByName(one)
     return with_forecast(pred, pred="pred_cur")

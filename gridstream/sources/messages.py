@@ -54,6 +54,71 @@ def route(msgs: DataFrame, schemas: dict[str, T.StructType],
             for t, s in schemas.items()}
 
 
+# A keyed changelog.  The message key holds the record's keys, ``SEP``
+# between them; a null value is a tombstone that deletes the record.
+SEP = "|"
+
+
+def encode_changes(df: DataFrame, topic: str, keys=("station_id", "time_bin"), deleted: str = "deleted") -> DataFrame:
+    """Messages of changes: the row as JSON, or null where ``deleted``."""
+    cols = [c for c in df.columns if c != deleted]
+    return df.select(F.lit(topic).alias("topic"), F.concat_ws(SEP, *keys).alias("key"),
+                     F.when(~F.col(deleted), F.to_json(F.struct(*cols))).alias("value"))
+
+
+def decode_changes(msgs: DataFrame, schema: T.StructType, keys=("station_id", "time_bin"), keep=("offset",)) -> DataFrame:
+    """Rows of ``schema`` with ``deleted``; the keys are the message key's.  An
+    undecodable value is neither a record nor a tombstone: it is left out here
+    and told by ``routed_rows``."""
+    s = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    parts = F.split("key", "\\" + SEP)
+    rec = (msgs.withColumn("_rec", F.from_json("value", s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+           .where(F.col("value").isNull() | F.col(f"_rec.{CORRUPT}").isNull()))
+    return rec.select(*[F.get(parts, i).alias(k) for i, k in enumerate(keys)],
+                      *[F.col(f"_rec.{f.name}").alias(f.name) for f in schema.fields if f.name not in keys],
+                      F.col("value").isNull().alias("deleted"), *keep)
+
+
+# S15 + S17 in one pass: every message is parsed once, by its topic's schema, and
+# leaves with its topic or, where it can't be used, with a reason for the dead
+# letters.  Tombstones carry no record and are dropped.
+DEAD = "dead-letter"
+
+
+def routed_rows(msgs: DataFrame, schemas: dict[str, T.StructType], required: dict[str, list[str]] | None = None) -> DataFrame:
+    """(topic, key, value, one struct column for each topic, reason, target)."""
+    required = required or {}
+    d = drop_tombstones(msgs).select("topic", "key", "value")
+    reason = F.when(~F.coalesce(F.col("topic").isin(list(schemas)), F.lit(False)), F.lit("unknown topic"))
+    for i, (topic, schema) in enumerate(schemas.items()):
+        s = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        parsed = F.from_json("value", s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        own = F.col("topic") == topic
+        d = d.withColumn(f"r{i}", F.when(own, parsed))
+        reason = reason.when(own & (F.col(f"r{i}").isNull() | F.col(f"r{i}.{CORRUPT}").isNotNull()), F.lit("undecodable"))
+        for field in required.get(topic, []):
+            reason = reason.when(own & F.col(f"r{i}.{field}").isNull(), F.lit(f"missing {field}"))
+    d = d.withColumn("reason", reason)
+    return d.withColumn("target", F.when(F.col("reason").isNull(), F.col("topic")).otherwise(F.lit(DEAD)))
+
+
+def write_routed(rows: DataFrame, path: str, batch_id: int = 0) -> None:
+    """All topics and the dead letters in one write; a batch that comes again replaces its own rows."""
+    (rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "target").parquet(path))
+
+
+def read_topic(stored: DataFrame, schemas: dict[str, T.StructType], topic: str) -> DataFrame:
+    """The decoded records of a topic (with ``value``): only its files and columns are read."""
+    i = list(schemas).index(topic)
+    return (stored.where(F.col("target") == topic)
+            .select("value", *[F.col(f"r{i}.{f.name}").alias(f.name) for f in schemas[topic].fields]))
+
+
+def dead_letters(stored: DataFrame) -> DataFrame:
+    return stored.where(F.col("target") == DEAD).select("topic", "key", "value", "reason")
+
+
 # Inference rows: required station_id/time_bin, time_bin as TIMESTAMP.
 def inference_rows(prices: DataFrame) -> DataFrame:
     d = prices.filter(F.col("station_id").isNotNull() & F.col("time_bin").isNotNull())
@@ -65,10 +130,12 @@ def inference_rows(prices: DataFrame) -> DataFrame:
 # Data-quality events.  The default reason applies only when the field
 # is absent from the payload (an explicit null stays null); the raw payload
 # is kept; time_bin falls back to the emitted time_new (documented fix).
-def data_quality_events(dq: DataFrame, default_reason: str = C.DEFAULT_DQ_REASON) -> DataFrame:
+# With ``variant`` the payload is stored as a VARIANT, whose fields are read
+# without parsing text again; a payload that is no JSON is null there.
+def data_quality_events(dq: DataFrame, default_reason: str = C.DEFAULT_DQ_REASON, variant: bool = False) -> DataFrame:
     has_reason = F.array_contains(F.json_object_keys("value"), F.lit("reason"))
     tb = F.coalesce(parse_ts("time_bin"), parse_ts("time_new")) if "time_new" in dq.columns \
         else parse_ts("time_bin")
     return dq.select("station_id", tb.alias("time_bin"), "original_kwh", "corrected_kwh",
                      F.when(has_reason, F.col("reason")).otherwise(F.lit(default_reason)).alias("reason"),
-                     F.col("value").alias("raw_payload"))
+                     (F.try_parse_json("value") if variant else F.col("value")).alias("raw_payload"))

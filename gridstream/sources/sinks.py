@@ -60,6 +60,65 @@ def upsert(batch: DataFrame, path: str, order: str, keys=("station_id", "time_bi
         .partitionBy(day_col).parquet(path))
 
 
+# W06 + S14: a changelog of inserts, updates and deletes merged by key.  The
+# newest record of a key by ``order`` wins, a delete before a value of the same
+# order.  A delete leaves a marker row, so that older records that come late or
+# again don't bring the key back; ``compact`` takes markers away once no
+# record older than a point can come any more.
+DELETED, VERSION = "_deleted", "_version"
+
+
+def merge_changes(batch: DataFrame, path: str, order: str, keys=("station_id", "time_bin"), deleted: str = "deleted",
+                  day_col: str = "dt", ts_col: str = "time_bin") -> None:
+    """``batch`` has the keys, the values, ``deleted`` (true for a tombstone, whose
+    values don't count) and ``order``.  Days a batch touches are rewritten, so a
+    batch that comes again leaves the table as it is."""
+    from gridstream.session import materialize
+    spark = batch.sparkSession
+    keys = list(keys)
+    values = [c for c in batch.columns if c not in (*keys, deleted, order)]
+    gone = F.coalesce(F.col(deleted), F.lit(False))
+    batch = materialize(batch.select(
+        *keys, *[F.when(~gone, F.col(c)).alias(c) for c in values], gone.alias(DELETED), F.col(order).cast("long").alias(VERSION),
+        F.to_date(F.col(ts_col)).alias(day_col)))
+    unkeyed = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    if not (rejected := batch.where(unkeyed)).isEmpty():
+        rejected.write.mode("append").parquet(path + "-rejected")
+    batch = batch.where(~unkeyed)
+    if batch.isEmpty():
+        return
+    old = read_table(spark, path)
+    if old is not None:
+        days = batch.select(F.col(day_col).alias("_day")).distinct()
+        touched = old.join(days, old[day_col].eqNullSafe(F.col("_day")), "left_semi")
+        batch = touched.unionByName(batch, allowMissingColumns=True)
+    others = [c for c in batch.columns if c not in keys]
+    newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(VERSION, DELETED)).alias("_r")).select(*keys, "_r.*")
+    (materialize(newest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day_col).parquet(path))
+
+
+def live_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The merged rows without delete markers."""
+    return spark.read.option("mergeSchema", "true").parquet(path).where(f"NOT {DELETED}").drop(DELETED, VERSION)
+
+
+def compact(spark: SparkSession, path: str, before: int, day_col: str = "dt") -> None:
+    """Takes the markers of versions below ``before`` away; only days that have one are rewritten."""
+    from gridstream.session import materialize
+    old = spark.read.option("mergeSchema", "true").parquet(path)
+    stale = F.col(DELETED) & (F.col(VERSION) < F.lit(int(before)))
+    days = materialize(old.where(stale).select(F.col(day_col).alias("_day")).distinct())
+    touched = old.join(days, old[day_col].eqNullSafe(F.col("_day")), "left_semi")
+    # a day of nothing but markers keeps one row for the overwrite to write: its newest marker
+    alive = F.max(F.when(~stale, 1).otherwise(0)).over(Window.partitionBy(day_col))
+    newest = F.row_number().over(Window.partitionBy(day_col).orderBy(F.desc(VERSION)))
+    kept = touched.withColumn("_alive", alive).withColumn("_nth", newest).where(~stale | ((F.col("_alive") == 0) & (F.col("_nth") == 1)))
+    rows = materialize(kept.drop("_alive", "_nth"))
+    if not rows.isEmpty():
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+
+
 # Append idempotent by batch id (a replayed batch rewrites its own
 # partition instead of adding rows).
 def append_batch(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -122,5 +181,5 @@ def table_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-__all__ = ["read_table", "upsert", "append_batch", "with_ids", "insert_once", "fan_out", "export_csv",
+__all__ = ["read_table", "upsert", "merge_changes", "live_rows", "compact", "append_batch", "with_ids", "insert_once", "fan_out", "export_csv",
            "export_text", "table_path"]

@@ -7,6 +7,10 @@
 * ``start_pricing_job``: telemetry -> features -> complete priced rows, station
   alerts and regional alerts, in one pass per micro-batch (W11).
 
+* ``start_buffer_job``: rows -> the newest ones, kept in state, as a table (D14).
+* ``start_changelog_job``: a changelog with tombstones -> the merged table (W06, S14).
+* ``start_router_job``: messages of several topics -> one table by topic with dead letters (S15, S17).
+
 Each job takes its own checkpoint folder; restarting with the same folder
 resumes offsets and state.
 """
@@ -14,12 +18,14 @@ resumes offsets and state.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridstream import config as C
 from gridstream.operators.pricing import tariff_of
 from gridstream.session import materialize
-from gridstream.sources.sinks import append_batch, fan_out, upsert
+from gridstream.sources import messages as MS
+from gridstream.sources.sinks import append_batch, fan_out, merge_changes, upsert
 from gridstream.streaming import queries as SQ
 from gridstream.streaming.processors import ROLLED
 from gridstream.streaming.starting import start
@@ -72,3 +78,30 @@ def start_pricing_job(spark: SparkSession, source: str | None, prices_path: str,
     tariff = materialize(tariff_of(history, grid=grid)) if history is not None else None
     write = SQ.price_batch_writer(prices_path, alerts_path, capacity, tariff, model)
     return _start(priced, write, checkpoint, trigger)
+
+
+def start_buffer_job(rows: DataFrame, path: str, checkpoint: str, keep: int, order: list[str], shards: int = 8,
+                     ttl_ms: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """The newest ``keep`` rows of a stream; a shard that a batch changes is replaced as a whole."""
+    def write(batch: DataFrame, _i: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    w = SQ.recent_stream(rows, keep, order, shards, ttl_ms).writeStream.outputMode("update").foreachBatch(write)
+    w = w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"}))
+    return start(rows.sparkSession, w)
+
+
+def read_buffer(spark: SparkSession, path: str, keep: int, order: list[str]) -> DataFrame:
+    return spark.read.parquet(path).drop("shard").orderBy(*[F.desc_nulls_last(c) for c in order]).limit(keep)
+
+
+def start_changelog_job(msgs: DataFrame, schema, path: str, checkpoint: str, keys=("station_id", "time_bin"),
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Messages (key, value, offset) of a keyed changelog merged into a table; of a
+    key's records the one with the largest offset wins (a key has one partition)."""
+    changes = MS.decode_changes(msgs, schema, keys)
+    return _start(changes, lambda b, _i: merge_changes(b, path, "offset", keys), checkpoint, trigger)
+
+
+def start_router_job(msgs: DataFrame, schemas: dict, required: dict, path: str, checkpoint: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    return _start(MS.routed_rows(msgs, schemas, required), lambda b, i: MS.write_routed(b, path, i), checkpoint, trigger)

@@ -1,8 +1,8 @@
-"""Stateful processors for ``transformWithStateInPandas``.
+"""Stateful processors for ``transformWithStateInPandas``.
 
 State is per station and small: at most 30 recent readings plus the not-yet
 -released ones (W03), one (start, mean) pair (W05), one (active, lock) pair
-(W08).  All of it lives in the checkpointed state store, so a restart
+(W08); the buffers (D14) hold a fixed number of rows per shard of stations.  All of it lives in the checkpointed state store, so a restart
 resumes where it stopped.
 """
 
@@ -190,3 +190,27 @@ class SessionLock(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RecentRows(StatefulProcessor):
+    """The newest ``keep`` rows of a shard, by ``order`` descending.  A batch's
+    rows enter, the oldest beyond ``keep`` are evicted, and the shard leaves as a
+    whole.  With ``ttl_ms`` rows that no batch touched for so long expire too."""
+
+    def __init__(self, schema: T.StructType, keep: int, order: list[str], ttl_ms: int | None = None):
+        self.schema, self.keep, self.order, self.ttl_ms = schema, int(keep), list(order), ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", self.schema, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = [f.name for f in self.schema.fields]
+        held = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
+        new = [r for pdf in rows for r in pdf[names].astype(object).where(pdf[names].notna(), None).itertuples(index=False, name=None)]
+        at = [names.index(c) for c in self.order]
+        best = sorted((*held, *new), key=lambda r: tuple((r[i] is not None, r[i]) for i in at), reverse=True)[:self.keep]
+        self.rows.put(best)
+        yield pd.DataFrame(best, columns=names).assign(shard=np.int32(key[0]))[["shard", *names]]
+
+    def close(self) -> None:
+        pass

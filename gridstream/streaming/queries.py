@@ -16,7 +16,8 @@ from gridstream import config as C
 from gridstream import schemas as SC
 from gridstream.functions.rules import (alert_level, dynamic_price, format_ts, hour_of, locked_price, parse_ts,
                                         price_multiplier, round_exact, snap, utilisation, weekday_of)
-from gridstream.streaming.processors import LATE, ROLLED, PreviousWindow, RollingClean, SessionLock
+from gridstream.sources import message_log
+from gridstream.streaming.processors import LATE, ROLLED, PreviousWindow, RecentRows, RollingClean, SessionLock
 
 TELEMETRY_ROW = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("event_time", T.TimestampType()),
@@ -34,10 +35,13 @@ WINDOW_ROW = T.StructType([
 FEATURE_ROW = T.StructType(WINDOW_ROW.fields + [T.StructField("rate_of_change", T.DoubleType())])
 
 
-# Telemetry messages from Kafka (options as strings) or from a
-# folder of JSON lines; bad records are skipped, as with ignore-parse-errors.
+# Telemetry messages from Kafka (options as strings), from a message
+# log (``log``: path, topics, starting, group), or from a folder of JSON lines;
+# bad records are skipped, as with ignore-parse-errors.
 def message_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
-                   max_files: int | None = None) -> DataFrame:
+                   max_files: int | None = None, log: dict | None = None) -> DataFrame:
+    if log:
+        return message_log.stream(spark, **log)
     if kafka:
         r = spark.readStream.format("kafka")
         for k, v in {"startingOffsets": "earliest", **kafka}.items():
@@ -106,6 +110,32 @@ def features_stream(tel: DataFrame, window_minutes: int = C.WINDOW_MINUTES,
     return features_of_rolled(rolling_clean_stream(tel, watermark), window_minutes, capacity)
 
 
+# W05 as an interval join: the windows (station_id, window_start, mean_kwh) of one
+# stream with those of a second reading of the same table, one width earlier.
+# Both sides have a watermark and the time bound is two-sided, so the state holds
+# windows of about ``delay`` and a width only.  A window without a predecessor
+# leaves once the watermark tells that none can come.
+def rate_by_join(windows: DataFrame, again: DataFrame, window_minutes: int = C.WINDOW_MINUTES, delay: str = C.WATERMARK_DELAY) -> DataFrame:
+    width = F.expr(f"INTERVAL {int(window_minutes)} MINUTES")
+    cur = windows.withWatermark("window_start", delay)
+    prev = again.select(F.col("station_id").alias("_station"), F.col("window_start").alias("_start"),
+                        F.col("mean_kwh").alias("_mean")).withWatermark("_start", delay)
+    met = (F.col("station_id") == F.col("_station")) & (F.col("_start") >= F.col("window_start") - width) & (F.col("_start") <= F.col("window_start") - width)
+    return (cur.join(prev, met, "left_outer")
+            .withColumn("rate_of_change", F.coalesce(F.col("mean_kwh") - F.col("_mean"), F.lit(0.0))).drop("_station", "_start", "_mean"))
+
+
+# D14 in a stream: the newest ``keep`` rows by ``order`` in the state of each of
+# ``shards`` shards of stations; what a batch changes leaves as whole shards.
+# The newest of all are among those of the shards.
+def recent_stream(rows: DataFrame, keep: int, order: list[str], shards: int = 8, ttl_ms: int | None = None) -> DataFrame:
+    d = rows.withColumn("shard", F.pmod(F.xxhash64("station_id"), F.lit(int(shards))).cast("int"))
+    out = T.StructType([T.StructField("shard", T.IntegerType())] + rows.schema.fields)
+    return d.groupBy("shard").transformWithStateInPandas(
+        statefulProcessor=RecentRows(rows.schema, keep, order, ttl_ms), outputStructType=out, outputMode="Update",
+        timeMode="None" if ttl_ms is None else "ProcessingTime")
+
+
 # F13 on a stream: data-quality side output of the rolling stage.
 def data_quality_rows(rolled: DataFrame) -> DataFrame:
     return rolled.filter(F.col("anomaly_flag") == 1).select(

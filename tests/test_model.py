@@ -60,3 +60,30 @@ def test_horizon_study_persistence(spark):
     r = MO.horizon_study(w, model="persistence").orderBy("horizon_min").collect()
     assert [x.horizon_min for x in r] == [15, 30, 45]
     assert r[0].mae_vs_first_pct == 0.0
+
+
+def test_registry_gives_whole_models_only(spark, tmp_path):
+    """A model that died while being written is not taken, and an older one stays published."""
+    import os
+    import shutil
+    from pyspark.ml import PipelineModel
+    t = spark.createDataFrame([(float(i), float(i % 7), float(2 * i)) for i in range(60)], "a double, b double, target double")
+    train = lambda n: MO.train_regressor(t, features=["a", "b"], max_iter=n, max_depth=2)
+    root = str(tmp_path / "models")
+    assert MO.published(spark, root) is None
+    half = f"{root}/v-half"
+    train(1).write().save(half)
+    shutil.rmtree(f"{half}/stages")                       # metadata/_SUCCESS is there, the stages aren't
+    assert os.path.exists(f"{half}/metadata/_SUCCESS") and MO.published(spark, root) is None
+    made = MO.load_or_train(root, t, features=["a", "b"], max_iter=2, max_depth=2)
+    assert made.stages[-1].getNumTrees == 2
+    first = MO.published(spark, root)
+    assert MO.load_or_train(root, t, max_iter=9).stages[-1].getNumTrees == 2      # reused
+    MO.save_model(train(3), root)
+    assert MO.published(spark, root) != first and PipelineModel.load(MO.published(spark, root)).stages[-1].getNumTrees == 3
+    assert PipelineModel.load(first).stages[-1].getNumTrees == 2
+
+
+def test_fits_at_a_time_keep_their_order(spark):
+    rows = spark.range(100)
+    assert MO.fitted(spark, [lambda k=k: rows.where(f"id < {k}").count() for k in (3, 50, 7, 0, 99)], at_once=3) == [3, 50, 7, 0, 99]
