@@ -30,9 +30,8 @@ STAGES = [
 ]
 
 #: No SQL: kernel models, signatures and SentencePiece merges are outside SQL.
-#: The tests hold near dedup, substring dedup and the SentencePiece digests
-#: against brute force or the library; of language_id.stage and mixing.stage
-#: they check the columns only, of the whole run columns and a least count.
+#: The tests hold every stage and the whole run against brute force or the
+#: library instead (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
