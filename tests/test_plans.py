@@ -27,8 +27,27 @@ def test_scans_are_pruned(spark):
     assert scans and all("metadata" not in s for s in scans)
 
 
+def _scans(df) -> int:
+    """Scans of a plan without those of exchanges that are used again."""
+    return _plan(df).count("FileScan parquet")
+
+
+def test_prices_scan_the_readings_a_few_times(spark):
+    """The rated power stands in the plan once, not in every use of a price."""
+    for name in ("p09_priced_features", "d04_latest_per_station"):
+        df = E.queries()[name](spark, SF_SMALL)
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery") <= 2, name
+        assert _scans(df) <= 6, name
+
+
+def test_picked_thresholds_need_no_second_pass(spark):
+    """E14 has no more scans than the metrics that it reads."""
+    assert _scans(E.queries()["e14_comparison_table"](spark, SF_SMALL)) <= _scans(E.queries()["e08_detector_metrics"](spark, SF_SMALL))
+
+
 # these run a job while building: models, sinks and streams that are read back, training-data operators
-BUILDING = ("m0", "w", "op", "pipeline", "s11", "s12", "s13", "s20", "s21", "s22", "s24", "s01")
+BUILDING = ("m0", "w", "op", "pipeline", "s11", "s12", "s13", "s14", "s15", "s17", "s19_raw", "s20", "s21", "s22", "s24", "s01",
+            "d14_stream", "d15_readings", "d08_latency_sketch", "p04_rated_power_sketch")
 
 
 def test_building_a_query_starts_no_job(spark, monkeypatch):
