@@ -199,11 +199,14 @@ class _Expression:
 
 def parse(source: str) -> list:
     """The syntax tree of a template: a list of statements."""
-    chunks = _CHUNK.split(source)
-    for i, c in enumerate(chunks):
-        if c.startswith(("{{-", "{%-")) and i:
+    chunks = _CHUNK.split(source)                      # text and tags by turns
+    for i in range(0, len(chunks), 2):
+        if any(x in chunks[i] for x in ("{{", "{%", "{#")):
+            raise TemplateError("a tag isn't closed")
+    for i in range(1, len(chunks), 2):
+        if chunks[i].startswith(("{{-", "{%-")):
             chunks[i - 1] = chunks[i - 1].rstrip()
-        if c.endswith(("-}}", "-%}")) and c.startswith("{") and i + 1 < len(chunks):
+        if chunks[i].endswith(("-}}", "-%}")):
             chunks[i + 1] = chunks[i + 1].lstrip()
     body: list = []
     stack: list = [("", body)]
@@ -441,6 +444,8 @@ class Template:
     def __init__(self, source: str):
         self.tree = fold(parse(source))
         self.run = _block(self.tree)
+        #: (loop variable, body) of the loops over the messages, (None, step) of the rest
+        self.steps = [(s[1], _block(s[3])) if s[0] == "for" and s[2] == ("name", "messages") else (None, _step(s)) for s in self.tree]
         loops = [s for s in self.tree if s[0] == "for" and s[2] == ("name", "messages")]
         #: one top-level loop is all that reads the messages: they may come as a stream
         self.streams = len(loops) == 1 and _names(self.tree) == 1
@@ -458,14 +463,14 @@ class Template:
             yield self.render(list(messages))
             return
         out, env, left = Output(), {}, False
-        for s in self.tree:
-            if s[0] == "for" and s[2] == ("name", "messages"):
-                for _ in _rounds(s[1], messages, _block(s[3]), env, out):
-                    if out.size >= size:
-                        yield out.taken()
-                        left = True
-            else:
-                _step(s)(env, out)
+        for name, step in self.steps:
+            if name is None:
+                step(env, out)
+                continue
+            for _ in _rounds(name, messages, step, env, out):
+                if out.size >= size:
+                    yield out.taken()
+                    left = True
         if out.size or not left:
             yield out.taken()
 

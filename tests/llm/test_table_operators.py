@@ -68,7 +68,7 @@ def test_template_language():
     assert render("{% set x = m.a['b'][0] | upper %}{{ x }}{{ m.none | default('!') }}", m={"a": {"b": ["q"]}}) == "Q!"
     assert render("a  {%- if n >= 2 -%}  b  {%- elif n == 1 %}c{% endif %}{# no #}", n=2) == "ab"
     assert render("{{ m.__class__ }}{{ m.keys }}", m={}) == ""           # only the mapping's own keys
-    for bad in ("{{ f() }}", "{% for x in y %}", "{{ x | nothing }}", "{% else %}", "{{ 1 + }}", "{% import os %}"):
+    for bad in ("{{ f() }}", "{% for x in y %}", "{{ x | nothing }}", "{% else %}", "{{ 1 + }}", "{% import os %}", "{{ x", "a {% if x", "{{ x }} {# y"):
         with pytest.raises(chat_format.TemplateError):
             chat_format.Template(bad)
     whole = chat_format.Template("{{ messages[0].role }}{% for m in messages %}{{ m.role }}{% endfor %}")
