@@ -111,13 +111,39 @@ def test_topk_awkward(spark):
     for q in (i for i in sound if i % 50 == 0):
         scores = sorted((-sum(a * b for a, b in zip(sound[q], sound[c])), c) for c in sound if c != q)
         want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:5])]
-    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, block=64, query_block=3).collect()
-    assert Counter(map(tuple, got)) == Counter(want)
+    for group in (1, 2, 16):           # query blocks that share a copy of a candidate block
+        got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, block=64, query_block=3, group=group).collect()
+        assert Counter(map(tuple, got)) == Counter(want)
     few = topk_search.top_k(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 50 == 0).collect()
     assert len(few) == 2
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_wide_sums(spark):
+    """Sums beyond 32 bits, weights within and beyond them, beside small ones."""
+    r = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in r.normal(size=6) * 10.0 ** (i % 8)]) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 240, 50):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], ints[c])), c) for c in ints if c != q)
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:5])]
+    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, block=32, query_block=2).collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_topk_block_scores():
+    r = np.random.default_rng(7)
+    for top in (300, 2**20, 2**33):
+        sizes = r.integers(0, 7, 50)
+        weights = r.integers(-top, top, int(sizes.sum())) * (r.random(int(sizes.sum())) < 0.7)
+        block = topk_search.Postings(np.arange(50), sizes, weights)
+        own = r.integers(-200, 200, 9)
+        cut = np.cumsum(sizes) - sizes
+        assert block.scores(own).tolist() == [sum(int(x) * int(y) for x, y in zip(own, weights[c:c + n])) for c, n in zip(cut, sizes)]
+
+
 # --- quality rules ------------------------------------------------------------
 
 def test_quality_measures_awkward(spark):
