@@ -126,26 +126,37 @@ def mixed(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
             .drop("digest", "mark", "key", "n_rows", "least_weight", "range", "upto", "base", "_source", "_range"))
 
 
-def weighted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(row, doc id, source, size, weight, digest): ``row`` holds all columns of ``docs``."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), "source",
-                      words().alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
-    return (own.join(quality_weights(labels), F.col("doc_id") == F.col("_label_id"), "left")
+def sized(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(row, doc id, source, size, digest): ``row`` holds all columns of ``docs``."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), "source",
+                       words().alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+
+
+def with_weight(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return (rows.join(quality_weights(labels), F.col("doc_id") == F.col("_label_id"), "left")
             .withColumn("weight", F.coalesce("_label_weight", F.lit(1.0))).drop("_label_id", "_label_weight"))
 
 
+def weighted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(row, doc id, source, size, digest, weight) of every document."""
+    return with_weight(sized(docs, id_col), labels)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sizes = written(weighted(docs, table(spark, sf_dir, "labels")).select("doc_id", "source", "size", "weight", "digest"), "sizes")
+    sizes = written(with_weight(sized(docs).drop("row"), table(spark, sf_dir, "labels")), "sizes")
     return mixed(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as often as the mix takes it."""
-    rows = weighted(docs, table(spark, sf_dir, "labels"))
+    """Pipeline stage: each document as often as the mix takes it.  The mix works
+    on sizes; the texts move once, to the places that it took."""
+    rows = written(sized(docs).withColumn("place", F.monotonically_increasing_id()), "rows")
+    sizes = written(with_weight(rows.drop("row"), table(spark, sf_dir, "labels")), "sizes")
     copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(F.lit(0))
-    taken = mixed(rows).where(copies > 0).select(F.col("row"), F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
-    return taken.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    taken = mixed(sizes).where(copies > 0).select("place", copies.alias("copies"))
+    again = rows.select("row", "place").join(taken, "place").select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    return again.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 OP9_SQL = r"""
