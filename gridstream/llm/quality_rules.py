@@ -6,8 +6,9 @@ rules, so another policy, or the effect of leaving a rule out, needs no second
 look at the texts: verdicts are ``bits & mask = 0`` and ablations are counts
 over the few distinct bit patterns.
 
-Repeated words are found inside each document without a join: 8-word windows
-are hashed (64 bits) with their places, sorted, and neighbours compared; the
+Repeated words are found inside each document without a join: words are hashed
+once, 8-word windows by their words' hashes (64 bits) with their places, sorted,
+and neighbours compared; the
 covered words are the sum of min(8, gap to the next repeated window).
 
 Edge cases: a null text has no words, lines or symbols; a text without words
@@ -75,9 +76,11 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.length(without(F.col("text"), SPACES)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length("text") - F.length(without(F.col("text"), UPPER))).cast("long").alias("n_upper"))
-    hashed = parts.select(
+    # Each word is hashed once; a window's hash is that of its words' hashes.
+    coded = parts.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("codes"))
+    hashed = coded.select(
         "*", F.when(F.size("words") >= WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
+            F.sequence(F.lit(0), F.size("words") - WINDOW), lambda i: F.xxhash64(*[F.get("codes", i + k) for k in range(WINDOW)])))
         .otherwise(F.array().cast("array<bigint>")).alias("hashes"))
     # Most documents repeat no window: only the others sort theirs with the places.
     placed = hashed.select(
