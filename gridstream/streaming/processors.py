@@ -1,17 +1,19 @@
 """Stateful processors for ``transformWithStateInPandas``.
 
 State is per station and small: at most 30 recent readings plus the not-yet
--released ones (W03), one (start, mean) pair (W05), one (active, lock) pair
+-released ones (W03, in pieces by time), one (start, mean) pair (W05), one (active, lock) pair
 (W08); the buffers (D14) hold a fixed number of rows per shard of stations.  All of it lives in the checkpointed state store, so a restart
 resumes where it stopped.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -50,6 +52,35 @@ def rolled(recent: pd.DataFrame, ready: pd.DataFrame, rows: int, k: float) -> pd
                         corrected_kwh=np.where(flag, mean, own))
 
 
+BUCKET_US = 6 * 3600 * 1_000_000       # time that waiting readings of one bucket span
+PIECE_ROWS = 50_000                    # readings of one piece in the state, and of one frame of output
+PIECE = pa.schema([("ts_us", pa.int64()), ("seq", pa.int64()), ("kwh", pa.float64()), ("time_new", pa.string())])
+
+
+def packed(readings: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, PIECE) as out:
+        out.write(pa.RecordBatch.from_pandas(readings, PIECE, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(piece: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(piece).read_pandas()
+
+
+def gathered(frames: Iterator[pd.DataFrame], rows: int = 10 * PIECE_ROWS) -> Iterator[pd.DataFrame]:
+    """The frames put together to frames of about ``rows`` rows."""
+    held, n = [], 0
+    for f in frames:
+        held.append(f)
+        n += len(f)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
 def micros(times: pd.Series) -> pd.Series:
     return times.astype("datetime64[us]").astype("int64")
 
@@ -60,11 +91,14 @@ class RollingClean(StatefulProcessor):
 
     Readings wait until the watermark passes them, then leave in (time, seq)
     order against the last n values, so out-of-order input inside the watermark
-    gives the batch result.  Waiting readings lie in a map keyed by (time, seq),
-    so a release reads and removes only its own; one event-time timer per
-    station stands at the earliest of them.  Readings behind the watermark are
-    not used (the engine doesn't filter this operator's input): they leave at
-    once with the flag LATE, so that a sink can count them.
+    gives the batch result.  Waiting readings lie in pieces (Arrow tables) keyed
+    by their bucket of time and a running number: a call to the state store costs
+    the same for one reading as for thousands, and a release reads and removes
+    the buckets that the watermark has reached, one after the other.  One
+    event-time timer per station stands at the earliest waiting reading.  Of
+    waiting readings with one (time, seq) the last one stays.  Readings behind
+    the watermark are not used (the engine doesn't filter this operator's input):
+    they leave at once with the flag LATE, so that a sink can count them.
     """
 
     def __init__(self, rows: int = C.ROLLING_PRECEDING_ROWS, k: float = C.SIGMA_K):
@@ -73,8 +107,9 @@ class RollingClean(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.recent = handle.getListState("recent", READING)
-        self.pending = handle.getMapState("pending", T.StructType([T.StructField("ts_us", T.LongType()), T.StructField("seq", T.LongType())]),
-                                          T.StructType([T.StructField("kwh", T.DoubleType()), T.StructField("time_new", T.StringType())]))
+        self.pending = handle.getMapState("pending", T.StructType([T.StructField("bucket", T.LongType()), T.StructField("piece", T.LongType())]),
+                                          T.StructType([T.StructField("readings", T.BinaryType())]))
+        self.pieces = handle.getValueState("pieces", T.StructType([T.StructField("n", T.LongType())]))
         # the one registered timer (ms): the earliest unreleased reading + 1
         self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
 
@@ -87,39 +122,56 @@ class RollingClean(StatefulProcessor):
             self.handle.registerTimer(at)
             self.timer.update((at,))
 
+    def _wait(self, readings: pd.DataFrame) -> None:
+        n = self.pieces.get()[0] if self.pieces.exists() else 0
+        for bucket, own in readings.groupby(readings["ts_us"] // BUCKET_US):
+            for i in range(0, len(own), PIECE_ROWS):
+                self.pending.updateValue((int(bucket), n), (packed(own.iloc[i:i + PIECE_ROWS]),))
+                n += 1
+        self.pieces.update((n,))
+        self._arm(int(readings["ts_us"].min()))
+
+    def _waiting(self, keys) -> pd.DataFrame:
+        return pd.concat([unpacked(self.pending.getValue(k)[0]) for k in keys], ignore_index=True)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        pdf = pd.concat(list(rows), ignore_index=True)
-        us = micros(pdf["event_time"])
-        on_time = (us >= wm_us) if wm_us > 0 else pd.Series(True, index=us.index)
-        for t, s, v, text in zip(us[on_time].tolist(), pdf["seq"][on_time].tolist(), pdf["kwh"][on_time].tolist(), pdf["time_new"][on_time]):
-            self.pending.updateValue((t, s), (v, text))
-        if on_time.any():
-            self._arm(int(us[on_time].min()))
-        late = pdf[~on_time]
-        if len(late):                       # out at once, marked, so that sinks can count them
-            yield self._out(key, late.assign(ts_us=us[~on_time], kwh=late["kwh"].astype(float), rolling_mean_kwh=np.nan, rolling_std_kwh=np.nan,
-                                             anomaly_flag=np.int32(LATE), original_kwh=late["kwh"].astype(float),
-                                             corrected_kwh=late["kwh"].astype(float)))
+        for pdf in gathered(rows):
+            d = pdf.assign(ts_us=micros(pdf["event_time"]), kwh=pdf["kwh"].astype(float))
+            on_time = (d["ts_us"] >= wm_us) if wm_us > 0 else pd.Series(True, index=d.index)
+            if on_time.any():
+                self._wait(d.loc[on_time, FIELDS])
+            late = d[~on_time]
+            if len(late):                       # out at once, marked, so that sinks can count them
+                yield self._out(key, late.assign(rolling_mean_kwh=np.nan, rolling_std_kwh=np.nan, anomaly_flag=np.int32(LATE),
+                                                 original_kwh=late["kwh"], corrected_kwh=late["kwh"]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         self.timer.clear()
-        keys = [tuple(k) for k in self.pending.keys()]
-        due = sorted(k for k in keys if k[0] < wm_us)
-        later = [k[0] for k in keys if k[0] >= wm_us]
-        if later:
-            self._arm(min(later))
-        if not due:
-            return
-        ready = pd.DataFrame([(*k, *self.pending.getValue(k)) for k in due], columns=FIELDS)
-        for k in due:
-            self.pending.removeKey(k)
         recent = pd.DataFrame(sorted(map(tuple, self.recent.get())) if self.recent.exists() else [], columns=FIELDS)
-        out = rolled(recent, ready, self.rows, self.k)
-        both = [*recent.itertuples(index=False, name=None), *ready.itertuples(index=False, name=None)]
-        self.recent.put([(int(t), int(s), float(v), x) for t, s, v, x in both[-self.rows:]])
-        yield self._out(key, out)
+        released = False
+        for bucket, own in groupby(sorted(tuple(k) for k in self.pending.keys()), key=lambda k: k[0]):
+            own = list(own)
+            d = self._waiting(own)
+            due = d["ts_us"] < wm_us
+            if not due.any():
+                self._arm(int(d["ts_us"].min()))
+                break
+            for k in own:
+                self.pending.removeKey(k)
+            if not due.all():
+                self._wait(d[~due])
+            ready = d[due].drop_duplicates(["ts_us", "seq"], keep="last").sort_values(["ts_us", "seq"])
+            for i in range(0, len(ready), PIECE_ROWS):
+                some = ready.iloc[i:i + PIECE_ROWS]
+                yield self._out(key, rolled(recent, some, self.rows, self.k))
+                recent = (pd.concat([recent, some]) if len(recent) else some).tail(self.rows)
+            released = True
+            if not due.all():
+                break
+        if released:
+            self.recent.put([(int(t), int(s), float(v), x) for t, s, v, x in recent.itertuples(index=False, name=None)])
 
     @staticmethod
     def _out(key, d: pd.DataFrame) -> pd.DataFrame:

@@ -240,3 +240,104 @@ def test_counts_take_a_batch_once(spark):
     got = {r["query"]: (r.batches, r.input_rows, r.dropped) for r in CT.totals(spark, folder).collect()}
     assert got == {"a": (2, 12, 2), "b": (1, 1, 0)}
     assert {r["query"]: r.total for r in CT.observed_total(spark, folder, SQ.SEEN).collect()} == {"a": 12, "b": 1}
+
+
+class FakeState:
+    """The state of one key, in memory; ``calls`` counts what a state server would have to answer."""
+
+    def __init__(self):
+        self.calls, self.values, self.maps, self.lists, self.timers = 0, {}, {}, {}, []
+
+    def getValueState(self, name, schema, ttl=None):
+        return FakeVariable(self, self.values, name)
+
+    def getMapState(self, name, key, value, ttl=None):
+        return FakeVariable(self, self.maps.setdefault(name, {}), None)
+
+    def getListState(self, name, schema, ttl=None):
+        return FakeVariable(self, self.lists, name)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class FakeVariable:
+    def __init__(self, state, held, name):
+        self.state, self.held, self.name = state, held, name
+
+    def _call(self):
+        self.state.calls += 1
+        return self.held
+
+    def exists(self):
+        return self.name in self._call()
+
+    def get(self):
+        return self._call()[self.name]
+
+    def update(self, value):
+        self._call()[self.name] = value
+
+    put = update
+
+    def clear(self):
+        self._call().pop(self.name, None)
+
+    def keys(self):
+        return iter(list(self._call()))
+
+    def getValue(self, key):
+        return self._call()[key]
+
+    def updateValue(self, key, value):
+        self._call()[key] = value
+
+    def removeKey(self, key):
+        del self._call()[key]
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_rolling_clean_state_calls_do_not_grow_with_readings():
+    """Readings of one station over ten days in two batches: the state is asked by buckets
+    of time, not by reading, and the output is that of one ordered pass."""
+    import numpy as np
+    import pandas as pd
+    from gridstream.streaming.processors import FIELDS, LATE, RollingClean, rolled
+    rng = np.random.default_rng(7)
+    n, day = 20_000, 86_400_000_000
+    us = 1_704_067_200_000_000 + rng.integers(0, 10 * day, n)
+    d = pd.DataFrame({"event_time": pd.to_datetime(us, unit="us"), "seq": np.arange(n), "kwh": rng.normal(5, 2, n),
+                      "time_new": us.astype(str), "ts_us": us})
+    again = d.sample(50, random_state=1).assign(kwh=99.0)          # same (time, seq): the later one stays
+    middle = int(us.min()) + 5 * day + 12_345_678_000
+    early, rest = d[us < middle], d[us >= middle]
+    state, proc = FakeState(), RollingClean()
+    proc.init(state)
+    frames = lambda x: iter([x.iloc[i:i + 3000].drop(columns="ts_us") for i in range(0, len(x), 3000)])
+    assert list(proc.handleInputRows(("1",), frames(pd.concat([early, rest.iloc[:4000], again[again.ts_us < middle]])), At(0))) == []
+    wm = middle // 1000
+    state.timers.clear()                                           # the engine removes a timer that has expired
+    out = list(proc.handleExpiredTimer(("1",), At(wm), None))
+    late = list(proc.handleInputRows(("1",), frames(pd.concat([rest.iloc[4000:], again[again.ts_us >= middle], early.iloc[:3]])), At(wm)))
+    state.timers.clear()
+    out += list(proc.handleExpiredTimer(("1",), At(int(us.max()) // 1000 - 60_000), None))
+    end = (int(us.max()) // 1000 - 60_000) * 1000
+    got = pd.concat(out, ignore_index=True)
+    assert state.calls < n // 10
+    assert [(len(x), set(x.anomaly_flag)) for x in late] == [(3, {LATE})]
+    want = pd.concat([d, again]).drop_duplicates(["ts_us", "seq"], keep="last").sort_values(["ts_us", "seq"])
+    want = rolled(pd.DataFrame([], columns=FIELDS), want[want.ts_us < end][FIELDS], proc.rows, proc.k)
+    assert got.seq.tolist() == want.seq.tolist()
+    for c in ("kwh", "rolling_mean_kwh", "rolling_std_kwh", "anomaly_flag", "corrected_kwh"):
+        assert np.array_equal(got[c].to_numpy(float), want[c].to_numpy(float)), c
+    assert len(state.timers) == 1 and state.timers[0] * 1000 > end     # what still waits is armed
