@@ -512,8 +512,9 @@ def new_table(spark, name: str) -> str:
 def q_upsert(spark, sf_dir):
     """Two versions of every feature row through the keyed upsert sink, both
     replayed, the older one last; the newer version is read back."""
+    from gridstream.session import materialize
     path = new_table(spark, "features")
-    f = features_of(spark, sf_dir, PROFILE_B)
+    f = materialize(features_of(spark, sf_dir, PROFILE_B))     # read by four batches
     older = f.withColumn("mean_kwh", F.col("mean_kwh") + 1.0).withColumn("version", F.lit(1))
     newer = f.withColumn("version", F.lit(2))
     for batch in (older, newer, newer, older):
