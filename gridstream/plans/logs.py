@@ -4,6 +4,8 @@ the variant payload and quantile sketches."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from gridstream.operators import pricing as PR
 from gridstream.operators import sketches as QS
 from gridstream.plans.catalog import features_of, messages_of, priced_of, register, tel
 from gridstream.plans.common import rounded
-from gridstream.plans.streams import MESSAGE, ONCE, finish, place, run
+from gridstream.plans.streams import FILE_ROWS, MESSAGE, ONCE, finish, place, run
 from gridstream.sources import message_log as ML
 from gridstream.sources import messages as MS
 from gridstream.sources import sinks as SK
@@ -184,17 +186,23 @@ def q_raw_variant(spark, sf_dir):
 # D14 and W05 in a stream
 # ---------------------------------------------------------------------------
 
-def in_slices(df: DataFrame, ts: str, name: str, slices: int = 4) -> str:
-    """``df`` as one file for each of equal slices of its time, written in order."""
+def in_slices(df: DataFrame, ts: str, name: str, slices: int = 4) -> tuple[str, int]:
+    """``df`` as files of equal slices of its time, written in order, and the number
+    of files that each slice leaves: that many are one micro-batch."""
     spark, path, staged = df.sparkSession, place(df.sparkSession, name), place(df.sparkSession, f"{name}-staged")
     us = F.unix_micros(ts)
     df.write.parquet(staged)
     d = spark.read.schema(df.schema).parquet(staged)
     low, high = d.agg(F.min(us).alias("low"), F.max(us).alias("high")).select("low").scalar(), d.agg(F.max(us)).scalar()
     i = F.least(F.lit(slices - 1), F.floor((us - low) * slices / F.greatest(high - low, F.lit(1))))
+    rows = {r["i"]: r["count"] for r in d.groupBy(i.alias("i")).count().collect()}
+    files = max(1, math.ceil(max(rows.values(), default=0) / FILE_ROWS))
     for k in range(slices):
-        d.where(i == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        d.where(i == k).repartition(files).write.parquet(f"{path}/{k}")
+        written = len(spark.read.schema(df.schema).parquet(f"{path}/{k}").inputFiles())
+        for _ in range(files - written):                  # tasks without rows write no file
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(f"{path}/{k}")
+    return f"{path}/*", files
 
 
 ARRIVAL = ["arrival_ms", "station_id"]
@@ -204,8 +212,8 @@ ARRIVAL = ["arrival_ms", "station_id"]
 def q_stream_buffer(spark, sf_dir):
     """The newest price messages by arrival, kept in the state of a stream."""
     msgs = messages_of(spark, sf_dir)
-    path, out = in_slices(msgs, "window_start", "priced"), place(spark, "buffer")
-    rows = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(path).select(*PR.PRICE_OUT, "arrival_ms")
+    (path, files), out = in_slices(msgs, "window_start", "priced"), place(spark, "buffer")
+    rows = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", files).parquet(path).select(*PR.PRICE_OUT, "arrival_ms")
     finish(jobs.start_buffer_job(rows, out, place(spark, "stream-state"), C.PRICE_BUFFER_SIZE, ARRIVAL, trigger=ONCE))
     return rounded(jobs.read_buffer(spark, out, C.PRICE_BUFFER_SIZE, ARRIVAL).select(*PR.PRICE_OUT))
 
@@ -217,8 +225,8 @@ def q_rate_by_join(spark, sf_dir):
     window, is later than any predecessor."""
     p = PROFILE_A
     wins = FE.window_features(FE.clean_readings(tel(spark, sf_dir, p)), p.window_minutes, p.capacity).select("station_id", "window_start", "mean_kwh")
-    path = in_slices(wins, "window_start", "windows")
-    read = lambda: spark.readStream.schema(wins.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, files = in_slices(wins, "window_start", "windows")
+    read = lambda: spark.readStream.schema(wins.schema).option("maxFilesPerTrigger", files).parquet(path)
     rates = run(SQ.rate_by_join(read(), read(), p.window_minutes), "rates")[0]
     return rounded(rates.select("station_id", format_ts("window_start").alias("time_bin"), "mean_kwh", "rate_of_change"))
 

@@ -257,10 +257,15 @@ class RecentRows(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [f.name for f in self.schema.fields]
-        held = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
-        new = [r for pdf in rows for r in pdf[names].astype(object).where(pdf[names].notna(), None).itertuples(index=False, name=None)]
+        best = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
         at = [names.index(c) for c in self.order]
-        best = sorted((*held, *new), key=lambda r: tuple((r[i] is not None, r[i]) for i in at), reverse=True)[:self.keep]
+        for pdf in rows:
+            least = best[-1][at[0]] if best and len(best) == self.keep else None
+            if least is not None:                 # what lies below the last row held doesn't enter
+                pdf = pdf[pdf[self.order[0]].notna()]
+                pdf = pdf[pdf[self.order[0]] >= least]
+            new = pdf[names].astype(object).where(pdf[names].notna(), None).itertuples(index=False, name=None)
+            best = sorted((*best, *new), key=lambda r: tuple((r[i] is not None, r[i]) for i in at), reverse=True)[:self.keep]
         self.rows.put(best)
         yield pd.DataFrame(best, columns=names).assign(shard=np.int32(key[0]))[["shard", *names]]
 
