@@ -18,6 +18,7 @@ from gridstream.operators import sketches as QS
 from gridstream.plans.catalog import features_of, messages_of, priced_of, register, tel
 from gridstream.plans.common import rounded
 from gridstream.plans.streams import FILE_ROWS, MESSAGE, ONCE, finish, place, run
+from gridstream.session import materialize
 from gridstream.sources import message_log as ML
 from gridstream.sources import messages as MS
 from gridstream.sources import sinks as SK
@@ -97,7 +98,7 @@ def changelog(spark, sf_dir) -> str:
     deleted: in the log one after the other, merged by a job in two runs; then the
     whole log once more through a job of its own, into the same table."""
     log, path, checkpoint = place(spark, "log"), place(spark, "merged"), place(spark, "stream-state")
-    f = features_of(spark, sf_dir, PROFILE_B).select("station_id", "time_bin", "mean_kwh", "anomaly_flag")
+    f = materialize(features_of(spark, sf_dir, PROFILE_B).select("station_id", "time_bin", "mean_kwh", "anomaly_flag"))     # read three times
     idle = F.col("mean_kwh") == 0
     changes = [f.withColumn("deleted", F.lit(False)), f.where(~idle).withColumn("mean_kwh", F.col("mean_kwh") + 1).withColumn("deleted", F.lit(False)),
                f.where(idle).withColumn("deleted", F.lit(True))]

@@ -2,6 +2,7 @@
 
 import json
 import random
+import tempfile
 from collections import Counter
 
 import pytest
@@ -16,6 +17,8 @@ from gridstream.streaming import jobs
 from gridstream.streaming import queries as SQ
 from gridstream.streaming.starting import start
 
+from conftest import SF_SMALL
+
 
 def msgs(spark, rows):
     return spark.createDataFrame(rows, "key string, value string")
@@ -160,3 +163,93 @@ def test_merged_sketches_are_near(spark):
         r = QS.rank_of(d, "v", F.lit(x)).first()
         assert n == r.n == 50000 and r.below <= q + 0.01 and r.upto >= q - 0.01
     assert QS.merged_quantile(QS.daily_sketches(d.limit(0), "v", "ts"), 0.5).first().n is None
+
+
+def test_slices_leave_several_files(spark, monkeypatch):
+    """A slice is written by several tasks and is one micro-batch."""
+    from gridstream.plans import logs
+    monkeypatch.setattr(logs, "FILE_ROWS", 100)
+    d = spark.range(1000).select("id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * F.col("id")).alias("at"))
+    path, files = logs.in_slices(d, "at", "slices-test")
+    got = spark.read.schema(d.schema).parquet(path)
+    assert files == 5                                   # of 1000 squares 500 lie in the first quarter
+    assert len(got.inputFiles()) == 4 * files
+    assert sorted(r.id for r in got.collect()) == list(range(1000))
+    rows = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", files).parquet(path)
+    seen = []
+    q = start(spark, rows.writeStream.foreachBatch(lambda b, i: seen.append((i, b.agg(F.min("id"), F.max("id")).first())))
+              .option("checkpointLocation", tempfile.mkdtemp(prefix="gs-slices-", dir="/tmp")).trigger(availableNow=True))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert [(i, *r) for i, r in seen] == [(0, 0, 499), (1, 500, 706), (2, 707, 865), (3, 866, 999)]
+
+
+def test_recent_rows_hold_no_more_than_they_keep():
+    """A batch of many frames passes by; what stays is the newest ``keep`` rows, nulls last."""
+    import gc
+    import pandas as pd
+    from gridstream.streaming.processors import RecentRows
+    live = []
+
+    class Payload(str):
+        def __new__(cls, text):
+            live.append(1)
+            return super().__new__(cls, text)
+
+        def __del__(self):
+            live.pop()
+
+    class Held:
+        def __init__(self):
+            self.rows = []
+
+        def getListState(self, name, schema, ttl=None):
+            return self
+
+        def exists(self):
+            return bool(self.rows)
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+    order = [(i * 7919) % 1000 for i in range(1000)]
+    most = []
+
+    def frames():
+        for i in range(0, 1000, 50):
+            gc.collect()
+            most.append(len(live))
+            yield pd.DataFrame({"at": pd.array([None if x % 100 == 7 else x for x in order[i:i + 50]], dtype="object"),
+                                "text": [Payload(f"t{x}") for x in order[i:i + 50]]})
+
+    schema = T.StructType([T.StructField("at", T.LongType()), T.StructField("text", T.StringType())])
+    state, proc = Held(), RecentRows(schema, 20, ["at", "text"])
+    proc.init(state)
+    list(proc.handleInputRows((0,), frames(), None))
+    assert [r[0] for r in state.rows] == list(range(999, 979, -1))
+    assert max(most) <= 20 + 4 * 50
+    assert RecentRows(schema, 3, ["at"]).keep == 3
+
+
+def test_sinks_get_features_computed_once(spark, monkeypatch):
+    """The batches of s11 and of the changelog read a written table: none computes the rolling windows again."""
+    import __spark_entry__ as E
+    q = E.queries()
+    from gridstream.plans import catalog, logs
+    plans = []
+    upsert, encode = catalog.SK.upsert, logs.MS.encode_changes
+
+    def seen(fn):
+        def call(df, *a, **k):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return fn(df, *a, **k)
+        return call
+
+    monkeypatch.setattr(catalog.SK, "upsert", seen(upsert))
+    monkeypatch.setattr(logs.MS, "encode_changes", seen(encode))
+    q["s11_upsert_replay"](spark, SF_SMALL)
+    q["w06_compacted_changelog"](spark, SF_SMALL)
+    assert len(plans) == 7 and not any("Window [" in p for p in plans)
