@@ -31,6 +31,7 @@ ONCE = {"availableNow": True}
 DAYS = 8                         # days of readings in one part, a micro-batch
 FILE_ROWS = 250_000              # messages in one file, about
 MESSAGE = ["station_id", "time_new", "duration", "kwh", "seq"]
+TIMED = [*MESSAGE, "event_us"]   # with the exact time: readings of one second are in their order
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -45,14 +46,14 @@ def message_parts(spark, sf_dir, last: int | None = None):
     """Writers of the parts of the table's time, in order, part ``last`` after the
     others, and the number of files that each leaves: that many are one micro-batch."""
     root, staged = place(spark, "messages"), place(spark, "parts")
-    t = tel(spark, sf_dir, PROFILE_A).select(*MESSAGE, part().alias("part"))
+    t = tel(spark, sf_dir, PROFILE_A).withColumn("event_us", F.unix_micros("event_time")).select(*TIMED, part().alias("part"))
     t.write.partitionBy("part").parquet(staged)
     t = spark.read.schema(t.schema).parquet(staged)
     rows = {r["part"]: r["count"] for r in t.groupBy("part").count().collect()}
     files = max(1, math.ceil(max(rows.values(), default=0) / FILE_ROWS))
 
     def write(i: int, p: int) -> None:
-        own = t.filter(F.col("part") == p).select(*MESSAGE).repartition(files, "station_id", "seq")
+        own = t.filter(F.col("part") == p).select(*TIMED).repartition(files, "station_id", "seq")
         MS.encode(own, "ev-telemetry").select("value").write.text(f"{root}/{i}")
         for _ in range(files - len(spark.read.text(f"{root}/{i}").inputFiles())):     # tasks without rows write no file
             spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(f"{root}/{i}")

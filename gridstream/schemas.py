@@ -110,3 +110,6 @@ DATA_QUALITY_EVENTS = T.StructType([
 
 # Telemetry message with its tiebreak sequence number.
 TELEMETRY_SEQ = T.StructType(TELEMETRY.fields + [T.StructField("seq", T.LongType())])
+
+# The same with the reading's exact time in microseconds; ``time_new`` has whole seconds.
+TELEMETRY_TIMED = T.StructType(TELEMETRY_SEQ.fields + [T.StructField("event_us", T.LongType())])

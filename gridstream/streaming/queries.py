@@ -54,11 +54,11 @@ def message_stream(spark: SparkSession, path: str | None = None, kafka: dict | N
 
 
 def decode_telemetry(msgs: DataFrame) -> DataFrame:
-    rec = F.from_json("value", SC.TELEMETRY_SEQ, {"mode": "PERMISSIVE"})
+    rec = F.from_json("value", SC.TELEMETRY_TIMED, {"mode": "PERMISSIVE"})
     d = msgs.select(rec.alias("r")).select("r.*")
     d = (d.filter(F.col("station_id").isNotNull() & F.col("time_new").isNotNull())
           .fillna(0.0, subset=["duration", "kwh"])
-          .withColumn("event_time", parse_ts("time_new"))        # S10
+          .withColumn("event_time", F.coalesce(F.timestamp_micros("event_us"), parse_ts("time_new")))        # S10
           .filter(F.col("event_time").isNotNull()))
     if "seq" not in d.columns:
         d = d.withColumn("seq", F.lit(0).cast("long"))
