@@ -65,3 +65,6 @@ FEATURE_COLS = [
 # Rows per ordered block of one station's series in the rolling-window
 # operator; a station with more rows is split into blocks with a halo.
 ROLLING_BLOCK_ROWS = 1 << 22
+# Partitions of a stream's state where the cluster has fewer than half as many
+# cores; else two for a core.  Never more than the session's shuffle partitions.
+STATE_PARTITIONS = 32

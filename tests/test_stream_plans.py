@@ -36,3 +36,19 @@ def test_late_readings_of_a_long_table(spark, long_dir):
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{long_dir}/events.parquet/*.parquet')")
     want = con.execute(E.oracle_sql()["w02_late_readings"]).fetchall()
     assert [tuple(r) for r in E.queries()["w02_late_readings"](spark, long_dir).collect()] == want
+
+
+def test_state_partitions_follow_the_cores(spark, tmp_path):
+    """200 shuffle partitions don't make 200 state stores; the session keeps its number."""
+    from gridstream.streaming.starting import session_conf, start, state_partitions
+    spark.range(20).selectExpr("cast(id % 3 AS string) AS k").write.parquet(f"{tmp_path}/in")
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "200"}):
+        want = state_partitions(spark)
+        assert want == max(32, 2 * spark.sparkContext.defaultParallelism) < 200
+        counts = spark.readStream.schema("k string").parquet(f"{tmp_path}/in").groupBy("k").count()
+        q = start(spark, counts.writeStream.format("noop").outputMode("complete").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True))
+        streams.finish(q)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    assert q.lastProgress.stateOperators[0].numShufflePartitions == want
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "3"}):
+        assert state_partitions(spark) == 3
