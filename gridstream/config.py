@@ -54,6 +54,7 @@ GBT_MAX_ITER = 200
 GBT_MAX_DEPTH = 6
 GBT_STEP_SIZE = 0.1
 GBT_SEED = 42
+GBT_BINS = 32                        # bins of a feature (the tree library's own default)
 FEATURE_COLS = [
     "mean_kwh", "variance_kwh", "rate_of_change", "capacity_utilization_ratio",
     "hour_of_day", "day_of_week", "data_completeness", "anomaly_flag",

@@ -87,3 +87,45 @@ def test_registry_gives_whole_models_only(spark, tmp_path):
 def test_fits_at_a_time_keep_their_order(spark):
     rows = spark.range(100)
     assert MO.fitted(spark, [lambda k=k: rows.where(f"id < {k}").count() for k in (3, 50, 7, 0, 99)], at_once=3) == [3, 50, 7, 0, 99]
+
+
+def test_cells_give_the_trees_of_all_rows(spark):
+    """A fit on weighted cells predicts what Spark's fit on all rows does, and its input is bounded by the bins."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import GBTRegressor
+    t = spark.range(6000).selectExpr("cast(pmod(xxhash64(id), 997) AS double) AS a", "cast(id % 7 AS double) AS b",
+                                     "CASE WHEN id % 50 = 0 THEN 1.0D ELSE 0.0D END AS c", "5.0D AS d").selectExpr("*", "sin(a / 99) * 10 + b * b + 3 * c AS target")
+    names = ["a", "b", "c", "d"]
+    gbt = GBTRegressor(labelCol="target", maxIter=8, maxDepth=4, seed=42)
+    want = Pipeline(stages=[MO.assembler(names), gbt]).fit(t).transform(t).select("a", "b", "c", F.col("prediction").alias("want"))
+    m = MO.train_regressor(t, features=names, max_iter=8, max_depth=4)
+    got = m.transform(t).select("a", "b", "c", "prediction").distinct()
+    worst = got.join(want.distinct(), ["a", "b", "c"]).agg(F.max(F.abs(F.col("prediction") - F.col("want"))), F.count(F.lit(1))).first()
+    assert worst[1] > 4000 and worst[0] < 1e-6
+    many = t.crossJoin(spark.range(5).select()).withColumn("a", F.col("a") + F.rand(1) / 10)
+    cells = lambda d: MO.cells(MO.binner(names, MO.split_points(d, names)).transform(d), names, "target")
+    assert cells(many).count() <= 32 * 7 * 2 and cells(many).agg(F.sum(MO.WEIGHT)).first()[0] == 30000
+
+
+def test_split_points_by_shares(spark):
+    """As Spark's rule picks them, whatever the slices: a heavy value uses up several shares."""
+    def plain(values, bins):
+        import collections
+        v = sorted(collections.Counter(values).items())
+        if len(v) <= bins:
+            return [(a[0] + b[0]) / 2 for a, b in zip(v, v[1:])]
+        out, upto, stride = [], v[0][1], len(values) / bins
+        target = stride
+        for (p, _), (x, n) in zip(v, v[1:]):
+            if abs(upto - target) < abs(upto + n - target):
+                out.append((p + x) / 2)
+                target += stride
+            upto += n
+        return out
+    import random
+    r = random.Random(5)
+    cols = [[r.gauss(0, 3) for _ in range(900)], [float(r.choice([0, 0, 0, 0, r.randrange(60)])) for _ in range(900)],
+            [float(i % 8) for i in range(900)], [2.5] * 900]
+    rows = spark.createDataFrame(list(zip(*cols)), "a double, b double, c double, d double")
+    assert MO.split_points(rows.repartition(7), ["a", "b", "c", "d"], 8) == [plain(c, 8) for c in cols]
+    assert MO.split_points(rows.withColumn("a", F.lit(None).cast("double")), ["a", "c"], 8) == [[], plain(cols[2], 8)]
