@@ -7,8 +7,9 @@ Three steps, no step holds more than a slice of text or one hash bucket:
    keeps the earliest occurrence of each hash (a combiner: a passage that a
    third of all documents share leaves a slice once) and deals those out by
    hash bucket, packed;
-2. a bucket finds for each hash its earliest occurrence over all slices and
-   sends the later ones, packed by parts of the documents, to their documents;
+2. a bucket sorts its hashes alone, unpacks the windows whose hash repeats, some
+   at a time, finds the earliest occurrence of each over all slices and sends
+   the later ones, packed by parts of the documents, to their documents;
 3. the flagged windows of a document merge to intervals that are cut from it.
 
 Edge cases: null and empty texts have no words and stay as they are; texts
@@ -42,6 +43,7 @@ from gridstream.llm.common import in_batches, mix, rolling, shuffle_parts, slice
 WINDOW = 20
 FIRST = -(1 << 63)                 # stands for a null doc_id
 BUCKET_BYTES, WINDOW_BYTES = 64 << 20, 12
+AT_ONCE = 500_000                  # repeated windows of a bucket that are unpacked together
 
 PARTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("flags", T.BooleanType()),
                       T.StructField("body", T.BinaryType())])
@@ -72,7 +74,7 @@ def pack(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, hashes: np.ndarr
                      _planes(step.astype(np.uint32)), b"" if hashes is None else hashes.tobytes()))
 
 
-def unpack(body: bytes, hashed: bool = True) -> tuple[np.ndarray, ...]:
+def unpack(body: bytes | pa.Buffer, hashed: bool = True) -> tuple[np.ndarray, ...]:
     raw = memoryview(body)
     docs, n = np.frombuffer(raw, np.int64, 2)
     at = 16
@@ -145,22 +147,68 @@ def windows_by_bucket(buckets: int, window: int):
     return run
 
 
-def repeats_of_bucket(parts: int):
-    """Step 2: the windows of one bucket that also start earlier, packed by part of the documents."""
+def hashes_of(body: pa.Buffer) -> np.ndarray:
+    """The hashes of packed windows, without the rest."""
+    n = int(np.frombuffer(body, np.int64, 2)[1])
+    return np.frombuffer(body, np.uint64, n, body.size - 8 * n)
+
+
+def hash_ranges(bodies: list[pa.Buffer], most: int) -> list[tuple[np.ndarray, np.uint64, np.uint64]]:
+    """Of all hashes in ``bodies`` those that occur twice or more, in ranges of about
+    ``most`` windows (the repeated hashes, least and largest hash of the range)."""
+    seen = np.concatenate([hashes_of(b) for b in bodies])
+    seen.sort()
+    same = seen[1:] == seen[:-1]
+    twice, upto = np.unique(seen[1:][same]), np.flatnonzero(same).size
+    if not twice.size:
+        return []
+    cuts = np.unique(seen[1:][same][::most]) if upto > most else twice[:1]
+    at = np.searchsorted(twice, cuts)
+    return [(x, x[0], x[-1]) for x in np.split(twice, at[1:])]
+
+
+def windows_with(body: pa.Buffer, twice: np.ndarray, least: np.uint64, largest: np.uint64) -> tuple[np.ndarray, ...]:
+    """The packed windows whose hash is in ``twice``."""
+    own = hashes_of(body)
+    near = np.flatnonzero((own >= least) & (own <= largest))
+    some = near[twice[np.searchsorted(twice, own[near])] == own[near]]
+    return tuple(a[some] for a in unpack(body)) if some.size else ()
+
+
+def dealt(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    """Windows packed by part of the documents."""
+    part = (mix(ids.view(np.uint64) ^ mix(keys.view(np.uint64), 1), 2) % np.uint64(parts)).astype(np.int32)
+    order = np.lexsort((starts, keys, ids, part))
+    cut = np.flatnonzero(np.diff(part[order], prepend=-1))
+    out = [order[a:b] for a, b in zip(cut, np.append(cut[1:], order.size))]
+    return [(int(part[x[0]]), pack(ids[x], keys[x], starts[x], None)) for x in out]
+
+
+def repeats_of_bucket(parts: int, most: int = AT_ONCE):
+    """Step 2: the windows of one bucket that also start earlier, packed by part of
+    the documents.  The hashes tell which windows repeat, and only those are
+    unpacked, about ``most`` at a time."""
     def run(rows: pa.Table) -> pa.Table:
-        found = [unpack(b, False)[:3] for b in rows.filter(rows["flags"])["body"].to_pylist()]
-        bodies = [unpack(b) for b in rows.filter(pc.invert(rows["flags"]))["body"].to_pylist()]
-        if bodies:
-            ids, keys, starts, hashes = (np.concatenate(x) for x in zip(*bodies))
+        out: list[tuple[int, bytes]] = []
+        held, bodies, n = [], [], 0
+        for flags, body in zip(rows["flags"], rows["body"]):
+            if not flags.as_py():
+                bodies.append(body.as_buffer())
+                continue
+            held.append(unpack(body.as_buffer(), False)[:3])
+            n += held[-1][0].size
+            if n >= most:
+                out += dealt(*map(np.concatenate, zip(*held)), parts)
+                held, n = [], 0
+        if held:
+            out += dealt(*map(np.concatenate, zip(*held)), parts)
+            held = []
+        for twice, least, largest in hash_ranges(bodies, most) if bodies else []:
+            ids, keys, starts, hashes = map(np.concatenate, zip(*filter(None, (windows_with(b, twice, least, largest) for b in bodies))))
             later, _ = later_ones(hashes, ids, keys, starts)
-            found.append((ids[later], keys[later], starts[later]))
-        ids, keys, starts = (np.concatenate(x) for x in zip(*found))
-        part = (mix(ids.view(np.uint64) ^ mix(keys.view(np.uint64), 1), 2) % np.uint64(parts)).astype(np.int32)
-        order = np.lexsort((starts, keys, ids, part))
-        cut = np.flatnonzero(np.diff(part[order], prepend=-1))
-        out = [order[a:b] for a, b in zip(cut, np.append(cut[1:], order.size))]
-        return pa.table({"part": pa.array([part[x[0]] for x in out], pa.int32()),
-                         "body": pa.array([pack(ids[x], keys[x], starts[x], None) for x in out], pa.binary())})
+            if later.any():
+                out += dealt(ids[later], keys[later], starts[later], parts)
+        return pa.table({"part": pa.array([p for p, _ in out], pa.int32()), "body": pa.array([b for _, b in out], pa.binary())})
     return run
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -413,6 +414,44 @@ def test_sentencepiece_long_words():
         assert ids == [*sp.encode(t + " and more"), 2]
 
 
+def bucket_rows(n_bodies, size, shared, seed=3):
+    """Rows of one hash bucket: ``n_bodies`` packs of ``size`` windows, of which ``shared`` have a hash that others have too."""
+    r, rows = np.random.default_rng(seed), []
+    again = r.integers(1, 1 << 63, shared * 2, dtype=np.uint64)
+    for i in range(n_bodies):
+        own = np.concatenate((r.integers(1, 1 << 63, size - shared, dtype=np.uint64), r.choice(again, shared, replace=False)))
+        ids = np.sort(r.integers(0, 50, size)) + 50 * i
+        rows.append((ids, ids * 7, np.arange(size), own))
+    body = [substring_dedup.pack(*x) for x in rows]
+    return rows, pa.table({"bucket": pa.array([0] * n_bodies, pa.int32()), "flags": [False] * n_bodies, "body": pa.array(body, pa.binary())})
+
+
+def test_substring_dedup_bucket_finds_all_later_windows():
+    rows, bucket = bucket_rows(6, 400, 150)
+    first = {}
+    every = sorted((i, k, s, h) for x in rows for i, k, s, h in zip(*(a.tolist() for a in x)))
+    later = {x[:3] for x in every if first.setdefault(x[3], x[:3]) != x[:3]}
+    assert later
+    flagged = substring_dedup.pack(np.array([-5, -5]), np.array([1, 1]), np.array([3, 9]), None)
+    bucket = pa.concat_tables([bucket, pa.table({"bucket": pa.array([0], pa.int32()), "flags": [True], "body": pa.array([flagged], pa.binary())})])
+    for most in (7, 100, 10_000):
+        out = substring_dedup.repeats_of_bucket(5, most)(bucket)
+        got = [w for b in out["body"].to_pylist() for w in zip(*(a.tolist() for a in substring_dedup.unpack(b, False)[:3]))]
+        assert len(got) == len(set(got)) and set(got) == later | {(-5, 1, 3), (-5, 1, 9)}
+
+
+def test_substring_dedup_bucket_unpacks_only_repeated_windows():
+    _, bucket = bucket_rows(40, 20_000, 100)
+    run = substring_dedup.repeats_of_bucket(5)
+    run(bucket.slice(0, 2))
+    tracemalloc.start()
+    try:
+        run(bucket)
+        assert tracemalloc.get_traced_memory()[1] < 30 * 40 * 20_000      # bytes a window; all unpacked took about 90
+    finally:
+        tracemalloc.stop()
+
+
 def test_substring_dedup_tells_texts_of_one_id_apart(spark):
     """Two texts without an id whose 32-bit hashes are equal: the one that nothing repeats loses no word."""
     a, b = (" ".join(f"w{j}_{i}" for j in range(30)) for i in (114031, 137301))
