@@ -184,8 +184,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         raise ValueError(f"{dtype} doesn't hold all ids: {least} does")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = own.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    shards = written(in_batches(ordered, _write_shards(folder, tokenizer, end_id, dtype), "shard long, n_docs long, n_tokens long"),
-                     "manifest")
+    # The manifest is one small file, so the tasks that encode write the shards alone.
+    shards = written(in_batches(ordered, _write_shards(folder, tokenizer, end_id, dtype),
+                                "shard long, n_docs long, n_tokens long").repartition(1), "manifest")
     # One row for each shard, so a single window orders them.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return shards.withColumn("dtype", F.lit(dtype)).withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

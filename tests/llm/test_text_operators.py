@@ -266,6 +266,12 @@ def test_token_files_of_no_documents(spark):
     assert token_files.read_token_files(manifest, folder).count() == 0
 
 
+def test_token_files_have_one_file_of_manifest(spark):
+    folder = common.shared_path(spark, "tokens")
+    manifest = token_files.write_token_files(documents(spark), folder, BPE)
+    assert manifest.count() > 1 and len(manifest.inputFiles()) == 1
+
+
 def test_tokens_word_by_word():
     encoder, tokenizer = token_files.WordEncoder(BPE), Tokenizer.from_file(BPE)
     alphabet = "aAbé ñß'st\t\n\x0b\f\r.,12日\u0301\u0130\u0958<|endoftext|>Σς"
