@@ -531,7 +531,7 @@ def q_append(spark, sf_dir):
     for i, batch in enumerate((d.where(halves), d.where(~halves))):
         SK.append_batch(batch, path, i)
         SK.append_batch(batch, path, i)
-    return rounded(spark.read.parquet(path).drop("batch_id"))
+    return rounded(SK.read_written(spark, path, SC.DATA_QUALITY))
 
 
 @register("s20_insert_once")

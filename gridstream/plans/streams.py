@@ -14,6 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstream import schemas as SC
 from gridstream.functions.rules import format_ts
 from gridstream.plans.catalog import GRID, grid_of, register, stored_priced, tel
 from gridstream.plans.common import rounded
@@ -151,13 +152,13 @@ def feature_job(spark, sf_dir) -> tuple[str, str]:
 @register("w07_feature_job")
 def q_feature_job(spark, sf_dir):
     feats, _ = feature_job(spark, sf_dir)
-    return rounded(spark.read.parquet(feats).drop("dt", "window_start"))
+    return rounded(SK.read_written(spark, feats, SC.FEATURES))
 
 
 @register("s13_data_quality_sink")
 def q_dq_sink(spark, sf_dir):
     _, dq = feature_job(spark, sf_dir)
-    return rounded(spark.read.parquet(dq).drop("batch_id"))
+    return rounded(SK.read_written(spark, dq, SC.DATA_QUALITY))
 
 
 def pricing_job(spark, sf_dir, checkpoint: str | None = None) -> tuple[str, str]:
@@ -170,15 +171,14 @@ def pricing_job(spark, sf_dir, checkpoint: str | None = None) -> tuple[str, str]
 
 @register("w11_pricing_job")
 def q_pricing_job(spark, sf_dir):
-    from gridstream.operators.pricing import PRICE_OUT
     prices, _ = pricing_job(spark, sf_dir)
-    return rounded(spark.read.parquet(prices).select(*PRICE_OUT))
+    return rounded(SK.read_written(spark, prices, SC.PRICES))
 
 
 @register("w11_stream_alerts")
 def q_stream_alerts(spark, sf_dir):
     _, alerts = pricing_job(spark, sf_dir)
-    return rounded(spark.read.parquet(alerts).drop("batch_id"))
+    return rounded(SK.read_written(spark, alerts, SC.ALERT))
 
 
 @register("w08_session_state")

@@ -73,6 +73,9 @@ REGIONAL_ALERT = T.StructType([
     T.StructField("station_count", T.IntegerType()),
 ])
 
+# Alerts of both kinds with their key, as one stored table.
+ALERT = T.StructType(STATION_ALERT.fields + [T.StructField("key", T.StringType())] + REGIONAL_ALERT.fields[2:])
+
 # Stored tables (the reference's relational tables, as parquet).
 INFERENCE_RESULTS = T.StructType([
     T.StructField("id", T.LongType()),

@@ -30,6 +30,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_written(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows that a job has written, by their declared schema: none where it had
+    none to write, as then there are no files (nor perhaps a folder) to infer one from."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 # Upsert keyed (station_id, time_bin); the newest version by ``order``
 # wins, in the batch and against what is stored.  Partitioned by day; only the
 # days a batch touches are rewritten (dynamic overwrite).  Days compare
@@ -181,5 +189,5 @@ def table_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-__all__ = ["read_table", "upsert", "merge_changes", "live_rows", "compact", "append_batch", "with_ids", "insert_once", "fan_out", "export_csv",
+__all__ = ["read_table", "read_written", "upsert", "merge_changes", "live_rows", "compact", "append_batch", "with_ids", "insert_once", "fan_out", "export_csv",
            "export_text", "table_path"]

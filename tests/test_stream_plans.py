@@ -5,7 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from gridstream.plans import streams
+from gridstream import schemas as SC
+from gridstream.operators import alerts as AL
+from gridstream.plans import catalog, streams
+from gridstream.sources import sinks as SK
+from gridstream.streaming import queries as SQ
+from gridstream.streaming.processors import ROLLED
 
 from conftest import SF_SMALL
 
@@ -20,6 +25,55 @@ def long_dir(spark, tmp_path_factory):
     return folder
 
 
+def even_events(spark, folder, rows, minutes):
+    """Events with one and the same value, which is far from any limit, every so many minutes."""
+    at = f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id * {minutes} AS int))"
+    spark.range(rows).selectExpr("id AS event_id", f"{at} AS ts", "id % 30 AS user_id", "'purchase' AS event_type", "5.0D AS value",
+                                 "'{}' AS props").coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def sql_over(folder, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    res = con.execute(E.oracle_sql()[name])
+    return [d[0] for d in res.description], res.fetchall()
+
+
+def test_no_alerts_with_all_windows_priced(spark, tmp_path, monkeypatch):
+    """Of 80 hours nothing is an alert: an empty table, after the job's whole work (its prices equal the SQL)."""
+    folder, job, ran = even_events(spark, str(tmp_path), 240, 20), streams.pricing_job, []
+    monkeypatch.setattr(streams, "pricing_job", lambda *a: ran.append(job(*a)) or ran[0])
+    got = E.queries()["w11_stream_alerts"](spark, folder)
+    names, want = sql_over(folder, "w11_stream_alerts")
+    assert sorted(got.columns) == sorted(names)
+    assert got.collect() == want == []
+    names, want = sql_over(folder, "w11_pricing_job")
+    prices = streams.rounded(SK.read_written(spark, ran[0][0], SC.PRICES)).select(*names)
+    assert sorted(map(tuple, prices.collect())) == sorted(want) != []
+
+
+# of 80 hours nothing is an anomaly; of 20 minutes no window is closed
+@pytest.mark.parametrize("rows, minutes, name", [(240, 20, "s13_data_quality_sink"), (240, 20, "s12_append_batches"),
+                                                 (20, 1, "w11_pricing_job"), (20, 1, "w07_feature_job")])
+def test_a_sink_without_rows_reads_as_an_empty_table(spark, tmp_path, rows, minutes, name):
+    folder = even_events(spark, str(tmp_path), rows, minutes)
+    names, want = sql_over(folder, name)
+    got = E.queries()[name](spark, folder)
+    assert sorted(got.columns) == sorted(names)
+    assert got.collect() == want == []
+
+
+def test_declared_schemas_are_those_of_the_sinks(spark):
+    types = lambda schema: [(f.name, f.dataType) for f in schema.fields]
+    priced = catalog.stored_priced(spark, SF_SMALL)
+    alerts = AL.alert_stream(AL.station_alerts(priced), AL.regional_alerts(AL.grid_stress_by_bin(priced)))
+    assert types(alerts.schema) == types(SC.ALERT)
+    assert types(priced.select(*SC.PRICES.fieldNames()).schema) == types(SC.PRICES)
+    rolled = spark.createDataFrame([], ROLLED)
+    assert types(SQ.data_quality_rows(rolled).schema) == types(SC.DATA_QUALITY)
+
+
 def test_messages_hold_all_readings(spark, long_dir, monkeypatch):
     t = streams.tel(spark, long_dir, streams.PROFILE_A)
     parts = sorted(r[0] for r in t.select(streams.part()).distinct().collect())
