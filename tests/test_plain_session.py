@@ -31,7 +31,7 @@ print("KEPT" if all(after.get(k) == v for k, v in before.items()) and not any("s
 
 
 def test_streams_in_a_plain_session():
-    done = subprocess.run([sys.executable, "-c", SCRIPT, *STREAMS], cwd=ROOT, env=os.environ | {"PYTHONPATH": ROOT},
+    done = subprocess.run([sys.executable, "-c", SCRIPT, *STREAMS], cwd=ROOT, env=os.environ | {"PYTHONPATH": os.pathsep.join(filter(None, (ROOT, os.environ.get("PYTHONPATH"))))},
                           capture_output=True, text=True, timeout=400)
     assert done.returncode == 0, done.stderr[-3000:]
     assert [x.split()[:2] for x in done.stdout.splitlines() if x.startswith(("SAME", "DIFF"))] == [["SAME", n] for n in STREAMS], done.stdout
